@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearwatch.functions.hashing import uniform_int
+from pyspark.sql.types import StringType, StructField, StructType
+
 from gearwatch.schemas import CAR_COLORS, CAR_MODELS
 
+SMOKE = StructType([StructField("brand", StringType(), True), StructField("model", StringType(), True)])
+
 # Fixed values that must equal the reference: the car model and colour lookups.
 CAR_MODEL_ROWS: tuple[tuple[int, str, str], ...] = (
     (1, "Mazda", "3"),
@@ -37,19 +41,39 @@ MODEL_ID_RANGE = (1, 7)
 COLOR_ID_RANGE = (1, 7)
 
 
+def literal_table(spark: SparkSession, rows, schema: StructType) -> DataFrame:
+    """A small literal table held in the JVM plan (an SQL ``VALUES`` local relation).
+
+    Unlike ``createDataFrame`` on a Python list, no Python worker is started
+    when a job reads it, the planner knows its size, and broadcasting it needs
+    no job at all.  Values are bound as parameters, never spliced into SQL.
+    """
+    rows = [tuple(r) for r in rows]
+    width = len(schema.fields)
+    if not rows or any(len(r) != width for r in rows):
+        raise ValueError("rows must be non-empty and match the schema width")
+    types = [f.dataType.simpleString() for f in schema.fields]
+    marks = ", ".join(
+        "(" + ", ".join(f"CAST(:v{i}_{j} AS {types[j]})" for j in range(width)) + ")"
+        for i in range(len(rows)))
+    args = {f"v{i}_{j}": v for i, r in enumerate(rows) for j, v in enumerate(r)}
+    names = ", ".join(f"`{f.name}`" for f in schema.fields)
+    return spark.sql(f"SELECT * FROM VALUES {marks} AS t({names})", args=args)
+
+
 def car_models(spark: SparkSession) -> DataFrame:
     """The 7-row model lookup (``model_id, car_brand, car_model``)."""
-    return spark.createDataFrame(list(CAR_MODEL_ROWS), CAR_MODELS)
+    return literal_table(spark, CAR_MODEL_ROWS, CAR_MODELS)
 
 
 def car_colors(spark: SparkSession) -> DataFrame:
     """The 7-row colour lookup (``color_id, color_name``)."""
-    return spark.createDataFrame(list(CAR_COLOR_ROWS), CAR_COLORS)
+    return literal_table(spark, CAR_COLOR_ROWS, CAR_COLORS)
 
 
 def smoke_table(spark: SparkSession) -> DataFrame:
     """The 3-row ``brand, model`` table used to check a storage round trip."""
-    return spark.createDataFrame(list(SMOKE_ROWS), "brand string, model string")
+    return literal_table(spark, SMOKE_ROWS, SMOKE)
 
 
 def with_model_names(models: DataFrame) -> DataFrame:

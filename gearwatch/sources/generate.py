@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gearwatch.functions.eventtime import format_event_time, utc_now
 from gearwatch.functions.hashing import hash31, uniform_hundredths, uniform_index, uniform_int
-from gearwatch.operators.joins import broadcast_if_small
+from gearwatch.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 
 # Fixed values that must equal the reference: reading ranges of a generated event.
 SPEED_RANGE = (0, 180)
@@ -41,16 +41,21 @@ INJECTED_ALERT = {
 }
 
 
-def number_rows(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], parts: int | None = None,
+                small: bool = False) -> DataFrame:
     """Add ``row_idx`` = 0-based position of each row in ``order`` (ties by all columns).
 
-    Distributed: range-partition by the order, count each partition (a table
-    with one row per partition, broadcast), turn counts into offsets, then
-    number rows inside each partition.  No single task ever sees all rows.
+    ``small=True`` (the caller has checked the row count) numbers the rows in
+    one task.  Otherwise the work is distributed: range-partition by the order,
+    count each partition (a table with one row per partition, broadcast), turn
+    counts into offsets, then number rows inside each partition, so no task
+    ever holds more than one range of rows.
     """
+    keys = list(order) + [c for c in df.columns if c not in order]
+    if small:
+        return df.withColumn("row_idx", F.row_number().over(Window.orderBy(*keys)) - 1)
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = list(order) + [c for c in df.columns if c not in order]
     ranged = df.repartitionByRange(parts, *keys).withColumn("__part", F.spark_partition_id())
     counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
@@ -97,14 +102,17 @@ def synth_events(
     it the event is stamped with the current time, as a live producer would.
     Output: ``event_id, event_time, car_id, speed, rpm, gear`` (raw-event types).
     """
-    numbered = number_rows(cars.select("car_id", "driver_id", "model_id", "color_id"),
-                           ["car_id", "driver_id", "model_id", "color_id"])
     if n_cars is None:
         n_cars = cars.count()
     if n_cars == 0:
         raise ValueError("cannot pick cars from an empty fleet")
-    fleet, _ = broadcast_if_small(numbered.select("row_idx", F.col("car_id").alias("__car")),
-                                  broadcast_max_rows)
+    max_rows = DEFAULT_BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    small = n_cars <= max_rows
+    keys = ["car_id", "driver_id", "model_id", "color_id"]
+    numbered = number_rows(cars.select(*keys), keys, small=small)
+    fleet = numbered.select("row_idx", F.col("car_id").alias("__car"))
+    if small:
+        fleet = F.broadcast(fleet)
     x = F.col(id_col)
     ts = F.col(time_col) if time_col else utc_now()
     picked = ids.select(

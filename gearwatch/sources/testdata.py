@@ -29,6 +29,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin a batch input over the cluster if it arrives in fewer splits than cores.
+
+    A table stored as one small file with one row group is read by one task,
+    and every per-row function above the scan would run in that task.  A large
+    table has far more splits than cores and is left as it is (no shuffle).
+    Filters above still run before the exchange (Catalyst pushes them through).
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def sensor_columns(events: DataFrame, with_time_text: bool = True) -> DataFrame:
     """Map ``events`` rows to sensor-event columns (narrow projection, keeps ``ts``)."""
     k = F.from_json(F.col("props"), "k INT").getField("k")
@@ -37,7 +53,7 @@ def sensor_columns(events: DataFrame, with_time_text: bool = True) -> DataFrame:
         F.col("ts"),
         F.col("user_id").try_cast("int").alias("car_id"),
         F.col("value").alias("speed"),
-        (F.lit(500) + F.lit(65) * k).alias("rpm"),
+        (F.lit(500) + F.lit(65) * k.cast("bigint")).try_cast("int").alias("rpm"),
         (F.lit(1) + F.pmod(F.col("event_id"), F.lit(6))).cast("int").alias("gear"),
     ]
     if with_time_text:
@@ -47,7 +63,7 @@ def sensor_columns(events: DataFrame, with_time_text: bool = True) -> DataFrame:
 
 def telemetry_events(spark: SparkSession, sf_dir: str, with_time_text: bool = True) -> DataFrame:
     """Sensor events over the whole ``events`` table."""
-    return sensor_columns(read_table(spark, sf_dir, "events"), with_time_text)
+    return sensor_columns(spread_if_narrow(read_table(spark, sf_dir, "events")), with_time_text)
 
 
 def cars_from_customers(customer: DataFrame) -> DataFrame:
