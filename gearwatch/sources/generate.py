@@ -138,7 +138,9 @@ def injected_alert(spark: SparkSession, event_time: str | None = None, **overrid
     row.setdefault("event_time", None)
     if event_time is not None:
         row["event_time"] = event_time
-    df = spark.createDataFrame([tuple(row.get(f.name) for f in ALERT_EVENT.fields)], ALERT_EVENT)
+    from gearwatch.sources.dims import literal_table
+
+    df = literal_table(spark, [tuple(row.get(f.name) for f in ALERT_EVENT.fields)], ALERT_EVENT)
     if row["event_time"] is None:
         df = df.withColumn("event_time", format_event_time(utc_now()))
     return df
