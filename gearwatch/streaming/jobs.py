@@ -15,18 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gearwatch.functions.codec import decode
+from gearwatch.functions.codec import decode, encode
 from gearwatch.functions.eventtime import parse_event_time
 from gearwatch.operators.rules import DEFAULT_RULES, Rule
 from gearwatch.operators.windows import COUNTED_COLORS, WATERMARK, WINDOW
 from gearwatch.plans.chain import counting_stage, detection_stage, enrichment_stage
-from gearwatch.schemas import ENRICHED_EVENT
+from gearwatch.schemas import ALERT_EVENT, ENRICHED_EVENT, RAW_EVENT
+from gearwatch.sources.generate import injected_alert, synth_events
 from gearwatch.sources.topics import (
     ALERT_TOPIC,
     ENRICHED_TOPIC,
+    PRODUCER_OPTIONS,
     RAW_TOPIC,
     read_topic,
     topic_stream_writer,
+    write_topic,
 )
 from gearwatch.streaming.runner import start_sink, with_trigger
 
@@ -94,3 +97,24 @@ def debug_tap(spark: SparkSession, *, topics_root: str | None = None,
     query = start_sink(shown, sink="console", output_mode="append", num_rows=num_rows)
     query.awaitTermination(seconds)
     query.stop()
+
+
+def run_generator(ids: DataFrame, cars: DataFrame, *, topics_root: str | None = None,
+                  bootstrap_servers: str | None = None, topic: str = RAW_TOPIC,
+                  time_col: str | None = None, id_col: str = "id") -> None:
+    """Batch job: one synthetic sensor event per row of ``ids``, published keyed by event id.
+
+    Replaces a driver-side producer loop: generation, encoding and the topic
+    write all run on the executors (``spark.range(n)`` is a fine id source).
+    """
+    events = synth_events(ids, cars, id_col=id_col, time_col=time_col)
+    write_topic(encode(events, [f.name for f in RAW_EVENT.fields], key="event_id"), topic,
+                root=topics_root, bootstrap_servers=bootstrap_servers,
+                producer_options=PRODUCER_OPTIONS)
+
+
+def publish_alert(spark: SparkSession, *, topics_root: str | None = None,
+                  bootstrap_servers: str | None = None, topic: str = ALERT_TOPIC, **fields) -> None:
+    """Write the single manual test alert (unkeyed) to the alert topic."""
+    record = encode(injected_alert(spark, **fields), [f.name for f in ALERT_EVENT.fields])
+    write_topic(record, topic, root=topics_root, bootstrap_servers=bootstrap_servers)

@@ -84,3 +84,14 @@ def test_kafka_option_builders():
         "kafka.bootstrap.servers": "k:9092", "subscribe": "sensors-sample", "startingOffsets": "earliest"}
     opts = kafka_sink_options("k:9092", "alert-data", PRODUCER_OPTIONS)
     assert opts["topic"] == "alert-data" and opts["kafka.acks"] == "all"
+
+
+def test_generator_and_injection_jobs(spark, scratch):
+    from gearwatch.streaming.jobs import publish_alert, run_generator
+    from gearwatch.sources.topics import ALERT_TOPIC, RAW_TOPIC
+    run_generator(spark.range(50), random_cars(spark, 20), topics_root=scratch)
+    raw = read_topic(spark, RAW_TOPIC, root=scratch, streaming=False)
+    assert raw.count() == 50 and raw.where("key IS NULL").count() == 0
+    publish_alert(spark, topics_root=scratch)
+    alert = decode(read_topic(spark, ALERT_TOPIC, root=scratch, streaming=False), ALERT_EVENT).first()
+    assert (alert.brand_name, alert.model_name, alert.speed) == ("Kia", "Rio", 150.5)
