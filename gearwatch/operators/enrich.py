@@ -41,12 +41,30 @@ def car_profiles(cars: DataFrame, models: DataFrame, colors: DataFrame) -> DataF
             .select("car_id", *PROFILE_COLUMNS))
 
 
+def save_profiles(cars: DataFrame, models: DataFrame, colors: DataFrame, *, table: str, path: str,
+                  buckets: int) -> DataFrame:
+    """Write the flattened car profile as a table bucketed and sorted by ``car_id``.
+
+    For a fleet too large to broadcast: a join against the returned table
+    shuffles only the events (into ``buckets`` partitions) and reads the
+    profile bucket by bucket, with no exchange on its side - which matters
+    for a stream, whose static side would otherwise be re-shuffled every
+    micro-batch.  One file per bucket (the rows are hash-partitioned the same
+    way first).  Write a new ``path`` per version and restart streams on it.
+    """
+    profiles = car_profiles(cars, models, colors)
+    (profiles.repartition(buckets, "car_id").write.mode("overwrite")
+     .bucketBy(buckets, "car_id").sortBy("car_id").option("path", path).saveAsTable(table))
+    return profiles.sparkSession.table(table)
+
+
 def enrich(
     events: DataFrame,
-    cars: DataFrame,
-    models: DataFrame,
-    colors: DataFrame,
+    cars: DataFrame | None = None,
+    models: DataFrame | None = None,
+    colors: DataFrame | None = None,
     *,
+    profiles: DataFrame | None = None,
     bounds: Sequence[float] = GEAR_BOUNDS,
     broadcast_max_rows: int | None = None,
     skew: str = "auto",
@@ -60,6 +78,9 @@ def enrich(
     attributes; a car listed twice doubles its events.  Event columns keep
     their order and type (``car_id`` stays the event's INT).
 
+    ``profiles`` (e.g. from ``save_profiles``) replaces the three dimensions
+    with an already flattened profile.
+
     Join strategy: the car profile is broadcast when its row count is within
     ``broadcast_max_rows`` (checked); otherwise a shuffle join.  With
     ``skew="auto"`` (batch only) the shuffle path first finds car ids with at
@@ -67,7 +88,8 @@ def enrich(
     tasks; ``skew="aqe"`` leaves hot partitions to AQE's skew-join split, which
     is also the path for streaming inputs.
     """
-    profiles = car_profiles(cars, models, colors)
+    if profiles is None:
+        profiles = car_profiles(cars, models, colors)
     profiles, small = broadcast_if_small(profiles, broadcast_max_rows)
     if small or skew == "aqe" or events.isStreaming:
         joined = events.join(profiles, "car_id", "left")
@@ -77,9 +99,7 @@ def enrich(
             joined = events.join(profiles, "car_id", "left")
         else:
             salt_cols = ["event_id"] if "event_id" in events.columns else events.columns
-            joined = salted_left_join(
-                events, profiles.withColumn("car_id", F.col("car_id")), "car_id",
-                salt_cols, salt_buckets, hot)
+            joined = salted_left_join(events, profiles, "car_id", salt_cols, salt_buckets, hot)
     else:
         raise ValueError(f"unknown skew strategy {skew!r}")
     ordered = events.columns + [c for c in PROFILE_COLUMNS if c not in events.columns]

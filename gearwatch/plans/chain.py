@@ -25,8 +25,9 @@ from gearwatch.schemas import ENRICHED_EVENT, RAW_EVENT
 ENRICHED_FIELDS = [f.name for f in ENRICHED_EVENT.fields]
 
 
-def enrichment_stage(raw: DataFrame, cars: DataFrame, models: DataFrame, colors: DataFrame,
-                     bounds: Sequence[float] = GEAR_BOUNDS, **join_opts) -> DataFrame:
+def enrichment_stage(raw: DataFrame, cars: DataFrame | None, models: DataFrame | None,
+                     colors: DataFrame | None, bounds: Sequence[float] = GEAR_BOUNDS,
+                     **join_opts) -> DataFrame:
     """Topic records of raw events -> topic records (``value``) of enriched events."""
     events = decode(raw, RAW_EVENT)
     enriched = to_enriched_record(enrich(events, cars, models, colors, bounds=bounds, **join_opts))

@@ -38,14 +38,20 @@ COUNTER_TRIGGER = "1 minute"
 COUNTER_ROWS = 50
 
 
-def start_enrichment(spark: SparkSession, cars: DataFrame, models: DataFrame, colors: DataFrame, *,
-                     checkpoint: str, topics_root: str | None = None,
+def start_enrichment(spark: SparkSession, cars: DataFrame | None = None,
+                     models: DataFrame | None = None, colors: DataFrame | None = None, *,
+                     checkpoint: str, profiles: DataFrame | None = None,
+                     topics_root: str | None = None,
                      bootstrap_servers: str | None = None, source: str = RAW_TOPIC,
                      sink: str = ENRICHED_TOPIC, trigger: str | None = None,
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
+                     max_files_per_trigger: int | None = None,
+                     broadcast_max_rows: int | None = None) -> StreamingQuery:
+    """Raw topic -> enriched topic.  A fleet too large to broadcast should be
+    passed as ``profiles`` from ``save_profiles`` (bucketed by car id)."""
     raw = read_topic(spark, source, root=topics_root, bootstrap_servers=bootstrap_servers,
                      max_files_per_trigger=max_files_per_trigger)
-    out = enrichment_stage(raw, cars, models, colors)
+    out = enrichment_stage(raw, cars, models, colors, profiles=profiles,
+                           broadcast_max_rows=broadcast_max_rows)
     writer = topic_stream_writer(out, sink, checkpoint, root=topics_root,
                                  bootstrap_servers=bootstrap_servers)
     return with_trigger(writer, trigger).start()

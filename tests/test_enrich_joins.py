@@ -88,3 +88,24 @@ def test_lookup_and_profiles(spark):
     assert (prof.brand_name, prof.model_name, prof.color_name) == ("Toyota", "Corolla", "Blue")
     out = lookup(_events(spark, [1, 5]), cars, "car_id").orderBy("event_id").collect()
     assert [r.driver_id for r in out] == [11, None]
+
+
+def test_bucketed_profiles_shuffle_only_the_events(spark, scratch):
+    import os
+    from gearwatch.operators.enrich import save_profiles
+    cars = _cars(spark, [(i, 1000 + i, 1 + i % 7, 1 + i % 7) for i in range(300)])
+    prof = save_profiles(cars, car_models(spark), car_colors(spark), table="gw_test_profiles",
+                         path=os.path.join(scratch, "profiles", "v=1"), buckets=4)
+    ev = _events(spark, list(range(0, 400, 3)))
+    out = enrich(ev, profiles=prof, broadcast_max_rows=10, skew="aqe")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the table is tiny here
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    ref = enrich(ev, cars, car_models(spark), car_colors(spark))
+    assert bag(out) == bag(ref)
+    stream = spark.readStream.schema(ev.schema).parquet(os.path.join(scratch, "ev")) \
+        if ev.write.parquet(os.path.join(scratch, "ev")) is None else None
+    assert enrich(stream, profiles=prof, broadcast_max_rows=10).isStreaming
