@@ -32,6 +32,7 @@ from gearwatch.sources.testdata import (
     cars_from_customers,
     read_table,
     sensor_columns,
+    spread_if_narrow,
     table_path,
     telemetry_cars,
     telemetry_events,
@@ -265,7 +266,7 @@ def stream_restart(spark, sf_dir):
     one checkpoint: first half of the events, then the rest, then nothing new."""
     base = fresh_dir(spark, "stream-restart")
     inbox, out, ckpt = (os.path.join(base, p) for p in ("inbox", "out", "checkpoint"))
-    events = read_table(spark, sf_dir, "events")
+    events = spread_if_narrow(read_table(spark, sf_dir, "events"))
     bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     mid = bounds["lo"] + (bounds["hi"] - bounds["lo"]) / 2 if bounds["lo"] else None
     cut = F.lit(None if mid is None else mid.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -21,9 +21,12 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
+# State store: the window metrics keep one row per window (96 a day, whatever
+# the event volume), so Spark's default in-memory provider fits and commits
+# faster.  For large keyed state, set
+#   spark.sql.streaming.stateStore.providerClass =
+#   org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider
 
 _LOCAL_ROOT: str | None = None
 

@@ -17,9 +17,7 @@ def spark():
     builder = (SparkSession.builder.master("local[*]").appName("gearwatch-tests")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.ui.enabled", "false")
-               .config("spark.sql.session.timeZone", "UTC")
-               .config("spark.sql.streaming.stateStore.providerClass",
-                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
+               .config("spark.sql.session.timeZone", "UTC"))
     s = builder.getOrCreate()
     # the shared folder comes from the session (spark.checkpoint.dir); only when
     # the environment names none does a test run use a private temporary one
