@@ -39,9 +39,18 @@ from gearwatch.sources.testdata import (
 )
 from gearwatch.sources.topics import RAW_TOPIC, write_topic
 from gearwatch.streaming.jobs import counter_frame, start_detection, start_enrichment
-from gearwatch.streaming.runner import await_or_stop, materialize, read_materialized, start_materialize
+from gearwatch.streaming.runner import (
+    await_or_stop,
+    materialize,
+    read_materialized,
+    start_materialize,
+    window_state_partitions,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Bound on the files one micro-batch takes from a table folder, so a backfill
+# over a large table advances (and recovers) in steps instead of one batch.
+STREAM_MAX_FILES_PER_TRIGGER = 1000
 WINDOW_KEYS = ("window_start", "window_end")
 RAW_FIELDS = [f.name for f in RAW_EVENT.fields]
 
@@ -211,7 +220,7 @@ def preview(spark, sf_dir, n: int = 5):
 
 # ------------------------------------------------------------------ streaming
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = STREAM_MAX_FILES_PER_TRIGGER) -> DataFrame:
     """A given table opened as a file stream (schema from the footers, no inference)."""
     path = table_path(sf_dir, name)
     schema = spark.read.parquet(path).schema
@@ -228,10 +237,11 @@ def _stream_events(spark, sf_dir):
     return sensor_columns(stream_table(spark, sf_dir, "events"))
 
 
-def _run(spark, name, df, mode, key_cols=()):
+def _run(spark, name, df, mode, key_cols=(), stateful=False):
     base = fresh_dir(spark, name)
     return materialize(df, output_mode=mode, out_dir=os.path.join(base, "out"),
-                       checkpoint=os.path.join(base, "checkpoint"), key_cols=key_cols)
+                       checkpoint=os.path.join(base, "checkpoint"), key_cols=key_cols,
+                       state_partitions=window_state_partitions(spark) if stateful else None)
 
 
 def stream_enrich(spark, sf_dir):
@@ -250,15 +260,16 @@ def _stream_windows(spark, sf_dir, source=None):
 
 
 def stream_window_complete(spark, sf_dir):
-    return _run(spark, "stream-complete", _stream_windows(spark, sf_dir), "complete")
+    return _run(spark, "stream-complete", _stream_windows(spark, sf_dir), "complete", stateful=True)
 
 
 def stream_window_update(spark, sf_dir):
-    return _run(spark, "stream-update", _stream_windows(spark, sf_dir), "update", WINDOW_KEYS)
+    return _run(spark, "stream-update", _stream_windows(spark, sf_dir), "update", WINDOW_KEYS,
+                stateful=True)
 
 
 def stream_window_append(spark, sf_dir):
-    return _run(spark, "stream-append", _stream_windows(spark, sf_dir), "append")
+    return _run(spark, "stream-append", _stream_windows(spark, sf_dir), "append", stateful=True)
 
 
 def stream_restart(spark, sf_dir):
@@ -277,7 +288,8 @@ def stream_restart(spark, sf_dir):
         if step == 1:
             events.where(~(F.col("ts") < cut) | F.col("ts").isNull() | cut.isNull()) \
                 .write.mode("append").parquet(inbox)
-        query = start_materialize(metrics, output_mode="update", out_dir=out, checkpoint=ckpt)
+        query = start_materialize(metrics, output_mode="update", out_dir=out, checkpoint=ckpt,
+                                  state_partitions=window_state_partitions(spark))
         if not await_or_stop(query, 600):
             raise TimeoutError("restart run did not finish")
     return read_materialized(spark, out, "update", metrics.schema, WINDOW_KEYS)
@@ -300,7 +312,8 @@ def topic_chain_stream(spark, sf_dir):
             raise TimeoutError("stage did not finish")
     metrics = counter_frame(spark, topics_root=topics, watermark=WATERMARK)
     return materialize(metrics, output_mode="complete", out_dir=os.path.join(base, "out"),
-                       checkpoint=os.path.join(base, "ck-count"))
+                       checkpoint=os.path.join(base, "ck-count"),
+                       state_partitions=window_state_partitions(spark))
 
 
 QUERIES: dict[str, Query] = {

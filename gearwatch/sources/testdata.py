@@ -39,10 +39,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only: the input splits of the scan
+    except Exception:  # no RDD view (e.g. a remote session): leave the input as it is
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)
 
 
 def sensor_columns(events: DataFrame, with_time_text: bool = True) -> DataFrame:

@@ -31,7 +31,7 @@ from gearwatch.sources.topics import (
     topic_stream_writer,
     write_topic,
 )
-from gearwatch.streaming.runner import start_sink, with_trigger
+from gearwatch.streaming.runner import start_sink, window_state_partitions, with_trigger
 
 # Fixed values that must equal the reference: the counter's trigger and console rows.
 COUNTER_TRIGGER = "1 minute"
@@ -89,7 +89,8 @@ def start_counter(spark: SparkSession, *, checkpoint: str, topics_root: str | No
     metrics = counter_frame(spark, topics_root=topics_root,
                             bootstrap_servers=bootstrap_servers, **frame_opts)
     return start_sink(metrics, sink=sink, output_mode=output_mode, checkpoint=checkpoint,
-                      trigger=trigger, num_rows=num_rows)
+                      trigger=trigger, num_rows=num_rows,
+                      state_partitions=window_state_partitions(spark))
 
 
 def debug_tap(spark: SparkSession, *, topics_root: str | None = None,

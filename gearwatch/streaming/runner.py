@@ -14,13 +14,46 @@ shared folder; nothing passes through the driver.  The table per output mode:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 DEFAULT_TIMEOUT_S = 600
+MAX_STATE_PARTITIONS = 64
+
+
+def window_state_partitions(spark: SparkSession) -> int:
+    """State partitions for window metrics: one per core, at most ``MAX_STATE_PARTITIONS``.
+
+    Each state partition is a store committed every micro-batch.  Window state
+    is one row per window and the shuffled partial aggregates are one row per
+    (task, window), so a few dozen partitions carry any event volume; more only
+    adds commits.
+    """
+    return max(1, min(MAX_STATE_PARTITIONS, spark.sparkContext.defaultParallelism))
+
+
+@contextmanager
+def query_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Set session conf while a streaming query starts; it keeps its own copy.
+
+    A stateful query records ``spark.sql.shuffle.partitions`` in its checkpoint
+    at the first batch, so this fixes its number of state partitions.
+    """
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def with_trigger(writer, trigger: str | None):
@@ -45,6 +78,7 @@ def start_sink(
     truncate: bool = False,
     query_name: str | None = None,
     path: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a stream into ``console``, ``memory`` (tests only) or ``parquet``."""
     writer = df.writeStream.outputMode(output_mode).format(sink)
@@ -58,7 +92,9 @@ def start_sink(
         writer = writer.option("checkpointLocation", checkpoint)
     if query_name is not None:
         writer = writer.queryName(query_name)
-    return with_trigger(writer, trigger).start()
+    conf = {} if state_partitions is None else {"spark.sql.shuffle.partitions": str(state_partitions)}
+    with query_conf(df.sparkSession, conf):
+        return with_trigger(writer, trigger).start()
 
 
 def await_or_stop(query: StreamingQuery, timeout_s: float | None) -> bool:
@@ -86,8 +122,12 @@ def _batch_writer(out_dir: str):
 
 
 def start_materialize(df: DataFrame, *, output_mode: str, out_dir: str, checkpoint: str,
-                      trigger: str | None = "available-now") -> StreamingQuery:
-    """Start the query that writes ``df``'s stream into ``out_dir`` (see module doc)."""
+                      trigger: str | None = "available-now",
+                      state_partitions: int | None = None) -> StreamingQuery:
+    """Start the query that writes ``df``'s stream into ``out_dir`` (see module doc).
+
+    ``state_partitions`` fixes the shuffle / state partitions of a new
+    stateful query (ignored when the checkpoint already has them)."""
     if output_mode == "append":
         writer = (df.writeStream.format("parquet").outputMode("append")
                   .option("path", out_dir).option("checkpointLocation", checkpoint))
@@ -96,7 +136,9 @@ def start_materialize(df: DataFrame, *, output_mode: str, out_dir: str, checkpoi
                   .option("checkpointLocation", checkpoint))
     else:
         raise ValueError(f"unknown output mode {output_mode!r}")
-    return with_trigger(writer, trigger).start()
+    conf = {} if state_partitions is None else {"spark.sql.shuffle.partitions": str(state_partitions)}
+    with query_conf(df.sparkSession, conf):
+        return with_trigger(writer, trigger).start()
 
 
 def read_materialized(spark, out_dir: str, output_mode: str, schema,
@@ -123,9 +165,11 @@ def read_materialized(spark, out_dir: str, output_mode: str, schema,
 
 
 def materialize(df: DataFrame, *, output_mode: str, out_dir: str, checkpoint: str,
-                key_cols: Sequence[str] = (), timeout_s: float | None = DEFAULT_TIMEOUT_S) -> DataFrame:
+                key_cols: Sequence[str] = (), timeout_s: float | None = DEFAULT_TIMEOUT_S,
+                state_partitions: int | None = None) -> DataFrame:
     """Run ``df`` over the input available now (``availableNow``) and return its result."""
-    query = start_materialize(df, output_mode=output_mode, out_dir=out_dir, checkpoint=checkpoint)
+    query = start_materialize(df, output_mode=output_mode, out_dir=out_dir, checkpoint=checkpoint,
+                              state_partitions=state_partitions)
     if not await_or_stop(query, timeout_s):
         raise TimeoutError(f"stream did not finish within {timeout_s}s")
     return read_materialized(df.sparkSession, out_dir, output_mode, df.schema, key_cols)
