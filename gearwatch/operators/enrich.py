@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gearwatch.functions.bands import GEAR_BOUNDS, classify_bands
 from gearwatch.operators.joins import broadcast_if_small, hot_keys, salted_left_join
 from gearwatch.schemas import ENRICHED_EVENT
-from gearwatch.sources.dims import with_model_names
+from gearwatch.sources.dims import literal_rows, with_model_names
 
 PROFILE_COLUMNS = ("driver_id", "brand_name", "model_name", "color_name")
 
@@ -33,9 +33,14 @@ def car_profiles(cars: DataFrame, models: DataFrame, colors: DataFrame) -> DataF
     ``cars LEFT JOIN models USING (model_id) LEFT JOIN colors USING (color_id)``.
     Joining the events once to this equals joining them to the three tables in
     turn: the later joins only read car columns and equality rejects NULLs.
+    The lookups are broadcast when their size checks small; a literal lookup's
+    row count is known, so its check (and its broadcast) starts no job.
     """
-    models = F.broadcast(with_model_names(models).select("model_id", "brand_name", "model_name"))
-    colors = F.broadcast(colors.select("color_id", "color_name"))
+    models, _ = broadcast_if_small(
+        with_model_names(models).select("model_id", "brand_name", "model_name"),
+        known_rows=literal_rows(models))
+    colors, _ = broadcast_if_small(colors.select("color_id", "color_name"),
+                                   known_rows=literal_rows(colors))
     return (cars.join(models, "model_id", "left")
             .join(colors, "color_id", "left")
             .select("car_id", *PROFILE_COLUMNS))

@@ -12,16 +12,22 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
+                       known_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Hint ``df`` for broadcast only if it has at most ``max_rows`` rows.
 
     The check is ``limit(max_rows + 1).count()``: it stops reading as soon as
     the bound is exceeded, so it costs little even on a large table.
+    ``known_rows`` is an exact row count known without running anything (a
+    literal table's), which replaces the check.
     """
     max_rows = DEFAULT_BROADCAST_MAX_ROWS if max_rows is None else max_rows
     if max_rows <= 0:
         return df, False
-    small = df.limit(max_rows + 1).count() <= max_rows
+    if known_rows is not None:
+        small = known_rows <= max_rows
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
     return (F.broadcast(df) if small else df), small
 
 

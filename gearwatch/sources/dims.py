@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,14 @@ MODEL_ID_RANGE = (1, 7)
 COLOR_ID_RANGE = (1, 7)
 
 
+_LITERAL_ROWS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def literal_rows(df: DataFrame) -> int | None:
+    """Row count of a DataFrame made by ``literal_table`` (known exactly), else None."""
+    return _LITERAL_ROWS.get(df)
+
+
 def literal_table(spark: SparkSession, rows, schema: StructType) -> DataFrame:
     """A small literal table held in the JVM plan (an SQL ``VALUES`` local relation).
 
@@ -58,7 +68,9 @@ def literal_table(spark: SparkSession, rows, schema: StructType) -> DataFrame:
         for i in range(len(rows)))
     args = {f"v{i}_{j}": v for i, r in enumerate(rows) for j, v in enumerate(r)}
     names = ", ".join(f"`{f.name}`" for f in schema.fields)
-    return spark.sql(f"SELECT * FROM VALUES {marks} AS t({names})", args=args)
+    table = spark.sql(f"SELECT * FROM VALUES {marks} AS t({names})", args=args)
+    _LITERAL_ROWS[table] = len(rows)
+    return table
 
 
 def car_models(spark: SparkSession) -> DataFrame:
