@@ -113,6 +113,11 @@ def json_roundtrip(spark, sf_dir):
     return decode(records, ENRICHED_EVENT)
 
 
+def json_encode(spark, sf_dir):
+    """The exact wire text of enriched records (NULL fields left out)."""
+    return encode(to_enriched_record(_enriched(spark, sf_dir)), ENRICHED_FIELDS, as_binary=False)
+
+
 def json_damage(spark, sf_dir):
     ev = telemetry_events(spark, sf_dir)
     whole = F.to_json(F.struct(*RAW_FIELDS))
@@ -272,15 +277,45 @@ def stream_window_append(spark, sf_dir):
     return _run(spark, "stream-append", _stream_windows(spark, sf_dir), "append", stateful=True)
 
 
+def _hour_cut(events: DataFrame):
+    """Midpoint of the events' time range, truncated to the hour (a window boundary)."""
+    b = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    if b["lo"] is None:
+        return F.lit(None).cast("timestamp_ntz")
+    mid = (b["lo"] + (b["hi"] - b["lo"]) / 2).replace(minute=0, second=0, microsecond=0)
+    return F.lit(mid.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def stream_late_data(spark, sf_dir):
+    """Update-mode window counts when the later half of the events arrives first.
+
+    The earlier half then lies behind the 48-hour watermark and is dropped as
+    late; what remains are the windows of the later half."""
+    base = fresh_dir(spark, "stream-late")
+    inbox, out, ckpt = (os.path.join(base, p) for p in ("inbox", "out", "checkpoint"))
+    events = spread_if_narrow(read_table(spark, sf_dir, "events"))
+    cut = _hour_cut(events)
+    later = F.col("ts") >= cut
+    events.where(later).write.mode("append").parquet(inbox)
+    source = sensor_columns(spark.readStream.schema(events.schema).parquet(inbox))
+    metrics = _stream_windows(spark, sf_dir, source)
+    for step in range(2):
+        if step == 1:
+            events.where(~later | F.col("ts").isNull()).write.mode("append").parquet(inbox)
+        query = start_materialize(metrics, output_mode="update", out_dir=out, checkpoint=ckpt,
+                                  state_partitions=window_state_partitions(spark))
+        if not await_or_stop(query, 600):
+            raise TimeoutError("late-data run did not finish")
+    return read_materialized(spark, out, "update", metrics.schema, WINDOW_KEYS)
+
+
 def stream_restart(spark, sf_dir):
     """Window counts in update mode over a source that grows between three runs of
     one checkpoint: first half of the events, then the rest, then nothing new."""
     base = fresh_dir(spark, "stream-restart")
     inbox, out, ckpt = (os.path.join(base, p) for p in ("inbox", "out", "checkpoint"))
     events = spread_if_narrow(read_table(spark, sf_dir, "events"))
-    bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    mid = bounds["lo"] + (bounds["hi"] - bounds["lo"]) / 2 if bounds["lo"] else None
-    cut = F.lit(None if mid is None else mid.isoformat(sep=" ")).cast("timestamp_ntz")
+    cut = _hour_cut(events)
     events.where(F.col("ts") < cut).write.mode("append").parquet(inbox)
     source = sensor_columns(spark.readStream.schema(events.schema).parquet(inbox))
     metrics = _stream_windows(spark, sf_dir, source)
@@ -328,6 +363,7 @@ QUERIES: dict[str, Query] = {
     "join_fanout": join_fanout,
     "enrich_snowflake": enrich_snowflake,
     "json_roundtrip": json_roundtrip,
+    "json_encode": json_encode,
     "json_damage": json_damage,
     "rule_speed": _rule_query(overspeed()),
     "rule_rpm": _rule_query(high_rpm()),
@@ -345,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "stream_window_complete": stream_window_complete,
     "stream_window_update": stream_window_update,
     "stream_window_append": stream_window_append,
+    "stream_late_data": stream_late_data,
     "stream_restart": stream_restart,
     "topic_chain_stream": topic_chain_stream,
 }

@@ -151,6 +151,16 @@ FROM {last} e
 JOIN fleet f ON f.row_idx = (e.h_car * (SELECT count(*) FROM cars)) >> 31"""
 
 
+def _json_encode() -> str:
+    """Spark's JSON text: fields in record order, NULL fields left out."""
+    texts = {"event_id", "event_time", "brand_name", "model_name", "color_name"}
+    parts = []
+    for f in ENRICHED_COLS.split(", "):
+        val = f"to_json({f})" if f in texts else f"CAST({f} AS VARCHAR)"
+        parts.append(f"CASE WHEN {f} IS NOT NULL THEN '\"{f}\":' || {val} END")
+    return with_base(f"SELECT '{{' || concat_ws(',', {', '.join(parts)}) || '}}' AS value FROM enr")
+
+
 def _json_damage() -> str:
     ctes, last = hash_ctes("ev", "CAST(event_id AS BIGINT)", {"h": 31})
     return f"""WITH {EV},
@@ -232,6 +242,7 @@ fan AS (SELECT car_id, driver_id FROM cars
 SELECT ev.event_id, ev.car_id, f.driver_id FROM ev LEFT JOIN fan f ON ev.car_id = f.car_id""",
         "enrich_snowflake": enriched,
         "json_roundtrip": enriched,
+        "json_encode": _json_encode(),
         "json_damage": _json_damage(),
         "rule_speed": with_base(f"SELECT {ENRICHED_COLS} FROM enr WHERE speed > {SPEED_LIMIT}"),
         "rule_rpm": with_base(f"SELECT {ENRICHED_COLS} FROM enr WHERE rpm > {RPM_LIMIT}"),
@@ -251,6 +262,9 @@ SELECT ev.event_id, ev.car_id, f.driver_id FROM ev LEFT JOIN fan f ON ev.car_id
         "stream_window_append": with_base(
             "SELECT * FROM w WHERE window_end <= (SELECT max(ts) FROM alerts) - INTERVAL 48 HOUR",
             f"w AS ({windows_select('alerts')})"),
+        "stream_late_data": with_base(windows_select("later"), """later AS (
+  SELECT * FROM alerts WHERE ts >= (
+    SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events))"""),
         "stream_restart": windows,
         "topic_chain_stream": windows,
     }
