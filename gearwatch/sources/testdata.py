@@ -29,13 +29,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+# Inputs of at most this many splits (each at most spark.sql.files.maxPartitionBytes,
+# 128 MB by default) may be spread; anything larger is scanned as it is.
+SPREAD_MAX_SPLITS = 8
+
+
 def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin a batch input over the cluster if it arrives in fewer splits than cores.
+    """Round-robin a small batch input over the cores if it arrives in very few splits.
 
     A table stored as one small file with one row group is read by one task,
-    and every per-row function above the scan would run in that task.  A large
-    table has far more splits than cores and is left as it is (no shuffle).
-    Filters above still run before the exchange (Catalyst pushes them through).
+    and every per-row function above the scan (JSON, hashing) would run in
+    that task.  Only inputs of at most ``SPREAD_MAX_SPLITS`` splits (about 1 GB)
+    are spread, so the extra exchange stays small; a large table is left as it
+    is, whatever the core count.  Filters above still run before the exchange
+    (Catalyst pushes them through it).
     """
     if df.isStreaming:
         return df
@@ -44,7 +51,9 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
         splits = df.rdd.getNumPartitions()  # planning only: the input splits of the scan
     except Exception:  # no RDD view (e.g. a remote session): leave the input as it is
         return df
-    return df if splits >= cores else df.repartition(cores)
+    if splits >= cores or splits > SPREAD_MAX_SPLITS:
+        return df
+    return df.repartition(cores)
 
 
 def sensor_columns(events: DataFrame, with_time_text: bool = True) -> DataFrame:

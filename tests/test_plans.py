@@ -30,3 +30,12 @@ def test_no_python_udfs_in_batch_queries(spark):
 def test_events_scan_reads_only_needed_columns(spark):
     plan = QUERIES["fused_alert_windows"](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
     assert "event_type" not in plan
+
+
+def test_spread_only_small_narrow_inputs(spark, scratch):
+    import os
+    from gearwatch.sources.testdata import SPREAD_MAX_SPLITS, spread_if_narrow
+    one = spark.range(0, 1000, 1, 1)
+    assert spread_if_narrow(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, 1, SPREAD_MAX_SPLITS + 1)
+    assert spread_if_narrow(wide) is wide
