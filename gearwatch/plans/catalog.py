@@ -227,14 +227,16 @@ def preview(spark, sf_dir, n: int = 5):
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = STREAM_MAX_FILES_PER_TRIGGER) -> DataFrame:
     """A given table opened as a file stream (schema from the footers, no inference)."""
-    path = table_path(sf_dir, name)
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    path = table_path(sf_dir, name).rstrip("/")
+    batch = spark.read.parquet(path)
+    reader = spark.readStream.schema(batch.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if os.path.isdir(path):
+    files = batch.inputFiles()
+    single = len(files) == 1 and files[0].rstrip("/").endswith("/" + os.path.basename(path))
+    if not single:
         return reader.parquet(path)
-    # one file per table: stream the folder, filtered to that file
+    # the table is one file: stream its folder, filtered to that file
     return reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
 
 

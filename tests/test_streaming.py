@@ -83,3 +83,15 @@ def test_timeout_stops_a_running_query(spark, scratch):
                    trigger="1 second")
     assert await_or_stop(q, 2) is False
     assert not q.isActive
+
+
+def test_stream_table_reads_folder_and_single_file_tables(spark, scratch):
+    from gearwatch.plans.catalog import stream_table
+    spark.read.parquet(os.path.join(SF0001, "events.parquet")).repartition(3) \
+        .write.parquet(os.path.join(scratch, "events.parquet"))  # a table stored as a folder
+    for sf in (scratch, SF0001):
+        out = os.path.join(scratch, "out-" + os.path.basename(sf))
+        q = start_materialize(stream_table(spark, sf, "events"), output_mode="append",
+                              out_dir=out, checkpoint=out + "-ck")
+        assert await_or_stop(q, 300)
+        assert spark.read.parquet(out).count() == 1000
