@@ -7,6 +7,7 @@ Jobs, in the order they are usually started:
 * ``enrich``   stream: raw topic -> enriched topic
 * ``detect``   stream: enriched topic -> alert topic
 * ``count``    stream: alert topic -> window metrics (console by default, complete mode)
+* ``fused``    stream: raw topic -> window metrics of alerts in one query (no intermediate topics)
 * ``inject``   publish one fixed alert to the alert topic
 * ``smoke``    storage round trip of a small table, and a topic-source check
 
@@ -83,6 +84,14 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--watermark", default="48 hours")
     p.add_argument("--window", default="15 minutes")
 
+    p = sub.add_parser("fused")
+    p.add_argument("--dims", required=True)
+    p.add_argument("--version", default="1")
+    topics(p)
+    streaming(p)
+    p.add_argument("--mode", default="update", choices=("complete", "update", "append"))
+    p.add_argument("--trigger", default="1 minute")
+
     p = sub.add_parser("inject")
     topics(p)
 
@@ -125,6 +134,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                           trigger=trigger or args.trigger, window=args.window,
                           watermark=args.watermark, **topic_opts)
         _wait(q, args.timeout)
+    elif args.job == "fused":
+        from gearwatch.streaming.jobs import start_fused_counter
+        cars, models, colors = _load_dims(spark, args.dims, args.version)
+        q = start_fused_counter(spark, cars, models, colors, checkpoint=ckpt, output_mode=args.mode,
+                                trigger=trigger or args.trigger, **topic_opts)
+        _wait(q, args.timeout)
     elif args.job == "inject":
         from gearwatch.streaming.jobs import publish_alert
         publish_alert(spark, **topic_opts)

@@ -19,7 +19,12 @@ from gearwatch.functions.codec import decode, encode
 from gearwatch.functions.eventtime import parse_event_time
 from gearwatch.operators.rules import DEFAULT_RULES, Rule
 from gearwatch.operators.windows import COUNTED_COLORS, WATERMARK, WINDOW
-from gearwatch.plans.chain import counting_stage, detection_stage, enrichment_stage
+from gearwatch.plans.chain import (
+    counting_stage,
+    detection_stage,
+    enrichment_stage,
+    fused_from_records,
+)
 from gearwatch.schemas import ALERT_EVENT, ENRICHED_EVENT, RAW_EVENT
 from gearwatch.sources.generate import injected_alert, synth_events
 from gearwatch.sources.topics import (
@@ -93,6 +98,28 @@ def start_counter(spark: SparkSession, *, checkpoint: str, topics_root: str | No
                       state_partitions=window_state_partitions(spark))
 
 
+def start_fused_counter(spark: SparkSession, cars: DataFrame | None = None,
+                        models: DataFrame | None = None, colors: DataFrame | None = None, *,
+                        checkpoint: str, profiles: DataFrame | None = None,
+                        topics_root: str | None = None, bootstrap_servers: str | None = None,
+                        source: str = RAW_TOPIC, output_mode: str = "update",
+                        sink: str = "console", trigger: str | None = COUNTER_TRIGGER,
+                        window: str = WINDOW, watermark: str | None = WATERMARK,
+                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Raw topic -> window metrics of alerts in one streaming query.
+
+    Replaces enrichment + detection + counter when the intermediate topics
+    are not needed by anyone else: no JSON re-encoding, and the alert filter
+    runs before the enrichment joins."""
+    raw = read_topic(spark, source, root=topics_root, bootstrap_servers=bootstrap_servers,
+                     max_files_per_trigger=max_files_per_trigger)
+    metrics = fused_from_records(raw, cars, models, colors, window=window, watermark=watermark,
+                                 profiles=profiles)
+    return start_sink(metrics, sink=sink, output_mode=output_mode, checkpoint=checkpoint,
+                      trigger=trigger, num_rows=COUNTER_ROWS,
+                      state_partitions=window_state_partitions(spark))
+
+
 def debug_tap(spark: SparkSession, *, topics_root: str | None = None,
               bootstrap_servers: str | None = None, source: str = ALERT_TOPIC,
               seconds: float = 20, num_rows: int = 5) -> None:

@@ -16,6 +16,7 @@ def test_jobs_end_to_end(spark, scratch):
     assert main(["detect", "--topics", topics, "--available-now"], spark) == 0
     assert main(["inject", "--topics", topics], spark) == 0
     assert main(["count", "--topics", topics, "--available-now"], spark) == 0
+    assert main(["fused", "--dims", dims, "--topics", topics, "--available-now"], spark) == 0
     counts = {t: read_topic(spark, t, root=topics, streaming=False).count()
               for t in (RAW_TOPIC, ENRICHED_TOPIC, ALERT_TOPIC)}
     assert counts[RAW_TOPIC] == counts[ENRICHED_TOPIC] == 300  # every generated car is known

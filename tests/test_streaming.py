@@ -131,3 +131,23 @@ def test_debug_tap_runs_bounded(spark, scratch):
     debug_tap(spark, topics_root=scratch, seconds=3)
     assert time.time() - t0 < 60
     assert not [q for q in spark.streams.active if q.name is None and q.isActive]
+
+
+def test_fused_stream_equals_staged_chain(spark, scratch):
+    from gearwatch.plans.catalog import QUERIES, RAW_FIELDS
+    from gearwatch.functions.codec import encode
+    from gearwatch.plans.chain import fused_from_records
+    from gearwatch.sources.dims import car_colors, car_models
+    from gearwatch.sources.testdata import telemetry_cars, telemetry_events
+    from gearwatch.sources.topics import RAW_TOPIC, read_topic, write_topic
+    topics = os.path.join(scratch, "topics")
+    write_topic(encode(telemetry_events(spark, SF0001), RAW_FIELDS, key="event_id"), RAW_TOPIC, root=topics)
+    metrics = fused_from_records(read_topic(spark, RAW_TOPIC, root=topics),
+                                 telemetry_cars(spark, SF0001), car_models(spark), car_colors(spark),
+                                 watermark="48 hours")
+    out = os.path.join(scratch, "out")
+    q = start_materialize(metrics, output_mode="complete", out_dir=out, checkpoint=out + "-ck")
+    assert await_or_stop(q, 300)
+    got = read_materialized(spark, out, "complete", metrics.schema)
+    want = QUERIES["topic_chain_stream"](spark, SF0001)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
