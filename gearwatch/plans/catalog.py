@@ -22,7 +22,14 @@ from gearwatch.functions.hashing import hash31
 from gearwatch.operators.enrich import car_profiles, enrich, lookup, to_enriched_record
 from gearwatch.operators.rules import detect, gear_mismatch, high_rpm, overspeed
 from gearwatch.operators.windows import WATERMARK, window_metrics
-from gearwatch.plans.chain import ENRICHED_FIELDS, alerts_of, counting_stage, fused_plan, staged_plan
+from gearwatch.plans.chain import (
+    ENRICHED_FIELDS,
+    alerts_of,
+    counting_stage,
+    fused_from_records,
+    fused_plan,
+    staged_plan,
+)
 from gearwatch.plans.oracle import INJECT_AT_TEXT
 from gearwatch.schemas import ENRICHED_EVENT, RAW_EVENT
 from gearwatch.session import fresh_dir
@@ -37,7 +44,7 @@ from gearwatch.sources.testdata import (
     telemetry_cars,
     telemetry_events,
 )
-from gearwatch.sources.topics import RAW_TOPIC, write_topic
+from gearwatch.sources.topics import RAW_TOPIC, read_topic, write_topic
 from gearwatch.streaming.jobs import counter_frame, start_detection, start_enrichment
 from gearwatch.streaming.runner import (
     await_or_stop,
@@ -332,6 +339,19 @@ def stream_restart(spark, sf_dir):
     return read_materialized(spark, out, "update", metrics.schema, WINDOW_KEYS)
 
 
+def stream_fused(spark, sf_dir):
+    """Raw-event topic -> window metrics in one streaming query (no intermediate topics)."""
+    base = fresh_dir(spark, "stream-fused")
+    topics = os.path.join(base, "topics")
+    write_topic(encode(telemetry_events(spark, sf_dir), RAW_FIELDS, key="event_id"), RAW_TOPIC,
+                root=topics)
+    metrics = fused_from_records(read_topic(spark, RAW_TOPIC, root=topics), *_dims(spark, sf_dir),
+                                 watermark=WATERMARK)
+    return materialize(metrics, output_mode="update", out_dir=os.path.join(base, "out"),
+                       checkpoint=os.path.join(base, "checkpoint"), key_cols=WINDOW_KEYS,
+                       state_partitions=window_state_partitions(spark))
+
+
 def topic_chain_stream(spark, sf_dir):
     """The three stream jobs chained through file-backed topics, each run to completion."""
     base = fresh_dir(spark, "topic-chain")
@@ -385,5 +405,6 @@ QUERIES: dict[str, Query] = {
     "stream_window_append": stream_window_append,
     "stream_late_data": stream_late_data,
     "stream_restart": stream_restart,
+    "stream_fused": stream_fused,
     "topic_chain_stream": topic_chain_stream,
 }

@@ -266,5 +266,6 @@ SELECT ev.event_id, ev.car_id, f.driver_id FROM ev LEFT JOIN fan f ON ev.car_id
   SELECT * FROM alerts WHERE ts >= (
     SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events))"""),
         "stream_restart": windows,
+        "stream_fused": windows,
         "topic_chain_stream": windows,
     }

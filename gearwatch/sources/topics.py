@@ -53,13 +53,19 @@ def read_topic(
     streaming: bool = True,
     starting_offsets: str = "earliest",
     max_files_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Open a topic as a (streaming) DataFrame with at least ``key, value, timestamp``."""
+    """Open a topic as a (streaming) DataFrame with at least ``key, value, timestamp``.
+
+    A micro-batch is bounded by ``max_offsets_per_trigger`` records (Kafka) or
+    ``max_files_per_trigger`` files (file-backed topic)."""
     if bootstrap_servers:
         reader = spark.readStream if streaming else spark.read
         opts = kafka_source_options(bootstrap_servers, topic, starting_offsets)
         if not streaming:
             opts.pop("startingOffsets")
+        elif max_offsets_per_trigger:
+            opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
         return reader.format("kafka").options(**opts).load()
     if root is None:
         raise ValueError("a file-backed topic needs root=")
