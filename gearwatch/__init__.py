@@ -10,7 +10,7 @@ from gearwatch.functions.eventtime import format_event_time, parse_event_time
 from gearwatch.operators.enrich import enrich, to_enriched_record
 from gearwatch.operators.rules import DEFAULT_RULES, Rule, detect
 from gearwatch.operators.windows import window_metrics
-from gearwatch.plans.chain import fused_plan
+from gearwatch.plans.chain import fused_from_records, fused_plan
 
 __all__ = [
     "DEFAULT_RULES",
@@ -22,6 +22,7 @@ __all__ = [
     "encode",
     "enrich",
     "format_event_time",
+    "fused_from_records",
     "fused_plan",
     "parse_event_time",
     "to_enriched_record",

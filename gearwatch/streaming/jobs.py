@@ -1,6 +1,8 @@
-"""The three long-running stream jobs: enrichment, detection and the window counter.
+"""The jobs: the three long-running stream jobs (enrichment, detection, window
+counter), their fused single-query alternative, the event generator and the
+manual alert publisher.
 
-Each reads a topic (Kafka with ``bootstrap_servers``, else a file-backed topic
+Each stream job reads a topic (Kafka with ``bootstrap_servers``, else a file-backed topic
 under ``topics_root``), transforms with the same functions as the batch plans,
 and writes checkpointed output.  The dimension tables are read once when the
 job starts (a stream-static join); to refresh them, write a new versioned
