@@ -30,7 +30,7 @@ from gearwatch.plans.chain import (
     fused_plan,
     staged_plan,
 )
-from gearwatch.plans.oracle import INJECT_AT_TEXT
+from gearwatch.plans.oracle import HOT_CAR, HOT_TIME, INJECT_AT_TEXT
 from gearwatch.schemas import ENRICHED_EVENT, RAW_EVENT
 from gearwatch.session import fresh_dir
 from gearwatch.sources.dims import car_colors, car_models, hashed_cars, read_dimension, write_dimension
@@ -178,6 +178,32 @@ def enrich_snowflake(spark, sf_dir):
     return to_enriched_record(_enriched(spark, sf_dir))
 
 
+
+
+def _one_third(spark, sf_dir, salt: int):
+    ev = telemetry_events(spark, sf_dir)
+    return ev, _class("event_id", salt, 3) == 0
+
+
+def enrich_hot_car(spark, sf_dir):
+    """A third of all events belong to one car; the fleet is joined by shuffle (as a
+    fleet too large to broadcast would be), so the hot car is salted over many tasks."""
+    ev, hot = _one_third(spark, sf_dir, 61)
+    ev = ev.withColumn("car_id", F.when(hot, F.lit(HOT_CAR)).otherwise(F.col("car_id")))
+    hot_rows = max(1, ev.count() // 64)  # a key above 1/64 of the rows is hot
+    out = enrich(ev, *_dims(spark, sf_dir), broadcast_max_rows=0, skew="auto",
+                 hot_key_min_rows=hot_rows, salt_buckets=16)
+    return to_enriched_record(out)
+
+
+def window_hot(spark, sf_dir):
+    """A third of all events fall into one 15-minute window (partial aggregation keeps
+    that window at one row per task before the shuffle)."""
+    ev, hot = _one_third(spark, sf_dir, 71)
+    ev = ev.withColumn("ts", F.when(hot, F.lit(HOT_TIME).cast("timestamp_ntz")).otherwise(F.col("ts")))
+    return fused_plan(ev, *_dims(spark, sf_dir), time_col="ts")
+
+
 # ------------------------------------------------------------------ rules
 def _rule_query(rule):
     def run(spark, sf_dir):
@@ -384,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "enrich_left": enrich_left,
     "join_fanout": join_fanout,
     "enrich_snowflake": enrich_snowflake,
+    "enrich_hot_car": enrich_hot_car,
     "json_roundtrip": json_roundtrip,
     "json_encode": json_encode,
     "json_damage": json_damage,
@@ -395,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "parse_event_time": parse_event_time_q,
     "window_metrics": window_metrics_q,
     "fused_alert_windows": fused_alert_windows,
+    "window_hot": window_hot,
     "staged_topic_hops": staged_topic_hops,
     "inject_alert": inject_alert,
     "preview": preview,

@@ -190,6 +190,20 @@ ev AS (SELECT event_id, ts, event_time, car_id,
 SELECT event_id, speed, rpm, gear, expected_gear FROM alerts"""
 
 
+def _remapped(salt: int, column: str, value: str) -> str:
+    """The shared views with one event column replaced for a third of the events."""
+    ctes, last = hash_ctes("ev0", "CAST(event_id AS BIGINT)", {"h": salt})
+    cols = ["event_id", "ts", "event_time", "car_id", "speed", "rpm", "gear"]
+    sel = ", ".join(f"CASE WHEN h % 3 = 0 THEN {value} ELSE {c} END AS {c}" if c == column else c
+                    for c in cols)
+    return f"""WITH {CARS}, {MODELS}, {COLORS},
+ev0 AS ({EV[len('ev AS ('):-1]}),
+{ctes},
+ev AS (SELECT {sel} FROM {last}),
+{ENR},
+{ALERTS}"""
+
+
 def _parse_event_time() -> str:
     ctes, last = hash_ctes("ev", "CAST(event_id AS BIGINT)", {"h": 51})
     return f"""WITH {EV},
@@ -214,6 +228,10 @@ def _inject_alert() -> str:
                      f"UNION ALL {row})")
 
 
+# One car and one instant that a third of the events are moved to (skew queries).
+HOT_CAR = 7
+HOT_TIME = "2024-01-10 10:07:00"
+
 # Event time of the injected alert (inside the 30 days the given events cover).
 INJECT_AT_SQL = "2024-01-15 12:05:00"
 INJECT_AT_TEXT = "2024-01-15T12:05:00.000000+00:00"
@@ -241,6 +259,8 @@ fan AS (SELECT car_id, driver_id FROM cars
         UNION ALL SELECT car_id, driver_id + 500000000 FROM cars WHERE c_mktsegment = 'AUTOMOBILE')
 SELECT ev.event_id, ev.car_id, f.driver_id FROM ev LEFT JOIN fan f ON ev.car_id = f.car_id""",
         "enrich_snowflake": enriched,
+        "enrich_hot_car": _remapped(61, "car_id", f"CAST({HOT_CAR} AS INTEGER)")
+        + f"\nSELECT {ENRICHED_COLS} FROM enr",
         "json_roundtrip": enriched,
         "json_encode": _json_encode(),
         "json_damage": _json_damage(),
@@ -252,6 +272,7 @@ SELECT ev.event_id, ev.car_id, f.driver_id FROM ev LEFT JOIN fan f ON ev.car_id
         "parse_event_time": _parse_event_time(),
         "window_metrics": windows,
         "fused_alert_windows": windows,
+        "window_hot": _remapped(71, "ts", f"TIMESTAMP '{HOT_TIME}'") + "\n" + windows_select("alerts"),
         "staged_topic_hops": windows,
         "inject_alert": _inject_alert(),
         "preview": with_base(f"SELECT {ENRICHED_COLS} FROM alerts ORDER BY ts, event_id LIMIT 5"),

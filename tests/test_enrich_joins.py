@@ -109,3 +109,19 @@ def test_bucketed_profiles_shuffle_only_the_events(spark, scratch):
     stream = spark.readStream.schema(ev.schema).parquet(os.path.join(scratch, "ev")) \
         if ev.write.parquet(os.path.join(scratch, "ev")) is None else None
     assert enrich(stream, profiles=prof, broadcast_max_rows=10).isStreaming
+
+
+def test_hot_key_rows_spread_over_tasks(spark):
+    ev = _events(spark, [7] * 3000 + list(range(3000)))
+    cars = _cars(spark, [(i, 1000 + i, 1, 1) for i in range(100)])
+    hot = hot_keys(ev, "car_id", min_rows=500, max_keys=10)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def tasks_of_hot(df):
+            return df.where("car_id = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks_of_hot(ev.join(cars, "car_id", "left")) == 1
+        assert tasks_of_hot(salted_left_join(ev, cars, "car_id", ["event_id"], 8, hot)) >= 6
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
