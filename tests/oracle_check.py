@@ -1,7 +1,7 @@
 """Run registered queries in Spark and their SQL in DuckDB; compare results.
 
 Usage: python tests/oracle_check.py [sf_dir] [name ...]
-Comparison: same row count, same column names, same multiset of rows
+Comparison: same row count, same column names and types, same multiset of rows
 (columns sorted by name; timestamps as ISO text; doubles to 9 significant digits).
 """
 
@@ -30,6 +30,12 @@ def duck(sf_dir: str):
     return con
 
 
+# Spark type -> DuckDB type name, for the schema part of the comparison.
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "boolean": "BOOLEAN", "binary": "BLOB"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -61,20 +67,24 @@ def compare(spark, sf_dir, names=None, verbose=True):
             df = qs[name](spark, sf_dir)
             srows = [tuple(r) for r in df.collect()]
             scols = df.columns
+            stypes = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
             t1 = time.time()
             if name not in sql:
                 results[name] = ("rows-only", len(srows))
                 continue
             rel = con.sql(sql[name])
             dcols = rel.columns
+            dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
             drows = rel.fetchall()
             sc, sr = canon(scols, srows)
             dc, dr = canon(dcols, drows)
-            ok = sc == dc and len(sr) == len(dr) and sr == dr
+            ok = sc == dc and stypes == dtypes and len(sr) == len(dr) and sr == dr
             detail = ""
             if not ok:
                 if sc != dc:
                     detail = f"cols spark={sc} duck={dc}"
+                elif stypes != dtypes:
+                    detail = f"types spark={stypes} duck={dtypes}"
                 elif len(sr) != len(dr):
                     detail = f"rows spark={len(sr)} duck={len(dr)}"
                 else:
