@@ -80,52 +80,52 @@ def _class(df_id_col: str, salt: int, n: int):
 
 
 # ------------------------------------------------------------------ sources and dimensions
-def scan_events(spark, sf_dir):
+def scan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry_events(spark, sf_dir).select(
         "event_id", "ts", "event_time", "car_id", "speed", "rpm", "gear")
 
 
-def scan_dim(spark, sf_dir):
+def scan_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the generic reader form of a Parquet scan
     customer = spark.read.format("parquet").load(table_path(sf_dir, "customer"))
     return cars_from_customers(customer)
 
 
-def dim_roundtrip(spark, sf_dir):
+def dim_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(fresh_dir(spark, "dims"), "cars", "v=1")
     write_dimension(telemetry_cars(spark, sf_dir), path)
     return read_dimension(spark, path)
 
 
-def literal_dims(spark, sf_dir):
+def literal_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return car_profiles(*_dims(spark, sf_dir))
 
 
-def hashed_dim(spark, sf_dir):
+def hashed_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashed_cars(read_table(spark, sf_dir, "customer"), "c_custkey", keep=("c_custkey",))
 
 
-def synth_events_q(spark, sf_dir):
+def synth_events_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "ts")
     return synth_events(ids, telemetry_cars(spark, sf_dir), id_col="id", time_col="ts")
 
 
 # ------------------------------------------------------------------ projections and codec
-def expected_gear(spark, sf_dir):
+def expected_gear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_bands(telemetry_events(spark, sf_dir)).select("event_id", "speed", "expected_gear")
 
 
-def json_roundtrip(spark, sf_dir):
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = encode(to_enriched_record(_enriched(spark, sf_dir)), ENRICHED_FIELDS)
     return decode(records, ENRICHED_EVENT)
 
 
-def json_encode(spark, sf_dir):
+def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact wire text of enriched records (NULL fields left out)."""
     return encode(to_enriched_record(_enriched(spark, sf_dir)), ENRICHED_FIELDS, as_binary=False)
 
 
-def json_damage(spark, sf_dir):
+def json_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = telemetry_events(spark, sf_dir)
     whole = F.to_json(F.struct(*RAW_FIELDS))
     k = _class("event_id", 31, 8)
@@ -144,7 +144,7 @@ def json_damage(spark, sf_dir):
     return decode(ev.select(text.cast("binary").alias("value")), RAW_EVENT)
 
 
-def parse_event_time_q(spark, sf_dir):
+def parse_event_time_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = telemetry_events(spark, sf_dir)
     k = _class("event_id", 51, 4)
     text = (
@@ -159,12 +159,12 @@ def parse_event_time_q(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ joins
-def enrich_left(spark, sf_dir):
+def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup(telemetry_events(spark, sf_dir), telemetry_cars(spark, sf_dir), "car_id").select(
         "event_id", "car_id", "driver_id", "model_id", "color_id")
 
 
-def join_fanout(spark, sf_dir):
+def join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
     cars = cars_from_customers(customer)
     # cars registered a second time (another driver): their events double
@@ -174,18 +174,18 @@ def join_fanout(spark, sf_dir):
     return lookup(telemetry_events(spark, sf_dir), fleet, "car_id").select("event_id", "car_id", "driver_id")
 
 
-def enrich_snowflake(spark, sf_dir):
+def enrich_snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_enriched_record(_enriched(spark, sf_dir))
 
 
 
 
-def _one_third(spark, sf_dir, salt: int):
+def _one_third(spark: SparkSession, sf_dir: str, salt: int):
     ev = telemetry_events(spark, sf_dir)
     return ev, _class("event_id", salt, 3) == 0
 
 
-def enrich_hot_car(spark, sf_dir):
+def enrich_hot_car(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of all events belong to one car; the fleet is joined by shuffle (as a
     fleet too large to broadcast would be), so the hot car is salted over many tasks."""
     ev, hot = _one_third(spark, sf_dir, 61)
@@ -196,7 +196,7 @@ def enrich_hot_car(spark, sf_dir):
     return to_enriched_record(out)
 
 
-def window_hot(spark, sf_dir):
+def window_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of all events fall into one 15-minute window (partial aggregation keeps
     that window at one row per task before the shuffle)."""
     ev, hot = _one_third(spark, sf_dir, 71)
@@ -206,16 +206,16 @@ def window_hot(spark, sf_dir):
 
 # ------------------------------------------------------------------ rules
 def _rule_query(rule):
-    def run(spark, sf_dir):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return to_enriched_record(detect(_enriched(spark, sf_dir), [rule]))
     return run
 
 
-def alerts_any(spark, sf_dir):
+def alerts_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_enriched_record(_alerts(spark, sf_dir))
 
 
-def alerts_null_logic(spark, sf_dir):
+def alerts_null_logic(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = telemetry_events(spark, sf_dir)
     k = _class("event_id", 41, 4)
 
@@ -230,29 +230,29 @@ def alerts_null_logic(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ windows and chains
-def _alert_records(spark, sf_dir) -> DataFrame:
+def _alert_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(to_enriched_record(_alerts(spark, sf_dir)), ENRICHED_FIELDS)
 
 
-def window_metrics_q(spark, sf_dir):
+def window_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting_stage(_alert_records(spark, sf_dir))
 
 
-def fused_alert_windows(spark, sf_dir):
+def fused_alert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fused_plan(telemetry_events(spark, sf_dir), *_dims(spark, sf_dir), time_col="ts")
 
 
-def staged_topic_hops(spark, sf_dir):
+def staged_topic_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = encode(telemetry_events(spark, sf_dir), RAW_FIELDS, key="event_id")
     return staged_plan(raw, *_dims(spark, sf_dir))
 
 
-def inject_alert(spark, sf_dir):
+def inject_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = encode(injected_alert(spark, event_time=INJECT_AT_TEXT), ENRICHED_FIELDS)
     return counting_stage(_alert_records(spark, sf_dir).unionByName(one))
 
 
-def preview(spark, sf_dir, n: int = 5):
+def preview(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
     return to_enriched_record(_alerts(spark, sf_dir).orderBy("ts", "event_id").limit(n))
 
 
@@ -273,42 +273,43 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     return reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
 
 
-def _stream_events(spark, sf_dir):
+def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_columns(stream_table(spark, sf_dir, "events"))
 
 
-def _run(spark, name, df, mode, key_cols=(), stateful=False):
+def _run(spark: SparkSession, name: str, df: DataFrame, mode: str, key_cols=(),
+         stateful: bool = False) -> DataFrame:
     base = fresh_dir(spark, name)
     return materialize(df, output_mode=mode, out_dir=os.path.join(base, "out"),
                        checkpoint=os.path.join(base, "checkpoint"), key_cols=key_cols,
                        state_partitions=window_state_partitions(spark) if stateful else None)
 
 
-def stream_enrich(spark, sf_dir):
+def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = to_enriched_record(enrich(_stream_events(spark, sf_dir), *_dims(spark, sf_dir)))
     return _run(spark, "stream-enrich", df, "append")
 
 
-def stream_alerts(spark, sf_dir):
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = to_enriched_record(alerts_of(_stream_events(spark, sf_dir), *_dims(spark, sf_dir)))
     return _run(spark, "stream-alerts", df, "append")
 
 
-def _stream_windows(spark, sf_dir, source=None):
+def _stream_windows(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
     events = source if source is not None else _stream_events(spark, sf_dir)
     return window_metrics(alerts_of(events, *_dims(spark, sf_dir)), "ts", watermark=WATERMARK)
 
 
-def stream_window_complete(spark, sf_dir):
+def stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, "stream-complete", _stream_windows(spark, sf_dir), "complete", stateful=True)
 
 
-def stream_window_update(spark, sf_dir):
+def stream_window_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, "stream-update", _stream_windows(spark, sf_dir), "update", WINDOW_KEYS,
                 stateful=True)
 
 
-def stream_window_append(spark, sf_dir):
+def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, "stream-append", _stream_windows(spark, sf_dir), "append", stateful=True)
 
 
@@ -321,7 +322,7 @@ def _hour_cut(events: DataFrame):
     return F.lit(mid.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def stream_late_data(spark, sf_dir):
+def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update-mode window counts when the later half of the events arrives first.
 
     The earlier half then lies behind the 48-hour watermark and is dropped as
@@ -344,7 +345,7 @@ def stream_late_data(spark, sf_dir):
     return read_materialized(spark, out, "update", metrics.schema, WINDOW_KEYS)
 
 
-def stream_restart(spark, sf_dir):
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window counts in update mode over a source that grows between three runs of
     one checkpoint: first half of the events, then the rest, then nothing new."""
     base = fresh_dir(spark, "stream-restart")
@@ -365,7 +366,7 @@ def stream_restart(spark, sf_dir):
     return read_materialized(spark, out, "update", metrics.schema, WINDOW_KEYS)
 
 
-def stream_fused(spark, sf_dir):
+def stream_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-event topic -> window metrics in one streaming query (no intermediate topics)."""
     base = fresh_dir(spark, "stream-fused")
     topics = os.path.join(base, "topics")
@@ -378,7 +379,7 @@ def stream_fused(spark, sf_dir):
                        state_partitions=window_state_partitions(spark))
 
 
-def topic_chain_stream(spark, sf_dir):
+def topic_chain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three stream jobs chained through file-backed topics, each run to completion."""
     base = fresh_dir(spark, "topic-chain")
     topics = os.path.join(base, "topics")
