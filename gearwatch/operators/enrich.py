@@ -8,23 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gearwatch.functions.bands import GEAR_BOUNDS, classify_bands
-from gearwatch.operators.joins import broadcast_if_small, hot_keys, salted_left_join
+from gearwatch.operators.joins import broadcast_if_small, left_join_checked
 from gearwatch.schemas import ENRICHED_EVENT
 from gearwatch.sources.dims import literal_rows, with_model_names
 
 PROFILE_COLUMNS = ("driver_id", "brand_name", "model_name", "color_name")
 
 
-def lookup(events: DataFrame, dim: DataFrame, key: str,
-           broadcast_max_rows: int | None = None) -> DataFrame:
-    """``events LEFT JOIN dim USING (key)``; ``dim`` is broadcast only if its size is checked small.
+def lookup(events: DataFrame, dim: DataFrame, key: str, **join_opts) -> DataFrame:
+    """``events LEFT JOIN dim USING (key)``, strategy by checked size (``left_join_checked``).
 
     The key keeps the events' type (an INT key meets a BIGINT dimension key by
     an implicit cast).  Unknown and NULL keys keep their event with NULL
     attributes; a key listed twice in ``dim`` doubles its events.
     """
-    dim, _ = broadcast_if_small(dim, broadcast_max_rows)
-    return events.join(dim, key, "left")
+    join_opts.setdefault("salt_from", ["event_id"] if "event_id" in events.columns else None)
+    return left_join_checked(events, dim, key, **join_opts)
 
 
 def car_profiles(cars: DataFrame, models: DataFrame, colors: DataFrame) -> DataFrame:
@@ -95,18 +94,9 @@ def enrich(
     """
     if profiles is None:
         profiles = car_profiles(cars, models, colors)
-    profiles, small = broadcast_if_small(profiles, broadcast_max_rows)
-    if small or skew == "aqe" or events.isStreaming:
-        joined = events.join(profiles, "car_id", "left")
-    elif skew == "auto":
-        hot = hot_keys(events, "car_id", hot_key_min_rows, max_hot_keys)
-        if hot is None:
-            joined = events.join(profiles, "car_id", "left")
-        else:
-            salt_cols = ["event_id"] if "event_id" in events.columns else events.columns
-            joined = salted_left_join(events, profiles, "car_id", salt_cols, salt_buckets, hot)
-    else:
-        raise ValueError(f"unknown skew strategy {skew!r}")
+    joined = lookup(events, profiles, "car_id", broadcast_max_rows=broadcast_max_rows, skew=skew,
+                    salt_buckets=salt_buckets, hot_key_min_rows=hot_key_min_rows,
+                    max_hot_keys=max_hot_keys)
     ordered = events.columns + [c for c in PROFILE_COLUMNS if c not in events.columns]
     return classify_bands(joined.select(*ordered), "speed", bounds, "expected_gear")
 

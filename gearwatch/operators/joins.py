@@ -81,3 +81,37 @@ def salted_left_join(
     right_s = right_s.withColumn("__salt", F.col("__salt").cast("long")).drop("__is_hot")
     left_s = left_s.withColumn("__salt", F.col("__salt").cast("long")).drop("__is_hot")
     return left_s.join(right_s, [key, "__salt"], "left").drop("__salt")
+
+
+def left_join_checked(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    *,
+    broadcast_max_rows: int | None = None,
+    right_rows: int | None = None,
+    skew: str = "auto",
+    salt_buckets: int = 64,
+    hot_key_min_rows: int = 1_000_000,
+    max_hot_keys: int = 10_000,
+    salt_from: Sequence[str] | None = None,
+) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` with the join strategy chosen by checked sizes.
+
+    1. ``right`` within ``broadcast_max_rows`` (checked, or ``right_rows`` if
+       known): broadcast hash join, no shuffle of ``left``.
+    2. Otherwise a shuffle join.  With ``skew="auto"`` on a batch input, keys of
+       ``left`` with at least ``hot_key_min_rows`` rows are salted over
+       ``salt_buckets`` tasks (``salted_left_join``); ``skew="aqe"``, a
+       streaming input, or no hot key leaves it to AQE's skew-join split.
+    """
+    if skew not in ("auto", "aqe"):
+        raise ValueError(f"unknown skew strategy {skew!r}")
+    right, small = broadcast_if_small(right, broadcast_max_rows, right_rows)
+    if small or skew == "aqe" or left.isStreaming:
+        return left.join(right, key, "left")
+    hot = hot_keys(left, key, hot_key_min_rows, max_hot_keys)
+    if hot is None:
+        return left.join(right, key, "left")
+    cols = list(salt_from) if salt_from else left.columns
+    return salted_left_join(left, right, key, cols, salt_buckets, hot)
