@@ -5,9 +5,11 @@ processed and returns its result as a batch DataFrame read from a table in the
 shared folder; nothing passes through the driver.  The table per output mode:
 
 * append   - Parquet file sink (exactly-once through the sink's commit log);
-* complete - each micro-batch writes the whole result into its own
-  ``batch_id=`` partition (dynamic overwrite, so a retried batch replaces
-  itself); the result is the newest partition;
+* complete - each micro-batch writes the whole result into one of two
+  alternating ``slot=`` partitions (dynamic overwrite, so a retried batch
+  replaces itself and a reader always finds the previous result intact);
+  the result is the newest batch; storage stays at two results however long
+  the query runs;
 * update   - each micro-batch writes its changed rows the same way; the
   result is the newest row per key.
 """
@@ -113,11 +115,16 @@ def await_or_stop(query: StreamingQuery, timeout_s: float | None) -> bool:
     return bool(ended)
 
 
-def _batch_writer(out_dir: str):
+def _batch_writer(out_dir: str, slots: int | None = None):
+    """foreachBatch writer: rows tagged with ``batch_id``, partitioned by it, or by
+    ``slot = batch_id % slots`` to keep only the last ``slots`` batches."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_dir))
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        part = "batch_id"
+        if slots:
+            rows, part = rows.withColumn("slot", F.lit(batch_id % slots).cast("int")), "slot"
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(part).parquet(out_dir))
     return write
 
 
@@ -132,7 +139,9 @@ def start_materialize(df: DataFrame, *, output_mode: str, out_dir: str, checkpoi
         writer = (df.writeStream.format("parquet").outputMode("append")
                   .option("path", out_dir).option("checkpointLocation", checkpoint))
     elif output_mode in ("complete", "update"):
-        writer = (df.writeStream.outputMode(output_mode).foreachBatch(_batch_writer(out_dir))
+        slots = 2 if output_mode == "complete" else None
+        writer = (df.writeStream.outputMode(output_mode)
+                  .foreachBatch(_batch_writer(out_dir, slots))
                   .option("checkpointLocation", checkpoint))
     else:
         raise ValueError(f"unknown output mode {output_mode!r}")

@@ -151,3 +151,16 @@ def test_fused_stream_equals_staged_chain(spark, scratch):
     got = read_materialized(spark, out, "complete", metrics.schema)
     want = QUERIES["topic_chain_stream"](spark, SF0001)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_complete_mode_keeps_two_results(spark, scratch):
+    src = os.path.join(scratch, "alerts")
+    _alert_files(src)
+    metrics = counting_stage(spark.readStream.option("maxFilesPerTrigger", 1).text(src))
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+    q = start_materialize(metrics, output_mode="complete", out_dir=out, checkpoint=ck)
+    assert await_or_stop(q, 300)
+    stored = spark.read.parquet(out)
+    assert stored.select("batch_id").distinct().count() == 2  # five batches ran, two are kept
+    got = read_materialized(spark, out, "complete", metrics.schema)
+    assert {r.window_start: r.num_of_rows for r in got.collect()} == {W1017: 2, W1020: 3}
