@@ -27,7 +27,7 @@ def summarise(plan: str) -> dict[str, str]:
         schema = re.search(r"ReadSchema: struct<([^>]*)>", line)
         pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line)
         ncols = len(schema.group(1).split(",")) if schema and schema.group(1) else 0
-        scans.append(f"{table.group(1) if table else '?'}: {ncols} cols"
+        scans.append(f"{table.group(1) if table else 'written table'}: {ncols} cols"
                      + (f", pushed {pushed.group(1)}" if pushed and pushed.group(1) else ""))
     return {
         "shuffles": ", ".join(f"{v}× {k}" for k, v in shuffles.items()) or "none",
