@@ -31,22 +31,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
     return (F.broadcast(df) if small else df), small
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int) -> DataFrame | None:
-    """Keys of ``df`` with at least ``min_rows`` rows, or None if there are none.
+def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int) -> list | None:
+    """Values of ``key`` with at least ``min_rows`` rows in ``df``, or None if there are none.
 
     Counting is a partial (map-side) aggregate, so a key holding a third of
     all rows costs one small row per task.  At most ``total / min_rows`` keys
-    can qualify; the list is broadcast only if it is within ``max_keys``.
-    With more heavy keys than that the load is spread over many keys anyway,
-    so None is returned and the plain shuffle join (with AQE's skew split)
-    is used.
+    can qualify, and at most ``max_keys + 1`` are fetched: the list is a
+    checked-small value (like a broadcast), not data.  With more heavy keys
+    than ``max_keys`` the load is spread over many keys anyway, so None is
+    returned and the plain shuffle join (with AQE's skew split) is used.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") >= min_rows).select(key)
-    n = hot.limit(max_keys + 1).count()
-    if n == 0 or n > max_keys:
+    rows = counts.where(F.col("__n") >= min_rows).select(key).limit(max_keys + 1).collect()
+    if not rows or len(rows) > max_keys:
         return None
-    return F.broadcast(hot)
+    return [r[0] for r in rows]
 
 
 def salted_left_join(
@@ -55,31 +54,26 @@ def salted_left_join(
     key: str,
     salt_from: Sequence[str],
     buckets: int,
-    hot: DataFrame,
+    hot: Sequence,
 ) -> DataFrame:
-    """Left outer equi-join on ``key`` that spreads hot keys over ``buckets`` tasks.
+    """Left outer equi-join on ``key`` that spreads the ``hot`` keys over ``buckets`` tasks.
 
     Rows of ``left`` with a hot key get a salt in ``[0, buckets)`` from a hash
     of ``salt_from``; the matching ``right`` rows are copied once per salt.
     Every left row still meets exactly the right rows of its key, so the result
     equals the plain left join, and no task holds more than ``1/buckets`` of a
-    hot key.  Cold keys keep salt 0 and are not copied.
+    hot key.  Cold keys keep salt 0 and are not copied.  Hot rows are found
+    with an in-set test on the (checked-small) key list, not a join.
     """
-    hot_flag = hot.select(F.col(key).alias("__hot_key"), F.lit(True).alias("__is_hot"))
-
-    def tag(df: DataFrame) -> DataFrame:
-        return (df.join(hot_flag, df[key] == hot_flag["__hot_key"], "left")
-                .drop("__hot_key").fillna(False, ["__is_hot"]))
-
+    is_hot_left = F.col(key).isin(list(hot))
+    is_hot_right = F.col(key).isin(list(hot))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets))
-    left_s = tag(left).withColumn("__salt", F.when(F.col("__is_hot"), salt).otherwise(F.lit(0)))
-    right_s = tag(right).withColumn(
+    left_s = left.withColumn("__salt", F.when(is_hot_left, salt).otherwise(F.lit(0)).cast("long"))
+    right_s = right.withColumn(
         "__salt",
-        F.explode(F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                  .otherwise(F.array(F.lit(0)))),
+        F.explode(F.when(is_hot_right, F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long")))
+                  .otherwise(F.array(F.lit(0).cast("long")))),
     )
-    right_s = right_s.withColumn("__salt", F.col("__salt").cast("long")).drop("__is_hot")
-    left_s = left_s.withColumn("__salt", F.col("__salt").cast("long")).drop("__is_hot")
     return left_s.join(right_s, [key, "__salt"], "left").drop("__salt")
 
 

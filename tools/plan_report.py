@@ -50,8 +50,9 @@ def main() -> None:
     print("Reading the table: `RoundRobinPartitioning` is the spread of a single-split input over the")
     print("cores (only for inputs of at most 8 splits, so absent on large tables); `SinglePartition` in")
     print("`synth_events` numbers a fleet whose size was checked small (a large fleet is numbered by range")
-    print("partitions instead); `enrich_hot_car` forces the shuffle path, so its hot-key count, tagging")
-    print("and salted join show up as extra exchanges.\n")
+    print("partitions instead); `enrich_hot_car` forces the shuffle path: both sides are shuffled on")
+    print("(car_id, salt), the hot car's events spread over the salt buckets (its hot-key list was")
+    print("counted before, in a separate bounded job).\n")
     print("| Query | Shuffles | Joins | Parquet scans (columns read, pushed filters) | Python |")
     print("|---|---|---|---|---|")
     for name, fn in QUERIES.items():
