@@ -95,3 +95,19 @@ def test_generator_and_injection_jobs(spark, scratch):
     publish_alert(spark, topics_root=scratch)
     alert = decode(read_topic(spark, ALERT_TOPIC, root=scratch, streaming=False), ALERT_EVENT).first()
     assert (alert.brand_name, alert.model_name, alert.speed) == ("Kia", "Rio", 150.5)
+
+
+def test_number_rows_with_duplicates_many_partitions(spark):
+    cars = random_cars(spark, 20000, salt=9)
+    cars = cars.unionByName(cars.where("car_id < 1500000"))  # exact duplicate rows, deterministic
+    keys = ["car_id", "driver_id", "model_id", "color_id"]
+
+    def pairs(df):
+        return sorted(tuple(r) for r in df.select(*keys, "row_idx").collect())
+
+    small = number_rows(cars, keys, small=True)
+    spread = number_rows(cars, keys, parts=16)
+    assert pairs(small) == pairs(spread)
+    n = cars.count()
+    assert n > 20000
+    assert sorted(r.row_idx for r in spread.select("row_idx").collect()) == list(range(n))
