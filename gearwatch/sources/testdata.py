@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearwatch.functions.eventtime import format_event_time
@@ -56,9 +56,27 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+# The canonical flat form {"k": <JSON integer>}: JSON whitespace only, no leading zeros
+# (possessive quantifiers: no backtracking).
+_FLAT_K = r'^\{[ \t\n\r]*+"k"[ \t\n\r]*+:[ \t\n\r]*+(-?+(?:0|[1-9][0-9]*+))[ \t\n\r]*+\}$'
+
+
+def props_k(props: Column) -> Column:
+    """``props.k`` as INT, exactly as ``from_json(props, "k INT").k``.
+
+    The props text is parsed for every event, so this is the hottest expression
+    of the view.  Texts in the canonical flat form take a regular expression
+    (about twice as cheap as a JSON parse); every other text - and a flat one
+    whose integer does not fit INT - is parsed as JSON.  For the flat form
+    both give the same value, so the result is exactly the JSON parse.
+    """
+    fast = F.regexp_extract(props, _FLAT_K, 1).try_cast("int")  # "" (no match) -> NULL
+    return F.coalesce(fast, F.from_json(props, "k INT").getField("k"))
+
+
 def sensor_columns(events: DataFrame, with_time_text: bool = True) -> DataFrame:
     """Map ``events`` rows to sensor-event columns (narrow projection, keeps ``ts``)."""
-    k = F.from_json(F.col("props"), "k INT").getField("k")
+    k = props_k(F.col("props"))
     cols = [
         F.col("event_id").cast("string").alias("event_id"),
         F.col("ts"),

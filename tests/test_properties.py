@@ -89,3 +89,23 @@ def test_salted_join_equals_plain_join(spark, keys, hot_key, hot_count, dim_keys
         return
     salted = salted_left_join(ev, dim, "k", ["event_id"], buckets, hot)
     assert sorted(map(tuple, salted.select(cols).collect()), key=repr) == expect
+
+
+ws = st.text(alphabet=" \t\n\r", max_size=2)
+flat = st.builds(lambda a, b, c, d, n: f'{{{a}"k"{b}:{c}{n}{d}}}', ws, ws, ws, ws,
+                 st.one_of(st.integers(-2 ** 40, 2 ** 40).map(str),
+                           st.sampled_from(["007", "-0", "1e2", "1.0", "2147483648", "-2147483648"])))
+other = st.one_of(
+    st.sampled_from(['{"k": "5"}', '{"x": {"k": 5}}', '{"k": 5, "k": 6}', '{"\\u006b": 5}', '{"k": 5}x',
+                     "null", "", "[1]", '{"k":null}', "{bad", '{ "k" : 12 , "j": 1 }']),
+    st.text(max_size=12))
+
+
+@SETTINGS
+@given(texts=st.lists(st.one_of(st.none(), flat, other), min_size=1, max_size=60))
+def test_props_fast_path_equals_json_parse(spark, texts):
+    from gearwatch.sources.testdata import props_k
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, props string")
+    got = df.select("i", props_k(F.col("props")).alias("fast"),
+                    F.from_json("props", "k INT").getField("k").alias("json")).collect()
+    assert [(r.i, r.fast) for r in got] == [(r.i, r.json) for r in got]
