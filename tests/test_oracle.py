@@ -1,6 +1,5 @@
 """Every registered query equals its SQL statement run by DuckDB (sf0.001)."""
 
-import pytest
 
 from tests.conftest import SF0001
 from tests.oracle_check import compare

@@ -33,7 +33,7 @@ def test_events_scan_reads_only_needed_columns(spark):
 
 
 def test_spread_only_small_narrow_inputs(spark, scratch):
-    import os
+
     from gearwatch.sources.testdata import SPREAD_MAX_SPLITS, spread_if_narrow
     one = spark.range(0, 1000, 1, 1)
     assert spread_if_narrow(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

@@ -4,7 +4,7 @@ import os
 import time
 
 import pytest
-from pyspark.sql import functions as F
+
 
 from gearwatch.functions.bands import classify_bands
 from gearwatch.plans.chain import counting_stage
@@ -124,7 +124,7 @@ def test_retried_batch_replaces_its_output(spark, scratch):
 
 
 def test_debug_tap_runs_bounded(spark, scratch):
-    from gearwatch.sources.topics import ALERT_TOPIC
+
     from gearwatch.streaming.jobs import debug_tap, publish_alert
     publish_alert(spark, topics_root=scratch)
     t0 = time.time()
