@@ -106,9 +106,14 @@ def test_bucketed_profiles_shuffle_only_the_events(spark, scratch):
     assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
     ref = enrich(ev, cars, car_models(spark), car_colors(spark))
     assert bag(out) == bag(ref)
-    stream = spark.readStream.schema(ev.schema).parquet(os.path.join(scratch, "ev")) \
-        if ev.write.parquet(os.path.join(scratch, "ev")) is None else None
-    assert enrich(stream, profiles=prof, broadcast_max_rows=10).isStreaming
+    from gearwatch.streaming.runner import await_or_stop, start_materialize
+    ev.write.parquet(os.path.join(scratch, "ev"))
+    stream = enrich(spark.readStream.schema(ev.schema).parquet(os.path.join(scratch, "ev")),
+                    profiles=prof, broadcast_max_rows=10)
+    out = os.path.join(scratch, "stream-out")
+    q = start_materialize(stream, output_mode="append", out_dir=out, checkpoint=out + "-ck")
+    assert await_or_stop(q, 300)
+    assert bag(spark.read.parquet(out), sorted(ref.columns)) == bag(ref)
 
 
 def test_hot_key_rows_spread_over_tasks(spark):
