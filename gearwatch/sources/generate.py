@@ -23,6 +23,9 @@ SPEED_RANGE = (0, 180)
 RPM_RANGE = (500, 7000)
 GEAR_RANGE = (1, 6)
 
+# Fixed values that must equal the reference: one event every half second.
+PACE_SECONDS = 0.5
+
 # Salts of the independent draws per event.
 _SALT_CAR, _SALT_SPEED, _SALT_RPM, _SALT_GEAR, _SALT_ID = 11, 12, 13, 14, 15
 
@@ -95,11 +98,13 @@ def synth_events(
     time_col: str | None = None,
     n_cars: int | None = None,
     broadcast_max_rows: int | None = None,
+    pace_seconds: float = PACE_SECONDS,
 ) -> DataFrame:
     """One sensor event per row of ``ids``: a uniformly picked car plus random readings.
 
-    ``time_col`` (a UTC TIMESTAMP_NTZ of the id source) gives the event time; without
-    it the event is stamped with the current time, as a live producer would.
+    ``time_col`` (a UTC TIMESTAMP_NTZ of the id source) gives the event time.
+    Without it, event ``id`` is stamped ``now + id * pace_seconds``: the
+    timeline of a producer that sends one event per pace, computed at once.
     Output: ``event_id, event_time, car_id, speed, rpm, gear`` (raw-event types).
     """
     if n_cars is None:
@@ -114,7 +119,11 @@ def synth_events(
     if small:
         fleet = F.broadcast(fleet)
     x = F.col(id_col)
-    ts = F.col(time_col) if time_col else utc_now()
+    if time_col:
+        ts = F.col(time_col)
+    else:
+        offset = (x * F.lit(pace_seconds)).cast("decimal(18,6)")
+        ts = utc_now() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), offset)
     picked = ids.select(
         F.col(id_col),
         uuid_text(id_col).alias("event_id"),

@@ -111,3 +111,10 @@ def test_number_rows_with_duplicates_many_partitions(spark):
     n = cars.count()
     assert n > 20000
     assert sorted(r.row_idx for r in spread.select("row_idx").collect()) == list(range(n))
+
+
+def test_synth_events_follow_the_producer_pace(spark):
+    import datetime as dt
+    ev = synth_events(spark.range(5), random_cars(spark, 3))
+    times = sorted(dt.datetime.fromisoformat(r.event_time) for r in ev.collect())
+    assert [(b - a).total_seconds() for a, b in zip(times, times[1:])] == [0.5] * 4
