@@ -164,3 +164,16 @@ def test_complete_mode_keeps_two_results(spark, scratch):
     assert stored.select("batch_id").distinct().count() == 2  # five batches ran, two are kept
     got = read_materialized(spark, out, "complete", metrics.schema)
     assert {r.window_start: r.num_of_rows for r in got.collect()} == {W1017: 2, W1020: 3}
+
+
+def test_table_stream_backfill_advances_in_bounded_batches(spark, scratch):
+    from gearwatch.plans.catalog import stream_table
+    spark.read.parquet(os.path.join(SF0001, "events.parquet")).repartition(3) \
+        .write.parquet(os.path.join(scratch, "events.parquet"))
+    out = os.path.join(scratch, "out")
+    q = start_materialize(stream_table(spark, scratch, "events", max_files_per_trigger=1),
+                          output_mode="append", out_dir=out, checkpoint=out + "-ck")
+    assert await_or_stop(q, 300)
+    data_batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(data_batches) == 3 and sum(p["numInputRows"] for p in data_batches) == 1000
+    assert spark.read.parquet(out).count() == 1000
