@@ -55,6 +55,8 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--checkpoint", help="checkpoint folder (default: under spark.checkpoint.dir)")
         p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         p.add_argument("--timeout", type=float, default=None, help="stop after this many seconds")
+        p.add_argument("--max-files-per-trigger", type=int, default=None,
+                       help="bound a micro-batch of a file-backed topic (backfills advance in steps)")
 
     p = sub.add_parser("dims")
     p.add_argument("--out", required=True)
@@ -108,6 +110,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                   "bootstrap_servers": getattr(args, "bootstrap_servers", None)}
     ckpt = getattr(args, "checkpoint", None) or fresh_dir(spark, f"ck-{args.job}")
     trigger = "available-now" if getattr(args, "available_now", False) else None
+    stream_opts = {"max_files_per_trigger": getattr(args, "max_files_per_trigger", None)}
 
     if args.job == "dims":
         from gearwatch.sources.dims import car_colors, car_models, random_cars, write_dimension
@@ -122,23 +125,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.job == "enrich":
         from gearwatch.streaming.jobs import start_enrichment
         cars, models, colors = _load_dims(spark, args.dims, args.version)
-        q = start_enrichment(spark, cars, models, colors, checkpoint=ckpt, trigger=trigger, **topic_opts)
+        q = start_enrichment(spark, cars, models, colors, checkpoint=ckpt, trigger=trigger,
+                             **topic_opts, **stream_opts)
         _wait(q, args.timeout)
     elif args.job == "detect":
         from gearwatch.streaming.jobs import start_detection
-        q = start_detection(spark, checkpoint=ckpt, trigger=trigger, **topic_opts)
+        q = start_detection(spark, checkpoint=ckpt, trigger=trigger, **topic_opts, **stream_opts)
         _wait(q, args.timeout)
     elif args.job == "count":
         from gearwatch.streaming.jobs import start_counter
         q = start_counter(spark, checkpoint=ckpt, output_mode=args.mode,
                           trigger=trigger or args.trigger, window=args.window,
-                          watermark=args.watermark, **topic_opts)
+                          watermark=args.watermark, **topic_opts, **stream_opts)
         _wait(q, args.timeout)
     elif args.job == "fused":
         from gearwatch.streaming.jobs import start_fused_counter
         cars, models, colors = _load_dims(spark, args.dims, args.version)
         q = start_fused_counter(spark, cars, models, colors, checkpoint=ckpt, output_mode=args.mode,
-                                trigger=trigger or args.trigger, **topic_opts)
+                                trigger=trigger or args.trigger, **topic_opts, **stream_opts)
         _wait(q, args.timeout)
     elif args.job == "inject":
         from gearwatch.streaming.jobs import publish_alert

@@ -13,7 +13,8 @@ def test_jobs_end_to_end(spark, scratch):
     assert main(["dims", "--out", dims, "--cars", "20"], spark) == 0
     assert main(["generate", "--dims", dims, "--events", "300", "--topics", topics], spark) == 0
     assert main(["enrich", "--dims", dims, "--topics", topics, "--available-now"], spark) == 0
-    assert main(["detect", "--topics", topics, "--available-now"], spark) == 0
+    assert main(["detect", "--topics", topics, "--available-now", "--max-files-per-trigger", "2"],
+                spark) == 0
     assert main(["inject", "--topics", topics], spark) == 0
     assert main(["count", "--topics", topics, "--available-now"], spark) == 0
     assert main(["fused", "--dims", dims, "--topics", topics, "--available-now"], spark) == 0
