@@ -35,7 +35,10 @@ def gear_mismatch(actual: str = "gear", expected: str = "expected_gear") -> Rule
     return Rule("gear_mismatch", lambda: F.col(actual) != F.col(expected))
 
 
-DEFAULT_RULES: tuple[Rule, ...] = (overspeed(), high_rpm(), gear_mismatch())
+# Evaluation order only: OR is commutative, NULLs included, and no rule can raise, so the
+# rule most often TRUE goes first and short-circuits the others for most rows (a gear
+# mismatch holds for ~5 in 6 events when gears are uniform, overspeed ~1 in 3, high rpm less).
+DEFAULT_RULES: tuple[Rule, ...] = (gear_mismatch(), overspeed(), high_rpm())
 
 
 def any_rule(rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
