@@ -29,7 +29,17 @@ def summarise(plan: str) -> dict[str, str]:
         ncols = len(schema.group(1).split(",")) if schema and schema.group(1) else 0
         scans.append(f"{table.group(1) if table else 'written table'}: {ncols} cols"
                      + (f", pushed {pushed.group(1)}" if pushed and pushed.group(1) else ""))
+    lines = plan.splitlines()
+    join = next((i for i, ln in enumerate(lines) if "Join" in ln and "car_id" in ln), None)
+    alert = next((i for i, ln in enumerate(lines) if "Filter" in ln and "120.0" in ln), None)
+    if alert is None:
+        placement = "—"
+    elif join is None:
+        placement = "no join"
+    else:  # children are printed below their parent
+        placement = "before the join" if alert > join else "after the join"
     return {
+        "alert filter": placement,
         "shuffles": ", ".join(f"{v}× {k}" for k, v in shuffles.items()) or "none",
         "joins": ", ".join(f"{a} {b}".strip() for a, b in joins) or "none",
         "scans": "; ".join(dict.fromkeys(scans)) or "local only",
@@ -53,14 +63,14 @@ def main() -> None:
     print("partitions instead); `enrich_hot_car` forces the shuffle path: both sides are shuffled on")
     print("(car_id, salt), the hot car's events spread over the salt buckets (its hot-key list was")
     print("counted before, in a separate bounded job).\n")
-    print("| Query | Shuffles | Joins | Parquet scans (columns read, pushed filters) | Python |")
-    print("|---|---|---|---|---|")
+    print("| Query | Shuffles | Joins | Alert filter | Parquet scans (columns read, pushed filters) | Python |")
+    print("|---|---|---|---|---|---|")
     for name, fn in QUERIES.items():
         if name.startswith("stream_") or name == "topic_chain_stream":
             continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
-        print(f"| `{name}` | {s['shuffles']} | {s['joins']} | {s['scans']} | {s['python']} |")
+        print(f"| `{name}` | {s['shuffles']} | {s['joins']} | {s['alert filter']} | {s['scans']} | {s['python']} |")
     spark.stop()
 
 
