@@ -62,7 +62,9 @@ def main() -> None:
     print("`synth_events` numbers a fleet whose size was checked small (a large fleet is numbered by range")
     print("partitions instead); `enrich_hot_car` forces the shuffle path: both sides are shuffled on")
     print("(car_id, salt), the hot car's events spread over the salt buckets (its hot-key list was")
-    print("counted before, in a separate bounded job).\n")
+    print("counted before, in a separate bounded job). \"Alert filter\": the fused plans evaluate the alert")
+    print("predicate before the enrichment join; plans that keep the JSON hand-offs (`window_metrics`,")
+    print("`staged_topic_hops`, `inject_alert`) cannot, since the predicate reads decoded records.\n")
     print("| Query | Shuffles | Joins | Alert filter | Parquet scans (columns read, pushed filters) | Python |")
     print("|---|---|---|---|---|---|")
     for name, fn in QUERIES.items():
