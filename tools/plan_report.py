@@ -18,7 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def summarise(plan: str) -> dict[str, str]:
     exchanges = re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobinPartitioning|SinglePartition)", plan)
     shuffles = {k: exchanges.count(k) for k in dict.fromkeys(exchanges)}
-    joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin)[^\n]*?(LeftOuter|Inner|LeftSemi|LeftAnti|FullOuter|Cross)?,", plan)
+    joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin)"
+                       r"[^\n]*?\b(LeftOuter|RightOuter|Inner|LeftSemi|LeftAnti|FullOuter|Cross)\b", plan)
     scans = []
     for m in re.finditer(r"FileScan parquet [^\n]*", plan):
         line = m.group(0)
