@@ -1,0 +1,49 @@
+"""Small document tables with every awkward case, and the sf0.001 documents."""
+
+import random
+
+from pyspark.sql import types as T
+
+SF = "/root/testdata/sf0.001"
+
+DOC_SCHEMA = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+    T.StructField("n_chars", T.LongType()),
+    # names that the operators use inside or return themselves
+    T.StructField("id", T.StringType()), T.StructField("n_tokens", T.LongType()),
+    T.StructField("fingerprint", T.StringType()), T.StructField("component_id", T.StringType()),
+])
+
+ODD_TEXTS = [
+    None, "", " ", "  ", "\n", "a", " a", "a ", "a  b", "one two", "tab\tnew\nline", "▁a▁ b", " ▁▁ x",
+    "don't we'll <|endoftext|> <s> </s> <unk>", "naïve café ÅÄÖ Ǆ İstanbul ΣΊΣΥΦΟΣ", "é ́x", "日本語 の 文",
+    "👩‍👩‍👧 emoji", "\x1c\x85\xa0  x　y", "123 4567,89", "x" * 300, "\u0000nul", "ß ẞ ﬁ", "the " * 50,
+    "!!!???", "   lead and trail   ", "\r\n\r\nwin", "a" * 3000 + " " * 3000 + "b1" * 2000,
+]
+
+
+def rows_of(texts, first_id=0):
+    return [(first_id + i, t, "en", f"src{i % 3}", None if t is None else len(t), "x", 7, "f", None)
+            for i, t in enumerate(texts)]
+
+
+def odd_documents(spark, more=()):
+    """Odd texts, one repeated row and one row without an id."""
+    rows = rows_of([*ODD_TEXTS, *more])
+    rows += [rows[9], (None, "no id here", None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, DOC_SCHEMA)
+
+
+def empty_documents(spark):
+    return spark.createDataFrame([], DOC_SCHEMA)
+
+
+def random_texts(n, seed=0, words=40, size=30):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("abcdeéñ'1.,", k=rng.randint(1, 9))) for _ in range(words)]
+    return [" ".join(rng.choices(vocabulary, k=rng.randint(0, size))) for _ in range(n)]
+
+
+def texts_by_id(df):
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
