@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gearwatch.llm.byte_bpe import encode_digests
 from gearwatch.llm.common import read_table
+from gearwatch.llm.lz_fingerprint import lz_fingerprints
 from gearwatch.llm.packing import pack_documents
+from gearwatch.llm.simhash import simhash_components
 from gearwatch.llm.token_count import token_counts
 
 
@@ -18,6 +20,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op2_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash_components(docs, shingle=4, budget=4)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -29,7 +40,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op9_byte_bpe, op10_packing)
+    f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint, op4_simhash, op9_byte_bpe, op10_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {}

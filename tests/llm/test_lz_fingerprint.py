@@ -1,0 +1,80 @@
+"""Operator 2 against a direct parse and exact set likeness."""
+
+import hashlib
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from gearwatch.llm import queries
+from gearwatch.llm.lz_fingerprint import likeness, lz_fingerprints, signatures_with_edit, text_signature
+from tests.llm.helpers import ODD_TEXTS, SF, empty_documents, odd_documents, random_texts, texts_by_id
+
+
+def phrase_set(text):
+    seen, phrase = set(), ""
+    for c in text:
+        phrase += c
+        if phrase not in seen:
+            seen.add(phrase)
+            phrase = ""
+    return seen
+
+
+def brute(docs):
+    """Rows by the contract, with the exact Jaccard similarity of the phrase sets."""
+    docs = sorted(docs, reverse=True)
+    for (i, text), (_, following) in zip(docs, docs[1:] + docs[:1]):
+        third = len(text) // 3
+        edited = text[: len(text) - third] + following[:third]
+        a, b, c = map(phrase_set, (text, edited, following))
+        jaccard = [len(a & x) / len(a | x) if a | x else 1.0 for x in (b, c)]
+        yield i, len(text), hashlib.sha256(edited.encode()).hexdigest(), *jaccard
+
+
+def check(rows, docs):
+    found = {r.doc_id: r for r in rows}
+    assert len(found) == len(docs)
+    for i, n_chars, sha, near_edited, near_next in brute(docs):
+        r = found[i]
+        assert (r.n_chars, r.edited_sha256) == (n_chars, sha)
+        # 128 hashes: four standard errors of a share are at most 0.18; small sets are exact
+        assert abs(r.near_edited - near_edited) <= (0.18 if n_chars > 200 else 1e-9)
+        assert abs(r.near_next - near_next) <= 0.18
+    by_text = {}
+    for i, text in docs:
+        assert by_text.setdefault(text, found[i].fingerprint) == found[i].fingerprint
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text("ab é", max_size=80), following=st.text("ab é", max_size=80))
+def test_incremental_parse(text, following):
+    own, edited, other = signatures_with_edit(text, following)
+    assert np.array_equal(own, text_signature(text)) and np.array_equal(other, text_signature(edited))
+    a, b = phrase_set(text), phrase_set(edited)
+    assert len(own) == len(a) and len(other) == len(b)
+    assert likeness(own, other) == (len(a & b) / len(a | b) if a | b else 1.0)
+
+
+def test_op2_whole_table(spark):
+    check(queries.op2_lz_fingerprint(spark, SF).collect(), texts_by_id(spark.read.parquet(f"{SF}/documents.parquet")))
+
+
+def test_many_ranges(spark):
+    texts = [*ODD_TEXTS, *random_texts(60, seed=3), "word " * 30_000]
+    docs = spark.createDataFrame([(7 * i - 50, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    check(lz_fingerprints(docs).collect(), texts_by_id(docs))
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    rows = lz_fingerprints(docs).collect()
+    assert len(rows) == docs.count()
+    assert sum(r.doc_id is None for r in rows) == 1
+    one = [r for r in rows if r.doc_id == 9]
+    assert len(one) == 2 and 1.0 in {r.near_next for r in one}  # the repeated row follows its like
+    assert lz_fingerprints(empty_documents(spark)).count() == 0
+    sole = lz_fingerprints(docs.where("doc_id = 27")).first()
+    assert sole.near_next == 1.0 and sole.fingerprint
+    empty = lz_fingerprints(docs.where("doc_id < 2")).collect()
+    assert all(r.fingerprint == "" and r.near_edited == r.near_next == 1.0 for r in empty)
