@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gearwatch.llm.byte_bpe import encode_digests
 from gearwatch.llm.common import read_table
+from gearwatch.llm.language import identify_languages, labelled_sample
 from gearwatch.llm.lz_fingerprint import lz_fingerprints
 from gearwatch.llm.packing import pack_documents
 from gearwatch.llm.simhash import simhash_components
@@ -29,6 +31,21 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(docs, shingle=4, budget=4)
 
 
+def language_samples(docs: DataFrame) -> dict[str, list[str]]:
+    """Sample texts of the documents whose id does not hash to the held-out fold."""
+    return labelled_sample(docs, fold(4) != 2, "doc_id", "text", "lang")
+
+
+def fold(n: int):
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify_languages(docs, language_samples(docs))
+    return found.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -40,7 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint, op4_simhash, op9_byte_bpe, op10_packing)
+    f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint, op4_simhash, op5_language, op9_byte_bpe, op10_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,102 @@
+"""Operator 5 against substring search, and on held-out documents."""
+
+import zlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from gearwatch.llm import language, queries
+from gearwatch.llm.language import CrossParser, identify_languages, labelled_sample, normalised, suffix_automaton
+from tests.llm.helpers import SF, empty_documents, odd_documents
+
+
+def shape(text):
+    """Lower-case letters and single blanks, as a string."""
+    out = " "
+    for c in text + " ":
+        c = (c.lower() if len(c.lower()) == 1 else c.lower()[0]) if c.isalpha() else " "
+        if c != " " or out[-1] != " ":
+            out += c
+    return out
+
+
+def brute_phrases(text, sample):
+    n = 0
+    for at in range(0, len(text), language.STRETCH):
+        piece = text[at:at + language.STRETCH]
+        while piece:
+            size = 1
+            while size < len(piece) and piece[:size + 1] in sample and piece[0] in sample:
+                size += 1
+            piece = piece[size:]
+            n += 1
+    return n
+
+
+TEXT = st.text(st.sampled_from("abcÀé İß1,.\n"), max_size=60)
+
+
+@settings(max_examples=200, deadline=None)
+@given(texts=st.lists(TEXT, min_size=1, max_size=5), a=TEXT, b=TEXT, stretch=st.sampled_from([3, 4096]))
+def test_phrases_by_substring_search(texts, a, b, stretch):
+    kept, language.STRETCH = language.STRETCH, stretch
+    try:
+        parser = CrossParser({"a": [a], "b": [b]})
+        shaped = [normalised(t) for t in texts]
+        assert ["".join(map(chr, s)) for s in shaped] == [shape(t) for t in texts]
+        counts = parser.phrases(shaped)
+        for k, sample in enumerate((shape(a), shape(b))):
+            assert counts[k].tolist() == [brute_phrases(shape(t), sample) for t in texts]
+    finally:
+        language.STRETCH = kept
+
+
+@settings(max_examples=100, deadline=None)
+@given(text=st.text("abc", max_size=30), probe=st.text("abc", max_size=8))
+def test_automaton_knows_just_the_substrings(text, probe):
+    table, state = suffix_automaton(["abc".index(c) for c in text], 3), 0
+    for c in probe:
+        state = table[state, "abc".index(c)] if state >= 0 else -1
+    assert (state >= 0) == (probe in text)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "lang").join(queries.op5_language(spark, "/root/testdata/sf0.01"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held) > 0
+
+
+def test_labels_and_ids_of_the_predicted_play_no_part(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    samples = queries.language_samples(docs)
+    other = docs.withColumn("lang", F.lit("xx")).withColumn("doc_id", -F.col("doc_id"))
+    a = {r.doc_id: r[1:] for r in identify_languages(docs, samples).collect()}
+    assert a == {-r.doc_id: r[1:] for r in identify_languages(other, samples).collect()}
+
+
+def test_sample_is_bounded_and_drawn_by_id(spark):
+    docs = spark.range(5000).selectExpr("id as doc_id", "concat('text ', id) as text", "'l' || (id % 2) as lang")
+    docs = docs.unionByName(docs.where("doc_id < 500"))
+    sample = labelled_sample(docs, F.col("doc_id") % 4 != 2, "doc_id", "text", "lang", 50)
+    assert {k: len(v) for k, v in sample.items()} == {"l0": 50, "l1": 50}
+    assert len(set(sample["l0"])) == 50
+    assert sample == labelled_sample(docs.repartition(3, "text"), F.col("doc_id") % 4 != 2, "doc_id", "text", "lang", 50)
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    samples = {"en": ["the one and two"], "fr": ["naïve café"]}
+    rows = identify_languages(docs, samples).collect()
+    assert len(rows) == docs.count()
+    found = {r.doc_id: (r.lang_pred, r.score) for r in rows}
+    assert all(found[i] == ("und", 0.0) for i in range(5))
+    assert found[9][0] == "en" and found[None][0] in samples
+    assert {r.lang_pred for r in identify_languages(docs, {}).collect()} == {"und"}
+    assert identify_languages(empty_documents(spark), samples).count() == 0
+    assert labelled_sample(empty_documents(spark), F.lit(True), "doc_id", "text", "lang") == {}
+    one = identify_languages(docs, {"en": ["abc"]}).collect()
+    assert all(0 <= r.score <= 1 for r in one)
