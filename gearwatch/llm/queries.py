@@ -13,6 +13,7 @@ from gearwatch.llm.common import read_table
 from gearwatch.llm.language import identify_languages, labelled_sample
 from gearwatch.llm.lz_fingerprint import lz_fingerprints
 from gearwatch.llm.packing import pack_documents
+from gearwatch.llm.radix_dedup import removal_digests
 from gearwatch.llm.simhash import simhash_components
 from gearwatch.llm.token_count import token_counts
 
@@ -46,6 +47,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op7_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"), width=100)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -57,7 +62,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint, op4_simhash, op5_language, op9_byte_bpe, op10_packing)
+    f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint, op4_simhash, op5_language, op7_radix_dedup, op9_byte_bpe, op10_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {}

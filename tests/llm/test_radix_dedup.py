@@ -1,0 +1,125 @@
+"""Operator 7 against windows compared one by one."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from gearwatch.llm import queries
+from gearwatch.llm.radix_dedup import merged, removal_digests, window_runs, without_repeats
+from tests.llm.helpers import SF, empty_documents, odd_documents, random_texts, texts_by_id
+
+
+def brute(docs, width):
+    """{id: (bytes, removed, spans, sha)} for documents with ids of their own."""
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        data, windows = text.encode(), []
+        covered = np.zeros(len(data) + 1, np.int64)
+        for s in range(len(data) - width + 1):
+            w = data[s:s + width]
+            if w in seen:
+                covered[s] += 1
+                covered[s + width] -= 1
+            seen.add(w)
+        gone = np.cumsum(covered)[:-1] > 0
+        runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        out[i] = (len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def check(df, docs, width=100):
+    rows = df.collect()
+    assert {r[0]: tuple(r[1:]) for r in rows} == brute(docs, width) and len(rows) == len(docs)
+
+
+def test_op7_whole_table(spark):
+    check(queries.op7_radix_dedup(spark, SF), texts_by_id(spark.read.parquet(f"{SF}/documents.parquet")))
+
+
+def shared_passages(n, seed):
+    rng = random.Random(seed)
+    passages = random_texts(6, seed, size=60) + ["ab" * 200, "z" * 400, "x y " * 90]
+    out = []
+    for _ in range(n):
+        parts = rng.choices(passages, k=2) + random_texts(2, rng.random(), size=15)
+        rng.shuffle(parts)
+        parts[0] = parts[0][rng.randrange(len(parts[0]) + 1):]
+        out.append(" ".join(parts))
+    return out
+
+
+def small_batches(spark, request, rows):
+    """Arrow batches of few rows: groups go on from batch to batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, rows)
+    request.addfinalizer(lambda: spark.conf.unset(name))
+
+
+@pytest.mark.parametrize("width, gram, hot", [(100, 32, 1000), (20, 8, 1), (9, 9, 3), (33, 7, 1000)])
+def test_shared_passages(spark, request, width, gram, hot):
+    texts = shared_passages(150, width)
+    random.Random(1).shuffle(texts)
+    docs = spark.createDataFrame([(i - 40, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(5)
+    small_batches(spark, request, 7 if gram == 8 else 10_000)
+    check(removal_digests(docs, width=width, gram=gram, hot_anchor=hot), texts_by_id(docs), width)
+
+
+def test_long_texts(spark):
+    text = " ".join(random_texts(400, 8, words=5000, size=200))
+    docs = spark.createDataFrame([(1, text), (2, "x" + text[1000:]), (3, "q" * 600_000)], "doc_id bigint, text string")
+    check(removal_digests(docs), texts_by_id(docs))
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    rows = removal_digests(docs).collect()
+    assert len(rows) == docs.count()
+    want = brute([(i, t) for i, t in texts_by_id(docs.where("doc_id is not null").dropDuplicates(["doc_id"]))], 100)
+    for r in rows:
+        if r.doc_id is not None:
+            assert tuple(r[1:]) == want[r.doc_id]
+    assert removal_digests(empty_documents(spark)).count() == 0
+    same = spark.createDataFrame([(5, "a" * 150), (5, "a" * 150), (None, "a" * 120), (7, "b" * 99)], "doc_id bigint, text string")
+    assert sorted((r.doc_id or 0, r.n_removed, r.n_spans) for r in removal_digests(same).collect()) == \
+        [(0, 120, 1), (5, 149, 1), (5, 149, 1), (7, 0, 0)]
+
+
+def test_text_that_remains(spark):
+    passage = "é" * 60
+    docs = spark.createDataFrame([(1, passage), (2, "x " + passage + " y"), (3, passage), (4, ""), (5, None)],
+                                 "doc_id bigint, text string")
+    left = {r.doc_id: r.text for r in without_repeats(docs).collect()}
+    assert left == {1: "é", 2: "x  y", 4: "", 5: ""} or left == {1: passage, 2: "x  y", 4: "", 5: ""}
+
+
+@settings(max_examples=200, deadline=None)
+@given(texts=st.lists(st.binary(max_size=40), max_size=5), gram=st.integers(1, 8), extra=st.integers(0, 8))
+def test_runs_hold_every_window_once(texts, gram, extra):
+    width = gram + extra
+    data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts], dtype=np.int64)
+    anchor, first, count, place = window_runs(data, ends, width, gram)
+    found = [s for f, n in zip(first, count) for s in range(f, f + n)]
+    start, want = 0, []
+    for t in texts:
+        want += range(start, start + len(t) - width + 1)
+        start += len(t)
+    assert found == want
+    by_window = {}
+    for a, f, n, p in zip(anchor, first, count, place):
+        for s in range(f, f + n):  # equal windows have one anchor, at one place
+            assert 0 <= p - (s - f) <= width - gram
+            assert by_window.setdefault(data[s:s + width].tobytes(), (a, p - (s - f))) == (a, p - (s - f))
+
+
+@settings(max_examples=100)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 6)), max_size=12))
+def test_merged(spans):
+    covered = {x for s, n in spans for x in range(s, s + n)}
+    runs = merged(np.array(spans, np.int64).reshape(-1, 2))
+    assert covered == {x for a, b in runs for x in range(a, b)}
+    assert all(b < c for (_, b), (c, _) in zip(runs, runs[1:]))
