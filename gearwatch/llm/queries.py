@@ -12,8 +12,10 @@ from gearwatch.llm.byte_bpe import encode_digests
 from gearwatch.llm.common import read_table
 from gearwatch.llm.language import identify_languages, labelled_sample
 from gearwatch.llm.lz_fingerprint import lz_fingerprints
+from gearwatch.llm.maxscore import top_k
 from gearwatch.llm.packing import pack_documents
 from gearwatch.llm.radix_dedup import removal_digests
+from gearwatch.llm.revisit import capture_log, header_lines, resolve_revisits
 from gearwatch.llm.simhash import simhash_components
 from gearwatch.llm.token_count import token_counts
 
@@ -27,6 +29,11 @@ def op2_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_components(docs, shingle=4, budget=4)
@@ -47,6 +54,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = resolve_revisits(capture_log(pages))
+    return found.withColumn("headers", header_lines(F.col("headers")))
+
+
 def op7_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"), width=100)
 
@@ -62,7 +75,70 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint, op4_simhash, op5_language, op7_radix_dedup, op9_byte_bpe, op10_packing)
+    f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint,
+                            op3_maxscore, op4_simhash, op5_language, op6_revisits,
+                         op7_radix_dedup, op9_byte_bpe, op10_packing)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_maxscore": """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op6_revisits": r"""
+WITH parts AS (
+  SELECT page_id, url, coalesce(html, '') AS html,
+         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare
+  FROM pages
+), cut AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), ':(80|443)$', ''), '^www\.', '') AS host,
+         regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda p: p <> ''
+           AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) AS params
+  FROM parts
+), named AS (
+  SELECT page_id, url, html, md5(html) AS payload, '"' || substr(md5(html), 1, 16) || '"' AS tag,
+         strftime(DATE '2024-01-01' + CAST(page_id // 50 AS INTEGER), '%Y-%m-%d') AS day,
+         host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical_url
+  FROM cut
+), stored AS (
+  SELECT 2 * page_id AS base_id, page_id AS base_page, canonical_url, 10 * page_id AS captured, payload, day,
+         CASE WHEN page_id % 7 <> 0 THEN tag END AS tag, strlen(html) AS size
+  FROM named
+), asked AS (
+  SELECT 2 * page_id + 1 AS record_id, page_id, url, canonical_url, 10 * page_id + 5 + page_id * 7919 % 1000 * 10 AS captured,
+         CASE WHEN page_id % 5 IN (0, 2) THEN tag WHEN page_id % 5 = 3 THEN '"other"' END AS tag,
+         CASE WHEN page_id % 5 = 2 THEN 'W/' ELSE '' END AS weak,
+         CASE WHEN page_id % 5 IN (0, 1) THEN day END AS day
+  FROM named
+), found AS (
+  SELECT a.record_id, a.page_id, a.url, a.canonical_url, a.captured, a.tag AS own_tag, a.weak, a.day AS own_day,
+         s.base_id, s.base_page, s.payload, s.day, s.tag, s.size,
+         CASE WHEN s.base_id IS NULL THEN 'no_base'
+              WHEN a.tag IS NOT NULL AND s.tag IS NOT NULL THEN CASE WHEN a.tag = s.tag THEN 'merged' ELSE 'etag_differs' END
+              WHEN a.day IS NOT NULL AND s.day IS NOT NULL THEN CASE WHEN a.day = s.day THEN 'merged' ELSE 'date_differs' END
+              ELSE 'no_validator' END AS outcome
+  FROM asked a ASOF LEFT JOIN stored s ON a.canonical_url = s.canonical_url AND a.captured > s.captured
+)
+SELECT record_id, url, canonical_url, captured, base_id, outcome,
+       CASE WHEN outcome = 'merged' THEN
+         'age: ' || (page_id % 60) || chr(10) || 'cache-control: max-age=600' || chr(10) || 'content-length: ' || size
+         || chr(10) || 'content-type: text/html'
+         || CASE WHEN own_tag IS NOT NULL THEN chr(10) || 'etag: ' || weak || own_tag
+                 WHEN tag IS NOT NULL THEN chr(10) || 'etag: ' || tag ELSE '' END
+         || chr(10) || 'last-modified: ' || coalesce(own_day, day) || chr(10) || 'x-page: ' || base_page END AS headers,
+       CASE WHEN outcome = 'merged' THEN payload END AS payload
+FROM found
+""",
+}
