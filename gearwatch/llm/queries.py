@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gearwatch.llm.byte_bpe import encode_digests
 from gearwatch.llm.common import read_table
 from gearwatch.llm.language import identify_languages, labelled_sample
+from gearwatch.llm.lattice_lm import lattice_scores
 from gearwatch.llm.lz_fingerprint import lz_fingerprints
 from gearwatch.llm.maxscore import top_k
 from gearwatch.llm.packing import pack_documents
@@ -64,6 +65,11 @@ def op7_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"), width=100)
 
 
+def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lattice_scores(docs, fold(7) != 2, fold(7) == 2, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -77,7 +83,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint,
                             op3_maxscore, op4_simhash, op5_language, op6_revisits,
-                         op7_radix_dedup, op9_byte_bpe, op10_packing)
+                         op7_radix_dedup, op8_lattice_lm, op9_byte_bpe, op10_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {
