@@ -182,25 +182,53 @@ def labelled_sample(docs: DataFrame, training: Column, id_col: str, text_col: st
     return samples
 
 
-_PARSERS: dict[int, CrossParser] = {}
+_PARSERS: dict[int, CrossParser | None] = {}
 
 
-def identify_languages(docs: DataFrame, samples: dict[str, list[str]], id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
-    """id, ``lang_pred`` and ``score`` of every row's whole text."""
+def _predictor(docs: DataFrame, samples: dict[str, list[str]]):
+    """A function for the workers: texts -> (languages, scores); a worker builds the tables once."""
     key = hash(tuple((k, *v) for k, v in sorted(samples.items())))
     shared = docs.sparkSession.sparkContext.broadcast(samples)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def predict(texts: list[str]) -> tuple[list[str], np.ndarray]:
         if key not in _PARSERS:
             _PARSERS.clear()
             _PARSERS[key] = CrossParser(shared.value) if shared.value else None
         parser = _PARSERS[key]
+        return parser.predict(texts) if parser else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
+
+    return predict
+
+
+def identify_languages(docs: DataFrame, samples: dict[str, list[str]], id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """id, ``lang_pred`` and ``score`` of every row's whole text."""
+    predict = _predictor(docs, samples)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in text_chunks(batches, _BATCH_CHARS):
-            langs, score = parser.predict(texts) if parser else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
+            langs, score = predict(texts)
             yield pa.RecordBatch.from_arrays([ids, pa.array(langs, pa.string()), pa.array(score, pa.float64())],
                                              ["id", "lang_pred", "score"])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def with_known_language(docs: DataFrame, samples: dict[str, list[str]], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose language can be told (a row is judged by its own text only).
+
+    Without any sample, those that have a letter.
+    """
+    predict, names = _predictor(docs, samples or {UNKNOWN + "?": [""]}), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(names.index(text_col))
+            numbered = pa.RecordBatch.from_arrays([pa.array(np.arange(len(text))), text], ["row", "text"])
+            for rows, texts in text_chunks(iter([numbered]), _BATCH_CHARS):
+                told = pa.array([lang != UNKNOWN for lang in predict(texts)[0]], pa.bool_())
+                yield batch.slice(rows[0].as_py(), len(rows)).filter(told)
+
+    return docs.mapInArrow(run, docs.schema)

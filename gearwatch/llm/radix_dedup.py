@@ -25,13 +25,15 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gearwatch.llm.common import byte_column, checkpointed
@@ -256,16 +258,18 @@ def _second_pass(docs: DataFrame, left: DataFrame, width: int, hot_anchor: int)
     return contents.mapInArrow(compare, "doc bigint, tie bigint, start bigint, length bigint")
 
 
+def _identity(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column, bool]:
+    """What orders rows and tells apart those that share an id, and whether any do."""
+    doc, text = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)), F.coalesce(text_col, F.lit(""))
+    shared = not docs.groupBy(doc.alias("doc")).count().where(F.col("count") > 1).isEmpty()
+    return doc, F.xxhash64(text) if shared else F.lit(0).cast("bigint"), shared
+
+
 def identified(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(``doc``, ``tie``, ``text``) of all rows, ids in order and what tells rows apart that share one;
-    and the same with each document once."""
-    doc = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST))
-    rows = docs.select(doc.alias("doc"), F.coalesce(text_col, F.lit("")).alias("text"))
-    if rows.groupBy("doc").count().where("count > 1").isEmpty():
-        rows = rows.select("doc", F.lit(0).cast("bigint").alias("tie"), "text")
-        return rows, rows
-    rows = rows.select("doc", F.xxhash64("text").alias("tie"), "text")
-    return rows, rows.dropDuplicates(["doc", "tie"])
+    """(``doc``, ``tie``, ``text``) of all rows, and the same with each document once."""
+    doc, tie, shared = _identity(docs, id_col, text_col)
+    rows = docs.select(doc.alias("doc"), tie.alias("tie"), F.coalesce(text_col, F.lit("")).alias("text"))
+    return rows, rows.dropDuplicates(["doc", "tie"]) if shared else rows
 
 
 def repeated_spans(rows: DataFrame, width: int = WIDTH, gram: int = GRAM, hot_anchor: int = HOT_ANCHOR) -> DataFrame:
@@ -289,28 +293,6 @@ def merged(spans: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(start[opens].tolist(), end[closes].tolist()))
 
 
-def _cut(docs: DataFrame, id_col: str, text_col: str, schema: str, row, width, gram, hot_anchor) -> DataFrame:
-    """Rows made by ``row(bytes, merged spans)`` for each document, with ``doc`` and ``tie``."""
-    rows, once = identified(docs, id_col, text_col)
-    spans = repeated_spans(once, width, gram, hot_anchor)
-    names = [part.split()[0] for part in schema.split(", ")]
-    kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    types = [pa.int64(), pa.int64(), *(kinds[part.split()[1]] for part in schema.split(", "))]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            out = []
-            for doc, tie, packed, found in zip(*(batch.column(i) for i in range(4))):
-                pairs = np.array([(s["start"], s["length"]) for s in found.as_py() or ()], np.int64).reshape(-1, 2)
-                out.append((doc.as_py(), tie.as_py(), *row(unpack.decompress(packed.as_py()), merged(pairs))))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), types)], ["doc", "tie", *names])
-
-    joined = _packed(rows).join(spans, ["doc", "tie"], "left").select("doc", "tie", "packed", "spans")
-    return joined.mapInArrow(run, f"doc bigint, tie bigint, {schema}")
-
-
 def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     starts, ends = [0, *(b for _, b in spans)], [*(a for a, _ in spans), len(data)]
     return b"".join(data[a:b] for a, b in zip(starts, ends))
@@ -318,28 +300,61 @@ def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                     gram: int = GRAM, hot_anchor: int = HOT_ANCHOR) -> DataFrame:
-    """id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of every row."""
+    """id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of every row; no other columns."""
+    rows, once = identified(docs, id_col, text_col)
+    spans = repeated_spans(once, width, gram, hot_anchor)
 
-    def row(data: bytes, spans: list[tuple[int, int]]) -> tuple:
-        return len(data), sum(b - a for a, b in spans), len(spans), hashlib.sha256(_kept(data, spans)).hexdigest()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            out = []
+            for doc, packed, found in zip(*(batch.column(i) for i in range(3))):
+                data, runs = unpack.decompress(packed.as_py()), merged(_pairs(found))
+                digest = hashlib.sha256(_kept(data, runs)).hexdigest()
+                out.append((doc.as_py(), len(data), sum(b - a for a, b in runs), len(runs), digest))
+            if out:
+                kinds = [*[pa.int64()] * 4, pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), kinds)],
+                                                 ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    found = _cut(docs, id_col, text_col, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
-                 row, width, gram, hot_anchor)
-    return found.withColumn("doc", F.when(F.col("doc") != _LAST, F.col("doc"))).drop("tie").withColumnRenamed("doc", id_col)
+    joined = _packed(rows).join(spans, ["doc", "tie"], "left").select("doc", "packed", "spans")
+    found = joined.mapInArrow(run, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return found.withColumn("doc", F.when(F.col("doc") != _LAST, F.col("doc"))).withColumnRenamed("doc", id_col)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                    gram: int = GRAM, hot_anchor: int = HOT_ANCHOR) -> DataFrame:
-    """id and the remaining text (bytes of characters that a cut went through go too) of every row that has
-    any left, or had none; rows that share id and text give one."""
+def _pairs(found: pa.Scalar) -> np.ndarray:
+    return np.array([(s["start"], s["length"]) for s in found.as_py() or ()], np.int64).reshape(-1, 2)
 
-    def row(data: bytes, spans: list[tuple[int, int]]) -> tuple:
-        kept = _kept(data, spans).decode("utf-8", "ignore")
-        return (kept if kept or not data else None,)
 
-    found = _cut(docs, id_col, text_col, f"{_KEPT} string", row, width, gram, hot_anchor)
-    return found.withColumn("doc", F.when(F.col("doc") != _LAST, F.col("doc"))).drop("tie").withColumnsRenamed(
-        {"doc": id_col, _KEPT: text_col}).where(F.col(text_col).isNotNull())
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
+                    width: int = WIDTH, gram: int = GRAM, hot_anchor: int = HOT_ANCHOR) -> DataFrame:
+    """``docs`` with all their columns, the repeated passages cut out of the text.
 
+    Bytes of characters that a cut went through go too.  Rows of which nothing is left go.  ``length_col``,
+    if named, is set to the number of characters left.
+    """
+    doc, tie, _ = _identity(docs, id_col, text_col)
+    _, once = identified(docs, id_col, text_col)
+    mark = uuid.uuid4().hex  # for columns beside the rows' own, whatever their names
+    spans = repeated_spans(once, width, gram, hot_anchor).withColumnsRenamed(
+        {"doc": f"doc_{mark}", "tie": f"tie_{mark}", "spans": f"spans_{mark}"})
+    keyed = docs.withColumns({f"doc_{mark}": doc, f"tie_{mark}": tie}).join(spans, [f"doc_{mark}", f"tie_{mark}"], "left")
+    names, schema = docs.columns, docs.schema
 
-_KEPT = "kept"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, left = batch.column(names.index(text_col)), []
+            for text, found in zip(texts, batch.column(len(names))):
+                runs = merged(_pairs(found))
+                left.append(_kept(text.as_py().encode(), runs).decode("utf-8", "ignore") if runs else text.as_py())
+            kept = pa.array(left, texts.type)
+            columns = batch.columns[: len(names)]
+            columns[names.index(text_col)] = kept
+            if length_col is not None:
+                at = names.index(length_col)
+                changed = pc.invert(pc.equal(kept, texts).fill_null(True))
+                columns[at] = pc.if_else(changed, pc.utf8_length(kept).cast(columns[at].type), columns[at])
+            gone = pc.and_(pc.equal(pc.binary_length(kept), 0), pc.greater(pc.binary_length(texts), 0))
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pc.invert(gone.fill_null(False)))
+
+    return keyed.select(*(f"`{n}`" for n in names), f"spans_{mark}").mapInArrow(run, schema)

@@ -1,0 +1,96 @@
+"""The pipeline's stages against brute force, stage by stage and end to end."""
+
+from collections import Counter
+
+import corpus_pipeline
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from gearwatch.llm import queries
+from tests.llm.helpers import SF, empty_documents, odd_documents, random_texts, texts_by_id
+from tests.llm.test_radix_dedup import brute as brute_repeats
+from tests.llm.test_simhash import brute_components, near_copies
+from tests.llm.test_tokens import check_packing
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+def rows_of(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def test_stages_in_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "passage_dedup", "packing"]
+
+
+def test_language_rejects_only_what_has_no_language(spark, docs):
+    odd = odd_documents(spark)
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    for both in (odd, unlabelled, docs.unionByName(odd.select(docs.columns))):
+        kept = STAGES["language"](spark, both, SF)
+        assert kept.schema == both.schema
+        want = Counter({r: n for r, n in rows_of(both).items() if r[1] and any(c.isalpha() for c in r[1])})
+        assert rows_of(kept) == want
+
+
+def test_near_dedup_keeps_the_smallest_of_each_group(spark, docs):
+    more = odd_documents(spark, near_copies(30, 1)).select(docs.columns)
+    both = docs.withColumn("doc_id", docs.doc_id + 1000).unionByName(more)
+    kept = STAGES["near_dedup"](spark, both, SF)
+    assert kept.schema == both.schema
+    groups = brute_components(texts_by_id(both))
+    smallest = {i for i, _, c in groups if i is not None and i == c}
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(smallest) + Counter({None: 1})
+    assert set(rows_of(kept)) <= set(rows_of(both))
+
+
+def test_passage_dedup_cuts_what_repeats(spark, docs):
+    kept = STAGES["passage_dedup"](spark, docs, SF)
+    assert kept.schema == docs.schema
+    want = brute_repeats(texts_by_id(docs), 100)
+    texts, left = dict(texts_by_id(docs)), {r.doc_id: r for r in kept.collect()}
+    for i, (n_bytes, n_removed, _, _) in want.items():
+        if n_removed == n_bytes and n_bytes:
+            assert i not in left
+        elif n_removed == 0:
+            assert left[i].text == texts[i]
+        else:
+            assert n_bytes - n_removed - 6 * want[i][2] <= len(left[i].text.encode()) <= n_bytes - n_removed
+            assert left[i].n_chars == len(left[i].text)
+
+
+def test_run_end_to_end(spark, docs):
+    before, step = docs, docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        step = stage(spark, step, SF)
+        assert step.schema == docs.schema and step.count() <= before.count()
+        before = step
+    packed = corpus_pipeline.run(spark, SF).collect()
+    check_packing(packed, texts_by_id(step), Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def test_odd_and_empty_tables(spark):
+    for table in (odd_documents(spark, random_texts(5)), empty_documents(spark)):
+        step = table
+        for name, stage in corpus_pipeline.STAGES:
+            step = stage(spark, step, SF)
+            step.collect()
+            if name != "packing":
+                assert step.schema == table.schema
+    assert step.count() == 0
+
+
+def test_registered():
+    import __spark_entry__
+
+    names = __spark_entry__.queries()
+    assert names["pipeline"] is corpus_pipeline.run
+    assert set(queries.QUERIES) <= set(names) and set(queries.ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))

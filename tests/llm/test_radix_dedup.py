@@ -91,10 +91,15 @@ def test_odd_rows(spark):
 
 def test_text_that_remains(spark):
     passage = "é" * 60
-    docs = spark.createDataFrame([(1, passage), (2, "x " + passage + " y"), (3, passage), (4, ""), (5, None)],
-                                 "doc_id bigint, text string")
-    left = {r.doc_id: r.text for r in without_repeats(docs).collect()}
-    assert left == {1: "é", 2: "x  y", 4: "", 5: ""} or left == {1: passage, 2: "x  y", 4: "", 5: ""}
+    rows = [(1, passage), (2, "x " + passage + " y"), (3, passage), (4, ""), (5, None), (6, "whole"), (6, "whole")]
+    docs = spark.createDataFrame([(t, "d", i, -1, None) for i, t in rows],
+                                 "text string, doc string, doc_id bigint, n_chars int, spans string")
+    found = without_repeats(docs, length_col="n_chars")
+    assert found.schema == docs.schema
+    left = sorted((r.doc_id, r.text, r.doc, r.n_chars) for r in found.where("text is not null").collect())
+    assert left == [(1, "é", "d", 1), (2, "x  y", "d", 4), (4, "", "d", -1), (6, "whole", "d", -1), (6, "whole", "d", -1)]
+    assert found.where("text is null").count() == 1
+    assert without_repeats(docs.where("false")).count() == 0
 
 
 @settings(max_examples=200, deadline=None)
