@@ -26,6 +26,7 @@ from __future__ import annotations
 import heapq
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,36 +40,86 @@ from gearwatch.llm.common import text_chunks
 CAPACITY = 2048
 GRAIN = 512  # a document's rest is cut into pieces of at most this many ids
 BLOCK = 1 << 19  # ids whose grains are dealt together
-KEPT_WORDS = 400_000  # encoded words that a worker keeps
+KEPT_WORDS = 800_000  # encoded words that a worker keeps
 _KEPT_CHARS = 64
 
 
 class WordEncoder:
-    """Ids of whole texts through a table of the stretches between blanks."""
+    """Ids of whole texts through a table of the stretches between blanks.
 
-    def __init__(self, tokenizer_path: str):
+    A stretch that is not in the table is taken apart where that is safe (plain letters, then
+    punctuation behind them: two matches of the splitter, and letters are lower-cased anyway).
+    Parts that are not there either go to the library, many at a time, joined by a mark that none of
+    them holds and that is one id.
+    """
+
+    MARK = "\x01"
+    TAIL = ".,!?;:#%&*$+-=()\"~"
+
+    def __init__(self, tokenizer_path: str, kept: int = KEPT_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.mark = self._library([self.MARK])[0]
         self.kept: dict[str, bytes] = {"": b""}
+        self.limit = kept
+        if len(self.mark) != 4:
+            raise ValueError("the joining mark must be one id of this vocabulary")
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _parts(self, word: str) -> tuple[str, str]:
+        """(letters, punctuation) of a stretch that may be taken apart, else (itself, "")."""
+        if max(word) < "\u0250":
+            letters = word.rstrip(self.TAIL)
+            if letters.isalpha():
+                return letters.lower(), word[len(letters):]
+        return word, ""
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of ``words``, which are not in the table; the table keeps what it has room for."""
+        parts = {word: self._parts(word) for word in words}
+        new = {part for pair in parts.values() for part in pair if part not in self.kept}
+        plain = [part for part in new if self.MARK not in part and len(part) <= _KEPT_CHARS]
+        odd = [part for part in new if self.MARK in part or len(part) > _KEPT_CHARS]
+        found = dict(zip(odd, self._library(odd)))
+        between = f" {self.MARK} "
+        for at in range(0, len(plain), 128):
+            group = plain[at : at + 128]
+            ids = self._library([between.join(group)])[0]
+            places = (np.flatnonzero(np.frombuffer(ids, "<u4") == self._mark_id()) * 4).tolist()
+            starts, ends = [0, *(p + 4 for p in places)], [*places, len(ids)]
+            found.update(zip(group, map(ids.__getitem__, map(slice, starts, ends))))
+        for word, (letters, tail) in parts.items():
+            if word not in found:
+                ids = [self.kept[x] if x in self.kept else found[x] for x in (letters, tail)]
+                found[word] = ids[0] + ids[1]
+        if len(self.kept) + len(found) <= self.limit:
+            self.kept.update(x for x in found.items() if len(x[0]) <= _KEPT_CHARS)
+        return found
+
+    def _mark_id(self) -> int:
+        return int.from_bytes(self.mark, "little")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        known = self.kept.get
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        words: set[str] = set()
-        for parts in split:
-            words.update(parts)
-        new = [word for word in words if word not in self.kept]
-        table = self.kept
-        encoded = {word: np.asarray(e.ids, "<u4").tobytes()
-                   for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        if len(table) + len(encoded) <= KEPT_WORDS:
-            table.update((w, ids) for w, ids in encoded.items() if len(w) <= _KEPT_CHARS)
-        if any(word not in table for word in new):
-            table = {word: self.kept.get(word) if word in self.kept else encoded[word] for word in words}
-        return [np.frombuffer(b"".join(map(table.__getitem__, parts)), "<u4") for parts in split]
+        ids = [list(map(known, words)) for words in split]
+        missing: set[str] = set()
+        for words, values in zip(split, ids):
+            if None in values:
+                missing.update(word for word, value in zip(words, values) if value is None)
+        if missing:
+            learned = self._learn(missing)
+            for words, values in zip(split, ids):
+                if None in values:
+                    values[:] = [learned[w] if v is None else v for w, v in zip(words, values)]
+        return [np.frombuffer(b"".join(values), "<u4") for values in ids]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -159,7 +210,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capaci
             return out
 
         key_type, grains, waiting = None, [], 0
-        for keys, texts in text_chunks(batches):
+        for keys, texts in text_chunks(batches, 1 << 20):
             key_type, whole = keys.type, []
             for key, ids in zip(keys.to_pylist(), encoder.encode(texts)):
                 ids = np.concatenate([ids, end])
