@@ -9,10 +9,13 @@ Jobs, in the order they are usually started:
 * ``count``    stream: alert topic -> window metrics (console by default, complete mode)
 * ``fused``    stream: raw topic -> window metrics of alerts in one query (no intermediate topics)
 * ``inject``   publish one fixed alert to the alert topic
+* ``tap``      print parsed alerts to the console for some seconds
+* ``schema``   print the schemas of a topic's records and of the wire records
 * ``smoke``    storage round trip of a small table, and a topic-source check
 
-Topics are Kafka with ``--bootstrap-servers``, otherwise folders under ``--topics``.
-Checkpoints default to the session's shared folder (``spark.checkpoint.dir``).
+Topics are Kafka with ``--bootstrap-servers``, otherwise folders under ``--topics``.  A job's
+checkpoint is the same at every start: beside the file-backed topics (``--topics``), or for
+Kafka in the session's ``spark.checkpoint.dir``; ``--checkpoint`` names another one.
 """
 
 from __future__ import annotations
@@ -21,9 +24,10 @@ import argparse
 import os
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-from gearwatch.session import build_session, fresh_dir
+from gearwatch.session import build_session, configured_root
 
 
 def _dims_paths(root: str, version: str) -> dict[str, str]:
@@ -37,10 +41,23 @@ def _load_dims(spark: SparkSession, root: str, version: str):
         read_dimension(spark, p["car_colors"])
 
 
-def _wait(query, timeout_s: float | None) -> None:
-    """Until the query ends (``--available-now``) or is stopped; at most ``timeout_s``."""
+def _wait(query, args) -> None:
+    """Until the query ends (``--available-now``) or is stopped; at most ``--timeout`` seconds.
+
+    A backlog that ``--available-now`` works off must not lose rows behind the watermark."""
     from gearwatch.streaming.runner import await_or_stop
-    await_or_stop(query, timeout_s)
+    await_or_stop(query, args.timeout, keep_all=args.available_now and not args.allow_late_drops)
+
+
+def default_checkpoint(spark: SparkSession, args) -> str:
+    """A job's checkpoint: the same folder whenever it is started on the same topics."""
+    name = "-".join(str(x) for x in (args.job, getattr(args, "mode", None)) if x)
+    if getattr(args, "topics", None):
+        return os.path.join(args.topics, "_checkpoints", name)
+    root = configured_root(spark)
+    if root is None:
+        raise SystemExit("give --checkpoint, or set spark.checkpoint.dir: a restart must find the same folder")
+    return os.path.join(root, "gearwatch", "checkpoints", name)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -52,11 +69,15 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--bootstrap-servers", help="Kafka brokers (needs the Kafka connector)")
 
     def streaming(p):
-        p.add_argument("--checkpoint", help="checkpoint folder (default: under spark.checkpoint.dir)")
+        p.add_argument("--checkpoint", help="checkpoint folder (default: one that is the same at every start)")
         p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         p.add_argument("--timeout", type=float, default=None, help="stop after this many seconds")
         p.add_argument("--max-files-per-trigger", type=int, default=None,
-                       help="bound a micro-batch of a file-backed topic (backfills advance in steps)")
+                       help="bound a micro-batch of a file-backed topic (then give --watermark the backlog's span)")
+        p.add_argument("--max-offsets-per-trigger", type=int, default=None, help="bound a micro-batch of a Kafka topic")
+        p.add_argument("--starting-offsets", default=None, help="Kafka: earliest (default) or latest")
+        p.add_argument("--allow-late-drops", action="store_true",
+                       help="with --available-now: rows behind the watermark may be dropped")
 
     p = sub.add_parser("dims")
     p.add_argument("--out", required=True)
@@ -93,9 +114,15 @@ def _parser() -> argparse.ArgumentParser:
     streaming(p)
     p.add_argument("--mode", default="update", choices=("complete", "update", "append"))
     p.add_argument("--trigger", default="1 minute")
+    p.add_argument("--watermark", default="48 hours")
+
+    for name in ("inject", "schema"):
+        topics(sub.add_parser(name))
 
-    p = sub.add_parser("inject")
+    p = sub.add_parser("tap")
     topics(p)
+    p.add_argument("--seconds", type=float, default=20)
+    p.add_argument("--starting-offsets", default=None)
 
     p = sub.add_parser("smoke")
     p.add_argument("--out", required=True)
@@ -108,9 +135,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or build_session(f"gearwatch-{args.job}")
     topic_opts = {"topics_root": getattr(args, "topics", None),
                   "bootstrap_servers": getattr(args, "bootstrap_servers", None)}
-    ckpt = getattr(args, "checkpoint", None) or fresh_dir(spark, f"ck-{args.job}")
+    ckpt = None
+    if hasattr(args, "checkpoint"):
+        ckpt = args.checkpoint or default_checkpoint(spark, args)
     trigger = "available-now" if getattr(args, "available_now", False) else None
-    stream_opts = {"max_files_per_trigger": getattr(args, "max_files_per_trigger", None)}
+    stream_opts = {k: getattr(args, k, None)
+                   for k in ("max_files_per_trigger", "max_offsets_per_trigger", "starting_offsets")}
 
     if args.job == "dims":
         from gearwatch.sources.dims import car_colors, car_models, random_cars, write_dimension
@@ -127,23 +157,35 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         cars, models, colors = _load_dims(spark, args.dims, args.version)
         q = start_enrichment(spark, cars, models, colors, checkpoint=ckpt, trigger=trigger,
                              **topic_opts, **stream_opts)
-        _wait(q, args.timeout)
+        _wait(q, args)
     elif args.job == "detect":
         from gearwatch.streaming.jobs import start_detection
         q = start_detection(spark, checkpoint=ckpt, trigger=trigger, **topic_opts, **stream_opts)
-        _wait(q, args.timeout)
+        _wait(q, args)
     elif args.job == "count":
         from gearwatch.streaming.jobs import start_counter
         q = start_counter(spark, checkpoint=ckpt, output_mode=args.mode,
                           trigger=trigger or args.trigger, window=args.window,
                           watermark=args.watermark, **topic_opts, **stream_opts)
-        _wait(q, args.timeout)
+        _wait(q, args)
     elif args.job == "fused":
         from gearwatch.streaming.jobs import start_fused_counter
         cars, models, colors = _load_dims(spark, args.dims, args.version)
         q = start_fused_counter(spark, cars, models, colors, checkpoint=ckpt, output_mode=args.mode,
-                                trigger=trigger or args.trigger, **topic_opts, **stream_opts)
-        _wait(q, args.timeout)
+                                trigger=trigger or args.trigger, watermark=args.watermark,
+                                **topic_opts, **stream_opts)
+        _wait(q, args)
+    elif args.job == "tap":
+        from gearwatch.streaming.jobs import debug_tap
+        debug_tap(spark, seconds=args.seconds, starting_offsets=args.starting_offsets, **topic_opts)
+    elif args.job == "schema":
+        from gearwatch.schemas import ALERT_EVENT, RAW_EVENT, TOPIC_RECORD
+        from gearwatch.sources.topics import RAW_TOPIC
+        from gearwatch.streaming.jobs import open_topic
+        if args.bootstrap_servers:
+            open_topic(spark, RAW_TOPIC, **topic_opts).printSchema()
+        for schema in (TOPIC_RECORD, RAW_EVENT, ALERT_EVENT):
+            spark.createDataFrame([], schema).printSchema()
     elif args.job == "inject":
         from gearwatch.streaming.jobs import publish_alert
         publish_alert(spark, **topic_opts)
@@ -152,11 +194,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from gearwatch.sources.topics import RAW_TOPIC, read_topic
         write_dimension(smoke_table(spark), args.out)
         print(f"storage round trip: {read_dimension(spark, args.out).count()} rows")
+        # new messages only, as a connector check reads; a file-backed topic has no such offset
+        offsets = "latest" if args.bootstrap_servers else "earliest"
         try:
-            read_topic(spark, RAW_TOPIC, **topic_opts, streaming=True)
+            read_topic(spark, RAW_TOPIC, root=args.topics, bootstrap_servers=args.bootstrap_servers, starting_offsets=offsets)
             print("topic source: available")
-        except Exception as exc:  # report, as a smoke check does
-            print(f"topic source: not available ({type(exc).__name__})")
+        except AnalysisException as exc:  # no connector, no such folder: report it, as a smoke check does
+            print(f"topic source: not available ({exc.getCondition() or type(exc).__name__})")
     return 0
 
 

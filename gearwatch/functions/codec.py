@@ -20,9 +20,10 @@ def decode(
     its type is NULL on its own.  Rows are never dropped.  ``keep`` passes other
     source columns (e.g. the topic ``timestamp``) through unchanged.
     """
-    text = F.col(value_col).cast("string")
-    parsed = df.select(*[F.col(c) for c in keep], F.from_json(text, schema).alias("__msg"))
-    return parsed.select(*keep, "__msg.*")
+    # inline() is a generator: the optimizer keeps filters and projections above it, so a
+    # message is parsed once however many of its fields they read
+    message = F.from_json(F.col(value_col).cast("string"), schema)
+    return df.select(*keep, F.inline(F.array(message)))
 
 
 def encode(

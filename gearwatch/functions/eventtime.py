@@ -2,26 +2,32 @@
 
 Convention: a TIMESTAMP_NTZ holds UTC wall-clock time (the given tables store
 ``ts`` that way); a TIMESTAMP is an instant.  The helpers convert between the
-two explicitly, so results do not depend on ``spark.sql.session.timeZone``.
+two by counting from the epoch, never through the session's local wall clock, so
+results do not depend on ``spark.sql.session.timeZone`` or its clock changes.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference: the event-time pattern it parses
-# (microsecond fraction, ISO offset or Z).  Written times use microseconds and +00:00.
+# (microsecond fraction, ISO offset or Z).
 EVENT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-UTC_WRITE_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
 def instant_of_utc(ntz: Column) -> Column:
     """TIMESTAMP_NTZ (UTC wall clock) -> TIMESTAMP instant."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ntz).cast("timestamp")
+    since = ntz - F.expr(_EPOCH)  # an interval between wall clocks: no zone is involved
+    micros = sum((F.extract(F.lit(unit), since).cast("bigint") * F.lit(size)
+                  for unit, size in (("DAY", 86_400_000_000), ("HOUR", 3_600_000_000), ("MINUTE", 60_000_000))),
+                 (F.extract(F.lit("SECOND"), since) * F.lit(1_000_000)).cast("bigint"))
+    return F.timestamp_micros(micros)
 
 
 def utc_of_instant(ts: Column) -> Column:
     """TIMESTAMP instant -> TIMESTAMP_NTZ holding its UTC wall clock."""
-    return F.convert_timezone(None, F.lit("UTC"), ts.cast("timestamp_ntz"))
+    seconds = (F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.expr(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def utc_now() -> Column:
@@ -44,4 +50,7 @@ def parse_event_time(text: Column, pattern: str = EVENT_TIME_PATTERN, lenient: b
 def format_event_time(utc_ntz: Column) -> Column:
     """ISO-8601 text with microseconds, e.g. ``2025-10-17T20:06:33.569184+00:00``,
     from a UTC wall-clock TIMESTAMP_NTZ (use ``utc_of_instant`` for an instant)."""
-    return F.date_format(utc_ntz, UTC_WRITE_PATTERN)
+    text = utc_ntz.cast("string")  # "2025-10-17 20:06:33.569184", trailing zeros of the fraction left out
+    fraction = F.rpad(F.regexp_extract(text, r"\.(\d+)$", 1), 6, "0")
+    whole = F.regexp_replace(F.regexp_replace(text, r"\.\d+$", ""), " ", "T")
+    return F.concat(whole, F.lit("."), fraction, F.lit("+00:00"))

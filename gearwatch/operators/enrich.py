@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gearwatch.functions.bands import GEAR_BOUNDS, classify_bands
-from gearwatch.operators.joins import broadcast_if_small, left_join_checked
+from gearwatch.operators.joins import HOT_SHARE, SALT_BUCKETS, broadcast_if_small, left_join_checked, with_every_salt
 from gearwatch.schemas import ENRICHED_EVENT
-from gearwatch.sources.dims import literal_rows, with_model_names
+from gearwatch.sources.dims import with_model_names
 
+# Lookups up to this size only name a car's model and colour: a car's profile stays about its size.
+LOOKUP_MAX_BYTES = 64 << 10
 PROFILE_COLUMNS = ("driver_id", "brand_name", "model_name", "color_name")
 
 
@@ -22,7 +24,6 @@ def lookup(events: DataFrame, dim: DataFrame, key: str, **join_opts) -> DataFram
     an implicit cast).  Unknown and NULL keys keep their event with NULL
     attributes; a key listed twice in ``dim`` doubles its events.
     """
-    join_opts.setdefault("salt_from", ["event_id"] if "event_id" in events.columns else None)
     return left_join_checked(events, dim, key, **join_opts)
 
 
@@ -32,33 +33,34 @@ def car_profiles(cars: DataFrame, models: DataFrame, colors: DataFrame) -> DataF
     ``cars LEFT JOIN models USING (model_id) LEFT JOIN colors USING (color_id)``.
     Joining the events once to this equals joining them to the three tables in
     turn: the later joins only read car columns and equality rejects NULLs.
-    The lookups are broadcast when their size checks small; a literal lookup's
-    row count is known, so its check (and its broadcast) starts no job.
+    The lookups are broadcast when the planner sizes them small (no job).
     """
     models, _ = broadcast_if_small(
-        with_model_names(models).select("model_id", "brand_name", "model_name"),
-        known_rows=literal_rows(models))
-    colors, _ = broadcast_if_small(colors.select("color_id", "color_name"),
-                                   known_rows=literal_rows(colors))
+        with_model_names(models).select("model_id", "brand_name", "model_name"))
+    colors, _ = broadcast_if_small(colors.select("color_id", "color_name"))
     return (cars.join(models, "model_id", "left")
             .join(colors, "color_id", "left")
             .select("car_id", *PROFILE_COLUMNS))
 
 
 def save_profiles(cars: DataFrame, models: DataFrame, colors: DataFrame, *, table: str, path: str,
-                  buckets: int) -> DataFrame:
-    """Write the flattened car profile as a table bucketed and sorted by ``car_id``.
+                  buckets: int, salts: int = 8) -> DataFrame:
+    """Write the flattened car profile as a table bucketed and sorted by ``car_id`` and a salt.
 
     For a fleet too large to broadcast: a join against the returned table
     shuffles only the events (into ``buckets`` partitions) and reads the
     profile bucket by bucket, with no exchange on its side - which matters
     for a stream, whose static side would otherwise be re-shuffled every
-    micro-batch.  One file per bucket (the rows are hash-partitioned the same
-    way first).  Write a new ``path`` per version and restart streams on it.
+    micro-batch.  AQE cannot split such a join, so every profile is stored once
+    per salt (``salts`` copies) and ``enrich`` salts the events: a hot car, or
+    events without one, are spread over ``salts`` buckets.  One file per bucket
+    (the rows are hash-partitioned the same way first).  Write a new ``path``
+    per version and restart streams on it.
     """
-    profiles = car_profiles(cars, models, colors)
-    (profiles.repartition(buckets, "car_id").write.mode("overwrite")
-     .bucketBy(buckets, "car_id").sortBy("car_id").option("path", path).saveAsTable(table))
+    profiles = with_every_salt(car_profiles(cars, models, colors), salts)
+    keys = ["car_id", profiles.columns[-1]]
+    (profiles.repartition(buckets, *keys).write.mode("overwrite")
+     .bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table))
     return profiles.sparkSession.table(table)
 
 
@@ -70,11 +72,10 @@ def enrich(
     *,
     profiles: DataFrame | None = None,
     bounds: Sequence[float] = GEAR_BOUNDS,
-    broadcast_max_rows: int | None = None,
+    broadcast_max_bytes: int | None = None,
     skew: str = "auto",
-    salt_buckets: int = 64,
-    hot_key_min_rows: int = 1_000_000,
-    max_hot_keys: int = 10_000,
+    salt_buckets: int = SALT_BUCKETS,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Add ``driver_id, brand_name, model_name, color_name, expected_gear`` to events.
 
@@ -85,18 +86,19 @@ def enrich(
     ``profiles`` (e.g. from ``save_profiles``) replaces the three dimensions
     with an already flattened profile.
 
-    Join strategy: the car profile is broadcast when its row count is within
-    ``broadcast_max_rows`` (checked); otherwise a shuffle join.  With
-    ``skew="auto"`` (batch only) the shuffle path first finds car ids with at
-    least ``hot_key_min_rows`` events and salts them over ``salt_buckets``
-    tasks; ``skew="aqe"`` leaves hot partitions to AQE's skew-join split, which
-    is also the path for streaming inputs.
+    Join strategy (``left_join_checked``): the car profile is broadcast when the
+    planner sizes it within ``broadcast_max_bytes``; otherwise a shuffle join
+    that spreads hot and missing car ids over ``salt_buckets`` tasks, for batch
+    inputs, streams and bucketed profiles alike.
     """
+    small = False
     if profiles is None:
         profiles = car_profiles(cars, models, colors)
-    joined = lookup(events, profiles, "car_id", broadcast_max_rows=broadcast_max_rows, skew=skew,
-                    salt_buckets=salt_buckets, hot_key_min_rows=hot_key_min_rows,
-                    max_hot_keys=max_hot_keys)
+        # the planner sizes a join by the product of its sides; a profile is a car with three names
+        small = all(broadcast_if_small(dim, bound)[1] for dim, bound in (
+            (cars, broadcast_max_bytes), (models, LOOKUP_MAX_BYTES), (colors, LOOKUP_MAX_BYTES)))
+    joined = lookup(events, profiles, "car_id", broadcast_max_bytes=broadcast_max_bytes, right_is_small=small, skew=skew,
+                    salt_buckets=salt_buckets, hot_share=hot_share)
     ordered = events.columns + [c for c in PROFILE_COLUMNS if c not in events.columns]
     return classify_bands(joined.select(*ordered), "speed", bounds, "expected_gear")
 

@@ -1,80 +1,95 @@
-"""Join strategy helpers: broadcast only behind a size check, salt hot keys otherwise."""
+"""Join strategy helpers: broadcast only what the planner has sized, salt hot and NULL keys otherwise."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-# A broadcast side is copied to every executor; cap it by rows (a car profile
-# row is ~100 bytes, so the default is ~100 MB per executor at most).
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# A broadcast side is copied to every executor: bound it by the planner's size estimate
+# (file sizes of a Parquet table; exact for literal tables).
+BROADCAST_MAX_BYTES = 32 << 20
+# A key is hot from this share of the rows on; so at most 1 / HOT_SHARE keys are.
+HOT_SHARE = 1 / 1024
+SALT_BUCKETS = 64
+# A table that holds every key once per salt names the salt column after their number.
+SALT_COLUMN = "salt_of_{}"
+_SALT_NAME = re.compile(r"salt_of_(\d+)$")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
-                       known_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Hint ``df`` for broadcast only if it has at most ``max_rows`` rows.
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (planning only, no job; huge if it knows nothing)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    The check is ``limit(max_rows + 1).count()``: it stops reading as soon as
-    the bound is exceeded, so it costs little even on a large table.
-    ``known_rows`` is an exact row count known without running anything (a
-    literal table's), which replaces the check.
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Hint ``df`` for broadcast only if the planner sizes it at ``max_bytes`` or less.
+
+    A frame it cannot size is not hinted; adaptive execution may still broadcast it, by the
+    bytes its shuffle really wrote.  ``max_bytes=0`` asks for a shuffle join.
     """
-    max_rows = DEFAULT_BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    if max_rows <= 0:
-        return df, False
-    if known_rows is not None:
-        small = known_rows <= max_rows
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    if max_bytes <= 0:
+        return df.hint("merge"), False
+    small = planned_bytes(df) <= max_bytes
     return (F.broadcast(df) if small else df), small
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int) -> list | None:
-    """Values of ``key`` with at least ``min_rows`` rows in ``df``, or None if there are none.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Non-NULL values of ``key`` that hold at least ``share`` of the rows of ``df``, heaviest first.
 
-    Counting is a partial (map-side) aggregate, so a key holding a third of
-    all rows costs one small row per task.  At most ``total / min_rows`` keys
-    can qualify, and at most ``max_keys + 1`` are fetched: the list is a
-    checked-small value (like a broadcast), not data.  With more heavy keys
-    than ``max_keys`` the load is spread over many keys anyway, so None is
-    returned and the plain shuffle join (with AQE's skew split) is used.
+    One job: the counts are a partial (map-side) aggregate, the total is observed on the way, and
+    at most ``1 / share`` keys can qualify, so the list is bounded whatever the size of ``df``.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    rows = counts.where(F.col("__n") >= min_rows).select(key).limit(max_keys + 1).collect()
-    if not rows or len(rows) > max_keys:
-        return None
-    return [r[0] for r in rows]
+    total = Observation()
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).observe(total, F.sum("n").alias("rows"))
+    heaviest = counts.where(F.col(key).isNotNull()).orderBy(F.desc("n"), key).limit(int(1 / share)).collect()
+    rows = (total.get.get("rows") or 0) if heaviest else 0
+    return [r[0] for r in heaviest if r["n"] >= max(2, rows * share)]
 
 
-def salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    salt_from: Sequence[str],
-    buckets: int,
-    hot: Sequence,
-) -> DataFrame:
-    """Left outer equi-join on ``key`` that spreads the ``hot`` keys over ``buckets`` tasks.
-
-    Rows of ``left`` with a hot key get a salt in ``[0, buckets)`` from a hash
-    of ``salt_from``; the matching ``right`` rows are copied once per salt.
-    Every left row still meets exactly the right rows of its key, so the result
-    equals the plain left join, and no task holds more than ``1/buckets`` of a
-    hot key.  Cold keys keep salt 0 and are not copied.  Hot rows are found
-    with an in-set test on the (checked-small) key list, not a join.
+def row_salt(columns: Sequence[str], buckets: int) -> Column:
+    """A salt in ``[0, buckets)`` from the content of a row (NULLs count too)."""
+    marks = [F.col(c).isNull() for c in columns]
+    return F.pmod(F.xxhash64(*[F.col(c) for c in columns], *marks), F.lit(buckets)).cast("int")
+
+
+def with_every_salt(right: DataFrame, buckets: int) -> DataFrame:
+    """Each row of ``right`` once per salt, in a column that names the number of salts."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias(SALT_COLUMN.format(buckets))
+    return right.select("*", salts)
+
+
+def salts_of(df: DataFrame) -> int | None:
+    """How many salts a table made by ``with_every_salt`` has, else None."""
+    return next((int(m[1]) for c in df.columns if (m := _SALT_NAME.match(c))), None)
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, salt_from: Sequence[str], buckets: int,
+                     hot: Sequence) -> DataFrame:
+    """Left outer equi-join on ``key`` that spreads ``hot`` and NULL keys over ``buckets`` tasks.
+
+    Left rows with such a key get a salt from a hash of ``salt_from``; right rows of a hot key are copied
+    once per salt.  Every left row still meets exactly the right rows of its key (a NULL key
+    none), so the result equals the plain left join.  Other keys keep salt 0 and are not copied.
+    Hot rows are found with an in-set test on the bounded key list, not a join.
     """
-    is_hot_left = F.col(key).isin(list(hot))
-    is_hot_right = F.col(key).isin(list(hot))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets))
-    left_s = left.withColumn("__salt", F.when(is_hot_left, salt).otherwise(F.lit(0)).cast("long"))
-    right_s = right.withColumn(
-        "__salt",
-        F.explode(F.when(is_hot_right, F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long")))
-                  .otherwise(F.array(F.lit(0).cast("long")))),
-    )
-    return left_s.join(right_s, [key, "__salt"], "left").drop("__salt")
+    spread = F.col(key).isNull() | F.col(key).isin(list(hot))
+    salted = left.withColumn("__salt", F.when(spread, row_salt(salt_from, buckets)).otherwise(F.lit(0)))
+    copies = F.when(F.col(key).isin(list(hot)), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(right.withColumn("__salt", F.explode(copies)), [key, "__salt"], "left").drop("__salt")
+
+
+def evenly_salted_left_join(left: DataFrame, right: DataFrame, key: str, salt_from: Sequence[str]) -> DataFrame:
+    """Left outer equi-join with a ``right`` made by ``with_every_salt``: all rows are salted.
+
+    Needs no look at the data beforehand, so it serves streams and bucketed tables.
+    """
+    salt = SALT_COLUMN.format(salts_of(right))
+    salted = left.withColumn(salt, row_salt(salt_from, salts_of(right)))
+    return salted.join(right, [key, salt], "left").drop(salt)
 
 
 def left_join_checked(
@@ -82,30 +97,31 @@ def left_join_checked(
     right: DataFrame,
     key: str,
     *,
-    broadcast_max_rows: int | None = None,
-    right_rows: int | None = None,
+    broadcast_max_bytes: int | None = None,
+    right_is_small: bool = False,
     skew: str = "auto",
-    salt_buckets: int = 64,
-    hot_key_min_rows: int = 1_000_000,
-    max_hot_keys: int = 10_000,
+    salt_buckets: int = SALT_BUCKETS,
+    hot_share: float = HOT_SHARE,
     salt_from: Sequence[str] | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` with the join strategy chosen by checked sizes.
 
-    1. ``right`` within ``broadcast_max_rows`` (checked, or ``right_rows`` if
-       known): broadcast hash join, no shuffle of ``left``.
-    2. Otherwise a shuffle join.  With ``skew="auto"`` on a batch input, keys of
-       ``left`` with at least ``hot_key_min_rows`` rows are salted over
-       ``salt_buckets`` tasks (``salted_left_join``); ``skew="aqe"``, a
-       streaming input, or no hot key leaves it to AQE's skew-join split.
+    1. ``right`` sized within ``broadcast_max_bytes``, or known to be small (``right_is_small``, checked
+       by the caller): broadcast hash join, no shuffle of ``left``.
+    2. ``right`` made by ``with_every_salt`` (e.g. a bucketed table): all left rows are salted.
+    3. Otherwise a shuffle join.  A batch input is counted by key first, and keys with at least
+       ``hot_share`` of the rows, and NULL keys, are spread over ``salt_buckets`` tasks; a stream
+       cannot be counted, so all its rows are salted and ``right`` is copied that often.
+       ``skew="aqe"`` leaves hot partitions to AQE's skew-join split (batch only).
     """
     if skew not in ("auto", "aqe"):
         raise ValueError(f"unknown skew strategy {skew!r}")
-    right, small = broadcast_if_small(right, broadcast_max_rows, right_rows)
-    if small or skew == "aqe" or left.isStreaming:
-        return left.join(right, key, "left")
-    hot = hot_keys(left, key, hot_key_min_rows, max_hot_keys)
-    if hot is None:
+    columns = list(salt_from) if salt_from else left.columns
+    if salts_of(right) is not None:
+        return evenly_salted_left_join(left, right, key, columns)
+    right, small = (F.broadcast(right), True) if right_is_small else broadcast_if_small(right, broadcast_max_bytes)
+    if small or (skew == "aqe" and not left.isStreaming):
         return left.join(right, key, "left")
-    cols = list(salt_from) if salt_from else left.columns
-    return salted_left_join(left, right, key, cols, salt_buckets, hot)
+    if left.isStreaming:
+        return evenly_salted_left_join(left, with_every_salt(right, salt_buckets), key, columns)
+    return salted_left_join(left, right, key, columns, salt_buckets, hot_keys(left, key, hot_share))

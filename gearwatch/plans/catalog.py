@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from gearwatch.functions.bands import classify_bands
 from gearwatch.functions.codec import decode, encode
-from gearwatch.functions.eventtime import parse_event_time, utc_of_instant
+from gearwatch.functions.eventtime import format_event_time, parse_event_time, utc_of_instant
 from gearwatch.functions.hashing import hash31
 from gearwatch.operators.enrich import car_profiles, enrich, lookup, to_enriched_record
 from gearwatch.operators.rules import detect, gear_mismatch, high_rpm, overspeed
@@ -30,34 +30,32 @@ from gearwatch.plans.chain import (
     fused_plan,
     staged_plan,
 )
-from gearwatch.plans.oracle import HOT_CAR, HOT_TIME, INJECT_AT_TEXT
 from gearwatch.schemas import ENRICHED_EVENT, RAW_EVENT
-from gearwatch.session import fresh_dir
-from gearwatch.sources.dims import car_colors, car_models, hashed_cars, read_dimension, write_dimension
-from gearwatch.sources.generate import injected_alert, synth_events
+from gearwatch.session import discard, fresh_dir, is_folder
+from gearwatch.sources.dims import car_colors, car_models, read_dimension, write_dimension
 from gearwatch.sources.testdata import (
     cars_from_customers,
     read_table,
     sensor_columns,
-    spread_if_narrow,
     table_path,
     telemetry_cars,
     telemetry_events,
 )
-from gearwatch.sources.topics import RAW_TOPIC, read_topic, write_topic
-from gearwatch.streaming.jobs import counter_frame, start_detection, start_enrichment
+from gearwatch.sources.topics import ENRICHED_TOPIC, RAW_TOPIC, read_topic, write_topic
+from gearwatch.streaming.jobs import counter_frame, publish_alert, start_detection, start_enrichment
 from gearwatch.streaming.runner import (
     await_or_stop,
     materialize,
     read_materialized,
     start_materialize,
-    window_state_partitions,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
-# Bound on the files one micro-batch takes from a table folder, so a backfill
-# over a large table advances (and recovers) in steps instead of one batch.
-STREAM_MAX_FILES_PER_TRIGGER = 1000
+# One car and one instant that a third of the events are moved to (skew queries).
+HOT_CAR = 7
+HOT_TIME = "2024-01-10 10:07:00"
+# Event time of the injected alert (inside the 30 days the given events cover).
+INJECT_AT = "2024-01-15T12:05:00.000000+00:00"
 WINDOW_KEYS = ("window_start", "window_end")
 RAW_FIELDS = [f.name for f in RAW_EVENT.fields]
 
@@ -93,21 +91,12 @@ def scan_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(fresh_dir(spark, "dims"), "cars", "v=1")
-    write_dimension(telemetry_cars(spark, sf_dir), path)
+    write_dimension(telemetry_cars(spark, sf_dir, unregistered=False), path)
     return read_dimension(spark, path)
 
 
 def literal_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return car_profiles(*_dims(spark, sf_dir))
-
-
-def hashed_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hashed_cars(read_table(spark, sf_dir, "customer"), "c_custkey", keep=("c_custkey",))
-
-
-def synth_events_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "ts")
-    return synth_events(ids, telemetry_cars(spark, sf_dir), id_col="id", time_col="ts")
+    return car_profiles(telemetry_cars(spark, sf_dir, unregistered=False), car_models(spark), car_colors(spark))
 
 
 # ------------------------------------------------------------------ projections and codec
@@ -147,12 +136,12 @@ def json_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parse_event_time_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = telemetry_events(spark, sf_dir)
     k = _class("event_id", 51, 4)
+    shifted = format_event_time(F.col("ts") + F.expr("INTERVAL 2 HOURS"))
     text = (
         F.when(k == 0, F.col("event_time"))
-        .when(k == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .when(k == 2, F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"),
-                                    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"))
+        .when(k == 1, F.concat(F.substring("event_time", 1, 23), F.lit("Z")))       # milliseconds
+        .when(k == 2, F.concat(F.substring(shifted, 1, 26), F.lit("+02:00")))
+        .otherwise(F.concat(F.substring("event_time", 1, 19), F.lit("+00:00")))     # no fraction
     )
     timed = ev.select("event_id", text.alias("event_time"))
     return timed.withColumn("event_time_ts", utc_of_instant(parse_event_time(F.col("event_time"))))
@@ -166,9 +155,9 @@ def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
-    cars = cars_from_customers(customer)
+    cars = cars_from_customers(customer, unregistered=True)
     # cars registered a second time (another driver): their events double
-    again = cars_from_customers(customer.where(F.col("c_mktsegment") == "AUTOMOBILE")) \
+    again = cars_from_customers(customer.where(F.col("c_mktsegment") == "AUTOMOBILE"), unregistered=True) \
         .withColumn("driver_id", F.col("driver_id") + F.lit(500000000))
     fleet = cars.unionByName(again).select("car_id", "driver_id")
     return lookup(telemetry_events(spark, sf_dir), fleet, "car_id").select("event_id", "car_id", "driver_id")
@@ -178,21 +167,17 @@ def enrich_snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_enriched_record(_enriched(spark, sf_dir))
 
 
-
-
 def _one_third(spark: SparkSession, sf_dir: str, salt: int):
     ev = telemetry_events(spark, sf_dir)
     return ev, _class("event_id", salt, 3) == 0
 
 
 def enrich_hot_car(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of all events belong to one car; the fleet is joined by shuffle (as a
-    fleet too large to broadcast would be), so the hot car is salted over many tasks."""
+    """A third of all events belong to one car, a seventh of the others to none; the fleet is
+    joined by shuffle (as a fleet too large to broadcast would be), so both are salted over many tasks."""
     ev, hot = _one_third(spark, sf_dir, 61)
-    ev = ev.withColumn("car_id", F.when(hot, F.lit(HOT_CAR)).otherwise(F.col("car_id")))
-    hot_rows = max(1, ev.count() // 64)  # a key above 1/64 of the rows is hot
-    out = enrich(ev, *_dims(spark, sf_dir), broadcast_max_rows=0, skew="auto",
-                 hot_key_min_rows=hot_rows, salt_buckets=16)
+    car = F.when(hot, F.lit(HOT_CAR)).when(_class("event_id", 62, 7) != 0, F.col("car_id"))
+    out = enrich(ev.withColumn("car_id", car), *_dims(spark, sf_dir), broadcast_max_bytes=0, salt_buckets=16)
     return to_enriched_record(out)
 
 
@@ -248,8 +233,15 @@ def staged_topic_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inject_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = encode(injected_alert(spark, event_time=INJECT_AT_TEXT), ENRICHED_FIELDS)
-    return counting_stage(_alert_records(spark, sf_dir).unionByName(one))
+    """The detection job's alert topic, the manual alert published into it, and the counter over both."""
+    base = fresh_dir(spark, "inject-alert")
+    topics = os.path.join(base, "topics")
+    write_topic(encode(to_enriched_record(_enriched(spark, sf_dir)), ENRICHED_FIELDS), ENRICHED_TOPIC, root=topics)
+    await_or_stop(start_detection(spark, checkpoint=os.path.join(base, "ck-detect"), topics_root=topics,
+                                  trigger="available-now"))
+    publish_alert(spark, topics_root=topics, event_time=INJECT_AT)
+    metrics = counter_frame(spark, topics_root=topics, watermark=WATERMARK)
+    return _finished(spark, base, metrics, "complete")
 
 
 def preview(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
@@ -258,31 +250,36 @@ def preview(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
 
 # ------------------------------------------------------------------ streaming
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = STREAM_MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """A given table opened as a file stream (schema from the footers, no inference)."""
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A given table opened as a file stream (schema from the footers, no inference).
+
+    By default all files that are there make one micro-batch: files are not in order of event
+    time, so a watermark of one batch could rule out rows of the next."""
     path = table_path(sf_dir, name).rstrip("/")
-    batch = spark.read.parquet(path)
-    reader = spark.readStream.schema(batch.schema)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = batch.inputFiles()
-    single = len(files) == 1 and files[0].rstrip("/").endswith("/" + os.path.basename(path))
-    if not single:
+    if is_folder(spark, path):
         return reader.parquet(path)
     # the table is one file: stream its folder, filtered to that file
     return reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
 
 
-def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sensor_columns(stream_table(spark, sf_dir, "events"))
+def _stream_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    return sensor_columns(stream_table(spark, sf_dir, "events", max_files_per_trigger))
 
 
-def _run(spark: SparkSession, name: str, df: DataFrame, mode: str, key_cols=(),
-         stateful: bool = False) -> DataFrame:
-    base = fresh_dir(spark, name)
-    return materialize(df, output_mode=mode, out_dir=os.path.join(base, "out"),
-                       checkpoint=os.path.join(base, "checkpoint"), key_cols=key_cols,
-                       state_partitions=window_state_partitions(spark) if stateful else None)
+def _finished(spark: SparkSession, base: str, df: DataFrame, mode: str, key_cols=()) -> DataFrame:
+    """The result of a stream, read from ``base``; what else was written there is given up."""
+    out, state = os.path.join(base, "out"), os.path.join(base, "state")
+    result = materialize(df, output_mode=mode, out_dir=out, checkpoint=state, key_cols=key_cols)
+    for scratch in ("state", "topics", "inbox", "ck-enrich", "ck-detect"):
+        discard(spark, os.path.join(base, scratch))
+    return result
+
+
+def _run(spark: SparkSession, name: str, df: DataFrame, mode: str, key_cols=()) -> DataFrame:
+    return _finished(spark, fresh_dir(spark, name), df, mode, key_cols)
 
 
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,22 +292,22 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, "stream-alerts", df, "append")
 
 
-def _stream_windows(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
+def _stream_windows(spark: SparkSession, sf_dir: str, source: DataFrame | None = None,
+                    watermark: str = WATERMARK) -> DataFrame:
     events = source if source is not None else _stream_events(spark, sf_dir)
-    return window_metrics(alerts_of(events, *_dims(spark, sf_dir)), "ts", watermark=WATERMARK)
+    return window_metrics(alerts_of(events, *_dims(spark, sf_dir)), "ts", watermark=watermark)
 
 
 def stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, "stream-complete", _stream_windows(spark, sf_dir), "complete", stateful=True)
+    return _run(spark, "stream-complete", _stream_windows(spark, sf_dir), "complete")
 
 
 def stream_window_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, "stream-update", _stream_windows(spark, sf_dir), "update", WINDOW_KEYS,
-                stateful=True)
+    return _run(spark, "stream-update", _stream_windows(spark, sf_dir), "update", WINDOW_KEYS)
 
 
 def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, "stream-append", _stream_windows(spark, sf_dir), "append", stateful=True)
+    return _run(spark, "stream-append", _stream_windows(spark, sf_dir), "append")
 
 
 def _hour_cut(events: DataFrame):
@@ -322,82 +319,69 @@ def _hour_cut(events: DataFrame):
     return F.lit(mid.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def _in_steps(spark: SparkSession, sf_dir: str, name: str, parts, steps: int, keep_all: bool) -> DataFrame:
+    """Window counts in update mode over a source that grows by the next of ``parts(cut)`` before each
+    of ``steps`` runs of one checkpoint."""
+    base = fresh_dir(spark, name)
+    inbox, out, ckpt = (os.path.join(base, p) for p in ("inbox", "out", "state"))
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+    conditions = parts(_hour_cut(events))
+    metrics = None
+    for step in range(steps):
+        if step < len(conditions):
+            events.where(conditions[step]).write.mode("append").parquet(inbox)
+        if metrics is None:
+            source = sensor_columns(spark.readStream.schema(events.schema).parquet(inbox))
+            metrics = _stream_windows(spark, sf_dir, source)
+        query = start_materialize(metrics, output_mode="update", out_dir=out, checkpoint=ckpt)
+        await_or_stop(query, keep_all=keep_all)
+    for scratch in (inbox, ckpt):
+        discard(spark, scratch)
+    return read_materialized(spark, out, "update", metrics.schema, WINDOW_KEYS)
+
+
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update-mode window counts when the later half of the events arrives first.
 
     The earlier half then lies behind the 48-hour watermark and is dropped as
-    late; what remains are the windows of the later half."""
-    base = fresh_dir(spark, "stream-late")
-    inbox, out, ckpt = (os.path.join(base, p) for p in ("inbox", "out", "checkpoint"))
-    events = spread_if_narrow(read_table(spark, sf_dir, "events"))
-    cut = _hour_cut(events)
-    later = F.col("ts") >= cut
-    events.where(later).write.mode("append").parquet(inbox)
-    source = sensor_columns(spark.readStream.schema(events.schema).parquet(inbox))
-    metrics = _stream_windows(spark, sf_dir, source)
-    for step in range(2):
-        if step == 1:
-            events.where(~later | F.col("ts").isNull()).write.mode("append").parquet(inbox)
-        query = start_materialize(metrics, output_mode="update", out_dir=out, checkpoint=ckpt,
-                                  state_partitions=window_state_partitions(spark))
-        if not await_or_stop(query, 600):
-            raise TimeoutError("late-data run did not finish")
-    return read_materialized(spark, out, "update", metrics.schema, WINDOW_KEYS)
+    late (the feature shown here); what remains are the windows of the later half."""
+    ts = F.col("ts")
+    return _in_steps(spark, sf_dir, "stream-late", lambda cut: (ts >= cut, ~(ts >= cut) | ts.isNull()), 2,
+                     keep_all=False)
 
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window counts in update mode over a source that grows between three runs of
     one checkpoint: first half of the events, then the rest, then nothing new."""
-    base = fresh_dir(spark, "stream-restart")
-    inbox, out, ckpt = (os.path.join(base, p) for p in ("inbox", "out", "checkpoint"))
-    events = spread_if_narrow(read_table(spark, sf_dir, "events"))
-    cut = _hour_cut(events)
-    events.where(F.col("ts") < cut).write.mode("append").parquet(inbox)
-    source = sensor_columns(spark.readStream.schema(events.schema).parquet(inbox))
-    metrics = _stream_windows(spark, sf_dir, source)
-    for step in range(3):
-        if step == 1:
-            events.where(~(F.col("ts") < cut) | F.col("ts").isNull() | cut.isNull()) \
-                .write.mode("append").parquet(inbox)
-        query = start_materialize(metrics, output_mode="update", out_dir=out, checkpoint=ckpt,
-                                  state_partitions=window_state_partitions(spark))
-        if not await_or_stop(query, 600):
-            raise TimeoutError("restart run did not finish")
-    return read_materialized(spark, out, "update", metrics.schema, WINDOW_KEYS)
+    ts = F.col("ts")
+    return _in_steps(spark, sf_dir, "stream-restart",
+                     lambda cut: (ts < cut, ~(ts < cut) | ts.isNull() | cut.isNull()), 3, keep_all=True)
+
+
+def _raw_topic(spark: SparkSession, sf_dir: str, base: str) -> str:
+    topics = os.path.join(base, "topics")
+    write_topic(encode(telemetry_events(spark, sf_dir), RAW_FIELDS, key="event_id"), RAW_TOPIC, root=topics)
+    return topics
 
 
 def stream_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-event topic -> window metrics in one streaming query (no intermediate topics)."""
     base = fresh_dir(spark, "stream-fused")
-    topics = os.path.join(base, "topics")
-    write_topic(encode(telemetry_events(spark, sf_dir), RAW_FIELDS, key="event_id"), RAW_TOPIC,
-                root=topics)
-    metrics = fused_from_records(read_topic(spark, RAW_TOPIC, root=topics), *_dims(spark, sf_dir),
-                                 watermark=WATERMARK)
-    return materialize(metrics, output_mode="update", out_dir=os.path.join(base, "out"),
-                       checkpoint=os.path.join(base, "checkpoint"), key_cols=WINDOW_KEYS,
-                       state_partitions=window_state_partitions(spark))
+    raw = read_topic(spark, RAW_TOPIC, root=_raw_topic(spark, sf_dir, base))
+    metrics = fused_from_records(raw, *_dims(spark, sf_dir), watermark=WATERMARK)
+    return _finished(spark, base, metrics, "update", WINDOW_KEYS)
 
 
 def topic_chain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three stream jobs chained through file-backed topics, each run to completion."""
     base = fresh_dir(spark, "topic-chain")
-    topics = os.path.join(base, "topics")
-    raw = encode(telemetry_events(spark, sf_dir), RAW_FIELDS, key="event_id")
-    write_topic(raw, RAW_TOPIC, root=topics)
-    cars, models, colors = _dims(spark, sf_dir)
-    for start in (
-        lambda: start_enrichment(spark, cars, models, colors, checkpoint=os.path.join(base, "ck-enrich"),
-                                 topics_root=topics, trigger="available-now"),
-        lambda: start_detection(spark, checkpoint=os.path.join(base, "ck-detect"),
-                                topics_root=topics, trigger="available-now"),
-    ):
-        if not await_or_stop(start(), 600):
-            raise TimeoutError("stage did not finish")
+    topics = _raw_topic(spark, sf_dir, base)
+    await_or_stop(start_enrichment(spark, *_dims(spark, sf_dir), checkpoint=os.path.join(base, "ck-enrich"),
+                                   topics_root=topics, trigger="available-now"))
+    await_or_stop(start_detection(spark, checkpoint=os.path.join(base, "ck-detect"), topics_root=topics,
+                                  trigger="available-now"))
     metrics = counter_frame(spark, topics_root=topics, watermark=WATERMARK)
-    return materialize(metrics, output_mode="complete", out_dir=os.path.join(base, "out"),
-                       checkpoint=os.path.join(base, "ck-count"),
-                       state_partitions=window_state_partitions(spark))
+    return _finished(spark, base, metrics, "complete")
 
 
 QUERIES: dict[str, Query] = {
@@ -405,8 +389,6 @@ QUERIES: dict[str, Query] = {
     "scan_dim": scan_dim,
     "dim_roundtrip": dim_roundtrip,
     "literal_dims": literal_dims,
-    "hashed_dim": hashed_dim,
-    "synth_events": synth_events_q,
     "expected_gear": expected_gear,
     "enrich_left": enrich_left,
     "join_fanout": join_fanout,

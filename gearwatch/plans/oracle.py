@@ -2,25 +2,20 @@
 
 They read the given tables (``events``, ``customer``) directly and restate each
 rule in SQL: the telemetry view, the lookups, the band CASE, the alert OR, the
-windows (``time_bucket``), the seeded hash and the numbering of the fleet.
+windows (``time_bucket``) and the seeded hash.
 Column names and types match the Spark results so the two can be compared.
 """
 
 from __future__ import annotations
 
-from gearwatch.functions.bands import GEAR_BOUNDS
-from gearwatch.functions.hashing import M31
-from gearwatch.operators.rules import RPM_LIMIT, SPEED_LIMIT
-from gearwatch.operators.windows import COUNTED_COLORS
-from gearwatch.sources.dims import (
-    CAR_COLOR_ROWS,
-    CAR_ID_RANGE,
-    CAR_MODEL_ROWS,
-    COLOR_ID_RANGE,
-    DRIVER_ID_RANGE,
-    MODEL_ID_RANGE,
-)
-from gearwatch.sources.generate import GEAR_RANGE, INJECTED_ALERT, RPM_RANGE, SPEED_RANGE
+# Every value is written out here, not imported from the code that is checked.
+GEAR_BOUNDS = (0, 30, 60, 90, 120, 150, 180)
+SPEED_LIMIT = 120
+RPM_LIMIT = 6000
+COUNTED_COLORS = ("Black", "White", "Silver")
+CAR_MODEL_ROWS = ((1, "Mazda", "3"), (2, "Mazda", "6"), (3, "Toyota", "Corolla"), (4, "Hyundai", "i20"),
+                  (5, "Kia", "Sportage"), (6, "Kia", "Rio"), (7, "Kia", "Picanto"))
+CAR_COLOR_ROWS = ((1, "Black"), (2, "Red"), (3, "Gray"), (4, "White"), (5, "Green"), (6, "Blue"), (7, "Pink"))
 
 # ---------------------------------------------------------------- hashing in SQL
 _MULS = (2654435761, 2246822519, 3266489917)
@@ -32,7 +27,7 @@ def hash_ctes(source: str, id_expr: str, salts: dict[str, int], name: str = "hx"
     Same integer mix as ``gearwatch.functions.hashing.hash31``.  Returns the CTE
     text (without a leading WITH) and the name of the last CTE.
     """
-    m = M31
+    m = 2147483648
     s0 = f"{name}0 AS (SELECT *, xor(({id_expr}), ({id_expr}) >> 31) % {m} AS __fold FROM {source})"
     a = ", ".join(f"((__fold + {salt * 7919 + 1}) * {_MULS[0]}) % {m} AS __a_{c}" for c, salt in salts.items())
     b = ", ".join(f"(xor(__a_{c}, __a_{c} >> 15) * {_MULS[1]}) % {m} AS __b_{c}" for c in salts)
@@ -48,10 +43,6 @@ def hash_ctes(source: str, id_expr: str, salts: dict[str, int], name: str = "hx"
     return ",\n".join(ctes), f"{name}4"
 
 
-def uniform_sql(h: str, lo: int, hi: int) -> str:
-    return f"({lo} + ((({h}) * {hi - lo + 1}) >> 31))"
-
-
 # ---------------------------------------------------------------- shared views
 def band_case(col: str = "speed") -> str:
     whens = " ".join(f"WHEN {col} < {b} THEN {i}" for i, b in enumerate(GEAR_BOUNDS))
@@ -67,11 +58,13 @@ EV = """ev AS (
          CAST(1 + event_id % 6 AS INTEGER) AS gear
   FROM events)"""
 
-CARS = """cars AS (
+ALL_CARS = """cars AS (
   SELECT c_custkey AS car_id, 100000000 + c_custkey AS driver_id,
          CAST(c_nationkey % 7 + 1 AS BIGINT) AS model_id, CAST(c_custkey % 7 + 1 AS BIGINT) AS color_id,
          c_mktsegment
-  FROM customer WHERE c_custkey % 5 <> 4)"""
+  FROM customer)"""
+# every fifth car has no id yet
+CARS = ALL_CARS.replace("c_custkey AS car_id", "CASE WHEN c_custkey % 5 <> 4 THEN c_custkey END AS car_id")
 
 
 def _values(rows, cols) -> str:
@@ -117,40 +110,6 @@ def with_base(sql: str, extra: str = "") -> str:
 
 
 # ---------------------------------------------------------------- per query
-def _hashed_dim() -> str:
-    ctes, last = hash_ctes("customer", "c_custkey", {"h1": 1, "h2": 2, "h3": 3, "h4": 4})
-    return f"""WITH {ctes}
-SELECT c_custkey,
-       {uniform_sql('h1', *CAR_ID_RANGE)} AS car_id,
-       {uniform_sql('h2', *DRIVER_ID_RANGE)} AS driver_id,
-       {uniform_sql('h3', *MODEL_ID_RANGE)} AS model_id,
-       {uniform_sql('h4', *COLOR_ID_RANGE)} AS color_id
-FROM {last}"""
-
-
-def _synth_events() -> str:
-    ctes, last = hash_ctes("events", "event_id", {"h_car": 11, "h_speed": 12, "h_rpm": 13, "h_gear": 14,
-                                                  "h_id0": 15, "h_id1": 16, "h_id2": 17, "h_id3": 18})
-
-    def hx(e, w):
-        return f"lpad(lower(hex({e})), {w}, '0')"
-
-    uuid = (f"concat_ws('-', {hx('h_id0', 8)}, {hx('h_id1 % 65536', 4)}, '4' || {hx('h_id2 % 4096', 3)}, "
-            f"'8' || {hx('h_id3 % 4096', 3)}, {hx('event_id', 12)})")
-    return f"""WITH {CARS},
-fleet AS (SELECT car_id, row_number() OVER (ORDER BY car_id, driver_id, model_id, color_id) - 1 AS row_idx
-          FROM cars),
-{ctes}
-SELECT {uuid} AS event_id,
-       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS event_time,
-       TRY_CAST(f.car_id AS INTEGER) AS car_id,
-       CAST({uniform_sql('h_speed', SPEED_RANGE[0] * 100, SPEED_RANGE[1] * 100)} AS DOUBLE) / 100.0 AS speed,
-       CAST({uniform_sql('h_rpm', *RPM_RANGE)} AS INTEGER) AS rpm,
-       CAST({uniform_sql('h_gear', *GEAR_RANGE)} AS INTEGER) AS gear
-FROM {last} e
-JOIN fleet f ON f.row_idx = (e.h_car * (SELECT count(*) FROM cars)) >> 31"""
-
-
 def _json_encode() -> str:
     """Spark's JSON text: fields in record order, NULL fields left out."""
     texts = {"event_id", "event_time", "brand_name", "model_name", "color_name"}
@@ -204,6 +163,20 @@ ev AS (SELECT {sel} FROM {last}),
 {ALERTS}"""
 
 
+def _hot_car() -> str:
+    """A third of the events on car 7, a seventh of the others without a car."""
+    hot, a = hash_ctes("ev0", "CAST(event_id AS BIGINT)", {"h": 61})
+    none, b = hash_ctes(a, "CAST(event_id AS BIGINT)", {"g": 62}, name="gx")
+    return f"""WITH {CARS}, {MODELS}, {COLORS},
+ev0 AS ({EV[len('ev AS ('):-1]}),
+{hot},
+{none},
+ev AS (SELECT event_id, ts, event_time, CASE WHEN h % 3 = 0 THEN CAST(7 AS INTEGER) WHEN g % 7 <> 0 THEN car_id END AS car_id,
+              speed, rpm, gear FROM {b}),
+{ENR},
+{ALERTS}"""
+
+
 def _parse_event_time() -> str:
     ctes, last = hash_ctes("ev", "CAST(event_id AS BIGINT)", {"h": 51})
     return f"""WITH {EV},
@@ -219,22 +192,10 @@ FROM cls"""
 
 
 def _inject_alert() -> str:
-    a = INJECTED_ALERT
-    row = (f"SELECT '{a['event_id']}' AS event_id, TIMESTAMP '{INJECT_AT_SQL}' AS ts, "
-           f"'{a['color_name']}' AS color_name, CAST({a['speed']} AS DOUBLE) AS speed, "
-           f"CAST({a['rpm']} AS INTEGER) AS rpm, CAST({a['gear']} AS INTEGER) AS gear")
+    row = ("SELECT TIMESTAMP '2024-01-15 12:05:00' AS ts, 'Blue' AS color_name, CAST(150.5 AS DOUBLE) AS speed, "
+           "CAST(3200 AS INTEGER) AS rpm, CAST(4 AS INTEGER) AS gear")
     return with_base(windows_select("all_alerts"),
-                     f"all_alerts AS (SELECT event_id, ts, color_name, speed, rpm, gear FROM alerts "
-                     f"UNION ALL {row})")
-
-
-# One car and one instant that a third of the events are moved to (skew queries).
-HOT_CAR = 7
-HOT_TIME = "2024-01-10 10:07:00"
-
-# Event time of the injected alert (inside the 30 days the given events cover).
-INJECT_AT_SQL = "2024-01-15 12:05:00"
-INJECT_AT_TEXT = "2024-01-15T12:05:00.000000+00:00"
+                     f"all_alerts AS (SELECT ts, color_name, speed, rpm, gear FROM alerts UNION ALL {row})")
 
 
 def statements() -> dict[str, str]:
@@ -243,13 +204,11 @@ def statements() -> dict[str, str]:
     windows = with_base(windows_select("alerts"))
     return {
         "scan_events": f"WITH {EV}\nSELECT event_id, ts, event_time, car_id, speed, rpm, gear FROM ev",
-        "scan_dim": f"WITH {CARS}\nSELECT car_id, driver_id, model_id, color_id FROM cars",
-        "dim_roundtrip": f"WITH {CARS}\nSELECT car_id, driver_id, model_id, color_id FROM cars",
-        "literal_dims": f"""WITH {CARS}, {MODELS}, {COLORS}
+        "scan_dim": f"WITH {ALL_CARS}\nSELECT car_id, driver_id, model_id, color_id FROM cars",
+        "dim_roundtrip": f"WITH {ALL_CARS}\nSELECT car_id, driver_id, model_id, color_id FROM cars",
+        "literal_dims": f"""WITH {ALL_CARS}, {MODELS}, {COLORS}
 SELECT c.car_id, c.driver_id, m.brand_name, m.model_name, k.color_name
 FROM cars c LEFT JOIN models m ON c.model_id = m.model_id LEFT JOIN colors k ON c.color_id = k.color_id""",
-        "hashed_dim": _hashed_dim(),
-        "synth_events": _synth_events(),
         "expected_gear": f"WITH {EV}\nSELECT event_id, speed, {band_case()} AS expected_gear FROM ev",
         "enrich_left": f"""WITH {EV}, {CARS}
 SELECT ev.event_id, ev.car_id, c.driver_id, c.model_id, c.color_id
@@ -259,7 +218,7 @@ fan AS (SELECT car_id, driver_id FROM cars
         UNION ALL SELECT car_id, driver_id + 500000000 FROM cars WHERE c_mktsegment = 'AUTOMOBILE')
 SELECT ev.event_id, ev.car_id, f.driver_id FROM ev LEFT JOIN fan f ON ev.car_id = f.car_id""",
         "enrich_snowflake": enriched,
-        "enrich_hot_car": _remapped(61, "car_id", f"CAST({HOT_CAR} AS INTEGER)")
+        "enrich_hot_car": _hot_car()
         + f"\nSELECT {ENRICHED_COLS} FROM enr",
         "json_roundtrip": enriched,
         "json_encode": _json_encode(),
@@ -272,7 +231,7 @@ SELECT ev.event_id, ev.car_id, f.driver_id FROM ev LEFT JOIN fan f ON ev.car_id
         "parse_event_time": _parse_event_time(),
         "window_metrics": windows,
         "fused_alert_windows": windows,
-        "window_hot": _remapped(71, "ts", f"TIMESTAMP '{HOT_TIME}'") + "\n" + windows_select("alerts"),
+        "window_hot": _remapped(71, "ts", "TIMESTAMP '2024-01-10 10:07:00'") + "\n" + windows_select("alerts"),
         "staged_topic_hops": windows,
         "inject_alert": _inject_alert(),
         "preview": with_base(f"SELECT {ENRICHED_COLS} FROM alerts ORDER BY ts, event_id LIMIT 5"),

@@ -11,6 +11,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# Fixed values that must equal the reference: names, types and order of the two wire records.
+
 # Raw sensor event as it travels as JSON on the input topic.
 RAW_EVENT = StructType(
     [

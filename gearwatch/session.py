@@ -44,27 +44,77 @@ def build_session(app_name: str = "gearwatch", master: str | None = None,
     return spark
 
 
+def configured_root(spark: SparkSession) -> str | None:
+    """The shared folder that the session names (``spark.checkpoint.dir`` or the context's), if any."""
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
+        or sc.getConf().get("spark.checkpoint.dir", None)
+    return root.rstrip("/") if root else None
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  If neither is set, only a local-mode session may fall
-    back to a private temporary folder; a cluster session must name one.
+    If the session names none, only a local-mode session may fall back to a
+    private temporary folder; a cluster session must name one.
     """
     global _LOCAL_ROOT
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
-        or sc.getConf().get("spark.checkpoint.dir", None)
+    root = configured_root(spark)
     if root:
-        return root.rstrip("/")
-    if not sc.master.startswith("local"):
+        return root
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="gearwatch-")
-        sc.setCheckpointDir(_LOCAL_ROOT)
     return _LOCAL_ROOT
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder path under the shared root (not created here)."""
     return os.path.join(shared_root(spark), "gearwatch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of any path that Spark can read."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _hadoop(spark, path)
+    return fs.exists(where)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, where = _hadoop(spark, path)
+    return fs.getFileStatus(where).isDirectory()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new text file; fails if there is one already."""
+    fs, where = _hadoop(spark, path)
+    out = fs.create(where, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    fs, where = _hadoop(spark, path)  # not through a reader: those pass over names like "_checkpoint"
+    opened = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a working folder that ``fresh_dir`` named, or one below it."""
+    root = os.path.join(shared_root(spark), "gearwatch") + "/"
+    if not path.startswith(root) or ".." in path:
+        raise ValueError(f"{path} is no working folder of this library")
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)

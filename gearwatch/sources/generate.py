@@ -9,14 +9,11 @@ and a recomputed task yields the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gearwatch.functions.eventtime import format_event_time, utc_now
 from gearwatch.functions.hashing import hash31, uniform_hundredths, uniform_index, uniform_int
-from gearwatch.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 
 # Fixed values that must equal the reference: reading ranges of a generated event.
 SPEED_RANGE = (0, 180)
@@ -26,6 +23,8 @@ GEAR_RANGE = (1, 6)
 # Fixed values that must equal the reference: one event every half second.
 PACE_SECONDS = 0.5
 
+MAX_FLEET = 100_000  # a test fleet: numbered in one task and broadcast
+
 # Salts of the independent draws per event.
 _SALT_CAR, _SALT_SPEED, _SALT_RPM, _SALT_GEAR, _SALT_ID = 11, 12, 13, 14, 15
 
@@ -44,36 +43,6 @@ INJECTED_ALERT = {
 }
 
 
-def number_rows(df: DataFrame, order: Sequence[str], parts: int | None = None,
-                small: bool = False) -> DataFrame:
-    """Add ``row_idx`` = 0-based position of each row in ``order`` (ties by all columns).
-
-    ``small=True`` (the caller has checked the row count) numbers the rows in
-    one task.  Otherwise the work is distributed: range-partition by the order,
-    count each partition (a table with one row per partition, broadcast), turn
-    counts into offsets, then number rows inside each partition, so no task
-    ever holds more than one range of rows.
-    """
-    keys = list(order) + [c for c in df.columns if c not in order]
-    if small:
-        return df.withColumn("row_idx", F.row_number().over(Window.orderBy(*keys)) - 1)
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *keys).withColumn("__part", F.spark_partition_id())
-    counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__part",
-        (F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__offset"),
-    ).fillna(0, ["__offset"])
-    within = Window.partitionBy("__part").orderBy(*keys)
-    return (
-        ranged.join(F.broadcast(offsets), "__part")
-        .withColumn("row_idx", F.col("__offset") + F.row_number().over(within) - 1)
-        .drop("__part", "__offset")
-    )
-
-
 def uuid_text(id_col: str) -> F.Column:
     """A UUID-shaped id that is unique per BIGINT id below 2^48 and repeatable."""
     x = F.col(id_col)
@@ -96,8 +65,6 @@ def synth_events(
     cars: DataFrame,
     id_col: str = "id",
     time_col: str | None = None,
-    n_cars: int | None = None,
-    broadcast_max_rows: int | None = None,
     pace_seconds: float = PACE_SECONDS,
 ) -> DataFrame:
     """One sensor event per row of ``ids``: a uniformly picked car plus random readings.
@@ -107,17 +74,12 @@ def synth_events(
     timeline of a producer that sends one event per pace, computed at once.
     Output: ``event_id, event_time, car_id, speed, rpm, gear`` (raw-event types).
     """
-    if n_cars is None:
-        n_cars = cars.count()
-    if n_cars == 0:
-        raise ValueError("cannot pick cars from an empty fleet")
-    max_rows = DEFAULT_BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
-    small = n_cars <= max_rows
     keys = ["car_id", "driver_id", "model_id", "color_id"]
-    numbered = number_rows(cars.select(*keys), keys, small=small)
-    fleet = numbered.select("row_idx", F.col("car_id").alias("__car"))
-    if small:
-        fleet = F.broadcast(fleet)
+    n_cars = cars.limit(MAX_FLEET + 1).count()
+    if not 0 < n_cars <= MAX_FLEET:
+        raise ValueError(f"the generator draws from a fleet of 1 to {MAX_FLEET} cars")
+    numbered = cars.select(*keys, (F.row_number().over(Window.orderBy(*keys)) - 1).alias("row_idx"))
+    fleet = F.broadcast(numbered.select("row_idx", F.col("car_id").alias("__car")))
     x = F.col(id_col)
     if time_col:
         ts = F.col(time_col)

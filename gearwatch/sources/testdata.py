@@ -3,9 +3,9 @@
 events -> sensor events:  event_id = text of event_id, car_id = user_id,
 speed = value, rpm = 500 + 65 * props.k, gear = 1 + event_id mod 6,
 event_time = ISO text of ts.
-customer -> cars: one car per customer except every fifth key (those cars are
-unregistered, so left-join misses exist at every scale); driver, model and
-colour ids are derived from the customer columns.
+customer -> cars: one car per customer (for the joins, every fifth key's car has no id
+yet, so left-join misses exist at every scale); driver, model and colour ids
+are derived from the customer columns.
 """
 
 from __future__ import annotations
@@ -29,33 +29,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-# Inputs of at most this many splits (each at most spark.sql.files.maxPartitionBytes,
-# 128 MB by default) may be spread; anything larger is scanned as it is.
-SPREAD_MAX_SPLITS = 8
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin a small batch input over the cores if it arrives in very few splits.
-
-    A table stored as one small file with one row group is read by one task,
-    and every per-row function above the scan (JSON, hashing) would run in
-    that task.  Only inputs of at most ``SPREAD_MAX_SPLITS`` splits (about 1 GB)
-    are spread, so the extra exchange stays small; a large table is left as it
-    is, whatever the core count.  Filters above still run before the exchange
-    (Catalyst pushes them through it).
-    """
-    if df.isStreaming:
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # planning only: the input splits of the scan
-    except Exception:  # no RDD view (e.g. a remote session): leave the input as it is
-        return df
-    if splits >= cores or splits > SPREAD_MAX_SPLITS:
-        return df
-    return df.repartition(cores)
-
-
 # The canonical flat form {"k": <JSON integer>}: JSON whitespace only, no leading zeros
 # (possessive quantifiers: no backtracking).
 _FLAT_K = r'^\{[ \t\n\r]*+"k"[ \t\n\r]*+:[ \t\n\r]*+(-?+(?:0|[1-9][0-9]*+))[ \t\n\r]*+\}$'
@@ -92,18 +65,22 @@ def sensor_columns(events: DataFrame, with_time_text: bool = True) -> DataFrame:
 
 def telemetry_events(spark: SparkSession, sf_dir: str, with_time_text: bool = True) -> DataFrame:
     """Sensor events over the whole ``events`` table."""
-    return sensor_columns(spread_if_narrow(read_table(spark, sf_dir, "events")), with_time_text)
+    return sensor_columns(read_table(spark, sf_dir, "events"), with_time_text)
 
 
-def cars_from_customers(customer: DataFrame) -> DataFrame:
-    return customer.where(F.pmod(F.col("c_custkey"), F.lit(5)) != 4).select(
-        F.col("c_custkey").alias("car_id"),
-        (F.lit(100000000) + F.col("c_custkey")).alias("driver_id"),
+def cars_from_customers(customer: DataFrame, unregistered: bool = False) -> DataFrame:
+    """One car per customer.  With ``unregistered``, every fifth key's car has no id yet
+    (NULL), so that left joins miss it; the row stays."""
+    key = F.col("c_custkey")
+    car_id = F.when(F.pmod(key, F.lit(5)) != 4, key) if unregistered else key
+    return customer.select(
+        car_id.alias("car_id"),
+        (F.lit(100000000) + key).alias("driver_id"),
         (F.pmod(F.col("c_nationkey"), F.lit(7)) + 1).cast("bigint").alias("model_id"),
-        (F.pmod(F.col("c_custkey"), F.lit(7)) + 1).cast("bigint").alias("color_id"),
+        (F.pmod(key, F.lit(7)) + 1).cast("bigint").alias("color_id"),
     )
 
 
-def telemetry_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def telemetry_cars(spark: SparkSession, sf_dir: str, unregistered: bool = True) -> DataFrame:
     """The cars dimension derived from the whole ``customer`` table."""
-    return cars_from_customers(read_table(spark, sf_dir, "customer"))
+    return cars_from_customers(read_table(spark, sf_dir, "customer"), unregistered)

@@ -1,21 +1,25 @@
 """Topics: Kafka when a broker is configured, otherwise a folder of Parquet records.
 
-A file-backed topic is a folder of Parquet files with the columns a Kafka
-record carries that the jobs use (``key``, ``value``, ``timestamp``).  Reading
-it as a stream from the first file is the ``earliest`` offset; each new file is
-new data.  Writing appends files, so a topic can be fed by batch jobs and by
-streaming queries alike.
+A file-backed topic is a folder with one sub-folder per producer.  A batch write adds a sub-folder of its
+own; a stream writes each micro-batch into a sub-folder of its producer's, once: a batch that is run again
+after it was committed is left as it is.  Files appear when their batch is committed, and a reader
+takes all producers' files, also of those that come later, so batch jobs and any number of
+streams (under different producer names) can feed one topic.  A record has the columns of a Kafka
+record that the jobs use (``key``, ``value``, ``timestamp``).  Reading a topic as a stream from
+the first file is the ``earliest`` offset; each new file is new data.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from gearwatch.schemas import TOPIC_RECORD
+from gearwatch.session import path_exists, read_text, write_text
 
 # Fixed values that must equal the reference: the three topic names of the chain.
 RAW_TOPIC = "sensors-sample"
@@ -73,8 +77,8 @@ def read_topic(
         raise ValueError("file-backed topics are read from the earliest record only")
     path = topic_path(root, topic)
     if not streaming:
-        return spark.read.schema(TOPIC_RECORD).parquet(path)
-    reader = spark.readStream.schema(TOPIC_RECORD)
+        return spark.read.schema(TOPIC_RECORD).option("recursiveFileLookup", "true").parquet(path)
+    reader = spark.readStream.schema(TOPIC_RECORD).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
@@ -102,7 +106,23 @@ def write_topic(
         return
     if root is None:
         raise ValueError("a file-backed topic needs root=")
-    _as_record(df).write.mode("append").parquet(topic_path(root, topic))
+    _as_record(df).write.parquet(f"{topic_path(root, topic)}/batch-{uuid.uuid4().hex}")
+
+
+def claim_producer(spark: SparkSession, folder: str, checkpoint: str) -> None:
+    """Bind a producer's folder to one checkpoint.
+
+    Another checkpoint would number its batches from 0 again: they would be taken for batches
+    that are there already, and their records lost.
+    """
+    mark = f"{folder}/_checkpoint"
+    if not path_exists(spark, mark):
+        if path_exists(spark, folder):
+            raise ValueError(f"{folder} holds records of an unknown checkpoint")
+        write_text(spark, mark, checkpoint)
+    elif (bound := read_text(spark, mark)) != checkpoint:
+        raise ValueError(f"{folder} was written with the checkpoint {bound}, not {checkpoint}: go on with that one, "
+                         "or choose another producer name to send all records again")
 
 
 def topic_stream_writer(
@@ -110,10 +130,13 @@ def topic_stream_writer(
     topic: str,
     checkpoint: str,
     *,
+    producer: str = "stream",
     root: str | None = None,
     bootstrap_servers: str | None = None,
 ) -> DataStreamWriter:
-    """Append-mode, checkpointed stream writer into a topic (call ``.start()``)."""
+    """Append-mode, checkpointed stream writer into a topic (call ``.start()``).
+
+    ``producer`` names this stream among the writers of a file-backed topic."""
     if bootstrap_servers:
         cols = [c for c in ("key", "value") if c in df.columns]
         return (df.select(*cols).writeStream.format("kafka")
@@ -121,6 +144,13 @@ def topic_stream_writer(
                 .option("checkpointLocation", checkpoint).outputMode("append"))
     if root is None:
         raise ValueError("a file-backed topic needs root=")
-    return (_as_record(df).writeStream.format("parquet")
-            .option("path", topic_path(root, topic))
+    folder = f"{topic_path(root, topic)}/{producer}"
+    claim_producer(df.sparkSession, folder, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = f"{folder}/{batch_id:012d}"
+        if not path_exists(batch.sparkSession, f"{out}/_SUCCESS"):
+            batch.write.mode("overwrite").parquet(out)
+
+    return (_as_record(df).writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).outputMode("append"))

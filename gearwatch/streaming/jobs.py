@@ -38,28 +38,36 @@ from gearwatch.sources.topics import (
     topic_stream_writer,
     write_topic,
 )
-from gearwatch.streaming.runner import start_sink, window_state_partitions, with_trigger
+from gearwatch.streaming.runner import start_sink, with_trigger
 
 # Fixed values that must equal the reference: the counter's trigger and console rows.
 COUNTER_TRIGGER = "1 minute"
 COUNTER_ROWS = 50
 
+# What the jobs pass on to read_topic: where to begin, and how much a micro-batch takes.
+SOURCE_OPTIONS = ("topics_root", "bootstrap_servers", "starting_offsets", "max_files_per_trigger",
+                  "max_offsets_per_trigger")
+
+
+def open_topic(spark: SparkSession, topic: str, topics_root: str | None = None, **options) -> DataFrame:
+    """``read_topic`` as a stream with the options that a job was given (None: the default)."""
+    return read_topic(spark, topic, root=topics_root, **{k: v for k, v in options.items() if v is not None})
+
 
 def start_enrichment(spark: SparkSession, cars: DataFrame | None = None,
                      models: DataFrame | None = None, colors: DataFrame | None = None, *,
                      checkpoint: str, profiles: DataFrame | None = None,
                      topics_root: str | None = None,
                      bootstrap_servers: str | None = None, source: str = RAW_TOPIC,
-                     sink: str = ENRICHED_TOPIC, trigger: str | None = None,
-                     max_files_per_trigger: int | None = None,
-                     broadcast_max_rows: int | None = None) -> StreamingQuery:
+                     sink: str = ENRICHED_TOPIC, trigger: str | None = None, producer: str = "enrich",
+                     broadcast_max_bytes: int | None = None, **source_options) -> StreamingQuery:
     """Raw topic -> enriched topic.  A fleet too large to broadcast should be
-    passed as ``profiles`` from ``save_profiles`` (bucketed by car id)."""
-    raw = read_topic(spark, source, root=topics_root, bootstrap_servers=bootstrap_servers,
-                     max_files_per_trigger=max_files_per_trigger)
+    passed as ``profiles`` from ``save_profiles`` (bucketed by car id).
+    ``source_options``: ``SOURCE_OPTIONS``, the last three."""
+    raw = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
     out = enrichment_stage(raw, cars, models, colors, profiles=profiles,
-                           broadcast_max_rows=broadcast_max_rows)
-    writer = topic_stream_writer(out, sink, checkpoint, root=topics_root,
+                           broadcast_max_bytes=broadcast_max_bytes)
+    writer = topic_stream_writer(out, sink, checkpoint, producer=producer, root=topics_root,
                                  bootstrap_servers=bootstrap_servers)
     return with_trigger(writer, trigger).start()
 
@@ -67,11 +75,10 @@ def start_enrichment(spark: SparkSession, cars: DataFrame | None = None,
 def start_detection(spark: SparkSession, *, checkpoint: str, topics_root: str | None = None,
                     bootstrap_servers: str | None = None, source: str = ENRICHED_TOPIC,
                     sink: str = ALERT_TOPIC, rules: Sequence[Rule] = DEFAULT_RULES,
-                    trigger: str | None = None,
-                    max_files_per_trigger: int | None = None) -> StreamingQuery:
-    records = read_topic(spark, source, root=topics_root, bootstrap_servers=bootstrap_servers,
-                         max_files_per_trigger=max_files_per_trigger)
-    writer = topic_stream_writer(detection_stage(records, rules), sink, checkpoint,
+                    trigger: str | None = None, producer: str = "detect",
+                    **source_options) -> StreamingQuery:
+    records = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
+    writer = topic_stream_writer(detection_stage(records, rules), sink, checkpoint, producer=producer,
                                  root=topics_root, bootstrap_servers=bootstrap_servers)
     return with_trigger(writer, trigger).start()
 
@@ -79,10 +86,13 @@ def start_detection(spark: SparkSession, *, checkpoint: str, topics_root: str |
 def counter_frame(spark: SparkSession, *, topics_root: str | None = None,
                   bootstrap_servers: str | None = None, source: str = ALERT_TOPIC,
                   window: str = WINDOW, watermark: str | None = WATERMARK,
-                  categories: Sequence[str] = COUNTED_COLORS,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    records = read_topic(spark, source, root=topics_root, bootstrap_servers=bootstrap_servers,
-                         max_files_per_trigger=max_files_per_trigger)
+                  categories: Sequence[str] = COUNTED_COLORS, **source_options) -> DataFrame:
+    """Alert topic -> window metrics, as a stream.
+
+    A backlog that is read in several micro-batches is not in order of event time: its
+    ``watermark`` should be at least as long as the backlog's time span, else rows are dropped
+    (``await_or_stop(..., keep_all=True)`` makes that an error)."""
+    records = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
     return counting_stage(records, window=window, watermark=watermark, categories=categories)
 
 
@@ -96,8 +106,7 @@ def start_counter(spark: SparkSession, *, checkpoint: str, topics_root: str | No
     metrics = counter_frame(spark, topics_root=topics_root,
                             bootstrap_servers=bootstrap_servers, **frame_opts)
     return start_sink(metrics, sink=sink, output_mode=output_mode, checkpoint=checkpoint,
-                      trigger=trigger, num_rows=num_rows,
-                      state_partitions=window_state_partitions(spark))
+                      trigger=trigger, num_rows=num_rows)
 
 
 def start_fused_counter(spark: SparkSession, cars: DataFrame | None = None,
@@ -107,30 +116,38 @@ def start_fused_counter(spark: SparkSession, cars: DataFrame | None = None,
                         source: str = RAW_TOPIC, output_mode: str = "update",
                         sink: str = "console", trigger: str | None = COUNTER_TRIGGER,
                         window: str = WINDOW, watermark: str | None = WATERMARK,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        broadcast_max_bytes: int | None = None, **source_options) -> StreamingQuery:
     """Raw topic -> window metrics of alerts in one streaming query.
 
     Replaces enrichment + detection + counter when the intermediate topics
     are not needed by anyone else: no JSON re-encoding, and the alert filter
     runs before the enrichment joins."""
-    raw = read_topic(spark, source, root=topics_root, bootstrap_servers=bootstrap_servers,
-                     max_files_per_trigger=max_files_per_trigger)
+    raw = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
     metrics = fused_from_records(raw, cars, models, colors, window=window, watermark=watermark,
-                                 profiles=profiles)
+                                 profiles=profiles, broadcast_max_bytes=broadcast_max_bytes)
     return start_sink(metrics, sink=sink, output_mode=output_mode, checkpoint=checkpoint,
-                      trigger=trigger, num_rows=COUNTER_ROWS,
-                      state_partitions=window_state_partitions(spark))
+                      trigger=trigger, num_rows=COUNTER_ROWS)
 
 
-def debug_tap(spark: SparkSession, *, topics_root: str | None = None,
-              bootstrap_servers: str | None = None, source: str = ALERT_TOPIC,
-              seconds: float = 20, num_rows: int = 5) -> None:
-    """Print parsed alert times to the console for a bounded time, then stop."""
-    records = read_topic(spark, source, root=topics_root, bootstrap_servers=bootstrap_servers)
+# Fixed values that must equal the reference: columns, rows and seconds of the console tap.
+TAP_COLUMNS = ("event_time", "event_time_ts", "speed", "rpm", "gear", "color_name")
+TAP_ROWS = 5
+TAP_SECONDS = 20
+
+
+def tap_frame(spark: SparkSession, *, topics_root: str | None = None, bootstrap_servers: str | None = None,
+              source: str = ALERT_TOPIC, **source_options) -> DataFrame:
+    """Alerts with their parsed time, as a stream of ``TAP_COLUMNS``."""
+    records = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
     alerts = decode(records, ENRICHED_EVENT)
-    shown = alerts.select("event_time", parse_event_time(F.col("event_time")).alias("event_time_ts"),
-                          "speed", "rpm", "gear", "color_name")
-    query = start_sink(shown, sink="console", output_mode="append", num_rows=num_rows)
+    return alerts.withColumn("event_time_ts", parse_event_time(F.col("event_time"))).select(*TAP_COLUMNS)
+
+
+def debug_tap(spark: SparkSession, *, seconds: float = TAP_SECONDS, num_rows: int = TAP_ROWS, sink: str = "console",
+              query_name: str | None = None, **frame_options) -> None:
+    """Print parsed alert times to the console for a bounded time, then stop."""
+    query = start_sink(tap_frame(spark, **frame_options), sink=sink, output_mode="append", num_rows=num_rows,
+                       query_name=query_name)
     query.awaitTermination(seconds)
     query.stop()
 

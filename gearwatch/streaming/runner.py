@@ -16,48 +16,14 @@ shared folder; nothing passes through the driver.  The table per output mode:
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import time
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-DEFAULT_TIMEOUT_S = 600
-MAX_STATE_PARTITIONS = 64
-
-
-def window_state_partitions(spark: SparkSession) -> int:
-    """State partitions for window metrics: one per core, at most ``MAX_STATE_PARTITIONS``.
-
-    Each state partition is a store committed every micro-batch.  Window state
-    is one row per window and the shuffled partial aggregates are one row per
-    (task, window), so a few dozen partitions carry any event volume; more only
-    adds commits.
-    """
-    return max(1, min(MAX_STATE_PARTITIONS, spark.sparkContext.defaultParallelism))
-
-
-@contextmanager
-def query_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
-    """Set session conf while a streaming query starts; it keeps its own copy.
-
-    A stateful query records ``spark.sql.shuffle.partitions`` in its checkpoint
-    at the first batch, so this fixes its number of state partitions.
-    """
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def with_trigger(writer, trigger: str | None):
     """``None`` = as soon as possible; ``"available-now"``; or a processing-time interval."""
     if trigger is None:
@@ -80,7 +46,6 @@ def start_sink(
     truncate: bool = False,
     query_name: str | None = None,
     path: str | None = None,
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a stream into ``console``, ``memory`` (tests only) or ``parquet``."""
     writer = df.writeStream.outputMode(output_mode).format(sink)
@@ -94,24 +59,42 @@ def start_sink(
         writer = writer.option("checkpointLocation", checkpoint)
     if query_name is not None:
         writer = writer.queryName(query_name)
-    conf = {} if state_partitions is None else {"spark.sql.shuffle.partitions": str(state_partitions)}
-    with query_conf(df.sparkSession, conf):
-        return with_trigger(writer, trigger).start()
+    return with_trigger(writer, trigger).start()
 
 
-def await_or_stop(query: StreamingQuery, timeout_s: float | None) -> bool:
+class LateRowsDropped(RuntimeError):
+    """A run lost rows behind its watermark that it was meant to keep."""
+
+
+def await_or_stop(query: StreamingQuery, timeout_s: float | None = None, *, keep_all: bool = False) -> bool:
     """Wait up to ``timeout_s`` seconds (forever if None); stop the query if still running.
 
-    Returns True if the query ended by itself.  A query that failed re-raises.
+    Returns True if the query ended by itself.  A query that failed re-raises.  With ``keep_all``,
+    rows dropped behind the watermark are an error: a backlog read in several micro-batches
+    is not in order of event time, and one batch's watermark can rule out the next one's rows.
     """
-    if timeout_s is None:
-        query.awaitTermination()
-        return True
-    ended = query.awaitTermination(timeout_s)
+    dropped: dict[int, int] = {}
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+
+    def look() -> None:  # the query keeps only its last progress reports
+        for report in query.recentProgress:
+            states = report["stateOperators"] or ()
+            dropped[report["batchId"]] = max(dropped.get(report["batchId"], 0),
+                                             sum(s.get("numRowsDroppedByWatermark", 0) for s in states))
+
+    while True:
+        left = 1.0 if deadline is None else min(1.0, deadline - time.monotonic())
+        ended = query.awaitTermination(max(left, 0.01)) if query.exception() is None else True
+        look()
+        if ended or left <= 0:
+            break
     if not ended:
         query.stop()
     if query.exception() is not None:
         raise query.exception()
+    if keep_all and sum(dropped.values()):
+        raise LateRowsDropped(f"{sum(dropped.values())} rows lay behind the watermark and were dropped; "
+                              "read the backlog in one micro-batch, or delay the watermark by its time span")
     return bool(ended)
 
 
@@ -129,12 +112,8 @@ def _batch_writer(out_dir: str, slots: int | None = None):
 
 
 def start_materialize(df: DataFrame, *, output_mode: str, out_dir: str, checkpoint: str,
-                      trigger: str | None = "available-now",
-                      state_partitions: int | None = None) -> StreamingQuery:
-    """Start the query that writes ``df``'s stream into ``out_dir`` (see module doc).
-
-    ``state_partitions`` fixes the shuffle / state partitions of a new
-    stateful query (ignored when the checkpoint already has them)."""
+                      trigger: str | None = "available-now") -> StreamingQuery:
+    """Start the query that writes ``df``'s stream into ``out_dir`` (see module doc)."""
     if output_mode == "append":
         writer = (df.writeStream.format("parquet").outputMode("append")
                   .option("path", out_dir).option("checkpointLocation", checkpoint))
@@ -145,9 +124,7 @@ def start_materialize(df: DataFrame, *, output_mode: str, out_dir: str, checkpoi
                   .option("checkpointLocation", checkpoint))
     else:
         raise ValueError(f"unknown output mode {output_mode!r}")
-    conf = {} if state_partitions is None else {"spark.sql.shuffle.partitions": str(state_partitions)}
-    with query_conf(df.sparkSession, conf):
-        return with_trigger(writer, trigger).start()
+    return with_trigger(writer, trigger).start()
 
 
 def read_materialized(spark, out_dir: str, output_mode: str, schema,
@@ -158,8 +135,8 @@ def read_materialized(spark, out_dir: str, output_mode: str, schema,
         return spark.read.schema(schema).parquet(out_dir)
     try:
         table = spark.read.parquet(out_dir)
-    except Exception as exc:  # no batch produced any row yet
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no batch had a row yet
             return spark.createDataFrame([], schema)
         raise
     if output_mode == "complete":
@@ -174,11 +151,13 @@ def read_materialized(spark, out_dir: str, output_mode: str, schema,
 
 
 def materialize(df: DataFrame, *, output_mode: str, out_dir: str, checkpoint: str,
-                key_cols: Sequence[str] = (), timeout_s: float | None = DEFAULT_TIMEOUT_S,
-                state_partitions: int | None = None) -> DataFrame:
-    """Run ``df`` over the input available now (``availableNow``) and return its result."""
-    query = start_materialize(df, output_mode=output_mode, out_dir=out_dir, checkpoint=checkpoint,
-                              state_partitions=state_partitions)
-    if not await_or_stop(query, timeout_s):
+                key_cols: Sequence[str] = (), timeout_s: float | None = None,
+                keep_all: bool = True) -> DataFrame:
+    """Run ``df`` over the input available now (``availableNow``) and return its result.
+
+    Fails if rows are dropped behind the watermark, unless ``keep_all=False`` allows it;
+    there is no time limit unless ``timeout_s`` sets one."""
+    query = start_materialize(df, output_mode=output_mode, out_dir=out_dir, checkpoint=checkpoint)
+    if not await_or_stop(query, timeout_s, keep_all=keep_all):
         raise TimeoutError(f"stream did not finish within {timeout_s}s")
     return read_materialized(df.sparkSession, out_dir, output_mode, df.schema, key_cols)

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from gearwatch.functions.codec import decode, encode
@@ -81,3 +82,47 @@ def test_format_is_zone_independent(spark):
             assert parsed == dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+EDGES = {  # instants around both clock changes, as UTC wall clock
+    "America/New_York": ["2024-03-10 06:59:59.999999", "2024-03-10 07:00:00", "2024-03-10 02:30:00",
+                         "2024-11-03 05:30:00", "2024-11-03 06:30:00.5", "2024-11-03 07:30:00"],
+    "Europe/Berlin": ["2024-03-31 00:59:59", "2024-03-31 01:00:00", "2024-03-31 02:30:00.25",
+                      "2024-10-27 00:30:00", "2024-10-27 01:30:00", "2024-10-27 02:30:00", "1950-06-01 12:00:00.000001"],
+}
+
+
+@pytest.mark.parametrize("zone", EDGES)
+def test_clock_changes_move_nothing(spark, zone):
+    from gearwatch.functions.eventtime import instant_of_utc
+    from gearwatch.operators.windows import window_metrics
+    df = spark.createDataFrame([(t,) for t in EDGES[zone]], "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        text = format_event_time(F.col("ts"))
+        got = df.select("ts", text.alias("text"), utc_of_instant(instant_of_utc(F.col("ts"))).alias("back"),
+                        utc_of_instant(parse_event_time(text)).alias("parsed"),
+                        F.unix_micros(instant_of_utc(F.col("ts"))).alias("micros")).collect()
+        for r in got:
+            assert r.back == r.parsed == r.ts
+            assert r.text == r.ts.isoformat(timespec="microseconds") + "+00:00"
+            assert r.micros == (r.ts - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+        rows = df.withColumns({"color_name": F.lit("Black"), "speed": F.lit(1.0), "gear": F.lit(1), "rpm": F.lit(1)})
+        for watermark in (None, "48 hours"):
+            starts = sorted(r.window_start for r in window_metrics(rows, "ts", watermark=watermark).collect())
+            assert starts == sorted({dt.datetime(1970, 1, 1) + (r.ts - dt.datetime(1970, 1, 1)) // dt.timedelta(minutes=15)
+                                     * dt.timedelta(minutes=15) for r in got})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_window_metrics_equal_utc_in_other_zones(spark):
+    from gearwatch.plans.catalog import QUERIES
+    from tests.conftest import SF0001
+    want = sorted(map(tuple, QUERIES["window_metrics"](spark, SF0001).collect()))
+    try:
+        for zone in EDGES:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert sorted(map(tuple, QUERIES["window_metrics"](spark, SF0001).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

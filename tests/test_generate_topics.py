@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gearwatch.functions.codec import decode, encode
 from gearwatch.schemas import ALERT_EVENT, RAW_EVENT, TOPIC_RECORD
 from gearwatch.sources.dims import random_cars, read_dimension, write_dimension
-from gearwatch.sources.generate import INJECTED_ALERT, injected_alert, number_rows, synth_events
+from gearwatch.sources.generate import INJECTED_ALERT, injected_alert, synth_events
 from gearwatch.sources.topics import (
     PRODUCER_OPTIONS,
     kafka_sink_options,
@@ -25,14 +25,6 @@ def test_random_cars_ranges_and_determinism(spark):
     assert cars.collect() != random_cars(spark, 2000, salt=4).collect()
 
 
-def test_number_rows_small_and_distributed_agree(spark):
-    cars = random_cars(spark, 500)
-    keys = ["car_id", "driver_id", "model_id", "color_id"]
-    a = {tuple(r[k] for k in keys): r.row_idx for r in number_rows(cars, keys, small=True).collect()}
-    b = {tuple(r[k] for k in keys): r.row_idx for r in number_rows(cars, keys, parts=7).collect()}
-    assert a == b and sorted(a.values()) == list(range(500))
-
-
 def test_synth_events(spark):
     fleet = random_cars(spark, 20)
     ev = synth_events(spark.range(5000), fleet)
@@ -42,10 +34,6 @@ def test_synth_events(spark):
                F.max(F.abs(F.col("speed") * 100 - F.round(F.col("speed") * 100)))).first()
     assert 0 <= s[0] and s[1] <= 180 and 500 <= s[2] and s[3] <= 7000 and (s[4], s[5]) == (1, 6)
     assert s[6] == 5000 and s[7] == fleet.select("car_id").distinct().count() and s[8] < 1e-6
-    # both distributed numbering and the broadcast-free path give the same events
-    big = synth_events(spark.range(5000), fleet, broadcast_max_rows=5)
-    cols = ["event_id", "car_id", "speed", "rpm", "gear"]  # event_time is the live clock here
-    assert sorted(map(tuple, big.select(cols).collect())) == sorted(map(tuple, ev.select(cols).collect()))
     with pytest.raises(ValueError):
         synth_events(spark.range(3), fleet.limit(0))
 
@@ -97,24 +85,42 @@ def test_generator_and_injection_jobs(spark, scratch):
     assert (alert.brand_name, alert.model_name, alert.speed) == ("Kia", "Rio", 150.5)
 
 
-def test_number_rows_with_duplicates_many_partitions(spark):
-    cars = random_cars(spark, 20000, salt=9)
-    cars = cars.unionByName(cars.where("car_id < 1500000"))  # exact duplicate rows, deterministic
-    keys = ["car_id", "driver_id", "model_id", "color_id"]
-
-    def pairs(df):
-        return sorted(tuple(r) for r in df.select(*keys, "row_idx").collect())
-
-    small = number_rows(cars, keys, small=True)
-    spread = number_rows(cars, keys, parts=16)
-    assert pairs(small) == pairs(spread)
-    n = cars.count()
-    assert n > 20000
-    assert sorted(r.row_idx for r in spread.select("row_idx").collect()) == list(range(n))
-
-
 def test_synth_events_follow_the_producer_pace(spark):
     import datetime as dt
     ev = synth_events(spark.range(5), random_cars(spark, 3))
     times = sorted(dt.datetime.fromisoformat(r.event_time) for r in ev.collect())
     assert [(b - a).total_seconds() for a, b in zip(times, times[1:])] == [0.5] * 4
+
+
+def test_jobs_pass_source_options_on(spark, monkeypatch):
+    """Kafka itself is not here: its reader must be asked for the right offsets and bounds."""
+    from gearwatch.streaming import jobs
+    asked = []
+
+    class Reached(Exception):
+        pass
+
+    def reader(spark, topic, **options):
+        asked.append((topic, options))
+        raise Reached
+
+    monkeypatch.setattr(jobs, "read_topic", reader)
+    options = {"bootstrap_servers": "k:9092", "starting_offsets": "latest", "max_offsets_per_trigger": 500}
+    for start in (jobs.start_enrichment, jobs.start_detection, jobs.start_counter, jobs.start_fused_counter):
+        with pytest.raises(Reached):
+            start(spark, checkpoint="ck", max_files_per_trigger=None, **options)
+    with pytest.raises(Reached):
+        jobs.debug_tap(spark, **options)
+    assert [t for t, _ in asked] == ["sensors-sample", "samples-enriched", "alert-data", "sensors-sample", "alert-data"]
+    assert all(o == {"root": None, **options} for _, o in asked)
+
+
+def test_cli_passes_source_options_on(spark, monkeypatch):
+    from gearwatch import cli
+    from gearwatch.streaming import jobs
+    seen = {}
+    monkeypatch.setattr(jobs, "start_detection", lambda spark, **o: seen.update(o))
+    monkeypatch.setattr(cli, "_wait", lambda *a: None)
+    cli.main(["detect", "--bootstrap-servers", "k:9092", "--checkpoint", "ck", "--starting-offsets", "latest",
+              "--max-offsets-per-trigger", "9"], spark)
+    assert (seen["starting_offsets"], seen["max_offsets_per_trigger"], seen["checkpoint"]) == ("latest", 9, "ck")

