@@ -27,11 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import text_chunks
+from gearwatch.llm.common import text_chunks, worker_state
 
 PIECE_CHARS = 1 << 16  # a longer text is cut at the first safe place behind this many characters
 _SAFE = re.compile(r"(?<=\S)\s")
-_ENCODINGS: dict[tuple[str, str], "ByteBpe"] = {}
 
 
 class ByteBpe:
@@ -65,12 +64,6 @@ class ByteBpe:
         return b"".join(map(self.token_bytes.__getitem__, ids))
 
 
-def byte_bpe(rank_path: str, pattern: str) -> ByteBpe:
-    if (rank_path, pattern) not in _ENCODINGS:
-        _ENCODINGS[rank_path, pattern] = ByteBpe(rank_path, pattern)
-    return _ENCODINGS[rank_path, pattern]
-
-
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     packed = array("I", ids)
@@ -100,7 +93,7 @@ def _encoded(docs, rank_path, pattern, id_col, text_col, columns, row) -> DataFr
     types = {"ids": pa.list_(pa.int32()), "decoded": pa.binary(), "n_tokens": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = byte_bpe(rank_path, pattern)
+        bpe = worker_state((ByteBpe, rank_path, pattern), lambda: ByteBpe(rank_path, pattern))
         for keys, texts in text_chunks(batches):
             rows = [row(ids := bpe.encode(text), bpe.decode(ids)) for text in texts]
             yield pa.RecordBatch.from_arrays(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 TEXT_CHUNK = 4 << 20  # characters that a worker keeps unpacked at a time; one longer text is taken alone
 
 
@@ -38,6 +40,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_HELD: list[tuple[object, object]] = []
+
+
+def worker_state(key: object, build: Callable[[], T]) -> T:
+    """What ``build`` makes, kept by this worker process until it is asked for something else.
+
+    Workers go on from job to job: so they hold one operator's tables at a time, not those of all.
+    """
+    if not _HELD or _HELD[0][0] != key:
+        _HELD.clear()
+        _HELD.append((key, build()))
+    return _HELD[0][1]
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = TEXT_CHUNK) -> Iterator[tuple[pa.Array, list[str]]]:
     """(ids, texts) in runs of about ``limit`` characters, nulls as empty texts.
 

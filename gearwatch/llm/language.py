@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import text_chunks
+from gearwatch.llm.common import text_chunks, worker_state
 
 SAMPLE_DOCS = 96  # labelled documents a language that a sample is drawn from
 SAMPLE_CHARS = 60_000  # symbols of sample a language
@@ -106,19 +106,19 @@ class CrossParser:
         self.symbol[letters] = np.arange(1, len(letters) + 1)
         width, tables, self.starts, at = len(letters) + 1, [], [], 0
         for language in self.languages:
-            table = suffix_automaton(self.symbol[texts[language]].tolist(), width)
-            table[:, 0] = -1
-            tables.append(np.where(table >= 0, table + at, -1))
+            after = suffix_automaton(self.symbol[texts[language]].tolist(), width)
+            after[:, 0] = -1
+            # where a phrase ends, the symbol begins the next one; the lowest bit says that one begins
+            begins = after < 0
+            begins[0] = True
+            after = np.where(after < 0, np.maximum(after[0], 0), after)
+            after += at
+            after *= 2
+            after += begins
+            tables.append(after.ravel())
             self.starts.append(at)
-            at += len(table)
-        table = np.concatenate(tables)
-        starts = np.repeat(self.starts, [len(t) for t in tables])
-        # where a phrase ends, the symbol begins the next one; the lowest bit says that one begins
-        fresh = table[starts, :]
-        begins = table < 0
-        begins[self.starts] = True
-        after = np.where(table < 0, np.where(fresh >= 0, fresh, starts[:, None]), table)
-        self.table = (after * 2 + begins).astype(np.int32).ravel()
+            at += len(after)
+        self.table = np.concatenate(tables)
         self.width = width
         self.starts = np.array(self.starts, np.int32)
 
@@ -182,19 +182,13 @@ def labelled_sample(docs: DataFrame, training: Column, id_col: str, text_col: st
     return samples
 
 
-_PARSERS: dict[int, CrossParser | None] = {}
-
-
 def _predictor(docs: DataFrame, samples: dict[str, list[str]]):
     """A function for the workers: texts -> (languages, scores); a worker builds the tables once."""
     key = hash(tuple((k, *v) for k, v in sorted(samples.items())))
     shared = docs.sparkSession.sparkContext.broadcast(samples)
 
     def predict(texts: list[str]) -> tuple[list[str], np.ndarray]:
-        if key not in _PARSERS:
-            _PARSERS.clear()
-            _PARSERS[key] = CrossParser(shared.value) if shared.value else None
-        parser = _PARSERS[key]
+        parser = worker_state((CrossParser, key), lambda: CrossParser(shared.value) if shared.value else None)
         return parser.predict(texts) if parser else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
 
     return predict

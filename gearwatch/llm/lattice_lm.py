@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import checkpointed, text_chunks
+from gearwatch.llm.common import checkpointed, text_chunks, worker_state
 
 HOT_WORDS = 300_000
 HOT_BYTES = 64
@@ -216,13 +216,8 @@ class Lattice:
         return out
 
 
-_VOCABULARIES: dict[str, Pieces] = {}
-
-
 def vocabulary(model_path: str) -> Pieces:
-    if model_path not in _VOCABULARIES:
-        _VOCABULARIES[model_path] = Pieces.load(model_path)
-    return _VOCABULARIES[model_path]
+    return worker_state((Pieces, model_path), lambda: Pieces.load(model_path))
 
 
 def words_of(text: str) -> list[bytes]:

@@ -35,12 +35,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import text_chunks
+from gearwatch.llm.common import text_chunks, worker_state
 
 CAPACITY = 2048
 GRAIN = 512  # a document's rest is cut into pieces of at most this many ids
 BLOCK = 1 << 19  # ids whose grains are dealt together
-KEPT_WORDS = 800_000  # encoded words that a worker keeps
+KEPT_WORDS = 500_000  # encoded words that a worker keeps
 _KEPT_CHARS = 64
 
 
@@ -122,15 +122,6 @@ class WordEncoder:
         return [np.frombuffer(b"".join(values), "<u4") for values in ids]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def _encoder(tokenizer_path: str) -> WordEncoder:
-    if tokenizer_path not in _ENCODERS:
-        _ENCODERS[tokenizer_path] = WordEncoder(tokenizer_path)
-    return _ENCODERS[tokenizer_path]
-
-
 def multiway_difference(sizes: list[int], k: int) -> list[list[int]]:
     """``k`` windows (lists of indexes into ``sizes``) by Karmarkar-Karp differencing.
 
@@ -185,7 +176,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capaci
     ``ids_crc32`` and, ``with_ids``, the piece's ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_path)
+        encoder = worker_state((WordEncoder, tokenizer_path), lambda: WordEncoder(tokenizer_path))
         first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
         sequences = iter(range(first, first + (1 << 32)))
         end = np.array([end_id], "<u4")

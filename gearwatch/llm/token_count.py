@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import text_chunks
+from gearwatch.llm.common import text_chunks, worker_state
 
 MARK = "▁"  # how the vocabulary writes a blank
 KEPT_WORDS = 400_000  # counts of merged pre-tokens that a worker keeps
@@ -65,21 +65,12 @@ class WordCounter(dict):
         return sum(map(self.__getitem__, text.split(" ")))
 
 
-_COUNTERS: dict[str, WordCounter] = {}
-
-
-def _counter(model_path: str) -> WordCounter:
-    if model_path not in _COUNTERS:
-        _COUNTERS[model_path] = WordCounter(model_path)
-    return _COUNTERS[model_path]
-
-
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                  limit: int = 4096) -> DataFrame:
     """id, ``n_bytes``, ``n_tokens`` and ``over_limit`` of every row's whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(model_path)
+        counter = worker_state((WordCounter, model_path), lambda: WordCounter(model_path))
         for ids, texts in text_chunks(batches):
             n_tokens = pa.array([counter.count(text) for text in texts], pa.int64())
             n_bytes = pc.cast(pc.binary_length(pa.array(texts, pa.large_string())), pa.int64())
