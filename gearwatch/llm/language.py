@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gearwatch.llm.common import text_chunks, worker_state
@@ -158,22 +158,40 @@ class CrossParser:
         return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)], np.clip(score, 0, 1)
 
 
+def _smallest(drawn: DataFrame, n: int) -> dict[str, int]:
+    """Per label, the ``n``-th smallest distinct number (the largest, if there are fewer).
+
+    The numbers are hashes, evenly spread: only those below a bound that some ``8 n`` of a label's
+    stay under are gathered; a label for which that was too few (ids that repeat) gets a wider bound.
+    """
+    share = {r.label: 8 * n / r["count"] for r in drawn.groupBy("label").count().collect()}
+    found: dict[str, int] = {}
+    while share:
+        bounds = {label: min(int((part - 0.5) * 2**64), 2**63 - 1) for label, part in share.items()}
+        below = drawn.where(F.col("drawn") <= F.try_element_at(_as_map(bounds), F.col("label"))).distinct()
+        rows = below.groupBy("label").agg(F.sort_array(F.collect_list("drawn")).alias("all"))
+        some = {r.label: r.some for r in rows.select("label", F.slice("all", 1, n).alias("some")).collect()}
+        done = [label for label, part in share.items() if part >= 1 or len(some.get(label, ())) == n]
+        found |= {label: some[label][-1] for label in done}
+        share = {label: 8 * part for label, part in share.items() if label not in done}
+    return found
+
+
+def _as_map(values: dict[str, int]) -> Column:
+    return F.map_from_arrays(F.array(*map(F.lit, values)), F.array(*(F.lit(v).cast("bigint") for v in values.values())))
+
+
 def labelled_sample(docs: DataFrame, training: Column, id_col: str, text_col: str, label_col: str,
                     sample_docs: int = SAMPLE_DOCS) -> dict[str, list[str]]:
     """Per label, the texts of the ``sample_docs`` training rows with the smallest hashed ids."""
     labelled = docs.where(training & F.col(label_col).isNotNull()).select(
         F.col(label_col).alias("label"), F.col(text_col).alias("text"),
         F.xxhash64(F.col(id_col).cast("string"), F.lit(7)).alias("drawn"))
-    ranked = labelled.select("label", "drawn").distinct()  # no texts move to find the ids
-    for keys in (["label", F.pmod("drawn", F.lit(64))], ["label"]):  # first in 64 parts, then among their best
-        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("drawn")))
-        ranked = ranked.where(F.col("rank") <= sample_docs).drop("rank")
-    last = {r.label: r.drawn for r in ranked.groupBy("label").agg(F.max("drawn").alias("drawn")).collect()}
+    last = _smallest(labelled.select("label", "drawn"), sample_docs)
     if not last:
         return {}
-    within = F.map_from_arrays(F.array(*map(F.lit, last)), F.array(*map(F.lit, last.values())))
     share = SAMPLE_CHARS * 4 // sample_docs  # characters that one text may give
-    rows = labelled.where(F.col("drawn") <= F.try_element_at(within, F.col("label"))).select(
+    rows = labelled.where(F.col("drawn") <= F.try_element_at(_as_map(last), F.col("label"))).select(
         "label", "drawn", F.substring("text", 1, share).alias("text"))
     rows = rows.groupBy("label", "drawn").agg(F.min("text").alias("text")).where("text is not null")
     samples: dict[str, list[str]] = {}
