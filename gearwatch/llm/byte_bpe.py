@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import text_chunks, worker_state
+from gearwatch.llm.common import map_batches, text_chunks, worker_state
 
 PIECE_CHARS = 1 << 16  # a longer text is cut at the first safe place behind this many characters
 _SAFE = re.compile(r"(?<=\S)\s")
@@ -102,4 +102,4 @@ def _encoded(docs, rank_path, pattern, id_col, text_col, columns, row) -> DataFr
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, {columns}").withColumnRenamed("id", id_col)
+    return map_batches(source, run, f"id {kind}, {columns}").withColumnRenamed("id", id_col)

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+import gearwatch
 
 T = TypeVar("T")
 TEXT_CHUNK = 4 << 20  # characters that a worker keeps unpacked at a time; one longer text is taken alone
@@ -18,6 +24,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the session's Python workers this package, wherever the driver was started.
+
+    Once for each application, as a zip from the driver's file server; a package that was submitted as
+    a zip (``--py-files``) is there already.
+    """
+    sc, package = spark.sparkContext, Path(gearwatch.__file__).parent
+    if sc.applicationId in _SHIPPED or not package.is_dir():
+        return
+    with zipfile.ZipFile(packed := Path(tempfile.mkdtemp(prefix="llm-code-"), "gearwatch.zip"), "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    sc.addPyFile(str(packed))
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow`` with this package on the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from the session's ``spark.checkpoint.dir``.
 
@@ -60,16 +92,14 @@ def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = TEXT_CHUNK) -> I
     Expects the id in the first and the text in the second column.
     """
     for batch in batches:
-        ids, column = batch.column(0), batch.column(1)
-        sizes = np.asarray(column.fill_null("").to_numpy(zero_copy_only=False), dtype=object)
+        ids, column = batch.column(0), batch.column(1).fill_null("")
+        sizes = np.asarray(pc.utf8_length(column), np.int64)
         start = size = 0
-        for i, text in enumerate(sizes):
-            size += len(text)
-            if size >= limit:
-                yield ids.slice(start, i + 1 - start), list(sizes[start : i + 1])
-                start, size = i + 1, 0
-        if start < len(sizes):
-            yield ids.slice(start), list(sizes[start:])
+        for i, n in enumerate(sizes.tolist(), 1):
+            size += n
+            if size >= limit or i == len(sizes):
+                yield ids.slice(start, i - start), column.slice(start, i - start).to_pylist()
+                start, size = i, 0
 
 
 def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

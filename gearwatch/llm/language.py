@@ -29,14 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import text_chunks, worker_state
+from gearwatch.llm.common import map_batches, text_chunks, worker_state
 
 SAMPLE_DOCS = 96  # labelled documents a language that a sample is drawn from
 SAMPLE_CHARS = 60_000  # symbols of sample a language
 ALPHABET = 96  # letters told apart, the most frequent ones of all samples; others never match
 STRETCH = 4096
 UNKNOWN = "und"
-_BATCH_CHARS = 1 << 22
+_BATCH_CHARS = 1 << 21
 _LETTERS: list[np.ndarray] = []
 
 
@@ -225,7 +225,7 @@ def identify_languages(docs: DataFrame, samples: dict[str, list[str]], id_col: s
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return map_batches(source, run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
 def with_known_language(docs: DataFrame, samples: dict[str, list[str]], text_col: str = "text") -> DataFrame:
@@ -243,4 +243,4 @@ def with_known_language(docs: DataFrame, samples: dict[str, list[str]], text_col
                 told = pa.array([lang != UNKNOWN for lang in predict(texts)[0]], pa.bool_())
                 yield batch.slice(rows[0].as_py(), len(rows)).filter(told)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import checkpointed, text_chunks, worker_state
+from gearwatch.llm.common import checkpointed, map_batches, text_chunks, worker_state
 
 HOT_WORDS = 300_000
 HOT_BYTES = 64
@@ -257,7 +257,7 @@ def word_table(docs: DataFrame, training: Column, text_col: str) -> DataFrame:
             yield _counted(counts)
 
     flagged = docs.select(F.coalesce(training, F.lit(False)), F.col(text_col))
-    return flagged.mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    return map_batches(flagged, run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _counted(counts: Counter) -> pa.RecordBatch:
@@ -282,7 +282,7 @@ def fit_pieces(words: DataFrame, documents: int, model_path: str, rounds: int =
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["piece", "n"])
 
-        expected = words.where("c > 0").mapInArrow(expect, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+        expected = map_batches(words.where("c > 0"), expect, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
         n = np.full(len(pieces.pieces), _PSEUDO)
         for row in expected.collect():  # at most the vocabulary
             n[row.piece] += row.n
@@ -304,7 +304,7 @@ def _scored(words: DataFrame, logp: np.ndarray, model_path: str) -> DataFrame:
                 scores[part] = lattice.log_probabilities(shared.value) / math.log(10)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores)], ["word", "c", "lattice"])
 
-    return words.select("word", "c").mapInArrow(run, "word binary, c bigint, lattice double")
+    return map_batches(words.select("word", "c"), run, "word binary, c bigint, lattice double")
 
 
 def _frequency_class(c: Column) -> Column:
@@ -368,7 +368,7 @@ def lattice_scores(docs: DataFrame, training: Column, held_out: Column, model_pa
                                              [part.split()[0] for part in _PARTS.split(", ")])
 
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col))
-    parts = texts.mapInArrow(split, _PARTS)  # a row of each document under a key that is no word, and its rare words
+    parts = map_batches(texts, split, _PARTS)  # a row of each document under a key that is no word, and its rare words
     rest = _scored(words.where(~is_hot), logp, model_path).select(
         "word", (F.col("c") > 0).cast("bigint").alias("w_known"), (F.log10(F.col("c") + 1.0) - floor).alias("w_base"),
         F.col("lattice").alias("w_lattice"))

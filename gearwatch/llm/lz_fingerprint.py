@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import text_chunks
+from gearwatch.llm.common import map_batches, text_chunks
 
 SIGNATURE = 128
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -161,7 +161,7 @@ def lz_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         yield pa.RecordBatch.from_arrays([pa.array(best.keys(), pa.int32()), pa.array(best.values(), pa.int64())],
                                          ["range", "id"])
 
-    firsts = source.select("id").mapInArrow(first_ids, "range int, id bigint")
+    firsts = map_batches(source.select("id"), first_ids, "range int, id bigint")
     firsts = sorted(firsts.groupBy("range").agg(F.max("id").alias("id")).collect())  # one row for each range
     sent_back = {firsts[i].range: (firsts[i].id, firsts[i - 1].range) for i in range(len(firsts))}
 
@@ -194,10 +194,10 @@ def lz_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             if out:
                 yield _compared(out)
 
-    dealt = source.mapInArrow(deal, "range int, next boolean, id bigint, packed binary")
+    dealt = map_batches(source, deal, "range int, next boolean, id bigint, packed binary")
     dealt = dealt.repartitionById(len(bounds) + 1, F.col("range"))
     dealt = dealt.sortWithinPartitions("next", F.desc_nulls_last("id"), "packed")
-    return dealt.mapInArrow(compare, _SCHEMA).withColumnRenamed("id", id_col)
+    return map_batches(dealt, compare, _SCHEMA).withColumnRenamed("id", id_col)
 
 
 _SCHEMA = ("id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gearwatch.llm.common import ship_package
+
 SHARD = 1 << 15
 QUERIES = 1 << 13
 _BLOCK = 2048
@@ -125,6 +127,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
                 out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": scores.astype(np.int64)}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
+    ship_package(vectors.sparkSession)
     best = candidates.groupBy("shard", "part").cogroup(asked_rows.groupBy("shard", "part")).applyInPandas(
         search, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

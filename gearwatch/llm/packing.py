@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import text_chunks, worker_state
+from gearwatch.llm.common import map_batches, text_chunks, worker_state
 
 CAPACITY = 2048
 GRAIN = 512  # a document's rest is cut into pieces of at most this many ids
@@ -221,4 +221,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capaci
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     schema = f"id {kind}, " + ", ".join(f"{name} bigint" for name in names[1:7]) + ", ids array<bigint>" * with_ids
-    return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_batches(source, run, schema).withColumnRenamed("id", id_col)

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import byte_column, checkpointed
+from gearwatch.llm.common import byte_column, checkpointed, map_batches
 
 WIDTH = 100
 GRAM = 32
@@ -142,7 +142,7 @@ def _runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
                  pa.array(doc[owner]), pa.array(tie[owner]), pa.array(start << 16 | count << 8 | place), pa.array(dup)],
                 ["anchor", "content", "doc", "tie", "run", "dup"])
 
-    return docs.mapInArrow(run, "anchor bigint, content bigint, doc bigint, tie bigint, run bigint, dup boolean")
+    return map_batches(docs, run, "anchor bigint, content bigint, doc bigint, tie bigint, run bigint, dup boolean")
 
 
 def _first_pass(runs: DataFrame) -> DataFrame:
@@ -188,7 +188,7 @@ def _first_pass(runs: DataFrame) -> DataFrame:
             yield emit(np.concatenate(out, axis=1), np.concatenate(dup))
 
     sorted_runs = runs.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "tie", "run")
-    return sorted_runs.mapInArrow(sift, "anchor bigint, doc bigint, tie bigint, run bigint, dup boolean")
+    return map_batches(sorted_runs, sift, "anchor bigint, doc bigint, tie bigint, run bigint, dup boolean")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -202,7 +202,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tie), pa.array(packed, pa.binary())],
                                              ["doc", "tie", "packed"])
 
-    return docs.mapInArrow(run, "doc bigint, tie bigint, packed binary")
+    return map_batches(docs, run, "doc bigint, tie bigint, packed binary")
 
 
 def _second_pass(docs: DataFrame, left: DataFrame, width: int, hot_anchor: int) -> DataFrame:
@@ -252,10 +252,11 @@ def _second_pass(docs: DataFrame, left: DataFrame, width: int, hot_anchor: int)
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*found)],
                                                  ["doc", "tie", "start", "length"])
 
-    contents = _packed(docs).join(wanted, ["doc", "tie"]).select("doc", "tie", "packed", "runs").mapInArrow(
-        fetch, "key bigint, doc bigint, tie bigint, start bigint, content binary")
+    contents = map_batches(
+        _packed(docs).join(wanted, ["doc", "tie"]).select("doc", "tie", "packed", "runs"), fetch,
+        "key bigint, doc bigint, tie bigint, start bigint, content binary")
     contents = contents.repartition("key").sortWithinPartitions("key", "doc", "tie", "start")
-    return contents.mapInArrow(compare, "doc bigint, tie bigint, start bigint, length bigint")
+    return map_batches(contents, compare, "doc bigint, tie bigint, start bigint, length bigint")
 
 
 def _identity(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column, bool]:
@@ -318,7 +319,7 @@ def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                                  ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     joined = _packed(rows).join(spans, ["doc", "tie"], "left").select("doc", "packed", "spans")
-    found = joined.mapInArrow(run, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    found = map_batches(joined, run, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return found.withColumn("doc", F.when(F.col("doc") != _LAST, F.col("doc"))).withColumnRenamed("doc", id_col)
 
 
@@ -357,4 +358,4 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             gone = pc.and_(pc.equal(pc.binary_length(kept), 0), pc.greater(pc.binary_length(texts), 0))
             yield pa.RecordBatch.from_arrays(columns, names).filter(pc.invert(gone.fill_null(False)))
 
-    return keyed.select(*(f"`{n}`" for n in names), f"spans_{mark}").mapInArrow(run, schema)
+    return map_batches(keyed.select(*(f"`{n}`" for n in names), f"spans_{mark}"), run, schema)

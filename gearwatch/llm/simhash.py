@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import checkpointed, text_chunks
+from gearwatch.llm.common import checkpointed, map_batches, text_chunks
 from gearwatch.llm.components import components
 
 SHINGLE = 4
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([ids, pa.array(found)], ["id", "fp"])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, fp bigint")
+    return map_batches(source, run, f"id {source.schema['id'].dataType.simpleString()}, fp bigint")
 
 
 def _blocks(width: int, count: int) -> list[tuple[int, int]]:
@@ -205,7 +205,7 @@ def _forests(dealt: DataFrame, width: int, budget: int) -> DataFrame:
         if held:
             yield edges(np.concatenate(held, axis=1))
 
-    return dealt.repartition("key").sortWithinPartitions("key", "rest").mapInArrow(run, "a bigint, b bigint")
+    return map_batches(dealt.repartition("key").sortWithinPartitions("key", "rest"), run, "a bigint, b bigint")
 
 
 def links(nodes: DataFrame, budget: int = BUDGET, hot_key: int = HOT_KEY) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import text_chunks, worker_state
+from gearwatch.llm.common import map_batches, text_chunks, worker_state
 
 MARK = "▁"  # how the vocabulary writes a blank
 KEPT_WORDS = 400_000  # counts of merged pre-tokens that a worker keeps
@@ -79,5 +79,5 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    counted = source.mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    counted = map_batches(source, run, f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
     return counted.withColumnRenamed("id", id_col)
