@@ -161,13 +161,27 @@ def multiway_difference(sizes: list[int], k: int) -> list[list[int]]:
 
 
 def fill_windows(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Windows of at most ``capacity``: the count rises from the least possible until all fit."""
-    k = max(1, -(-sum(sizes) // capacity))
-    while True:
+    """Windows of at most ``capacity``: the count rises from the least possible until all fit.
+
+    It rises in growing steps (grains of equal sizes may need a good many windows more), and the last
+    step is halved back to the smallest count that still fits.
+    """
+
+    def fitted(k: int) -> list[list[int]] | None:
         windows = multiway_difference(sizes, k)
-        if all(sum(sizes[i] for i in window) <= capacity for window in windows):
-            return windows
-        k += 1
+        return windows if all(sum(sizes[i] for i in window) <= capacity for window in windows) else None
+
+    count = max(1, -(-sum(sizes) // capacity))
+    short, step = count - 1, 1
+    while (windows := fitted(count)) is None:
+        short, count, step = count, count + step, 2 * step
+    while count - short > 1:
+        middle = (short + count) // 2
+        if (fewer := fitted(middle)) is not None:
+            windows, count = fewer, middle
+        else:
+            short = middle
+    return windows
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = CAPACITY,

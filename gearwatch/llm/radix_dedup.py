@@ -77,6 +77,8 @@ def window_runs(data: np.ndarray, ends: np.ndarray, width: int, gram: int) -> tu
 
     ``data`` is texts end to end, ``ends`` where each ends; windows that leave their text do not count.
     """
+    if not 0 < gram <= width < gram + 255:
+        raise ValueError("a run's windows are counted in one byte: gram <= width < gram + 255")
     parts = []
     with np.errstate(over="ignore"):
         for at in range(0, max(len(data) - width + 1, 0), _STEP):

@@ -53,10 +53,12 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - shingle + 1)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], _SEED) for a, b in zip(starts[:n].tolist(), ends[len(words) - n :].tolist())],
-                      "<u8")
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
-    return int(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > n, bitorder="little").view("<u8")[0])
+    ends, ones = ends[len(words) - n :], np.zeros(64, np.int64)
+    for at in range(0, n, 1 << 16):  # bounds what a long text unpacks
+        part = slice(at, at + (1 << 16))
+        hashes = np.array([digest(line[a:b], _SEED) for a, b in zip(starts[:n][part].tolist(), ends[part].tolist())], "<u8")
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:

@@ -72,7 +72,7 @@ def test_hash_is_sparks(spark):
 
 
 def test_fingerprint():
-    for text in random_texts(100, seed=5) + ["", "A b", "\x1c x\x0by\x0c", "Ä a"]:
+    for text in random_texts(100, seed=5) + ["", "A b", "\x1c x\x0by\x0c", "Ä a", "a b c d e " * 15_000]:
         assert fingerprint(text) == brute_fingerprint(text)
 
 

@@ -164,3 +164,4 @@ def test_differencing_deals_every_item_once(sizes, k):
 def test_differencing_balances():
     assert sorted(map(sorted, multiway_difference([8, 7, 6, 5, 4], 2))) in ([[0, 3], [1, 2, 4]], [[0, 2], [1, 3, 4]])
     assert fill_windows([], 10) == []
+    assert len(fill_windows([410] * 1000, 2048)) == 250  # five would be two too many
