@@ -146,5 +146,36 @@ SELECT record_id, url, canonical_url, captured, base_id, outcome,
          || chr(10) || 'last-modified: ' || coalesce(own_day, day) || chr(10) || 'x-page: ' || base_page END AS headers,
        CASE WHEN outcome = 'merged' THEN payload END AS payload
 FROM found
+""",
+    "op7_radix_dedup": """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), blocks AS (  -- 256 windows each: cutting a window out of a short string is cheap
+  SELECT doc_id, b, substr(h, 2 * b + 1, 2 * 355) AS part
+  FROM (SELECT doc_id, h, unnest(range(0, n - 99, 256)) AS b FROM d WHERE n >= 100)
+), windows AS (
+  SELECT doc_id, b + i AS s, md5(substr(part, 2 * i + 1, 200)) AS win
+  FROM (SELECT doc_id, b, part, unnest(range(0, least(256, length(part) // 2 - 99))) AS i FROM blocks)
+), ranked AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) AS seen FROM windows
+), again AS (
+  SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM ranked WHERE seen > 1
+), runs AS (
+  SELECT doc_id, s, sum(CASE WHEN before IS NULL OR s > before + 100 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY doc_id ORDER BY s) AS run
+  FROM again
+), spans AS (
+  SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS since FROM spans
+), cut AS (
+  SELECT g.doc_id, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS front, max(b) AS last,
+         sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM gaps g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id
+)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN cut.doc_id IS NULL THEN h ELSE front || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
 """,
 }
