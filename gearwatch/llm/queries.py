@@ -14,6 +14,8 @@ from gearwatch.llm.language import identify_languages, labelled_sample
 from gearwatch.llm.lattice_lm import lattice_scores
 from gearwatch.llm.lz_fingerprint import lz_fingerprints
 from gearwatch.llm.maxscore import top_k
+from gearwatch.llm.merkle import merkle_manifest
+from gearwatch.llm.merkle_sql import statement as merkle_statement
 from gearwatch.llm.packing import pack_documents
 from gearwatch.llm.radix_dedup import removal_digests
 from gearwatch.llm.revisit import capture_log, header_lines, resolve_revisits
@@ -80,10 +82,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    return merkle_manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint,
                             op3_maxscore, op4_simhash, op5_language, op6_revisits,
-                         op7_radix_dedup, op8_lattice_lm, op9_byte_bpe, op10_packing)
+                            op7_radix_dedup, op8_lattice_lm, op9_byte_bpe, op10_packing, op13_merkle)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -178,4 +185,5 @@ SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BI
        sha256(unhex(CASE WHEN cut.doc_id IS NULL THEN h ELSE front || substr(h, 2 * last + 1) END)) AS kept_sha256
 FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
 """,
+    "op13_merkle": merkle_statement(),
 }

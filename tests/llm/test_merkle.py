@@ -1,0 +1,122 @@
+"""Operator 13 against trees built one node at a time."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from gearwatch.llm import queries
+from gearwatch.llm.merkle import merkle_manifest
+from tests.llm.helpers import SF, empty_documents, odd_documents
+from tests.oracle_check import compare
+
+NAMES = ("doc_id", "source", "lang", "n_chars", "text")
+FOUND = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def sha(text):
+    return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+def leaf(row):
+    parts = (b"-" if v is None else b"%d:%s" % (len(str(v).encode()), str(v).encode()) for v in row)
+    return sha(b"".join(parts))
+
+
+def tree(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([sha("".join(levels[-1][i:i + 8])) for i in range(0, len(levels[-1]), 8)])
+    return levels
+
+
+def siblings(levels, place):
+    out = []
+    for nodes in levels[:-1]:
+        first = place // 8 * 8
+        out.append(("".join(nodes[first:place]), "".join(nodes[place + 1:first + 8])))
+        place //= 8
+    return out
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for row in rows:
+        doc, *between, text = row
+        hit = doc is not None and text is not None and zlib.crc32(str(doc).encode()) % 3 == 0
+        changed = leaf((doc, *between, text.encode().lower().decode())) if hit else leaf(row)
+        groups[row[2]].append((doc is None, doc or 0, leaf(row), changed, doc))
+    langs = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {lang: tree([x[2] for x in sorted(groups[lang])]) for lang in langs}
+    top = tree([trees[lang][-1][0] for lang in langs])
+    out = []
+    for k, lang in enumerate(langs):
+        for place, (*_, own, changed, doc) in enumerate(sorted(groups[lang])):
+            path, node = siblings(trees[lang], place) + siblings(top, k), changed
+            for left, right in path:
+                node = sha(left + node + right)
+            proof = sha("".join(a + b for a, b in path))
+            out.append((doc, own, trees[lang][-1][0], top[-1][0], proof, node, node == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def check(df, rows):
+    assert sorted(map(tuple, df.select(*FOUND).collect()), key=str) == brute(rows)
+
+
+def test_whole_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select(*NAMES).collect()]
+    check(queries.op13_merkle(spark, SF), rows)
+
+
+def test_oracle(spark):
+    result = compare(spark, SF, ["op13_merkle"])["op13_merkle"]
+    assert result[0] == "OK", result
+
+
+@pytest.mark.parametrize("n", [1, 8, 9, 64, 65, 512, 513, 4097])
+def test_sizes_around_full_runs(spark, n):
+    rows = [(7 * i * (-1) ** i, "s", "en", 1, f"T{i}") for i in range(n)]
+    check(merkle_manifest(spark.createDataFrame(rows, SCHEMA)), rows)
+
+
+def test_ids_of_the_whole_range_and_several_groups(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(-2**63, 2**63) if i % 3 else i, rng.choice(["a", None]),
+             rng.choice(["en"] * 6 + ["fr", None, "", "é"]), i, rng.choice([None, "", f"ABC É {i}"])) for i in range(1300)]
+    check(merkle_manifest(spark.createDataFrame(rows, SCHEMA)), rows)
+
+
+def test_repeated_and_missing_ids(spark):
+    """A third of the rows without an id, a third of one id, and rows that are equal throughout."""
+    rows = [(None, "a", "en", 1, f"T{i % 40}") for i in range(300)] + [(5, "a", "en", 1, f"T{i % 70}") for i in range(300)]
+    rows += [(i, "a", "en", 1, "Z") for i in range(200)] + [(7, "a", "fr", 1, "Q")] * 100
+    rows += [(2**63 - 1, "a", "en", 1, "T"), (-2**63, None, "en", None, None), (63, "a", "en", 2, "x"), (63, "a", "en", 2, "y")]
+    check(merkle_manifest(spark.createDataFrame(rows, SCHEMA).repartition(5)), rows)
+
+
+def test_many_groups(spark):
+    rows = [(i, "s", f"l{i % 700:04d}", 1, "x") for i in range(1500)]
+    check(merkle_manifest(spark.createDataFrame(rows, SCHEMA)), rows)
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    docs = odd_documents(spark)
+    rows = [tuple(r) for r in docs.select(*NAMES).collect()]
+    check(merkle_manifest(docs.selectExpr("*", "1 AS leaf", "2 AS at", "3 AS g", "4 AS head", "5 AS bits")), rows)
+
+
+def test_empty(spark):
+    assert merkle_manifest(empty_documents(spark)).collect() == []
+
+
+def test_path_proves_membership(spark):
+    docs = spark.createDataFrame([(i, "s", "en", 1, f"t{i}") for i in range(100)], SCHEMA)
+    row = merkle_manifest(docs).where("doc_id = 42").first()
+    node = row.leaf
+    for left, right in row.path:
+        node = sha(left + node + right)
+    assert node == row.root
