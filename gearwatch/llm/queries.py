@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearwatch.llm.byte_bpe import encode_digests
+from gearwatch.llm.collocations import collocations
 from gearwatch.llm.common import read_table
 from gearwatch.llm.language import identify_languages, labelled_sample
 from gearwatch.llm.lattice_lm import lattice_scores
@@ -82,6 +83,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations(docs, min_count=100, percent=100, top=2000)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     return merkle_manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -90,7 +96,8 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint,
                             op3_maxscore, op4_simhash, op5_language, op6_revisits,
-                            op7_radix_dedup, op8_lattice_lm, op9_byte_bpe, op10_packing, op13_merkle)
+                            op7_radix_dedup, op8_lattice_lm, op9_byte_bpe, op10_packing, op11_collocations,
+                            op13_merkle)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -184,6 +191,40 @@ SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BI
        coalesce(n_spans, 0) AS n_spans,
        sha256(unhex(CASE WHEN cut.doc_id IS NULL THEN h ELSE front || substr(h, 2 * last + 1) END)) AS kept_sha256
 FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
+""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS words FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM worded GROUP BY lang
+), phrases AS (
+  SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM worded, range(1, 6) s(size), unnest(range(1, len(words) - size + 2)) u(i)
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, phrase, size, f AS a, k, array_to_string(string_split(phrase, ' ')[: k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1 :], ' ') AS tail
+  FROM phrases, unnest(range(1, size)) u(k)
+), scored AS (
+  SELECT c.lang, c.phrase, a, h.f AS l, t.f AS r, n, k,
+         CAST((1000 * a::HUGEINT * n) // (h.f::HUGEINT * t.f) AS BIGINT) AS score
+  FROM cuts c JOIN phrases h ON h.lang = c.lang AND h.phrase = c.head JOIN phrases t ON t.lang = c.lang AND t.phrase = c.tail
+    JOIN totals ON totals.lang = c.lang
+), least_cut AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(string_split(phrase, ' ')[i : i + w - 1], ' ') AS phrase, max(f) AS longer
+  FROM phrases, unnest(range(2, size)) v(w), unnest(range(1, size - w + 2)) u(i)
+  GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM least_cut LEFT JOIN inside USING (lang, phrase)
+WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
 """,
     "op13_merkle": merkle_statement(),
 }
