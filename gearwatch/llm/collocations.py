@@ -94,30 +94,32 @@ def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return _mixed(first * _P + (second ^ _Q))
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str]]]:
-    """Words of (group, text) rows, step by step.
+def stretches(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> Iterator[Words]:
+    """Words of texts (``data`` from each of ``offsets`` to the next, with a code each), step by step.
 
     A text longer than a step is cut behind the last break of the step; without one, at a blank, and the next
     stretch begins ``ORDER - 1`` words earlier: those begin no window in the one before.
     """
-    for batch in batches:
-        coded = batch.column(0).fill_null(UNKNOWN).dictionary_encode()
-        groups, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        data, offsets = byte_column(batch.column(1))
-        row, rows = 0, len(codes)
-        while row < rows:
-            last = max(int(np.searchsorted(offsets, offsets[row] + _STEP, "right")) - 1, row + 1)
-            if last > row + 1 or offsets[last] - offsets[row] <= _STEP:
-                yield Words(data[offsets[row] : offsets[last]], offsets[row + 1 : last + 1] - offsets[row], codes[row:last]), groups
-                row = last
-                continue
+    row, rows = 0, len(codes)
+    while row < rows:
+        last = max(int(np.searchsorted(offsets, offsets[row] + _STEP, "right")) - 1, row + 1)
+        if last > row + 1 or offsets[last] - offsets[row] <= _STEP:
+            yield Words(data[offsets[row] : offsets[last]], offsets[row + 1 : last + 1] - offsets[row], codes[row:last])
+        else:
             at, end = int(offsets[row]), int(offsets[last])
             while at < end:
                 cut, heads = _cut(data, at, end)
-                found = Words(data[at:cut], np.array([cut - at]), codes[row:last], heads)
-                yield found, groups
+                yield (found := Words(data[at:cut], np.array([cut - at]), codes[row:last], heads))
                 at = cut if found.heads == len(found.ids) else at + int(found.starts[found.heads])
-            row = last
+        row = last
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str]]]:
+    """Words of (group, text) rows with the groups that their codes stand for."""
+    for batch in batches:
+        coded = batch.column(0).fill_null(UNKNOWN).dictionary_encode()
+        for found in stretches(*byte_column(batch.column(1)), coded.indices.to_numpy()):
+            yield found, coded.dictionary.to_pylist()
 
 
 def _cut(data: np.ndarray, at: int, end: int) -> tuple[int, int | None]:

@@ -22,6 +22,7 @@ from gearwatch.llm.radix_dedup import removal_digests
 from gearwatch.llm.revisit import capture_log, header_lines, resolve_revisits
 from gearwatch.llm.simhash import simhash_components
 from gearwatch.llm.token_count import token_counts
+from gearwatch.llm.toxicity import toxicity_model, toxicity_scores
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,14 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(docs, min_count=100, percent=100, top=2000)
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity_model(docs, labels, fold(4) != 2)
+    found = toxicity_scores(docs, model, threshold=0.3)
+    return found.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     return merkle_manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -97,7 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_lz_fingerprint,
                             op3_maxscore, op4_simhash, op5_language, op6_revisits,
                             op7_radix_dedup, op8_lattice_lm, op9_byte_bpe, op10_packing, op11_collocations,
-                            op13_merkle)
+                            op12_toxicity, op13_merkle)
 }
 
 ORACLE_SQL: dict[str, str] = {
