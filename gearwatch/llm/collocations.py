@@ -5,9 +5,9 @@ where its piece ends.  So only those windows are counted, one for each word; Spa
 (group, w1 .. w5) then adds them up to the counts of all shorter prefixes, down to a group's number of words.
 
 Windows are padded earlier where nothing can be lost: a phrase counts only from ``min_count`` on, and so do then all its
-words and pairs of words.  Two passes before the windows count the words, then the pairs of frequent words, by 64-bit
-hashes; the frequent ones are marked in a bitmap of ``BITMAP_BITS`` bits, the only thing that is broadcast.  Hashes and
-marks that collide keep windows longer than need be and change no count.
+parts.  ``LEVELS`` passes before the windows count words, then pairs of frequent words, then triples of frequent pairs and
+so on, by hashes of 38 bits and more; the frequent ones are marked in a bitmap of ``BITMAP_BITS`` bits a pass, the only things
+that are broadcast.  Hashes and marks that collide keep windows longer than need be and change no count.
 
 Candidates then meet the counts of their parts by a join on (group, part), dealt over ``SALT`` sub-keys, as some
 words begin or end a large share of all phrases.  Scores are exact: products in 38 digits, floored by ``div``.
@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ ORDER = 5
 MIN_COUNT = 100
 TOP = 2000
 BITMAP_BITS = 26
+LEVELS = 3  # sizes of phrases that are counted beforehand, to know where windows can be padded
 SALT = 16
 UNKNOWN = "und"
 _STEP = 4 << 20  # bytes of text that are split into words together
@@ -89,11 +91,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return _mixed(first * _P + (second ^ _Q))
-
-
 def stretches(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> Iterator[Words]:
     """Words of texts (``data`` from each of ``offsets`` to the next, with a code each), step by step.
 
@@ -144,119 +141,177 @@ def _cut(data: np.ndarray, at: int, end: int) -> tuple[int, int | None]:
 
 
 class Marks:
-    """A bitmap of hashes, by their highest bits."""
+    """A bitmap of hashes, by their highest ``bits``: of ``ranges`` parts, each compressed."""
 
-    def __init__(self, bits: int, rows: list[tuple[int, bytes]]):
+    def __init__(self, bits: int, parts: list[tuple[int, bytes]]):
         self.shift = np.uint64(64 - bits)
         self.bytes = np.zeros(1 << (bits - 3), np.uint8)
-        for part, bitmap in rows:
-            self.bytes[part << 12 : (part + 1) << 12] = np.frombuffer(bitmap, np.uint8)
+        unpack = zstandard.ZstdDecompressor()
+        for part, bitmap in parts:
+            bitmap = np.frombuffer(unpack.decompress(bitmap), np.uint8)
+            self.bytes[part * len(bitmap) : (part + 1) * len(bitmap)] = bitmap
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
         slot = hashes >> self.shift
         return (self.bytes[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _summed(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """(hash, count) pairs added up, some ``_HELD`` at a time."""
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(key, count) pairs with each key once, in order."""
+    keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([c for _, c in held]), len(keys)).astype(np.int64)
+
 
-    def add_up() -> tuple[np.ndarray, np.ndarray]:
-        hashes, place = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
-        return hashes, np.bincount(place, np.concatenate([c for _, c in held]), len(hashes)).astype(np.int64)
+def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted 32-bit keys as steps, with counts (up to 2^16 - 1 each), byte planes compressed."""
+    steps = np.diff(keys, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    counts = np.minimum(counts, 0xFFFF).astype("<u2").view(np.uint8).reshape(-1, 2).T
+    return zstandard.ZstdCompressor(level=1).compress(np.concatenate([steps, counts]).tobytes())
 
-    def batch(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["hash", "n"])
 
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for pair in pairs:
-        held.append(pair)
-        if sum(len(h) for h, _ in held) > 2 * _HELD:
-            held = [add_up()]
-            if len(held[0][0]) > _HELD:
-                yield batch(*held[0])
-                held = []
-    if held:
-        yield batch(*add_up())
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(6, -1)
+    steps = np.ascontiguousarray(planes[:4].T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint32), np.ascontiguousarray(planes[4:].T).view("<u2").ravel().astype(np.int64)
 
 
-def _counted(texts: DataFrame, counter: Callable[[], Callable], min_count: int, bits: int) -> list[tuple[int, bytes]]:
-    """The bitmap of the hashes that come ``min_count`` times or more: at most 2^(bits-15) rows of 4 KB.
+def _frequent(texts: DataFrame, counter: Callable[[], Callable], min_count: int, bits: int) -> list[tuple[int, bytes]]:
+    """The parts of the bitmap of the hashes that come ``min_count`` times or more, 2^(bits - 3) bytes in all.
 
-    ``counter`` makes, once a task, the function that gives a stretch's (hashes, counts).
+    ``counter`` makes, once a task, the function that gives a stretch's (hashes, counts).  A task adds them up
+    and hands them on as one packed list for each range of hashes, cut to 32 bits below the range's; a range meets in
+    one task, list by list, of which there are as many as shuffle partitions or more.
     """
+    if min_count > 0xFFFF:
+        raise ValueError("counts are summed in parts of up to 65,535")
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = min(max((2 * partitions - 1).bit_length(), 6), bits - 3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter()
-        yield from _summed(count(*found) for found in _stretches(batches))
-
-    counts = map_batches(texts, run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
-    slot = F.shiftrightunsigned("hash", 64 - bits)
-    marks = counts.where(F.col("n") >= min_count).groupBy(F.shiftright(slot, 15).alias("part")).agg(
-        F.bitmap_construct_agg(slot.bitwiseAND(F.lit(0x7FFF))).alias("bitmap"))
-    return [(r.part, bytes(r.bitmap)) for r in marks.collect()]
-
-
-def _word_pairs(found: Words, groups: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def emit(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            ranges = (hashes >> np.uint64(64 - top)).astype(np.int64)
+            keys = (hashes >> np.uint64(32 - top)).astype(np.uint32)
+            begins = np.flatnonzero(np.diff(ranges, prepend=-1))
+            ends = [*begins[1:].tolist(), len(ranges)]
+            lists = [_packed(keys[a:b], counts[a:b]) for a, b in zip(begins.tolist(), ends)]
+            return pa.RecordBatch.from_arrays([pa.array(ranges[begins].astype(np.int32)), pa.array(lists, pa.binary())], ["range", "list"])
+
+        count, held = counter(), []
+        for found in _stretches(batches):
+            held.append(count(*found))
+            if sum(len(h) for h, _ in held) > 2 * _HELD:
+                held = [_added(held)]
+                if len(held[0][0]) > _HELD:
+                    yield emit(*held[0])
+                    held = []
+        if held:
+            yield emit(*_added(held))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def bitmap(number: int, held: list) -> pa.RecordBatch:
+            keys, counts = _added(held)
+            slots = keys[counts >= min_count].astype(np.uint64) >> np.uint64(32 - (bits - top))
+            marks = np.zeros(1 << (bits - top), bool)
+            marks[slots] = True
+            packed = zstandard.ZstdCompressor().compress(np.packbits(marks, bitorder="little").tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([packed], pa.binary())], ["range", "marks"])
+
+        number, held = None, []
+        for batch in batches:
+            for own, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if own != number and held:
+                    yield bitmap(number, held)
+                    held = []
+                number = own
+                held.append(_unpacked(packed.as_py()))
+                if sum(len(k) for k, _ in held) > 4 * _HELD:
+                    held = [_added(held)]
+        if held:
+            yield bitmap(number, held)
+
+    lists = map_batches(texts, run, "range int, list binary").repartition("range").sortWithinPartitions("range")
+    return [(r.range, bytes(r.marks)) for r in map_batches(lists, mark, "range int, marks binary").collect()]
+
+
+def _word_counts(found: Words, groups: list[str]) -> tuple[np.ndarray, np.ndarray]:
     size = len(found.vocabulary)
     counts = np.bincount(found.code[: found.heads].astype(np.int64) * size + found.ids[: found.heads], minlength=size * len(groups))
     seen = np.flatnonzero(counts)
     return found.hashes(groups).ravel()[seen], counts[seen].astype(np.int64)
 
 
-def _linked(found: Words, groups: list[str], words: Marks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(whether each word is frequent, places of words that go before a frequent one, the pairs' hashes)."""
+def _grown(found: Words, groups: list[str], marks: list[Marks]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(for each of ``marks``, where a phrase of so many words begins that is frequent with all its parts; the places
+    where one of one word more may begin, and its hashes)."""
     table = found.hashes(groups)
-    frequent = words(table)[found.code, found.ids]
-    first = np.flatnonzero(found.joined[:-1] & frequent[:-1] & frequent[1:])
-    own = table[found.code[first], found.ids[first]]
-    return frequent, first, _pair_hashes(own, table[found.code[first], found.ids[first + 1]])
-
-
-def _padded_windows(found: Words, groups: list[str], words: Marks, pairs: Marks) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
-    """(length, a column of word ids for each place and one of group codes, counts) of the windows that begin here."""
-    frequent, first, hashes = _linked(found, groups, words)
-    n = len(found.ids)
-    linked = np.zeros(n + ORDER, bool)
-    linked[first[pairs(hashes)]] = True
-    length = np.ones(n, np.int64)
-    for k in range(ORDER - 2, -1, -1):
-        length = np.where(linked[k : k + n], length + 1, 1)
-    length[~frequent] = 0
+    known = marks[0](table)[found.code, found.ids]
+    own = np.zeros(len(found.ids), np.uint64)
+    at = np.flatnonzero(known)
+    own[at] = table[found.code[at], found.ids[at]]
+    last, hashes, levels = found.joined, own.copy(), [known]
+    for size in range(2, len(marks) + 2):
+        at = np.flatnonzero(known[:-1] & known[1:] & last[: len(known) - 1])
+        with np.errstate(over="ignore"):
+            grown = _mixed(hashes[at] * _P + (own[at + size - 1] ^ _Q))
+        if size > len(marks):
+            return levels, at, grown
+        kept = marks[size - 1](grown)
+        known, hashes = np.zeros(len(known), bool), np.zeros(len(known), np.uint64)
+        known[at[kept]], hashes[at[kept]] = True, grown[kept]
+        levels.append(known)
+    raise ValueError("no marks")
+
+
+def _padded_windows(found: Words, groups: list[str], marks: list[Marks]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+    """(length, group codes and a column of word ids for each place, counts) of the windows that begin here."""
+    levels, _, _ = _grown(found, groups, marks)
+    n, longest, joined = len(found.ids), np.pad(levels[-1], (0, ORDER)), np.pad(found.joined, (0, ORDER))
+    going, length = np.ones(n, bool), np.zeros(n, np.int64)
+    for size in range(1, ORDER + 1):  # the last known part of a longer window is of the highest order marked
+        going &= levels[size - 1] if size <= len(levels) else longest[size - len(levels) : size - len(levels) + n]
+        if size > 1:
+            going &= joined[size - 2 : size - 2 + n]
+        length += going
     length = length[: found.heads]
     for size in range(ORDER + 1):
         at = np.flatnonzero(length == size)
         if not len(at):
             continue
         columns = [found.code[at].astype(np.int64), *(found.ids[at + k].astype(np.int64) for k in range(size))]
-        kept, place = columns[0], columns[0]
+        place = columns[0]
         for column in columns[1:]:  # pairs of (number of what came before, next word) get new numbers
-            kept, place = np.unique(place * len(found.vocabulary) + column, return_inverse=True)
-        kept, one, counts = np.unique(place, return_index=True, return_counts=True)
+            _, place = np.unique(place * len(found.vocabulary) + column, return_inverse=True)
+        _, one, counts = np.unique(place, return_index=True, return_counts=True)
         yield size, [column[one] for column in columns], counts
 
 
-def window_counts(texts: DataFrame, min_count: int = MIN_COUNT, bits: int = BITMAP_BITS) -> DataFrame:
+def window_counts(texts: DataFrame, min_count: int = MIN_COUNT, bits: int = BITMAP_BITS, levels: int = LEVELS) -> DataFrame:
     """``group``, ``w1`` .. ``w5`` (null: padding), ``n``: the padded windows of (``group``, ``text``) rows and how often
     they occur; a window that no frequent phrase begins is all padding."""
-    context = texts.sparkSession.sparkContext
-    words = context.broadcast(_counted(texts, lambda: _word_pairs, min_count, bits))
+    context, known = texts.sparkSession.sparkContext, []
+    names = [f"w{k + 1}" for k in range(ORDER)]
 
-    def pair_counter() -> Callable:
-        frequent = Marks(bits, words.value)
+    def counter_of(shared: list) -> Callable[[], Callable]:
+        def counter() -> Callable:
+            if not shared:
+                return _word_counts
+            marks = [Marks(bits, x.value) for x in shared]
 
-        def count(found: Words, groups: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            _, first, hashes = _linked(found, groups, frequent)
-            return np.unique(hashes[first < found.heads], return_counts=True)
+            def count(found: Words, groups: list[str]) -> tuple[np.ndarray, np.ndarray]:
+                _, at, hashes = _grown(found, groups, marks)
+                return np.unique(hashes[at < found.heads], return_counts=True)
 
-        return count
+            return count
 
-    pairs = context.broadcast(_counted(texts, pair_counter, min_count, bits))
-    names = [f"w{k + 1}" for k in range(ORDER)]
+        return counter
+
+    for _ in range(levels):
+        known = [*known, context.broadcast(_frequent(texts, counter_of(known), min_count, bits))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, linked = Marks(bits, words.value), Marks(bits, pairs.value)
+        marks = [Marks(bits, x.value) for x in known]
         for found, groups in _stretches(batches):
-            for size, (code, *ids), counts in _padded_windows(found, groups, frequent, linked):
+            for size, (code, *ids), counts in _padded_windows(found, groups, marks):
                 columns = [found.vocabulary.take(pa.array(column)).cast(pa.string()) for column in ids]
                 columns += [pa.nulls(len(counts), pa.string())] * (ORDER - size)
                 yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()).take(pa.array(code)), *columns, pa.array(counts)],
@@ -266,11 +321,11 @@ def window_counts(texts: DataFrame, min_count: int = MIN_COUNT, bits: int = BITM
     return counted.groupBy("group", *names).agg(F.sum("n").alias("n"))
 
 
-def phrase_counts(texts: DataFrame, min_count: int = MIN_COUNT, bits: int = BITMAP_BITS) -> DataFrame:
+def phrase_counts(texts: DataFrame, min_count: int = MIN_COUNT, bits: int = BITMAP_BITS, levels: int = LEVELS) -> DataFrame:
     """``group``, ``words`` (array), ``f``: all phrases of 1 to ``ORDER`` words that occur ``min_count`` times or more,
     and with no words a group's number of words."""
     names = [f"w{k + 1}" for k in range(ORDER)]
-    summed = window_counts(texts, min_count, bits).rollup("group", *names).agg(
+    summed = window_counts(texts, min_count, bits, levels).rollup("group", *names).agg(
         F.sum("n").alias("f"), F.grouping_id().alias("left_out"))
     words = F.array(*names)
     size = F.lit(ORDER) - F.bit_count("left_out")  # of the prefix that a row of ROLLUP stands for; -1: all groups
@@ -283,7 +338,8 @@ def _salted(df: DataFrame, salt: int) -> DataFrame:
 
 
 def collocations(docs: DataFrame, group_col: str = "lang", text_col: str = "text", min_count: int = MIN_COUNT,
-                 percent: int = 100, top: int = TOP, bits: int = BITMAP_BITS, salt: int = SALT) -> DataFrame:
+                 percent: int = 100, top: int = TOP, bits: int = BITMAP_BITS, levels: int = LEVELS,
+                 salt: int = SALT) -> DataFrame:
     """Each group's ``top`` collocations: ``group_col``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
 
     ``a`` counts the phrase, ``l`` and ``r`` the two parts of its lowest-scoring cut (the first of equals), ``n`` all
@@ -291,7 +347,7 @@ def collocations(docs: DataFrame, group_col: str = "lang", text_col: str = "text
     least ``percent`` in 100 times as often is left out.  By score, then ``a``, then phrase.
     """
     texts = docs.select(F.coalesce(group_col, F.lit(UNKNOWN)).alias("group"), F.coalesce(text_col, F.lit("")).alias("text"))
-    counts = checkpointed(phrase_counts(texts, min_count, bits))
+    counts = checkpointed(phrase_counts(texts, min_count, bits, levels))
     phrases = counts.where(F.size("words") > 0).select("group", F.array_join("words", " ").alias("phrase"), "words", "f")
     totals = counts.where(F.size("words") == 0).select("group", F.col("f").alias("n"))
     candidates = phrases.where(F.size("words") > 1)

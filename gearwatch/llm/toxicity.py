@@ -102,7 +102,9 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int = BITS, width: int = WIDTH,
           rate: float = RATE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(vectors, softmax weights, softmax bias) fitted to averaged bags; the same for the same bags in the same order."""
+    """(vectors, softmax weights, softmax bias) fitted to averaged bags, the same for the same bags in the same order.
+
+    Empties the list ``bags``, so that it is not held twice."""
     rng = np.random.default_rng(12)
     order = rng.permutation(len(bags))
     vectors = np.zeros((1 << bits, width), np.float32)  # an n-gram never seen says nothing
@@ -114,6 +116,8 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: i
         used, place = np.unique(np.concatenate([b for b, _ in part]), return_inverse=True)
         rows = np.repeat(np.arange(len(part), dtype=np.int16), [len(b) for b, _ in part])
         batches.append((used, place.astype(np.int32), rows, labels[order[at : at + BATCH]], [s for _, s in part]))
+        for i in order[at : at + BATCH]:
+            bags[i] = None  # its buckets are in the batch now
     for _ in range(min(max(STEPS // max(len(batches), 1), EPOCHS[0]), EPOCHS[1])):
         for k in rng.permutation(len(batches)):
             used, place, rows, truth, shares = batches[k]

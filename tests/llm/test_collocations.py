@@ -76,8 +76,13 @@ def test_random_prose(spark, seed):
 
 
 def test_colliding_marks_change_nothing(spark):
-    """A bitmap of 2^15 bits for some hundred words: windows stay longer, counts the same."""
-    check(spark, prose(80, 9), min_count=4, bits=15, salt=3)
+    """A bitmap of 2^9 bits for some thousand phrases: windows stay longer, counts the same."""
+    check(spark, prose(80, 9), min_count=4, bits=9, salt=3)
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3, 5])
+def test_any_number_of_passes_gives_the_same(spark, levels):
+    check(spark, prose(80, 4), min_count=4, levels=levels)
 
 
 def test_percent_and_top(spark):
