@@ -38,7 +38,7 @@ BITMAP_BITS = 26
 LEVELS = 3  # sizes of phrases that are counted beforehand, to know where windows can be padded
 SALT = 16
 UNKNOWN = "und"
-_STEP = 4 << 20  # bytes of text that are split into words together
+_STEP = 8 << 20  # bytes of text that are split into words together
 _HELD = 1 << 20  # hashes that a worker adds up before it hands them on
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -266,14 +266,13 @@ def _padded_windows(found: Words, groups: list[str], marks: list[Marks]) -> Iter
     """(length, group codes and a column of word ids for each place, counts) of the windows that begin here."""
     levels, _, _ = _grown(found, groups, marks)
     n, longest, joined = len(found.ids), np.pad(levels[-1], (0, ORDER)), np.pad(found.joined, (0, ORDER))
-    going, length = np.ones(n, bool), np.zeros(n, np.int64)
-    for size in range(1, ORDER + 1):  # the last known part of a longer window is of the highest order marked
+    going, length = levels[0].copy(), np.ones(n, np.int64)
+    for size in range(2, ORDER + 1):  # the last known part of a longer window is of the highest order marked
         going &= levels[size - 1] if size <= len(levels) else longest[size - len(levels) : size - len(levels) + n]
-        if size > 1:
-            going &= joined[size - 2 : size - 2 + n]
+        going &= joined[size - 2 : size - 2 + n]
         length += going
     length = length[: found.heads]
-    for size in range(ORDER + 1):
+    for size in range(1, ORDER + 1):
         at = np.flatnonzero(length == size)
         if not len(at):
             continue
@@ -286,8 +285,8 @@ def _padded_windows(found: Words, groups: list[str], marks: list[Marks]) -> Iter
 
 
 def window_counts(texts: DataFrame, min_count: int = MIN_COUNT, bits: int = BITMAP_BITS, levels: int = LEVELS) -> DataFrame:
-    """``group``, ``w1`` .. ``w5`` (null: padding), ``n``: the padded windows of (``group``, ``text``) rows and how often
-    they occur; a window that no frequent phrase begins is all padding."""
+    """``group``, ``w1`` .. ``w5`` (null: padding), ``n``: the padded windows of (``group``, ``text``) rows, one from each
+    word on, and how often they occur."""
     context, known = texts.sparkSession.sparkContext, []
     names = [f"w{k + 1}" for k in range(ORDER)]
 
