@@ -77,8 +77,9 @@ class WordEncoder:
         """(letters, punctuation) of a stretch that may be taken apart, else (itself, "")."""
         if max(word) < "\u0250":
             letters = word.rstrip(self.TAIL)
-            if letters.isalpha():
-                return letters.lower(), word[len(letters):]
+            # lower case can add a mark that the splitter takes with the punctuation behind it (U+0130)
+            if letters.isalpha() and len(low := letters.lower()) == len(letters) and low.isalpha():
+                return low, word[len(letters):]
         return word, ""
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:

@@ -44,7 +44,10 @@ def word_tokenizer():
     return Tokenizer.from_file(WORDS)
 
 
-TEXT = st.text(alphabet=st.one_of(st.sampled_from(" ▁\n\tab'sé1.,<|>"), st.characters(exclude_categories=["Cs"])),
+# letters whose lower case is longer or shorter than they are, beside what a word may end in
+CHANGED = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000 and len(c.lower()) != 1] + list("İŞĞ")
+TEXT = st.text(alphabet=st.one_of(st.sampled_from(" ▁\n\tab'sé1.,<|>"), st.sampled_from(CHANGED),
+                                  st.characters(exclude_categories=["Cs"])),
                max_size=60)
 
 
@@ -68,6 +71,12 @@ def _tools():
     return _TOOLS
 
 
+def test_words_whose_lower_case_is_longer(word_tokenizer):
+    texts = ["EVİ. DENİZİ, bitti", "İ.", "İ İ! İİ? aİ, İa.", "BİR:İKİ; ÜÇ%", "İ" * 40 + ".", "(İ) \"İ\" İ~"]
+    expected = [word_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in _tools()[1].encode(texts)] == expected
+
+
 def test_shortcut_holds_only_words_of_one_token(pieces):
     counter = WordCounter(MODEL, kept=0)
     assert len(counter) > 10_000
