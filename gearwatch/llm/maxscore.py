@@ -9,13 +9,15 @@ are traversed and summed; vectors that could still reach the threshold are probe
 from the largest bound down, for as long as they stay competitive.  The threshold rises with every
 block.  The best of each shard are merged.
 
-Scores are integers and sums stay below 2**53, so 64-bit floats hold them exactly (larger components raise an error).  Shards have about
+Scores are integers.  64-bit floats hold them exactly as long as all sums stay below 2**53; a shard and its queries that
+could exceed that are summed as 64-bit integers, beyond 2**62 as Python's.  Shards have about
 ``SHARD`` vectors and meet at most ``QUERIES`` queries at a time; both are dealt by hashed ids.
 
 Defined results: a vector that is null, or holds a null or non-finite component, takes no part, as query
 or candidate; so does a row without an id.  Components that a shorter vector lacks count as 0.  Rows that share an
 id are candidates each (never for the query of that id), and one query, with the smallest of their vectors.  A query finds all candidates if there
-are fewer than k; an empty table gives an empty result; other columns are neither read nor returned.
+are fewer than k; an empty table gives an empty result; other columns are neither read nor returned.  What does not fit a
+long (a scaled component, a score) is given as the nearest long.
 """
 
 from __future__ import annotations
@@ -45,16 +47,17 @@ def maxscore(query: np.ndarray, ranges: tuple[np.ndarray, np.ndarray], blocks: l
     bounds = np.abs(query) * (high - low)
     order = np.argsort(-bounds, kind="stable")  # the terms, largest bound first
     order = order[bounds[order] > 0]
-    rest = np.append(np.cumsum(bounds[order][::-1])[::-1], 0.0)  # what the terms from here on add at most
-    base = float(query @ least)
-    ids, scores, threshold = np.zeros(0, np.int64), np.zeros(0), -np.inf
+    rest = np.zeros(len(order) + 1, query.dtype)  # what the terms from here on add at most
+    rest[:-1] = np.cumsum(bounds[order][::-1])[::-1]
+    base = query @ least
+    ids, scores, threshold = np.zeros(0, np.int64), np.zeros(0, query.dtype), None
     for block_ids, postings in blocks:
-        needed = threshold - base
+        needed = 0 if threshold is None else threshold - base
         essential = int(np.searchsorted(-rest, -needed, side="right")) if needed > 0 else 0
         # without its first ``essential`` terms no vector gets there: they are traversed, the others are probed
         essential = max(min(essential, len(order)), min(1, len(order)))
         terms = order[:essential]
-        found = query[terms] @ (postings[terms] - least[terms, None]) if len(terms) else np.zeros(len(block_ids))
+        found = query[terms] @ (postings[terms] - least[terms, None]) if len(terms) else np.zeros(len(block_ids), query.dtype)
         at = np.flatnonzero((found + rest[essential] >= needed) & (block_ids != own))
         found = found[at]
         for n in range(essential, len(order), 8):
@@ -66,15 +69,16 @@ def maxscore(query: np.ndarray, ranges: tuple[np.ndarray, np.ndarray], blocks: l
             at, found = at[near], found[near]
         if len(at):
             ids, scores = np.append(ids, block_ids[at]), np.append(scores, found + base)
-            best = np.lexsort((ids, -scores))[:k]
+            best = np.argsort(ids, kind="stable")
+            best = best[np.argsort(-scores[best], kind="stable")][:k]
             ids, scores = ids[best], scores[best]
             if len(ids) == k:
                 threshold = scores[-1]
     return ids, scores
 
 
-def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width))
+def _matrix(vectors: pd.Series, width: int, kind: type) -> np.ndarray:
+    out = np.zeros((len(vectors), width), kind)
     for row, vector in zip(out, vectors):
         row[: len(vector)] = vector
     return out
@@ -116,14 +120,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
             width = max(max(map(len, left.v)), max(map(len, right.v)))
             left = left.sort_values("vec_id")
             ids = left.vec_id.to_numpy()
-            asking, postings = _matrix(right.v, width), np.ascontiguousarray(_matrix(left.v, width).T)
-            if 4 * width * np.abs(asking).max(initial=0) * np.abs(postings).max(initial=0) >= 2.0**53:
-                raise ValueError("components are too large for exact scores")
+            most = [max(abs(int(side(x))) for x in v if len(x) for side in (np.min, np.max)) if v.map(len).any() else 0
+                    for v in (left.v, right.v)]
+            sums = 4 * width * most[0] * most[1]  # no sum or bound below exceeds it
+            kind = np.float64 if sums < 2**53 else np.int64 if sums < 2**62 else object
+            asking, postings = _matrix(right.v, width, kind), np.ascontiguousarray(_matrix(left.v, width, kind).T)
             ranges = postings.min(axis=1), postings.max(axis=1)
             blocks = [(ids[i : i + _BLOCK], np.ascontiguousarray(postings[:, i : i + _BLOCK]))
                       for i in range(0, len(ids), _BLOCK)]
             for own, query in zip(right.vec_id.tolist(), asking):
                 found, scores = maxscore(query, ranges, blocks, k, own)
+                if kind is object:
+                    scores = np.array([min(max(x, -2**63), 2**63 - 1) for x in scores], object)
                 out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": scores.astype(np.int64)}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 

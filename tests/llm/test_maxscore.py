@@ -64,7 +64,16 @@ def test_bounds_spare_work(spark):
         assert found.tolist() == best and scores.tolist() == exact[best].tolist()
 
 
-def test_too_large_components_are_an_error(spark):
-    vectors = spark.createDataFrame([(0, [1e12]), (1, [1e12])], "vec_id bigint, embedding array<double>")
-    with pytest.raises(Exception, match="too large"):
-        top_k(vectors, F.col("vec_id") % 100 == 0).collect()
+@pytest.mark.parametrize("large", [1e9, 3e12, 8e15])
+def test_large_components_are_exact(spark, large):
+    """Sums past 2^53 and past 2^62 beside small ones; scores that fit a long are exact."""
+    rng = random.Random(7)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(300)]
+    rows += [(301, [large, 0.0, 1.0, 0.0, 0.0, -1.0]), (302, [-large, 0.0, 0.0, 0.0, 0.0, 0.5]), (303, [0.1] * 6)]
+    check(top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0), rows)
+
+
+def test_scores_past_a_long_are_the_nearest_long(spark):
+    rows = [(0, [1e12]), (1, [1e12]), (2, [-1e12]), (3, [2e12])]
+    found = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0).collect()
+    assert {r.vec_id: r.score for r in found} == {1: 2**63 - 1, 3: 2**63 - 1, 2: -2**63}
