@@ -41,12 +41,12 @@ def _load_dims(spark: SparkSession, root: str, version: str):
         read_dimension(spark, p["car_colors"])
 
 
-def _wait(query, args) -> None:
+def _wait(query, args, ckpt: str) -> None:
     """Until the query ends (``--available-now``) or is stopped; at most ``--timeout`` seconds.
 
     A backlog that ``--available-now`` works off must not lose rows behind the watermark."""
     from gearwatch.streaming.runner import await_or_stop
-    await_or_stop(query, args.timeout, keep_all=args.available_now and not args.allow_late_drops)
+    await_or_stop(query, args.timeout, keep_all=args.available_now and not args.allow_late_drops, checkpoint=ckpt)
 
 
 def default_checkpoint(spark: SparkSession, args) -> str:
@@ -75,7 +75,7 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--max-files-per-trigger", type=int, default=None,
                        help="bound a micro-batch of a file-backed topic (then give --watermark the backlog's span)")
         p.add_argument("--max-offsets-per-trigger", type=int, default=None, help="bound a micro-batch of a Kafka topic")
-        p.add_argument("--starting-offsets", default=None, help="Kafka: earliest (default) or latest")
+        p.add_argument("--starting-offsets", default=None, help="earliest (default) or latest")
         p.add_argument("--allow-late-drops", action="store_true",
                        help="with --available-now: rows behind the watermark may be dropped")
 
@@ -102,10 +102,15 @@ def _parser() -> argparse.ArgumentParser:
     p = sub.add_parser("count")
     topics(p)
     streaming(p)
-    p.add_argument("--mode", default="complete", choices=("complete", "update", "append"))
+    p.add_argument("--mode", default="complete", choices=("complete", "update", "append", "partials"),
+                   help="partials: count each micro-batch by itself into a table (--out); loses no row in any order")
     p.add_argument("--trigger", default="1 minute")
     p.add_argument("--watermark", default="48 hours")
     p.add_argument("--window", default="15 minutes")
+    p.add_argument("--out", help="with --mode partials: the folder of the result table")
+    p.add_argument("--late", default="keep", choices=("keep", "raise", "side"),
+                   help="with --mode partials: rows behind the watermark count, fail their batch, or are kept apart")
+    p.add_argument("--compact-every", type=int, default=100, help="with --mode partials: micro-batches from fold to fold")
 
     p = sub.add_parser("fused")
     p.add_argument("--dims", required=True)
@@ -138,6 +143,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ckpt = None
     if hasattr(args, "checkpoint"):
         ckpt = args.checkpoint or default_checkpoint(spark, args)
+        if getattr(args, "mode", None) and not args.allow_late_drops:
+            from gearwatch.streaming.runner import refuse_lossy
+            refuse_lossy(spark, ckpt)
     trigger = "available-now" if getattr(args, "available_now", False) else None
     stream_opts = {k: getattr(args, k, None)
                    for k in ("max_files_per_trigger", "max_offsets_per_trigger", "starting_offsets")}
@@ -157,24 +165,33 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         cars, models, colors = _load_dims(spark, args.dims, args.version)
         q = start_enrichment(spark, cars, models, colors, checkpoint=ckpt, trigger=trigger,
                              **topic_opts, **stream_opts)
-        _wait(q, args)
+        _wait(q, args, ckpt)
     elif args.job == "detect":
         from gearwatch.streaming.jobs import start_detection
         q = start_detection(spark, checkpoint=ckpt, trigger=trigger, **topic_opts, **stream_opts)
-        _wait(q, args)
+        _wait(q, args, ckpt)
+    elif args.job == "count" and args.mode == "partials":
+        from gearwatch.streaming.jobs import start_partial_counter
+        if not args.out:
+            raise SystemExit("--mode partials needs --out")
+        counter, q = start_partial_counter(spark, out_dir=args.out, checkpoint=ckpt, trigger=trigger or args.trigger,
+                                           window=args.window, delay=args.watermark, late=args.late,
+                                           compact_every=args.compact_every, **topic_opts, **stream_opts)
+        _wait(q, args, ckpt)
+        counter.read(spark).orderBy("window_start").show(50, truncate=False)
     elif args.job == "count":
         from gearwatch.streaming.jobs import start_counter
         q = start_counter(spark, checkpoint=ckpt, output_mode=args.mode,
                           trigger=trigger or args.trigger, window=args.window,
                           watermark=args.watermark, **topic_opts, **stream_opts)
-        _wait(q, args)
+        _wait(q, args, ckpt)
     elif args.job == "fused":
         from gearwatch.streaming.jobs import start_fused_counter
         cars, models, colors = _load_dims(spark, args.dims, args.version)
         q = start_fused_counter(spark, cars, models, colors, checkpoint=ckpt, output_mode=args.mode,
                                 trigger=trigger or args.trigger, watermark=args.watermark,
                                 **topic_opts, **stream_opts)
-        _wait(q, args)
+        _wait(q, args, ckpt)
     elif args.job == "tap":
         from gearwatch.streaming.jobs import debug_tap
         debug_tap(spark, seconds=args.seconds, starting_offsets=args.starting_offsets, **topic_opts)
@@ -194,10 +211,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from gearwatch.sources.topics import RAW_TOPIC, read_topic
         write_dimension(smoke_table(spark), args.out)
         print(f"storage round trip: {read_dimension(spark, args.out).count()} rows")
-        # new messages only, as a connector check reads; a file-backed topic has no such offset
-        offsets = "latest" if args.bootstrap_servers else "earliest"
-        try:
-            read_topic(spark, RAW_TOPIC, root=args.topics, bootstrap_servers=args.bootstrap_servers, starting_offsets=offsets)
+        try:  # new messages only, as a connector check reads
+            read_topic(spark, RAW_TOPIC, root=args.topics, bootstrap_servers=args.bootstrap_servers, starting_offsets="latest")
             print("topic source: available")
         except AnalysisException as exc:  # no connector, no such folder: report it, as a smoke check does
             print(f"topic source: not available ({exc.getCondition() or type(exc).__name__})")

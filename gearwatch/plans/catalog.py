@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from gearwatch.functions.bands import classify_bands
 from gearwatch.functions.codec import decode, encode
-from gearwatch.functions.eventtime import format_event_time, parse_event_time, utc_of_instant
+from gearwatch.functions.eventtime import format_event_time, instant_of_utc, parse_event_time, utc_of_instant
 from gearwatch.functions.hashing import hash31
 from gearwatch.operators.enrich import car_profiles, enrich, lookup, to_enriched_record
 from gearwatch.operators.rules import detect, gear_mismatch, high_rpm, overspeed
@@ -41,8 +41,9 @@ from gearwatch.sources.testdata import (
     telemetry_cars,
     telemetry_events,
 )
-from gearwatch.sources.topics import ENRICHED_TOPIC, RAW_TOPIC, read_topic, write_topic
+from gearwatch.sources.topics import ALERT_TOPIC, ENRICHED_TOPIC, RAW_TOPIC, read_topic, write_topic
 from gearwatch.streaming.jobs import counter_frame, publish_alert, start_detection, start_enrichment
+from gearwatch.streaming.partials import WindowCounter
 from gearwatch.streaming.runner import (
     await_or_stop,
     materialize,
@@ -358,6 +359,46 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
                      lambda cut: (ts < cut, ~(ts < cut) | ts.isNull() | cut.isNull()), 3, keep_all=True)
 
 
+def _stream_timed_alerts(spark: SparkSession, sf_dir: str, source: DataFrame) -> DataFrame:
+    return alerts_of(sensor_columns(source), *_dims(spark, sf_dir)).select("ts", "color_name", "speed", "gear", "rpm", "event_id")
+
+
+def stream_window_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window counts from mergeable partials: the events come newest first, a file a micro-batch, in two runs."""
+    base = fresh_dir(spark, "stream-partials")
+    inbox, ckpt = os.path.join(base, "inbox"), os.path.join(base, "state")
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+    cut = _hour_cut(events)
+    counter = None
+    for part in (F.col("ts") >= cut, ~(F.col("ts") >= cut) | F.col("ts").isNull() | cut.isNull()):
+        events.where(part).repartitionByRange(3, F.desc("ts")).write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        rows = _stream_timed_alerts(spark, sf_dir, source)
+        counter = WindowCounter(rows, os.path.join(base, "out"), time_col="ts", compact_every=4)
+        await_or_stop(counter.start(rows, ckpt, "available-now"))
+    for scratch in (inbox, ckpt):
+        discard(spark, scratch)
+    return counter.read(spark)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of the events first: what lies behind the watermark then is kept apart; counts of both."""
+    base = fresh_dir(spark, "stream-late-rows")
+    inbox, ckpt = os.path.join(base, "inbox"), os.path.join(base, "state")
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+    cut = _hour_cut(events)
+    counter = None
+    for part in (F.col("ts") >= cut, ~(F.col("ts") >= cut) | F.col("ts").isNull() | cut.isNull()):
+        events.where(part).write.mode("append").parquet(inbox)
+        rows = _stream_timed_alerts(spark, sf_dir, spark.readStream.schema(events.schema).parquet(inbox))
+        counter = WindowCounter(rows, os.path.join(base, "out"), time_col="ts", delay=WATERMARK, late="side")
+        await_or_stop(counter.start(rows, ckpt, "available-now"))
+    for scratch in (inbox, ckpt):
+        discard(spark, scratch)
+    late = window_metrics(counter.late_rows(spark), "ts")
+    return counter.read(spark).withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+
+
 def _raw_topic(spark: SparkSession, sf_dir: str, base: str) -> str:
     topics = os.path.join(base, "topics")
     write_topic(encode(telemetry_events(spark, sf_dir), RAW_FIELDS, key="event_id"), RAW_TOPIC, root=topics)
@@ -384,6 +425,23 @@ def topic_chain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(spark, base, metrics, "complete")
 
 
+def topic_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detection that starts at the latest offset: the earlier half of the events is in its topic by then and is left
+    out; the later half comes in two writes, with a restart between them."""
+    base = fresh_dir(spark, "topic-latest")
+    topics, ckpt = os.path.join(base, "topics"), os.path.join(base, "ck-detect")
+    events = read_table(spark, sf_dir, "events")
+    cut = _hour_cut(events)
+    enriched = to_enriched_record(enrich(sensor_columns(events), *_dims(spark, sf_dir)))
+    early = F.coalesce(parse_event_time(F.col("event_time")) < instant_of_utc(cut), F.lit(True))
+    odd = F.pmod(F.col("event_id").cast("bigint"), F.lit(2)) == 1
+    for part in (early, ~early & odd, ~early & ~odd):
+        write_topic(encode(enriched.where(part), ENRICHED_FIELDS), ENRICHED_TOPIC, root=topics)
+        await_or_stop(start_detection(spark, checkpoint=ckpt, topics_root=topics, trigger="available-now",
+                                      starting_offsets="latest"))
+    return decode(read_topic(spark, ALERT_TOPIC, root=topics, streaming=False), ENRICHED_EVENT)
+
+
 QUERIES: dict[str, Query] = {
     "scan_events": scan_events,
     "scan_dim": scan_dim,
@@ -416,6 +474,9 @@ QUERIES: dict[str, Query] = {
     "stream_window_append": stream_window_append,
     "stream_late_data": stream_late_data,
     "stream_restart": stream_restart,
+    "stream_window_partials": stream_window_partials,
+    "stream_late_rows": stream_late_rows,
     "stream_fused": stream_fused,
     "topic_chain_stream": topic_chain_stream,
+    "topic_from_latest": topic_from_latest,
 }

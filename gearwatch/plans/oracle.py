@@ -246,6 +246,16 @@ SELECT ev.event_id, ev.car_id, f.driver_id FROM ev LEFT JOIN fan f ON ev.car_id
   SELECT * FROM alerts WHERE ts >= (
     SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events))"""),
         "stream_restart": windows,
+        "stream_window_partials": windows,
+        "stream_late_rows": with_base(
+            f"""SELECT *, false AS late FROM ({windows_select('counted')})
+UNION ALL SELECT *, true AS late FROM ({windows_select('behind')})""",
+            """halves AS (SELECT *, ts >= (SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events) AS first FROM alerts),
+marked AS (SELECT *, NOT first AND time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE
+             <= (SELECT max(ts) FROM halves WHERE first) - INTERVAL 48 HOUR AS is_late FROM halves),
+counted AS (SELECT * FROM marked WHERE NOT coalesce(is_late, false)), behind AS (SELECT * FROM marked WHERE is_late)"""),
         "stream_fused": windows,
         "topic_chain_stream": windows,
+        "topic_from_latest": with_base(f"""SELECT {ENRICHED_COLS} FROM alerts
+WHERE ts >= (SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events)"""),
     }

@@ -111,6 +111,29 @@ def read_text(spark: SparkSession, path: str) -> str:
         opened.close()
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, where = _hadoop(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder its final name, which must be free; on HDFS and local disks in one step."""
+    fs, where = _hadoop(spark, path)
+    _, target = _hadoop(spark, to)
+    if fs.exists(target):
+        raise FileExistsError(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(where, target):
+        raise OSError(f"{path} cannot be renamed to {to}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that the caller itself wrote."""
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a working folder that ``fresh_dir`` named, or one below it."""
     root = os.path.join(shared_root(spark), "gearwatch") + "/"

@@ -1,25 +1,31 @@
 """Topics: Kafka when a broker is configured, otherwise a folder of Parquet records.
 
-A file-backed topic is a folder with one sub-folder per producer.  A batch write adds a sub-folder of its
-own; a stream writes each micro-batch into a sub-folder of its producer's, once: a batch that is run again
-after it was committed is left as it is.  Files appear when their batch is committed, and a reader
-takes all producers' files, also of those that come later, so batch jobs and any number of
-streams (under different producer names) can feed one topic.  A record has the columns of a Kafka
-record that the jobs use (``key``, ``value``, ``timestamp``).  Reading a topic as a stream from
-the first file is the ``earliest`` offset; each new file is new data.
+A file-backed topic is a folder with one sub-folder per producer, and in it one for each batch that was published:
+a batch write adds one to the producer ``batch``, a stream one for each of its micro-batches.  Publishing is atomic: the
+records are written to a staging folder that readers pass over, which then gets its final name in one rename, so a
+reader sees all of a batch or none, however its writer ends.  A micro-batch that runs again after it was
+published is left as it is.  (The store has to rename a folder in one step, as HDFS and local disks do; for
+others use a broker.)  A reader takes all producers' batches, also of those that come later, so batch
+jobs and any number of streams (under different producer names) can feed one topic.  A record has the columns of
+a Kafka record that the jobs use (``key``, ``value``, ``timestamp``).
+
+Reading a topic as a stream from the first file is the ``earliest`` offset; each new file is new data.  With ``latest`` a
+reader begins behind what is published when it first starts: that position is kept beside its checkpoint, and a
+restart goes on from there.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from gearwatch.schemas import TOPIC_RECORD
-from gearwatch.session import path_exists, read_text, write_text
+from gearwatch.session import children, path_exists, read_text, rename_folder, write_text
 
 # Fixed values that must equal the reference: the three topic names of the chain.
 RAW_TOPIC = "sensors-sample"
@@ -30,6 +36,9 @@ ALERT_TOPIC = "alert-data"
 PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.retries": "3", "kafka.linger.ms": "5"}
 
 
+BATCH_PRODUCER = "batch"
+
+
 def kafka_source_options(bootstrap_servers: str, topic: str,
                          starting_offsets: str = "earliest") -> dict[str, str]:
     return {
@@ -58,9 +67,13 @@ def read_topic(
     starting_offsets: str = "earliest",
     max_files_per_trigger: int | None = None,
     max_offsets_per_trigger: int | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """Open a topic as a (streaming) DataFrame with at least ``key, value, timestamp``.
 
+    ``starting_offsets="latest"`` leaves out what is published already; of a file-backed topic, what was when a
+    stream with this ``checkpoint`` was first opened (without one: now).
+
     A micro-batch is bounded by ``max_offsets_per_trigger`` records (Kafka) or
     ``max_files_per_trigger`` files (file-backed topic)."""
     if bootstrap_servers:
@@ -73,15 +86,55 @@ def read_topic(
         return reader.format("kafka").options(**opts).load()
     if root is None:
         raise ValueError("a file-backed topic needs root=")
-    if starting_offsets != "earliest":
-        raise ValueError("file-backed topics are read from the earliest record only")
+    if starting_offsets not in ("earliest", "latest"):
+        raise ValueError("a file-backed topic is read from the earliest or the latest record on")
+    if starting_offsets == "latest" and not streaming:
+        raise ValueError("a batch read has no latest offset to wait at")
     path = topic_path(root, topic)
     if not streaming:
         return spark.read.schema(TOPIC_RECORD).option("recursiveFileLookup", "true").parquet(path)
     reader = spark.readStream.schema(TOPIC_RECORD).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    records = reader.parquet(path)
+    if starting_offsets == "earliest":
+        return records
+    batch = F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+)/[^/]+$", 1)
+    return records.where(_behind(batch, start_position(spark, path, checkpoint))).select(*records.columns)
+
+
+def start_position(spark: SparkSession, path: str, checkpoint: str | None) -> dict[str, list[str]]:
+    """Per producer, what was published when a reader first started: a stream's last batch, all of the batch writes.
+
+    Kept in a file beside ``checkpoint``."""
+    mark = f"{checkpoint.rstrip('/')}.start-{os.path.basename(path)}" if checkpoint else None
+    if mark and path_exists(spark, mark):
+        return json.loads(read_text(spark, mark))
+    position = {}
+    for producer in children(spark, path):
+        names = sorted(n for n in children(spark, f"{path}/{producer}") if n[0] not in "_.")
+        if producer[0] not in "_." and names:
+            position[producer] = names if producer == BATCH_PRODUCER else names[-1:]
+    if mark:
+        write_text(spark, mark, json.dumps(position))
+    return position
+
+
+def _behind(batch: Column, position: dict[str, list[str]]) -> Column:
+    """Whether a folder (producer/batch) was published after ``position``."""
+    after = ~batch.isin([f"{BATCH_PRODUCER}/{name}" for name in position.get(BATCH_PRODUCER, ())])
+    for producer, names in position.items():
+        if producer != BATCH_PRODUCER:  # a stream's batches are numbered, so names are in order
+            after &= ~batch.startswith(f"{producer}/") | (batch > f"{producer}/{names[-1]}")
+    return after
+
+
+def _publish(records: DataFrame, root: str, topic: str, batch: str) -> None:
+    """Write ``records`` as the topic's folder ``batch`` (producer/name): all of it appears at once."""
+    spark, path = records.sparkSession, topic_path(root, topic)
+    staged = f"{path}/_staging/{batch}"  # readers pass over names that begin with _; a batch that failed is overwritten
+    records.write.mode("overwrite").parquet(staged)
+    rename_folder(spark, staged, f"{path}/{batch}")
 
 
 def _as_record(df: DataFrame) -> DataFrame:
@@ -106,7 +159,7 @@ def write_topic(
         return
     if root is None:
         raise ValueError("a file-backed topic needs root=")
-    _as_record(df).write.parquet(f"{topic_path(root, topic)}/batch-{uuid.uuid4().hex}")
+    _publish(_as_record(df), root, topic, f"{BATCH_PRODUCER}/{uuid.uuid4().hex}")
 
 
 def claim_producer(spark: SparkSession, folder: str, checkpoint: str) -> None:
@@ -144,13 +197,14 @@ def topic_stream_writer(
                 .option("checkpointLocation", checkpoint).outputMode("append"))
     if root is None:
         raise ValueError("a file-backed topic needs root=")
+    if producer == BATCH_PRODUCER or producer[:1] in ("", "_", "."):
+        raise ValueError(f"{producer!r} cannot name a stream's producer")
     folder = f"{topic_path(root, topic)}/{producer}"
     claim_producer(df.sparkSession, folder, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = f"{folder}/{batch_id:012d}"
-        if not path_exists(batch.sparkSession, f"{out}/_SUCCESS"):
-            batch.write.mode("overwrite").parquet(out)
+        if not path_exists(batch.sparkSession, f"{folder}/{batch_id:012d}"):
+            _publish(batch, root, topic, f"{producer}/{batch_id:012d}")
 
     return (_as_record(df).writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).outputMode("append"))

@@ -38,6 +38,7 @@ from gearwatch.sources.topics import (
     topic_stream_writer,
     write_topic,
 )
+from gearwatch.streaming.partials import WindowCounter
 from gearwatch.streaming.runner import start_sink, with_trigger
 
 # Fixed values that must equal the reference: the counter's trigger and console rows.
@@ -46,11 +47,13 @@ COUNTER_ROWS = 50
 
 # What the jobs pass on to read_topic: where to begin, and how much a micro-batch takes.
 SOURCE_OPTIONS = ("topics_root", "bootstrap_servers", "starting_offsets", "max_files_per_trigger",
-                  "max_offsets_per_trigger")
+                  "max_offsets_per_trigger", "checkpoint")
 
 
 def open_topic(spark: SparkSession, topic: str, topics_root: str | None = None, **options) -> DataFrame:
     """``read_topic`` as a stream with the options that a job was given (None: the default)."""
+    if options.get("bootstrap_servers"):
+        options.pop("checkpoint", None)  # a broker's reader keeps its position in the checkpoint itself
     return read_topic(spark, topic, root=topics_root, **{k: v for k, v in options.items() if v is not None})
 
 
@@ -64,7 +67,8 @@ def start_enrichment(spark: SparkSession, cars: DataFrame | None = None,
     """Raw topic -> enriched topic.  A fleet too large to broadcast should be
     passed as ``profiles`` from ``save_profiles`` (bucketed by car id).
     ``source_options``: ``SOURCE_OPTIONS``, the last three."""
-    raw = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
+    raw = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, checkpoint=checkpoint,
+                     **source_options)
     out = enrichment_stage(raw, cars, models, colors, profiles=profiles,
                            broadcast_max_bytes=broadcast_max_bytes)
     writer = topic_stream_writer(out, sink, checkpoint, producer=producer, root=topics_root,
@@ -77,7 +81,8 @@ def start_detection(spark: SparkSession, *, checkpoint: str, topics_root: str |
                     sink: str = ALERT_TOPIC, rules: Sequence[Rule] = DEFAULT_RULES,
                     trigger: str | None = None, producer: str = "detect",
                     **source_options) -> StreamingQuery:
-    records = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
+    records = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, checkpoint=checkpoint,
+                         **source_options)
     writer = topic_stream_writer(detection_stage(records, rules), sink, checkpoint, producer=producer,
                                  root=topics_root, bootstrap_servers=bootstrap_servers)
     return with_trigger(writer, trigger).start()
@@ -103,12 +108,32 @@ def start_counter(spark: SparkSession, *, checkpoint: str, topics_root: str | No
     """The window counter.  ``complete`` re-emits every window each trigger and keeps
     all windows in state; ``update`` emits changed windows and lets the watermark
     evict state, which is the mode to use for a long-running job."""
-    metrics = counter_frame(spark, topics_root=topics_root,
+    metrics = counter_frame(spark, topics_root=topics_root, checkpoint=checkpoint,
                             bootstrap_servers=bootstrap_servers, **frame_opts)
     return start_sink(metrics, sink=sink, output_mode=output_mode, checkpoint=checkpoint,
                       trigger=trigger, num_rows=num_rows)
 
 
+def timed_alerts(spark: SparkSession, *, topics_root: str | None = None, bootstrap_servers: str | None = None,
+                 source: str = ALERT_TOPIC, **source_options) -> DataFrame:
+    """Alert topic -> alerts with ``event_time_ts``, as a stream."""
+    records = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
+    return decode(records, ENRICHED_EVENT).withColumn("event_time_ts", parse_event_time(F.col("event_time")))
+
+
+def start_partial_counter(spark: SparkSession, *, out_dir: str, checkpoint: str, trigger: str | None = COUNTER_TRIGGER,
+                          topics_root: str | None = None, bootstrap_servers: str | None = None,
+                          source: str = ALERT_TOPIC, window: str = WINDOW, delay: str = WATERMARK, late: str = "keep",
+                          categories: Sequence[str] = COUNTED_COLORS, compact_every: int | None = None,
+                          **source_options) -> tuple[WindowCounter, StreamingQuery]:
+    """The window counter as a table of partial counts: any order of the backlog, no state (see ``partials``)."""
+    rows = timed_alerts(spark, topics_root=topics_root, bootstrap_servers=bootstrap_servers, source=source,
+                        checkpoint=checkpoint, **source_options)
+    counter = WindowCounter(rows, out_dir, window=window, delay=delay, late=late, categories=categories,
+                            compact_every=compact_every)
+    return counter, counter.start(rows, checkpoint, trigger)
+
+
 def start_fused_counter(spark: SparkSession, cars: DataFrame | None = None,
                         models: DataFrame | None = None, colors: DataFrame | None = None, *,
                         checkpoint: str, profiles: DataFrame | None = None,
@@ -122,7 +147,8 @@ def start_fused_counter(spark: SparkSession, cars: DataFrame | None = None,
     Replaces enrichment + detection + counter when the intermediate topics
     are not needed by anyone else: no JSON re-encoding, and the alert filter
     runs before the enrichment joins."""
-    raw = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
+    raw = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, checkpoint=checkpoint,
+                     **source_options)
     metrics = fused_from_records(raw, cars, models, colors, window=window, watermark=watermark,
                                  profiles=profiles, broadcast_max_bytes=broadcast_max_bytes)
     return start_sink(metrics, sink=sink, output_mode=output_mode, checkpoint=checkpoint,

@@ -20,10 +20,13 @@ import time
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gearwatch.session import path_exists, read_text, write_text
+
+
 def with_trigger(writer, trigger: str | None):
     """``None`` = as soon as possible; ``"available-now"``; or a processing-time interval."""
     if trigger is None:
@@ -66,12 +69,27 @@ class LateRowsDropped(RuntimeError):
     """A run lost rows behind its watermark that it was meant to keep."""
 
 
-def await_or_stop(query: StreamingQuery, timeout_s: float | None = None, *, keep_all: bool = False) -> bool:
+def late_mark(checkpoint: str) -> str:
+    """The file that says that a run with this checkpoint lost rows: its offsets are committed, so they stay lost."""
+    return f"{checkpoint.rstrip('/')}.late-rows"
+
+
+def refuse_lossy(spark: SparkSession, checkpoint: str) -> None:
+    """Fails if an earlier run with this checkpoint dropped rows that it was meant to keep."""
+    if path_exists(spark, late_mark(checkpoint)):
+        raise LateRowsDropped(f"an earlier run lost rows ({read_text(spark, late_mark(checkpoint))}); begin with a new "
+                              "checkpoint and result folder")
+
+
+def await_or_stop(query: StreamingQuery, timeout_s: float | None = None, *, keep_all: bool = False,
+                  checkpoint: str | None = None) -> bool:
     """Wait up to ``timeout_s`` seconds (forever if None); stop the query if still running.
 
     Returns True if the query ended by itself.  A query that failed re-raises.  With ``keep_all``,
     rows dropped behind the watermark are an error: a backlog read in several micro-batches
     is not in order of event time, and one batch's watermark can rule out the next one's rows.
+    The offsets are committed by then: with ``checkpoint`` a mark beside it makes every later run
+    that asks ``refuse_lossy`` fail as well.
     """
     dropped: dict[int, int] = {}
     deadline = None if timeout_s is None else time.monotonic() + timeout_s
@@ -90,6 +108,10 @@ def await_or_stop(query: StreamingQuery, timeout_s: float | None = None, *, keep
             break
     if not ended:
         query.stop()
+    if keep_all and checkpoint and sum(dropped.values()):
+        spark = SparkSession.active()
+        if not path_exists(spark, late_mark(checkpoint)):
+            write_text(spark, late_mark(checkpoint), f"{sum(dropped.values())} rows behind the watermark")
     if query.exception() is not None:
         raise query.exception()
     if keep_all and sum(dropped.values()):
@@ -157,7 +179,9 @@ def materialize(df: DataFrame, *, output_mode: str, out_dir: str, checkpoint: st
 
     Fails if rows are dropped behind the watermark, unless ``keep_all=False`` allows it;
     there is no time limit unless ``timeout_s`` sets one."""
+    if keep_all:
+        refuse_lossy(df.sparkSession, checkpoint)
     query = start_materialize(df, output_mode=output_mode, out_dir=out_dir, checkpoint=checkpoint)
-    if not await_or_stop(query, timeout_s, keep_all=keep_all):
+    if not await_or_stop(query, timeout_s, keep_all=keep_all, checkpoint=checkpoint):
         raise TimeoutError(f"stream did not finish within {timeout_s}s")
     return read_materialized(df.sparkSession, out_dir, output_mode, df.schema, key_cols)

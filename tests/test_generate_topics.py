@@ -63,8 +63,9 @@ def test_file_topic_batch_and_stream(spark, scratch):
     assert sorted(map(tuple, decode(back, RAW_EVENT).collect())) == sorted(map(tuple, raw.collect()))
     stream = read_topic(spark, "t1", root=scratch, streaming=True)
     assert stream.isStreaming
-    with pytest.raises(ValueError):
-        read_topic(spark, "t1", root=scratch, starting_offsets="latest")
+    for wrong in ({"starting_offsets": "newest"}, {"starting_offsets": "latest", "streaming": False}):
+        with pytest.raises(ValueError):
+            read_topic(spark, "t1", root=scratch, **wrong)
 
 
 def test_kafka_option_builders():
