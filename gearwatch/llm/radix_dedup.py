@@ -8,13 +8,16 @@ never compared.  Neighbouring windows mostly share an anchor, and are sorted as
 
 1. first pass, by anchor and by the run's whole content: a run that occurred before is repeated as
    a whole; a run whose anchor no other content has is done, as a group of one;
-2. second pass, only for the runs left over (where copies begin, end or differ): their bytes are
-   fetched, and each window of 100 bytes is compared in full under its anchor.
+2. further passes, only for the runs left over (where copies begin, end or differ): their bytes are
+   fetched, and the windows under an anchor are ordered eight bytes a pass, from the most significant on.  What is alone in
+   its group after a pass drops out; groups that are left after ``WIDTH`` bytes are the repeats, by their bytes.
 
-Only runs move in the first pass (one for about 32 bytes of text, five numbers wide), and in the second the
+Only runs move in the first pass (one for about 32 bytes of text, five numbers wide), and in the others the
 bytes of the few that are left; an anchor with more than ``HOT_ANCHOR`` of those is dealt again by whole
-windows.  Streams are sorted, so that a worker keeps one anchor's windows, never a group's rows.
-Runs that repeat within a batch are settled before anything is shuffled.
+windows.  Streams are sorted, so that a worker keeps one anchor's different windows, never a group's rows.
+Runs that repeat within a batch are settled before anything is shuffled, and so are windows that repeat ``PERIOD`` bytes
+or less before (blanks, ruled lines): a text of one letter is one span, not a run a letter.  Touching spans are
+merged where they are found, and once more in order of their places, before they meet their document.
 
 Defined results: a null text counts as empty; rows that share id and text are one document (each
 row gets its result); rows that share an id only count as one after another, by their texts' hashes; a row
@@ -41,6 +44,7 @@ from gearwatch.llm.common import byte_column, checkpointed, map_batches
 WIDTH = 100
 GRAM = 32
 HOT_ANCHOR = 1000
+PERIOD = 64
 _BLOCK = 8 << 20  # bytes of text whose runs are collected together
 _STEP = 1 << 18  # windows whose anchors are found together
 _LAST = (1 << 63) - 1  # stands for a missing id: after all others
@@ -72,11 +76,55 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - size)], values[width - size :]) if size < width else values
 
 
-def window_runs(data: np.ndarray, ends: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
+def periodic_windows(data: np.ndarray, ends: np.ndarray, width: int, most: int = PERIOD) -> np.ndarray:
+    """(first, behind the last) of the stretches of windows that also occur at most ``most`` bytes before, in the same text."""
+    begins, found = np.concatenate([[0], ends[:-1]]), []
+    step = min(16, max(width // 4, 1))  # a stretch of ``width`` equal bytes holds several places of this step in a row
+    need = width // step - 1
+    for p in range(1, min(most, len(data) - width) + 1):
+        near = data[: len(data) - p : step] == data[p::step]
+        if need > 1:
+            near = _sliding_least(near, need) if len(near) >= need else np.zeros(0, bool)
+        for at in np.flatnonzero(near & ~np.concatenate([[False], near[:-1]])):  # where such places begin
+            low = max(int(at) * step - step + 1, 0)
+            if found and found[-1][2] == p and low < found[-1][1]:
+                continue
+            first, last = int(at) * step, int(at) * step  # equal from ``first`` to ``last``
+            while first > low and data[first - 1] == data[first - 1 + p]:
+                first -= 1
+            last = first + _equal_ahead(data, first, p)
+            own = np.searchsorted(ends, first + p, "right")
+            while own < len(ends) and begins[own] < last + p:  # text by text: a window and the one before it lie in one
+                a, b = max(first, int(begins[own])) + p, min(last + p, int(ends[own])) - width + 1
+                if b > a:
+                    found.append((a, b, p))
+                own += 1
+    if not found:
+        return np.zeros((0, 2), np.int64)
+    spans = np.array(sorted((a, b - a) for a, b, _ in found), np.int64)
+    return np.array(merged(spans), np.int64)
+
+
+def _equal_ahead(data: np.ndarray, first: int, p: int) -> int:
+    """How many bytes from ``first`` on equal those ``p`` further."""
+    size, step = 0, 1 << 10
+    while first + p + size < len(data):
+        ahead = data[first + p + size : first + p + size + step]
+        other = np.flatnonzero(data[first + size : first + size + len(ahead)] != ahead)
+        if len(other):
+            return size + int(other[0])
+        size, step = size + len(ahead), min(step * 2, 1 << 22)
+    return size
+
+
+def window_runs(data: np.ndarray, ends: np.ndarray, width: int, gram: int,
+                settled: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """(anchor hash, first window, number of windows, anchor's place in the first window) of all runs.
 
-    ``data`` is texts end to end, ``ends`` where each ends; windows that leave their text do not count.
+    ``data`` is texts end to end, ``ends`` where each ends; windows that leave their text do not count, nor do
+    ``settled`` ones.
     """
+    settled = np.zeros((0, 2), np.int64) if settled is None else settled
     if not 0 < gram <= width < gram + 255:
         raise ValueError("a run's windows are counted in one byte: gram <= width < gram + 255")
     parts = []
@@ -90,6 +138,8 @@ def window_runs(data: np.ndarray, ends: np.ndarray, width: int, gram: int) -> tu
             inside = np.ones(len(anchor), bool)
             for end in ends[np.searchsorted(ends, at, "right") : np.searchsorted(ends, at + len(anchor) + width, "left")]:
                 inside[max(int(end) - width + 1 - at, 0) : max(int(end) - at, 0)] = False
+            for a, b in settled[np.searchsorted(settled[:, 1], at, "right") : np.searchsorted(settled[:, 0], at + len(anchor))]:
+                inside[max(int(a) - at, 0) : max(int(b) - at, 0)] = False
             windows = np.flatnonzero(inside)
             if not len(windows):
                 continue
@@ -120,41 +170,67 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int = _BLOCK) -> Iterator[
 def _runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
     """All runs of windows: ``anchor``, ``content``, ``doc``, ``tie``, ``run`` and whether a batch settled it (``dup``).
 
-    ``run`` packs the first window, the number of windows and the anchor's place into one number.
+    ``run`` packs the first window, the number of windows and the anchor's place into one number.  What is settled is merged to
+    spans: their start is in ``content``, their length in ``run``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
+        names = ["anchor", "content", "doc", "tie", "run", "dup"]
         for doc, tie, data, ends in _blocks(batches):
-            anchor, first, count, place = window_runs(data, ends, width, gram)
+            begins = np.concatenate([[0], ends[:-1]])
+            settled = periodic_windows(data, ends, width)
+            anchor, first, count, place = window_runs(data, ends, width, gram, settled)
             view = memoryview(data)
             content = np.fromiter((digest(view[a:b], p) for a, b, p in zip(
                 first.tolist(), (first + count + width - 1).tolist(), place.tolist())), np.uint64, len(first))
             owner = np.searchsorted(ends, first, "right")
-            start = first - np.concatenate([[0], ends[:-1]])[owner]
             with np.errstate(over="ignore"):
                 both = anchor.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + content
             order = np.argsort(both, kind="stable")  # equal ones stay in order of document and place
             dup = np.zeros(len(first), bool)
             dup[order[1:]] = ((both[order[1:]] == both[order[:-1]]) & (anchor[order[1:]] == anchor[order[:-1]])
                               & (content[order[1:]] == content[order[:-1]]))
-            spread = (doc[owner] * np.int64(0x9E3779B1) + start) if dup.any() else anchor
+            spans = np.concatenate([np.stack([first[dup], count[dup] + width - 1], axis=1),
+                                    np.stack([settled[:, 0], settled[:, 1] - settled[:, 0] + width - 1], axis=1)])
+            if len(spans):
+                spans = np.array(_merged_within(spans, ends), np.int64).reshape(-1, 2)
+                own = np.searchsorted(ends, spans[:, 0], "right")
+                start = spans[:, 0] - begins[own]
+                with np.errstate(over="ignore"):
+                    spread = doc[own] * np.int64(0x9E3779B1) + start
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(spread), pa.array(start), pa.array(doc[own]), pa.array(tie[own]), pa.array(spans[:, 1] - spans[:, 0]),
+                     pa.array(np.ones(len(own), bool))], names)
+            left = ~dup
+            own = owner[left]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(dup, spread, anchor)), pa.array(np.where(dup, 0, content.view(np.int64))),
-                 pa.array(doc[owner]), pa.array(tie[owner]), pa.array(start << 16 | count << 8 | place), pa.array(dup)],
-                ["anchor", "content", "doc", "tie", "run", "dup"])
+                [pa.array(anchor[left]), pa.array(content[left].view(np.int64)), pa.array(doc[own]), pa.array(tie[own]),
+                 pa.array((first[left] - begins[own]) << 16 | count[left] << 8 | place[left]), pa.array(np.zeros(len(own), bool))], names)
 
     return map_batches(docs, run, "anchor bigint, content bigint, doc bigint, tie bigint, run bigint, dup boolean")
 
 
-def _first_pass(runs: DataFrame) -> DataFrame:
-    """Runs that repeat as a whole (``dup``), and the first of each content whose anchor has other contents too."""
+def _merged_within(spans: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of maximal runs of (start, length) pairs, none of them over the end of a text."""
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    start, end, own = spans[:, 0], np.maximum.accumulate(spans.sum(axis=1)), np.searchsorted(ends, spans[:, 0], "right")
+    opens = np.concatenate([[True], (start[1:] > end[:-1]) | (own[1:] != own[:-1])])
+    closes = np.append(np.flatnonzero(opens)[1:] - 1, len(spans) - 1)
+    return list(zip(start[opens].tolist(), end[closes].tolist()))
+
+
+def _first_pass(runs: DataFrame, width: int) -> DataFrame:
+    """Stretches that repeat as a whole (``dup``; ``start``, ``length``), and the first run of each content whose anchor has
+    other contents too."""
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "doc", "tie", "run", "dup"]
+        names = ["anchor", "doc", "tie", "run", "start", "length", "dup"]
 
-        def emit(rows: np.ndarray, dup: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*(pa.array(rows[i]) for i in (0, 2, 3, 4)), pa.array(dup)], names)
+        def emit(rows: np.ndarray, dup: np.ndarray, spans: bool = False) -> pa.RecordBatch:
+            start, length = (rows[1], rows[4]) if spans else (rows[4] >> 16, (rows[4] >> 8 & 0xFF) + (width - 1))
+            return pa.RecordBatch.from_arrays([*(pa.array(rows[i]) for i in (0, 2, 3, 4)), pa.array(start), pa.array(length),
+                                               pa.array(dup)], names)
 
         last = None  # the row before: (anchor, content)
         lone = None  # the first content of the open anchor, as long as it has no other
@@ -163,7 +239,7 @@ def _first_pass(runs: DataFrame) -> DataFrame:
             settled = batch.column(5).to_numpy(zero_copy_only=False)
             rows = np.stack([batch.column(i).to_numpy() for i in range(5)])
             if settled.any():
-                yield emit(rows[:, settled], np.ones(int(settled.sum()), bool))
+                yield emit(rows[:, settled], np.ones(int(settled.sum()), bool), spans=True)
                 rows = rows[:, ~settled]
             if not rows.shape[1]:
                 continue
@@ -190,7 +266,7 @@ def _first_pass(runs: DataFrame) -> DataFrame:
             yield emit(np.concatenate(out, axis=1), np.concatenate(dup))
 
     sorted_runs = runs.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "tie", "run")
-    return map_batches(sorted_runs, sift, "anchor bigint, doc bigint, tie bigint, run bigint, dup boolean")
+    return map_batches(sorted_runs, sift, "anchor bigint, doc bigint, tie bigint, run bigint, start bigint, length bigint, dup boolean")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -207,6 +283,31 @@ def _packed(docs: DataFrame) -> DataFrame:
     return map_batches(docs, run, "doc bigint, tie bigint, packed binary")
 
 
+def radix_repeats(data: np.ndarray, at: np.ndarray, group: np.ndarray, width: int) -> np.ndarray:
+    """Which of the strings of ``width`` bytes ``at`` places of ``data`` equal one before them in their ``group``.
+
+    Most significant digits first, eight bytes a pass; a string that is alone in its group drops out.
+    """
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    digits = np.zeros(len(data) + 1, np.uint64)  # the eight bytes from each place on
+    for k in range(8):
+        digits = digits << np.uint64(8) | padded[k : k + len(digits)]
+    alive, group = np.arange(len(at)), group.astype(np.int64)
+    for depth in [*range(0, width - 7, 8), max(width - 8, 0)]:
+        digit = digits[at[alive] + depth]
+        if width < 8:
+            digit = digit >> np.uint64(8 * (8 - width))
+        order = np.lexsort((digit, group))  # equal ones stay in their order
+        digit, group = digit[order], group[order]
+        new = np.cumsum(np.concatenate([[0], (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])])[: len(order)]).astype(np.int64)
+        several = np.bincount(new, minlength=1)[new] > 1
+        alive, group = alive[order][several], new[several]
+    repeated = np.zeros(len(at), bool)
+    if len(alive):
+        repeated[alive[1:][group[1:] == group[:-1]]] = True
+    return repeated
+
+
 def _second_pass(docs: DataFrame, left: DataFrame, width: int, hot_anchor: int) -> DataFrame:
     """(``doc``, ``tie``, ``start``, ``length``) of the repeated stretches inside the runs ``left`` over."""
     hot = checkpointed(left.groupBy("anchor").count().where(F.col("count") > hot_anchor).select("anchor", F.lit(True).alias("hot")))
@@ -235,24 +336,30 @@ def _second_pass(docs: DataFrame, left: DataFrame, width: int, hot_anchor: int)
                     ["key", "doc", "tie", "start", "content"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, key, seen = xxhash.xxh3_128_digest, None, set()
+        open_key, known = None, b""  # the different windows so far of the key that may go on, end to end
         for batch in batches:
-            found = []
-            for k, doc, tie, start, content in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if k != key:
-                    key, seen = k, set()
-                windows = [digest(content[w : w + width]) for w in range(len(content) - width + 1)]
-                begun = None
-                for w, repeated in enumerate([*(x in seen for x in windows), False]):
-                    if repeated and begun is None:
-                        begun = w
-                    elif not repeated and begun is not None:
-                        found.append((doc, tie, start + begun, w - begun + width - 1))
-                        begun = None
-                seen.update(windows)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*found)],
-                                                 ["doc", "tie", "start", "length"])
+            keys, doc, tie, start = (batch.column(i).to_numpy() for i in range(4))
+            data, offsets = byte_column(batch.column(4).cast(pa.binary()))
+            sizes = np.diff(offsets) - width + 1  # windows of each row
+            carried = len(known) // width if len(keys) and keys[0] == open_key else 0
+            row = np.repeat(np.arange(len(keys)), sizes)
+            within = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            if carried:
+                data = np.concatenate([np.frombuffer(known, np.uint8)[: carried * width], data])
+            at = np.concatenate([np.arange(carried) * width, offsets[row] + within + carried * width])
+            group = np.concatenate([np.zeros(carried, np.int64), np.cumsum(np.diff(keys, prepend=keys[:1]) != 0)[row]])
+            repeated = radix_repeats(data, at, group, width)
+            if len(keys):
+                fresh = np.flatnonzero((group == group[-1]) & ~repeated)
+                known, open_key = b"".join(data[a : a + width].tobytes() for a in at[fresh].tolist()), keys[-1]
+            hit = np.flatnonzero(repeated[carried:])
+            if len(hit):
+                opens = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])])
+                closes = np.append(np.flatnonzero(opens)[1:] - 1, len(hit) - 1)
+                a, b = hit[opens], hit[closes]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[row[a]]), pa.array(tie[row[a]]), pa.array(start[row[a]] + within[a]), pa.array(b - a + width)],
+                    ["doc", "tie", "start", "length"])
 
     contents = map_batches(
         _packed(docs).join(wanted, ["doc", "tie"]).select("doc", "tie", "packed", "runs"), fetch,
@@ -276,13 +383,38 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
 
 
 def repeated_spans(rows: DataFrame, width: int = WIDTH, gram: int = GRAM, hot_anchor: int = HOT_ANCHOR) -> DataFrame:
-    """(``doc``, ``tie``, ``spans``) of ``identified`` documents: stretches (start, length) that start earlier as well;
-    they may overlap."""
-    sifted = checkpointed(_first_pass(_runs(rows, width, gram)))
-    whole = sifted.where("dup").select("doc", "tie", F.shiftright("run", 16).alias("start"),
-                                       (F.shiftright("run", 8).bitwiseAND(F.lit(0xFF)) + (width - 1)).alias("length"))
-    inner = _second_pass(rows, sifted.where("not dup").drop("dup"), width, hot_anchor)
-    return whole.unionByName(inner).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+    """(``doc``, ``tie``, ``spans``) of ``identified`` documents: the maximal stretches (start, end) whose bytes are
+    covered by strings that start earlier as well, packed as 64-bit numbers."""
+    sifted = checkpointed(_first_pass(_runs(rows, width, gram), width))
+    whole = sifted.where("dup").select("doc", "tie", "start", "length")
+    inner = _second_pass(rows, sifted.where("not dup").select("anchor", "doc", "tie", "run"), width, hot_anchor)
+    places = whole.unionByName(inner).repartition("doc", "tie").sortWithinPartitions("doc", "tie", "start")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(key: tuple, spans: list[np.ndarray]) -> pa.RecordBatch:
+            packed = np.concatenate(spans).astype("<i8").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int64()), pa.array([key[1]], pa.int64()),
+                                               pa.array([packed], pa.binary())], ["doc", "tie", "spans"])
+
+        key, held = None, []  # the open document, and its merged (start, end) pairs
+        for batch in batches:
+            doc, tie, start, length = (batch.column(i).to_numpy() for i in range(4))
+            cuts = np.flatnonzero((doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(doc)]):
+                if a == b:
+                    continue
+                if (doc[a], tie[a]) != key:
+                    if held:
+                        yield row(key, held)
+                    key, held = (doc[a], tie[a]), []
+                last = held.pop() if held else np.zeros((0, 2), np.int64)
+                pairs = np.concatenate([np.stack([last[:, 0], last[:, 1] - last[:, 0]], axis=1)[-1:],
+                                        np.stack([start[a:b], length[a:b]], axis=1)])
+                held += [x for x in (last[:-1], np.array(merged(pairs), np.int64)) if len(x)]
+        if held:
+            yield row(key, held)
+
+    return map_batches(places, merge, "doc bigint, tie bigint, spans binary")
 
 
 def merged(spans: np.ndarray) -> list[tuple[int, int]]:
@@ -312,7 +444,7 @@ def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             out = []
             for doc, packed, found in zip(*(batch.column(i) for i in range(3))):
-                data, runs = unpack.decompress(packed.as_py()), merged(_pairs(found))
+                data, runs = unpack.decompress(packed.as_py()), _spans(found)
                 digest = hashlib.sha256(_kept(data, runs)).hexdigest()
                 out.append((doc.as_py(), len(data), sum(b - a for a, b in runs), len(runs), digest))
             if out:
@@ -325,8 +457,8 @@ def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.withColumn("doc", F.when(F.col("doc") != _LAST, F.col("doc"))).withColumnRenamed("doc", id_col)
 
 
-def _pairs(found: pa.Scalar) -> np.ndarray:
-    return np.array([(s["start"], s["length"]) for s in found.as_py() or ()], np.int64).reshape(-1, 2)
+def _spans(found: pa.Scalar) -> list[tuple[int, int]]:
+    return list(map(tuple, np.frombuffer(found.as_py() or b"", "<i8").reshape(-1, 2).tolist()))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
@@ -348,7 +480,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             texts, left = batch.column(names.index(text_col)), []
             for text, found in zip(texts, batch.column(len(names))):
-                runs = merged(_pairs(found))
+                runs = _spans(found)
                 left.append(_kept(text.as_py().encode(), runs).decode("utf-8", "ignore") if runs else text.as_py())
             kept = pa.array(left, texts.type)
             columns = batch.columns[: len(names)]

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gearwatch.llm import queries
+from gearwatch.llm import queries, radix_dedup
 from gearwatch.llm.radix_dedup import merged, removal_digests, window_runs, without_repeats
 from tests.llm.helpers import SF, empty_documents, odd_documents, random_texts, texts_by_id
 
@@ -128,3 +128,55 @@ def test_merged(spans):
     runs = merged(np.array(spans, np.int64).reshape(-1, 2))
     assert covered == {x for a, b in runs for x in range(a, b)}
     assert all(b < c for (_, b), (c, _) in zip(runs, runs[1:]))
+
+
+def test_long_texts_of_short_periods(spark):
+    """Megabytes of one letter, of blanks and of a period of 7: one span each, in a session of little memory."""
+    size = 12_000_000
+    texts = ["a" * size, " " * size, ("abcdefg" * (size // 7 + 1))[:size]]
+    rows = removal_digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    for row, kept in zip(sorted(rows), ("a", " ", "abcdefg")):
+        assert tuple(row[1:]) == (size, size - len(kept), 1, hashlib.sha256(kept.encode()).hexdigest())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_periodic_stretches_among_other_text(spark, seed):
+    """Stretches of many periods that begin and end anywhere, within and across documents."""
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(25):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            unit = "".join(rng.choices("abcé ", k=rng.choice([1, 1, 2, 7, 16, 33, 63, 64, 65, 90])))
+            parts.append((unit * 400)[: rng.randint(1, 400)])
+            parts.append("".join(rng.choices("xyz", k=rng.randint(0, 60))))
+        texts.append("".join(parts))
+    docs = list(enumerate(texts))
+    check(removal_digests(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)), docs)
+
+
+def test_radix_repeats_are_the_repeats():
+    rng = random.Random(3)
+    for width in (3, 8, 9, 16, 20):
+        data = bytes(rng.choices(b"ab", k=600))
+        at = np.array([rng.randrange(len(data) - width) for _ in range(300)])
+        group = np.sort(np.array([rng.randrange(4) for _ in range(300)]))
+        seen, expected = set(), []
+        for a, g in zip(at.tolist(), group.tolist()):
+            expected.append((g, data[a:a + width]) in seen)
+            seen.add((g, data[a:a + width]))
+        found = radix_dedup.radix_repeats(np.frombuffer(data, np.uint8), at, group, width)
+        assert found.tolist() == expected
+
+
+def test_periodic_windows_occur_before():
+    rng = random.Random(8)
+    for _ in range(60):
+        texts = ["".join((unit * 60)[:rng.randint(0, 150)] for unit in ("a", "ab", "xyzxy", "q" * 3 + "r")) for _ in range(3)]
+        data, ends = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([len(t) for t in texts])
+        for a, b in radix_dedup.periodic_windows(data, ends, 20, most=6).tolist():
+            for s in range(a, b):
+                own = int(np.searchsorted(ends, s, "right"))
+                begin = 0 if own == 0 else int(ends[own - 1])
+                assert s + 20 <= ends[own]
+                assert any(s - p >= begin and (data[s - p:s - p + 20] == data[s:s + 20]).all() for p in range(1, 7))
