@@ -2,27 +2,31 @@
 
 For every language a bounded sample of labelled text is kept.  A text is cross-parsed against it: from each
 place, the longest stretch that occurs anywhere in the sample is one phrase; the next phrase begins
-behind it.  The fewer phrases a language needs for a letter, the closer the text is to it (the
-Ziv-Merhav estimate of cross entropy); the language that needs fewest wins.
+behind it.  A phrase costs the logarithm of the sample's length, which is what pointing into it takes, so that samples of
+different length compare (the Ziv-Merhav estimate of cross entropy); the language in which the text costs least wins.
+
+A sample is drawn from ``SAMPLE_DOCS`` documents, ``TEXT_CHARS`` characters of each at most, and holds ``SAMPLE_CHARS``
+symbols: these three bounds are for the training sample only.
 
 The stretches are found by a suffix automaton of the sample, laid out as one table
 (state, letter) -> state.  Texts are read in stretches of ``STRETCH`` symbols, all those of a batch in step, one table
 look-up a symbol and language; a new stretch begins a new phrase.  Whole texts are read.  What a
 worker holds is the tables (bounded by ``SAMPLE_CHARS`` letters a language) and a batch.
 
-Letters are lower-cased; anything else is a blank, and runs of blanks count once.  Letters that no
-sample holds always end a phrase.
+Letters are lower-cased; anything else is a blank, and runs of blanks count once.  The ``ALPHABET`` most frequent letters of
+the samples are a symbol each; every other letter of a sample is spelled by four digits of its code point, so scripts
+of thousands of letters are told apart by a table of small width.  Letters that no sample holds always end a phrase.
 
 Defined results: a null text, an empty one and one without a letter are ``und`` with score 0; every
-input row gives one row, repeated rows included; equal phrase counts go to the language first by name; an
+input row gives one row, repeated rows included; equal costs go to the language first by name; an
 empty table, or one without labels, gives ``und`` for all; other columns are neither read nor returned.
-``score`` is 1 - (phrases of the winner) / (phrases of the runner-up); with one language, the share of
+``score`` is 1 - (cost in the winner) / (cost in the runner-up); with one language, the share of
 symbols that its phrases save.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +37,9 @@ from gearwatch.llm.common import map_batches, text_chunks, worker_state
 
 SAMPLE_DOCS = 96  # labelled documents a language that a sample is drawn from
 SAMPLE_CHARS = 60_000  # symbols of sample a language
-ALPHABET = 96  # letters told apart, the most frequent ones of all samples; others never match
+TEXT_CHARS = 2_500  # characters of a labelled document that can go into a sample
+ALPHABET = 96  # letters that are a symbol by themselves, and one for those in no sample
+DIGITS = 5  # bits of a code point in each of the four symbols that spell any other letter
 STRETCH = 4096
 UNKNOWN = "und"
 _BATCH_CHARS = 1 << 21
@@ -101,12 +107,19 @@ class CrossParser:
         self.languages = sorted(samples)
         texts = {k: np.concatenate([normalised(t) for t in v])[:sample_chars] for k, v in samples.items()}
         letters, counts = np.unique(np.concatenate(list(texts.values())), return_counts=True)
-        letters = letters[np.argsort(-counts, kind="stable")][: ALPHABET - 1]
+        letters = letters[np.argsort(-counts, kind="stable")]
+        plain, spelled = letters[: ALPHABET - 1], letters[ALPHABET - 1 :]
         self.symbol = np.zeros(0x110000, np.uint8)  # 0: a letter that always ends a phrase
-        self.symbol[letters] = np.arange(1, len(letters) + 1)
-        width, tables, self.starts, at = len(letters) + 1, [], [], 0
+        self.symbol[plain] = np.arange(1, len(plain) + 1)
+        self.spelled = np.zeros(0x110000, bool)
+        self.spelled[spelled] = True
+        self.digit = len(plain) + 1  # the symbol of the digit 0
+        width, tables, self.starts, at = self.digit + (1 << DIGITS if len(spelled) else 0), [], [], 0
+        self.costs = np.zeros(len(self.languages))
         for language in self.languages:
-            after = suffix_automaton(self.symbol[texts[language]].tolist(), width)
+            symbols = self.symbols(texts[language], np.array([len(texts[language])]))[0][:sample_chars]
+            self.costs[len(self.starts)] = np.log2(max(len(symbols), 2))
+            after = suffix_automaton(symbols.tolist(), width)
             after[:, 0] = -1
             # where a phrase ends, the symbol begins the next one; the lowest bit says that one begins
             begins = after < 0
@@ -122,15 +135,28 @@ class CrossParser:
         self.width = width
         self.starts = np.array(self.starts, np.int32)
 
+    def symbols(self, points: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of texts of ``sizes`` letters that lie end to end, and how many each has."""
+        spelled = self.spelled[points]
+        if not spelled.any():
+            return self.symbol[points], sizes
+        lengths = np.where(spelled, 4, 1)
+        behind = np.cumsum(lengths)
+        out = np.repeat(self.symbol[points], lengths)
+        at, codes = behind[spelled] - 4, points[spelled].astype(np.int64)
+        for k in range(4):
+            out[at + k] = self.digit + (codes >> DIGITS * (3 - k) & (1 << DIGITS) - 1)
+        return out, np.diff(np.concatenate([[0], behind])[np.concatenate([[0], np.cumsum(sizes)])])
+
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """(language, text) -> number of phrases, for normalised texts."""
-        sizes = np.array([len(t) for t in texts], np.int64)
+        symbols, sizes = self.symbols(np.concatenate(texts), np.array([len(t) for t in texts], np.int64))
+        symbols = symbols.astype(np.int32)
         pieces = -(-sizes // STRETCH)
         owner = np.repeat(np.arange(len(texts)), pieces)
         within = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = (np.cumsum(sizes) - sizes)[owner] + within * STRETCH
         length = np.minimum(sizes[owner] - within * STRETCH, STRETCH)
-        symbols = self.symbol[np.concatenate(texts)].astype(np.int32)
         order = np.argsort(-length, kind="stable")
         owner, begin, length = owner[order], begin[order], length[order]
         active = np.searchsorted(-length, -np.arange(length[0]), side="left") if len(length) else []
@@ -150,11 +176,11 @@ class CrossParser:
         lettered = np.array([len(s) > 1 for s in shaped], bool)
         if not self.languages or not lettered.any():
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        counts = self.phrases(shaped)
-        best = np.argmin(counts, axis=0)  # the first of equals, by name
-        least = np.sort(counts, axis=0)
-        against = least[1] if len(least) > 1 else np.array([len(s) for s in shaped])
-        score = np.where(lettered, 1 - least[0] / np.maximum(against, least[0]), 0.0)
+        costs = self.phrases(shaped) * self.costs[:, None]
+        best = np.argmin(costs, axis=0)  # the first of equals, by name
+        least = np.sort(costs, axis=0)
+        against = least[1] if len(least) > 1 else np.array([len(s) for s in shaped]) * self.costs[0]
+        score = np.where(lettered, 1 - least[0] / np.maximum(np.maximum(against, least[0]), 1e-9), 0.0)
         return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)], np.clip(score, 0, 1)
 
 
@@ -182,17 +208,17 @@ def _as_map(values: dict[str, int]) -> Column:
 
 
 def labelled_sample(docs: DataFrame, training: Column, id_col: str, text_col: str, label_col: str,
-                    sample_docs: int = SAMPLE_DOCS) -> dict[str, list[str]]:
-    """Per label, the texts of the ``sample_docs`` training rows with the smallest hashed ids."""
+                    sample_docs: int = SAMPLE_DOCS, text_chars: int = TEXT_CHARS) -> dict[str, list[str]]:
+    """Per label, the texts (up to ``text_chars`` characters each) of the ``sample_docs`` training rows with the smallest
+    hashed ids."""
     labelled = docs.where(training & F.col(label_col).isNotNull()).select(
         F.col(label_col).alias("label"), F.col(text_col).alias("text"),
         F.xxhash64(F.col(id_col).cast("string"), F.lit(7)).alias("drawn"))
     last = _smallest(labelled.select("label", "drawn"), sample_docs)
     if not last:
         return {}
-    share = SAMPLE_CHARS * 4 // sample_docs  # characters that one text may give
     rows = labelled.where(F.col("drawn") <= F.try_element_at(_as_map(last), F.col("label"))).select(
-        "label", "drawn", F.substring("text", 1, share).alias("text"))
+        "label", "drawn", F.substring("text", 1, text_chars).alias("text"))
     rows = rows.groupBy("label", "drawn").agg(F.min("text").alias("text")).where("text is not null")
     samples: dict[str, list[str]] = {}
     for row in rows.orderBy("label", "drawn", "text").collect():  # sample_docs rows a language
@@ -228,11 +254,15 @@ def identify_languages(docs: DataFrame, samples: dict[str, list[str]], id_col: s
     return map_batches(source, run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
-def with_known_language(docs: DataFrame, samples: dict[str, list[str]], text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language can be told (a row is judged by its own text only).
+def with_known_language(docs: DataFrame, samples: dict[str, list[str]], text_col: str = "text",
+                        wanted: Collection[str] | None = None, least_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is predicted as one of ``wanted`` (None: any that can be told) with a
+    score of ``least_score`` or more; a row is judged by its own text only.
 
     Without any sample, those that have a letter.
     """
+    if not samples:
+        wanted, least_score = None, 0.0
     predict, names = _predictor(docs, samples or {UNKNOWN + "?": [""]}), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +270,8 @@ def with_known_language(docs: DataFrame, samples: dict[str, list[str]], text_col
             text = batch.column(names.index(text_col))
             numbered = pa.RecordBatch.from_arrays([pa.array(np.arange(len(text))), text], ["row", "text"])
             for rows, texts in text_chunks(iter([numbered]), _BATCH_CHARS):
-                told = pa.array([lang != UNKNOWN for lang in predict(texts)[0]], pa.bool_())
+                told = pa.array([lang != UNKNOWN and (wanted is None or lang in wanted) and score >= least_score
+                                 for lang, score in zip(*predict(texts))], pa.bool_())
                 yield batch.slice(rows[0].as_py(), len(rows)).filter(told)
 
     return map_batches(docs, run, docs.schema)

@@ -138,15 +138,15 @@ WITH parts AS (
   FROM parts
 ), named AS (
   SELECT page_id, url, html, md5(html) AS payload, '"' || substr(md5(html), 1, 16) || '"' AS tag,
-         strftime(DATE '2024-01-01' + CAST(page_id // 50 AS INTEGER), '%Y-%m-%d') AS day,
+         strftime(DATE '2024-01-01' + CAST(page_id % 36500000 // 50 AS INTEGER), '%Y-%m-%d') AS day,
          host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical_url
   FROM cut
 ), stored AS (
-  SELECT 2 * page_id AS base_id, page_id AS base_page, canonical_url, 10 * page_id AS captured, payload, day,
+  SELECT 2 * page_id AS base_id, page_id AS base_page, canonical_url, 10 * (page_id % 100000000000000000) AS captured, payload, day,
          CASE WHEN page_id % 7 <> 0 THEN tag END AS tag, strlen(html) AS size
   FROM named
 ), asked AS (
-  SELECT 2 * page_id + 1 AS record_id, page_id, url, canonical_url, 10 * page_id + 5 + page_id * 7919 % 1000 * 10 AS captured,
+  SELECT 2 * page_id + 1 AS record_id, page_id, url, canonical_url, 10 * (page_id % 100000000000000000) + 5 + page_id % 1000 * 7919 % 1000 * 10 AS captured,
          CASE WHEN page_id % 5 IN (0, 2) THEN tag WHEN page_id % 5 = 3 THEN '"other"' END AS tag,
          CASE WHEN page_id % 5 = 2 THEN 'W/' ELSE '' END AS weak,
          CASE WHEN page_id % 5 IN (0, 1) THEN day END AS day

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STRETCHES = 4096
+DAYS = 730_000  # of last-modified dates that ``capture_log`` deals out
 TRACKING = "utm_[a-z]+|ref|fbclid|gclid|sessionid"
 #: Not taken over from a 304: they describe the stored payload or one connection.
 EXCLUDED = ("connection", "content-encoding", "content-length", "content-range", "content-type", "keep-alive",
@@ -78,7 +79,8 @@ def resolve_revisits(records: DataFrame, stretches: int = STRETCHES) -> DataFram
     placed = rows.where("canonical_url is not null and captured is not null")
     low, high = placed.agg(F.min("captured"), F.max("captured")).first()
     width = max(1, ((high or 0) - (low or 0)) // stretches + 1)
-    placed = placed.withColumn("stretch", F.floor((F.col("captured") - F.lit(low or 0)) / F.lit(width)))
+    # the span of all times may exceed a long: the number of the stretch does not
+    placed = placed.withColumn("stretch", F.expr(f"(cast(captured as decimal(20,0)) - {low or 0}BD) div {width}BD"))
     base = F.when(F.col("full"), F.struct("record_id", "headers", "payload"))
 
     last = placed.where("full").groupBy("canonical_url", "stretch").agg(
@@ -119,18 +121,20 @@ def capture_log(pages: DataFrame) -> DataFrame:
     a later 304 for it, with validators of every kind by page id.
 
     Times are ten units a page; the 304 comes up to 10,000 units later, so other captures of the URL may
-    lie between.  A payload is named by the MD5 of the page.
+    lie between.  A payload is named by the MD5 of the page.  Any page id does: record ids are the page's bits moved up
+    by one, times repeat after 10^17 pages and days after ``DAYS``.
     """
-    page, payload = F.col("page_id"), F.md5(F.coalesce("html", F.lit("")))
+    page, payload = F.col("page_id").cast("bigint"), F.md5(F.coalesce("html", F.lit("")))
+    double, time = F.shiftleft(page, 1), page % 10**17 * 10
     tag = F.concat(F.lit('"'), F.substring(payload, 1, 16), F.lit('"'))
-    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.floor(page / 50).cast("int")), "yyyy-MM-dd")
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.floor(page % (50 * DAYS) / 50).cast("int")), "yyyy-MM-dd")
 
     def headers(*fields: tuple[str, Column]) -> Column:
         pairs = F.array(*(F.struct(F.lit(name).alias("key"), value.alias("value")) for name, value in fields))
         return F.map_from_entries(F.filter(pairs, lambda e: e.value.isNotNull()))
 
     full = pages.select(
-        (page * 2).alias("record_id"), "url", (page * 10).alias("captured"), F.lit(200).alias("status"),
+        double.alias("record_id"), "url", time.alias("captured"), F.lit(200).alias("status"),
         headers(("Content-Type", F.lit("text/html")), ("Content-Length", F.octet_length(F.coalesce("html", F.lit(""))).cast("string")),
                 ("ETag", F.when(page % 7 != 0, tag)), ("Last-Modified", day), ("Cache-Control", F.lit("max-age=60")),
                 ("X-Page", page.cast("string"))).alias("headers"),
@@ -138,7 +142,7 @@ def capture_log(pages: DataFrame) -> DataFrame:
     kind = page % 5
     sent = (F.when(kind == 0, tag).when(kind == 2, F.concat(F.lit("W/"), tag)).when(kind == 3, F.lit('"other"')))
     later = pages.select(
-        (page * 2 + 1).alias("record_id"), "url", (page * 10 + 5 + page * 7919 % 1000 * 10).alias("captured"),
+        double.bitwiseOR(F.lit(1)).alias("record_id"), "url", (time + 5 + page % 1000 * 7919 % 1000 * 10).alias("captured"),
         F.lit(304).alias("status"),
         headers(("etag", sent), ("last-modified", F.when(kind.isin(0, 1), day)), ("Cache-Control", F.lit("max-age=600")),
                 ("Content-Length", F.lit("0")), ("Connection", F.lit("close, X-Hop")), ("X-Hop", F.lit("1")),

@@ -2,12 +2,15 @@
 
 import zlib
 
+import numpy as np
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gearwatch.llm import language, queries
-from gearwatch.llm.language import CrossParser, identify_languages, labelled_sample, normalised, suffix_automaton
+from gearwatch.llm.language import (
+    CrossParser, identify_languages, labelled_sample, normalised, suffix_automaton, with_known_language)
 from tests.llm.helpers import SF, empty_documents, odd_documents
 
 
@@ -100,3 +103,55 @@ def test_odd_rows(spark):
     assert labelled_sample(empty_documents(spark), F.lit(True), "doc_id", "text", "lang") == {}
     one = identify_languages(docs, {"en": ["abc"]}).collect()
     assert all(0 <= r.score <= 1 for r in one)
+
+
+def test_wanted_languages_and_least_score_decide(spark):
+    samples = {"aa": ["bana kela tomi sura leno " * 20], "bb": ["xqz wvk pfj hgd rtl " * 20]}
+    docs = spark.createDataFrame([(1, "kela tomi bana"), (2, "wvk pfj hgd"), (3, "123"), (4, "sura xqz")], "doc_id long, text string")
+
+    def kept(**options):
+        return [r.doc_id for r in with_known_language(docs, samples, **options).orderBy("doc_id").collect()]
+
+    assert kept() == [1, 2, 4]
+    assert kept(wanted=("aa",)) in ([1], [1, 4]) and kept(wanted=("bb",)) in ([2], [2, 4])
+    assert kept(wanted=()) == [] and kept(least_score=0.3) == [1, 2]
+
+
+def test_large_alphabets_are_told_apart():
+    """Six scripts, two of them with thousands of letters: 0.97 of unseen texts and more."""
+    import random
+    rng = random.Random(11)
+    ranges = {"el": (0x3B1, 0x3C9), "en": (0x61, 0x7A), "ja": (0x3041, 0x3096), "ko": (0xAC00, 0xB800), "ru": (0x430, 0x44F),
+              "zh": (0x4E00, 0x5A00)}
+    words = {k: ["".join(chr(rng.randint(a, b)) for _ in range(rng.randint(1, 4))) for _ in range(900)] for k, (a, b) in ranges.items()}
+
+    def texts(k, n):
+        return [" ".join(rng.choices(words[k], k=25)) for _ in range(n)]
+
+    parser = CrossParser({k: texts(k, 60) for k in ranges}, sample_chars=6000)
+    asked = [(k, t) for k in ranges for t in texts(k, 40)]
+    found, scores = parser.predict([t for _, t in asked])
+    for k in ranges:
+        hits = [p == k for (own, _), p in zip(asked, found) if own == k]
+        assert sum(hits) / len(hits) >= 0.97, k
+    assert parser.width <= 128 and parser.table.nbytes / len(ranges) < 8 << 20
+
+
+def test_a_small_sample_competes():
+    """Phrases cost the logarithm of the sample's length: few words of one language against many of another."""
+    import random
+    rng = random.Random(2)
+    words = {k: ["".join(rng.choices(letters, k=rng.randint(2, 5))) for _ in range(30)] for k, letters in (("aa", "abcdefg"), ("bb", "abchijk"))}
+    parser = CrossParser({"aa": [" ".join(rng.choices(words["aa"], k=4000))], "bb": [" ".join(rng.choices(words["bb"], k=60))]})
+    assert parser.costs[0] > parser.costs[1] > 0
+    asked = [(k, " ".join(rng.choices(words[k], k=12))) for k in words for _ in range(40)]
+    found, _ = parser.predict([t for _, t in asked])
+    assert sum(p == k for (k, _), p in zip(asked, found)) >= 76
+
+
+def test_spelled_letters_count_as_their_digits():
+    parser = CrossParser({"a": ["".join(map(chr, range(0x4E00, 0x4E00 + 300))) * 2]})
+    points = normalised("一丁x七")
+    symbols, sizes = parser.symbols(np.concatenate([points, points[:2]]), np.array([len(points), 2]))
+    spelled = [int(parser.spelled[p]) for p in points]
+    assert sizes.tolist() == [len(points) + 3 * sum(spelled), 2 + 3 * sum(spelled[:2])] and len(symbols) == sizes.sum()

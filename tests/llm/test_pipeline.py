@@ -1,5 +1,6 @@
 """The pipeline's stages against brute force, stage by stage and end to end."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -40,6 +41,16 @@ def test_language_rejects_only_what_has_no_language(spark, docs):
         assert rows_of(kept) == want
 
 
+def test_language_rejects_other_languages(spark, docs):
+    """A language that is not wanted is learnt and goes; the wanted ones stay."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("αβγδεζηθλμν", k=rng.randint(2, 6))) for _ in range(60)]
+    greek = spark.createDataFrame([(9000 + i, " ".join(rng.choices(words, k=80)), "el", "s", 1) for i in range(60)], docs.schema)
+    kept = STAGES["language"](spark, docs.unionByName(greek), SF)
+    wanted = {i for i, t in texts_by_id(docs) if any(c.isalpha() for c in t)}
+    assert {r.doc_id for r in kept.collect()} == wanted
+
+
 def test_near_dedup_keeps_the_smallest_of_each_group(spark, docs):
     more = odd_documents(spark, near_copies(30, 1)).select(docs.columns)
     both = docs.withColumn("doc_id", docs.doc_id + 1000).unionByName(more)
@@ -93,4 +104,4 @@ def test_registered():
     names = __spark_entry__.queries()
     assert names["pipeline"] is corpus_pipeline.run
     assert set(queries.QUERIES) <= set(names) and set(queries.ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))

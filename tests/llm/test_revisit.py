@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gearwatch.llm import queries
-from gearwatch.llm.revisit import EXCLUDED, canonical_url, header_lines, resolve_revisits
+from gearwatch.llm.revisit import capture_log, EXCLUDED, canonical_url, header_lines, resolve_revisits
 from tests.llm.helpers import SF
 from tests.oracle_check import duck
 
@@ -93,3 +93,21 @@ def test_op6_whole_table(spark):
     fix = lambda df: df.assign(base_id=df.base_id.fillna(-1).astype(int))
     assert key(fix(got)) == key(fix(want))
     assert {"merged", "etag_differs", "no_validator"} <= set(got.outcome)
+
+
+def test_capture_log_takes_any_page_id(spark):
+    ids = [0, 1, 49, 50, 7 * 10**8, 2 * 10**11, 6 * 10**18, 2**63 - 1, -2**63, -5, None]
+    pages = spark.createDataFrame([(i, "http://a.example/x", "<p>") for i in ids], "page_id long, url string, html string")
+    records = capture_log(pages).collect()
+    assert len(records) == 2 * len(ids)
+    assert len({r.record_id for r in records if r.record_id is not None}) >= 2 * (len(ids) - 1) - 2
+    days = [r.headers["Last-Modified"] for r in records if r.status == 200 and r.record_id is not None]
+    assert all(len(d) == 10 for d in days)
+    found = resolve_revisits(capture_log(pages)).collect()
+    assert len(found) == len(ids) and sum(r.outcome == "merged" for r in found) > 0
+
+
+def test_times_far_apart(spark):
+    rows = [(1, "u.example", -2**63, 200, {"etag": "x"}, "p"), (2, "u.example", 2**63 - 1, 304, {"etag": "x"}, None)]
+    schema = "record_id long, url string, captured long, status int, headers map<string,string>, payload string"
+    assert [(r.base_id, r.outcome) for r in resolve_revisits(spark.createDataFrame(rows, schema)).collect()] == [(1, "merged")]
