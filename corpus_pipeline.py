@@ -3,7 +3,8 @@
 Each stage takes ``(spark, docs, sf_dir)``, works on all its predecessor kept and is written as
 Parquet before the next one reads it.  All but the last return the columns of ``documents``.
 
-1. ``language``: documents in which no language can be told (null, empty or without a letter) go.
+1. ``language``: documents that are not predicted as one of ``WANTED`` go: other languages, and texts in which none
+   can be told (null, empty or without a letter).
 2. ``near_dedup``: of each SimHash component, the document with the smallest id stays.
 3. ``passage_dedup``: passages of 100 bytes and more that occurred before are cut out; a document that
    is nothing but such passages goes.  ``n_chars`` counts what is left.
@@ -30,8 +31,11 @@ from gearwatch.llm.radix_dedup import without_repeats
 from gearwatch.llm.simhash import simhash_components
 
 
+WANTED = ("de", "en", "es", "fr")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return with_known_language(docs, language_samples(docs))
+    return with_known_language(docs, language_samples(docs), wanted=WANTED)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +47,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _once(docs: DataFrame, *keys: str) -> DataFrame:
     """One row for each value of ``keys`` and text."""
     number = f"number_{uuid.uuid4().hex}"
-    same = Window.partitionBy(*keys, F.xxhash64("text"), F.col("text").isNull()).orderBy(F.lit(0))
+    text = F.sha2(F.col("text").cast("binary"), 256)
+    same = Window.partitionBy(*keys, text).orderBy(F.lit(0))
     return docs.withColumn(number, F.row_number().over(same)).where(F.col(number) == 1).drop(number)
 
 
