@@ -32,7 +32,7 @@ from gearwatch.plans.chain import (
 )
 from gearwatch.schemas import ENRICHED_EVENT, RAW_EVENT
 from gearwatch.session import discard, fresh_dir, is_folder
-from gearwatch.sources.dims import car_colors, car_models, read_dimension, write_dimension
+from gearwatch.sources.dims import car_colors, car_models, publish_dimension, read_dimension, write_dimension
 from gearwatch.sources.testdata import (
     cars_from_customers,
     read_table,
@@ -42,7 +42,13 @@ from gearwatch.sources.testdata import (
     telemetry_events,
 )
 from gearwatch.sources.topics import ALERT_TOPIC, ENRICHED_TOPIC, RAW_TOPIC, read_topic, write_topic
-from gearwatch.streaming.jobs import counter_frame, publish_alert, start_detection, start_enrichment
+from gearwatch.streaming.jobs import (
+    counter_frame,
+    publish_alert,
+    start_detection,
+    start_enrichment,
+    start_refreshed_enrichment,
+)
 from gearwatch.streaming.partials import WindowCounter
 from gearwatch.streaming.runner import (
     await_or_stop,
@@ -425,6 +431,24 @@ def topic_chain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(spark, base, metrics, "complete")
 
 
+def stream_refreshed_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichment over two micro-batches of one checkpoint; the fleet is replaced between them (new drivers)."""
+    base = fresh_dir(spark, "refreshed-dims")
+    topics, dims, ckpt = (os.path.join(base, x) for x in ("topics", "dims", "ck-enrich"))
+    cars, models, colors = _dims(spark, sf_dir)
+    for name, df in (("cars", cars), ("car_models", models), ("car_colors", colors)):
+        publish_dimension(df, f"{dims}/{name}", 1)
+    events = read_table(spark, sf_dir, "events")
+    cut = _hour_cut(events)
+    early = F.coalesce(F.col("ts") < cut, F.lit(True))
+    for step, part in enumerate((early, ~early)):
+        if step:
+            publish_dimension(cars.withColumn("driver_id", F.col("driver_id") + F.lit(500_000_000)), f"{dims}/cars", 2)
+        write_topic(encode(sensor_columns(events.where(part)), RAW_FIELDS, key="event_id"), RAW_TOPIC, root=topics)
+        await_or_stop(start_refreshed_enrichment(spark, dims, checkpoint=ckpt, topics_root=topics, trigger="available-now"))
+    return decode(read_topic(spark, ENRICHED_TOPIC, root=topics, streaming=False), ENRICHED_EVENT)
+
+
 def topic_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detection that starts at the latest offset: the earlier half of the events is in its topic by then and is left
     out; the later half comes in two writes, with a restart between them."""
@@ -479,4 +503,5 @@ QUERIES: dict[str, Query] = {
     "stream_fused": stream_fused,
     "topic_chain_stream": topic_chain_stream,
     "topic_from_latest": topic_from_latest,
+    "stream_refreshed_dims": stream_refreshed_dims,
 }

@@ -256,6 +256,9 @@ marked AS (SELECT *, NOT first AND time_bucket(INTERVAL 15 MINUTE, ts) + INTERVA
 counted AS (SELECT * FROM marked WHERE NOT coalesce(is_late, false)), behind AS (SELECT * FROM marked WHERE is_late)"""),
         "stream_fused": windows,
         "topic_chain_stream": windows,
+        "stream_refreshed_dims": with_base(f"""SELECT {ENRICHED_COLS.replace('driver_id', "CAST(driver_id + CASE WHEN ts >= "
+            "(SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events) THEN 500000000 ELSE 0 END AS INTEGER) AS driver_id")}
+FROM enr"""),
         "topic_from_latest": with_base(f"""SELECT {ENRICHED_COLS} FROM alerts
 WHERE ts >= (SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events)"""),
     }

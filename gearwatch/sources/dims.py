@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gearwatch.functions.hashing import uniform_int
+from gearwatch.session import children, write_text
 from gearwatch.schemas import CAR_COLORS, CAR_MODELS
 
 SMOKE = StructType([StructField("brand", StringType(), True), StructField("model", StringType(), True)])
@@ -118,3 +119,21 @@ def write_dimension(df: DataFrame, path: str) -> None:
     versioned path (``.../cars/v=2``) and the stream restarted on it.
     """
     df.write.mode("overwrite").parquet(path)
+
+
+def publish_dimension(df: DataFrame, folder: str, version: int) -> None:
+    """Write a new version of a dimension and make it the current one: its pointer appears once it is whole."""
+    write_dimension(df, f"{folder}/v={version}")
+    write_text(df.sparkSession, f"{folder}/_versions/{version}", "")
+
+
+def current_version(spark: SparkSession, folder: str) -> int:
+    """The newest version that is whole."""
+    versions = [int(name) for name in children(spark, f"{folder}/_versions")]
+    if not versions:
+        raise ValueError(f"{folder} holds no published version")
+    return max(versions)
+
+
+def read_version(spark: SparkSession, folder: str, version: int) -> DataFrame:
+    return read_dimension(spark, f"{folder}/v={version}")

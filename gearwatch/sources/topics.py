@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,9 +203,15 @@ def topic_stream_writer(
     folder = f"{topic_path(root, topic)}/{producer}"
     claim_producer(df.sparkSession, folder, checkpoint)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        if not path_exists(batch.sparkSession, f"{folder}/{batch_id:012d}"):
-            _publish(batch, root, topic, f"{producer}/{batch_id:012d}")
-
-    return (_as_record(df).writeStream.foreachBatch(write)
+    return (df.writeStream.foreachBatch(topic_batch_writer(topic, producer, root))
             .option("checkpointLocation", checkpoint).outputMode("append"))
+
+
+def topic_batch_writer(topic: str, producer: str, root: str,
+                       transform: Callable[[DataFrame, int], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: publish each micro-batch (what ``transform`` makes of it and its number) once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        name = f"{producer}/{batch_id:012d}"
+        if not path_exists(batch.sparkSession, f"{topic_path(root, topic)}/{name}"):
+            _publish(_as_record(transform(batch, batch_id) if transform else batch), root, topic, name)
+    return write

@@ -28,13 +28,18 @@ from gearwatch.plans.chain import (
     fused_from_records,
 )
 from gearwatch.schemas import ALERT_EVENT, ENRICHED_EVENT, RAW_EVENT
+from gearwatch.session import path_exists, read_text, write_text
+from gearwatch.sources.dims import current_version, read_version
 from gearwatch.sources.generate import injected_alert, synth_events
 from gearwatch.sources.topics import (
     ALERT_TOPIC,
     ENRICHED_TOPIC,
     PRODUCER_OPTIONS,
     RAW_TOPIC,
+    claim_producer,
     read_topic,
+    topic_batch_writer,
+    topic_path,
     topic_stream_writer,
     write_topic,
 )
@@ -76,6 +81,32 @@ def start_enrichment(spark: SparkSession, cars: DataFrame | None = None,
     return with_trigger(writer, trigger).start()
 
 
+def start_refreshed_enrichment(spark: SparkSession, dims_root: str, *, checkpoint: str, topics_root: str,
+                               source: str = RAW_TOPIC, sink: str = ENRICHED_TOPIC, trigger: str | None = None,
+                               producer: str = "enrich", broadcast_max_bytes: int | None = None,
+                               **source_options) -> StreamingQuery:
+    """Raw topic -> enriched topic, with the dimensions of ``publish_dimension`` under ``dims_root`` (``cars``,
+    ``car_models``, ``car_colors``) looked up again for every micro-batch: no restart for a new version.
+
+    The versions that a batch took are kept beside the checkpoint, so a batch that runs again takes the same."""
+    raw = open_topic(spark, source, topics_root, checkpoint=checkpoint, **source_options)
+    names = ("cars", "car_models", "car_colors")
+
+    def enriched(batch: DataFrame, batch_id: int) -> DataFrame:
+        session, mark = batch.sparkSession, f"{checkpoint.rstrip('/')}.dims/{batch_id:012d}"
+        if not path_exists(session, mark):
+            versions = [current_version(session, f"{dims_root}/{name}") for name in names]
+            write_text(session, mark, " ".join(map(str, versions)))
+        versions = map(int, read_text(session, mark).split())
+        dims = [read_version(session, f"{dims_root}/{name}", v) for name, v in zip(names, versions)]
+        return enrichment_stage(batch, *dims, broadcast_max_bytes=broadcast_max_bytes)
+
+    claim_producer(spark, f"{topic_path(topics_root, sink)}/{producer}", checkpoint)
+    writer = (raw.writeStream.foreachBatch(topic_batch_writer(sink, producer, topics_root, enriched))
+              .option("checkpointLocation", checkpoint))
+    return with_trigger(writer, trigger).start()
+
+
 def start_detection(spark: SparkSession, *, checkpoint: str, topics_root: str | None = None,
                     bootstrap_servers: str | None = None, source: str = ENRICHED_TOPIC,
                     sink: str = ALERT_TOPIC, rules: Sequence[Rule] = DEFAULT_RULES,
