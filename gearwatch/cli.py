@@ -8,6 +8,8 @@ Jobs, in the order they are usually started:
 * ``detect``   stream: enriched topic -> alert topic
 * ``count``    stream: alert topic -> window metrics (console by default, complete mode)
 * ``fused``    stream: raw topic -> window metrics of alerts in one query (no intermediate topics)
+* ``quarantine`` stream: raw topic -> a topic of its whole records and one of its damaged messages
+* ``audit``    the windows that a counter's checkpoint holds, and its watermark
 * ``inject``   publish one fixed alert to the alert topic
 * ``tap``      print parsed alerts to the console for some seconds
 * ``schema``   print the schemas of a topic's records and of the wire records
@@ -98,6 +100,17 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument("--version", default="1")
         topics(p)
         streaming(p)
+        p.add_argument("--dedup-within", help="leave out an event id that is published again within this span, e.g. '1 day'")
+        p.add_argument("--ordered", action="store_true", help="key records by car and send them in order of event time")
+
+    p = sub.add_parser("quarantine")
+    p.add_argument("--sink", help="topic of whole records")
+    p.add_argument("--bad-sink", help="topic of damaged messages")
+    topics(p)
+    streaming(p)
+
+    p = sub.add_parser("audit")
+    p.add_argument("--checkpoint", required=True, help="a counter's checkpoint")
 
     p = sub.add_parser("count")
     topics(p)
@@ -110,6 +123,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--out", help="with --mode partials: the folder of the result table")
     p.add_argument("--late", default="keep", choices=("keep", "raise", "side"),
                    help="with --mode partials: rows behind the watermark count, fail their batch, or are kept apart")
+    p.add_argument("--dedup-within", help="with --mode partials: as for detect")
     p.add_argument("--compact-every", type=int, default=100, help="with --mode partials: micro-batches from fold to fold")
 
     p = sub.add_parser("fused")
@@ -164,19 +178,31 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from gearwatch.streaming.jobs import start_enrichment
         cars, models, colors = _load_dims(spark, args.dims, args.version)
         q = start_enrichment(spark, cars, models, colors, checkpoint=ckpt, trigger=trigger,
-                             **topic_opts, **stream_opts)
+                             dedup_within=args.dedup_within, ordered=args.ordered, **topic_opts, **stream_opts)
         _wait(q, args, ckpt)
     elif args.job == "detect":
         from gearwatch.streaming.jobs import start_detection
-        q = start_detection(spark, checkpoint=ckpt, trigger=trigger, **topic_opts, **stream_opts)
+        q = start_detection(spark, checkpoint=ckpt, trigger=trigger, dedup_within=args.dedup_within,
+                            ordered=args.ordered, **topic_opts, **stream_opts)
+        _wait(q, args, ckpt)
+    elif args.job == "quarantine":
+        from gearwatch.streaming.jobs import start_quarantine
+        if args.bootstrap_servers or not args.topics:
+            raise SystemExit("quarantine works on file-backed topics (--topics)")
+        sinks = {k: v for k, v in (("sink", args.sink), ("bad_sink", args.bad_sink)) if v}
+        q = start_quarantine(spark, checkpoint=ckpt, topics_root=args.topics, trigger=trigger, **sinks, **stream_opts)
         _wait(q, args, ckpt)
+    elif args.job == "audit":
+        from gearwatch.streaming.audit import state_summary
+        state_summary(spark, ckpt).show(truncate=False)
     elif args.job == "count" and args.mode == "partials":
         from gearwatch.streaming.jobs import start_partial_counter
         if not args.out:
             raise SystemExit("--mode partials needs --out")
         counter, q = start_partial_counter(spark, out_dir=args.out, checkpoint=ckpt, trigger=trigger or args.trigger,
                                            window=args.window, delay=args.watermark, late=args.late,
-                                           compact_every=args.compact_every, **topic_opts, **stream_opts)
+                                           compact_every=args.compact_every, dedup_within=args.dedup_within,
+                                           **topic_opts, **stream_opts)
         _wait(q, args, ckpt)
         counter.read(spark).orderBy("window_start").show(50, truncate=False)
     elif args.job == "count":

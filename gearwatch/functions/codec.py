@@ -31,13 +31,14 @@ def encode(
     columns: Sequence[str],
     key: str | None = None,
     as_binary: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Pack ``columns`` (in this order) into one JSON text column ``value``.
 
     NULL fields are left out of the text; decoding with the same schema reads
     them back as NULL, so the round trip is lossless.  With ``key`` the result
     also has a ``key`` column holding that column's text, as a keyed producer
-    would send it.
+    would send it.  ``keep`` passes other columns through beside the record (to sort it by, say).
     """
     value = F.to_json(F.struct(*[F.col(c) for c in columns]))
     if as_binary:
@@ -46,4 +47,31 @@ def encode(
     if key is not None:
         k = F.col(key).cast("string")
         out.insert(0, (k.cast("binary") if as_binary else k).alias("key"))
-    return df.select(*out)
+    return df.select(*out, *keep)
+
+
+def decode_checked(
+    df: DataFrame,
+    schema: StructType,
+    value_col: str = "value",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``decode`` that also says which messages are damaged: ``damaged`` (boolean, never NULL) and ``text``, the
+    message as it came where it is damaged (else NULL; NULL too if the message itself is).
+
+    Damaged is what has no record (empty, blank or NULL value, JSON ``null``, an array, a bare value), is no JSON, or
+    has a field that does not fit its type; its row holds the fields that could be read, as ``decode`` gives them.  A
+    field that is missing or ``null`` and a field that the schema does not name are no damage, nor is what follows a whole
+    record.  The same parse yields both.
+    """
+    taken = {f.name.lower() for f in schema.fields}
+    corrupt = next(name for name in ("_corrupt", "_corrupt_record", *(f"_corrupt{i}" for i in range(len(taken))))
+                   if name.lower() not in taken)
+    text = F.col(value_col).cast("string")
+    message = F.from_json(text, StructType([*schema.fields]).add(corrupt, "string"), {"columnNameOfCorruptRecord": corrupt})
+    # a NULL struct (no record) is told from a record without fields before inline() makes both rows of NULLs
+    parsed = df.select(*keep, text.alias("__text"), F.inline(F.array(
+        F.struct(message.alias("__message")))))
+    damaged = F.col("__message").isNull() | F.col(f"__message.{corrupt}").isNotNull()
+    return parsed.select(*keep, *(F.col(f"__message.{f.name}").alias(f.name) for f in schema.fields),
+                         damaged.alias("damaged"), F.when(damaged, F.col("__text")).alias("text"))

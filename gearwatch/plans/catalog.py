@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearwatch.functions.bands import classify_bands
-from gearwatch.functions.codec import decode, encode
+from gearwatch.functions.codec import decode, decode_checked, encode
 from gearwatch.functions.eventtime import format_event_time, instant_of_utc, parse_event_time, utc_of_instant
 from gearwatch.functions.hashing import hash31
 from gearwatch.operators.enrich import car_profiles, enrich, lookup, to_enriched_record
@@ -41,12 +41,22 @@ from gearwatch.sources.testdata import (
     telemetry_cars,
     telemetry_events,
 )
-from gearwatch.sources.topics import ALERT_TOPIC, ENRICHED_TOPIC, RAW_TOPIC, read_topic, write_topic
+from gearwatch.sources.topics import (
+    ALERT_TOPIC,
+    ENRICHED_TOPIC,
+    RAW_TOPIC,
+    order_breaks,
+    read_topic,
+    record_positions,
+    write_topic,
+)
+from gearwatch.streaming.audit import held_windows
 from gearwatch.streaming.jobs import (
     counter_frame,
     publish_alert,
     start_detection,
     start_enrichment,
+    start_quarantine,
     start_refreshed_enrichment,
 )
 from gearwatch.streaming.partials import WindowCounter
@@ -121,7 +131,8 @@ def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(to_enriched_record(_enriched(spark, sf_dir)), ENRICHED_FIELDS, as_binary=False)
 
 
-def json_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw events' messages, seven of eight kinds of them damaged."""
     ev = telemetry_events(spark, sf_dir)
     whole = F.to_json(F.struct(*RAW_FIELDS))
     k = _class("event_id", 31, 8)
@@ -137,7 +148,24 @@ def json_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.lit(',"extra":1}')))
         .when(k == 7, whole)
     )                                                                   # k == 4: NULL value
-    return decode(ev.select(text.cast("binary").alias("value")), RAW_EVENT)
+    return ev.select(text.cast("binary").alias("value"))
+
+
+def json_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode(_damaged_messages(spark, sf_dir), RAW_EVENT)
+
+
+def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged messages set apart by a stream: the records of the checked topic, and the other topic's with their text."""
+    base = fresh_dir(spark, "json-quarantine")
+    topics = os.path.join(base, "topics")
+    write_topic(_damaged_messages(spark, sf_dir), RAW_TOPIC, root=topics)
+    await_or_stop(start_quarantine(spark, checkpoint=os.path.join(base, "ck"), topics_root=topics, sink="checked",
+                                   bad_sink="damaged", trigger="available-now"))
+    good = decode(read_topic(spark, "checked", root=topics, streaming=False), RAW_EVENT)
+    bad = decode_checked(read_topic(spark, "damaged", root=topics, streaming=False), RAW_EVENT).drop("damaged")
+    return good.select("*", F.lit(False).alias("damaged"), F.lit(None).cast("string").alias("text")).unionByName(
+        bad.withColumn("damaged", F.lit(True)))
 
 
 def parse_event_time_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,6 +459,59 @@ def topic_chain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(spark, base, metrics, "complete")
 
 
+def topic_chain_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chained jobs over hops that deliver at least once: the earlier half of the raw events is sent again between two
+    runs of the enrichment, all enriched records between two of the detection; the jobs leave repeats out."""
+    base = fresh_dir(spark, "topic-dedup")
+    topics, span = os.path.join(base, "topics"), "1 day"
+    events = read_table(spark, sf_dir, "events")
+    cut = _hour_cut(events)
+    early = F.coalesce(F.col("ts") < cut, F.lit(True))
+    for part in (early, ~early, early):
+        write_topic(encode(sensor_columns(events.where(part)), RAW_FIELDS, key="event_id"), RAW_TOPIC, root=topics)
+        await_or_stop(start_enrichment(spark, *_dims(spark, sf_dir), checkpoint=os.path.join(base, "ck-enrich"),
+                                       topics_root=topics, trigger="available-now", dedup_within=span))
+    again = read_topic(spark, ENRICHED_TOPIC, root=topics, streaming=False)
+    for step in range(2):
+        if step:
+            write_topic(again, ENRICHED_TOPIC, root=topics)
+        await_or_stop(start_detection(spark, checkpoint=os.path.join(base, "ck-detect"), topics_root=topics,
+                                      trigger="available-now", dedup_within=span))
+    return _finished(spark, base, counter_frame(spark, topics_root=topics, watermark=WATERMARK), "complete")
+
+
+def topic_chain_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts after three hops that keep records in order by car: per car (NULL: events without one), how many
+    there are, how many lie behind a later one, and the times of the first and the last by position."""
+    base = fresh_dir(spark, "topic-ordered")
+    topics = os.path.join(base, "topics")
+    events = read_table(spark, sf_dir, "events")
+    cut = _hour_cut(events)
+    early = F.coalesce(F.col("ts") < cut, F.lit(True))
+    for part in (early, ~early):
+        raw = encode(sensor_columns(events.where(part)), RAW_FIELDS, key="car_id")
+        write_topic(raw, RAW_TOPIC, root=topics)
+        await_or_stop(start_enrichment(spark, *_dims(spark, sf_dir), checkpoint=os.path.join(base, "ck-enrich"),
+                                       topics_root=topics, trigger="available-now", ordered=True))
+        await_or_stop(start_detection(spark, checkpoint=os.path.join(base, "ck-detect"), topics_root=topics,
+                                      trigger="available-now", ordered=True))
+    alerts = decode(record_positions(spark, ALERT_TOPIC, topics), ENRICHED_EVENT, keep=("batch", "file", "row"))
+    timed = alerts.withColumn("ts", utc_of_instant(parse_event_time(F.col("event_time"))))
+    return order_breaks(timed, ["car_id"], "ts")
+
+
+def stream_state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that the counters in update and append mode still hold in their state, all input being processed."""
+    held = []
+    for mode in ("update", "append"):
+        base = fresh_dir(spark, f"state-audit-{mode}")
+        ckpt = os.path.join(base, "state")
+        materialize(_stream_windows(spark, sf_dir), output_mode=mode, out_dir=os.path.join(base, "out"), checkpoint=ckpt,
+                    key_cols=WINDOW_KEYS)
+        held.append(held_windows(spark, ckpt).withColumn("mode", F.lit(mode)))
+    return held[0].unionByName(held[1])
+
+
 def stream_refreshed_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrichment over two micro-batches of one checkpoint; the fleet is replaced between them (new drivers)."""
     base = fresh_dir(spark, "refreshed-dims")
@@ -479,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": json_roundtrip,
     "json_encode": json_encode,
     "json_damage": json_damage,
+    "json_quarantine": json_quarantine,
     "rule_speed": _rule_query(overspeed()),
     "rule_rpm": _rule_query(high_rpm()),
     "rule_gear": _rule_query(gear_mismatch()),
@@ -503,5 +585,8 @@ QUERIES: dict[str, Query] = {
     "stream_fused": stream_fused,
     "topic_chain_stream": topic_chain_stream,
     "topic_from_latest": topic_from_latest,
+    "topic_chain_dedup": topic_chain_dedup,
+    "topic_chain_ordered": topic_chain_ordered,
+    "stream_state_audit": stream_state_audit,
     "stream_refreshed_dims": stream_refreshed_dims,
 }

@@ -13,10 +13,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gearwatch.functions.bands import GEAR_BOUNDS
 from gearwatch.functions.codec import decode, encode
 from gearwatch.functions.eventtime import parse_event_time
+from gearwatch.operators.delivery import once_within
 from gearwatch.operators.enrich import enrich, to_enriched_record
 from gearwatch.operators.rules import DEFAULT_RULES, Rule, detect
 from gearwatch.operators.windows import COUNTED_COLORS, WINDOW, window_metrics
@@ -24,20 +26,39 @@ from gearwatch.schemas import ENRICHED_EVENT, RAW_EVENT
 
 ENRICHED_FIELDS = [f.name for f in ENRICHED_EVENT.fields]
 
+# What records that are kept in order by car are sorted by (columns beside the record).
+SENT_ORDER = ("event_time_ts", "event_id")
+
+
+def decode_once(records: DataFrame, schema: StructType, dedup_within: str | None) -> DataFrame:
+    """``decode``; with ``dedup_within``, an event id that arrives again within that span is left out."""
+    if dedup_within is None:
+        return decode(records, schema)
+    return once_within(decode(records, schema, keep=("timestamp",)), ["event_id"], "timestamp", dedup_within).drop("timestamp")
+
+
+def encode_enriched(events: DataFrame, ordered: bool) -> DataFrame:
+    """Topic records of enriched events; ``ordered``: keyed by car, with ``SENT_ORDER`` beside them."""
+    if not ordered:
+        return encode(events, ENRICHED_FIELDS)
+    timed = events.withColumn("event_time_ts", parse_event_time(F.col("event_time")))
+    return encode(timed, ENRICHED_FIELDS, key="car_id", keep=SENT_ORDER)
+
 
 def enrichment_stage(raw: DataFrame, cars: DataFrame | None, models: DataFrame | None,
-                     colors: DataFrame | None, bounds: Sequence[float] = GEAR_BOUNDS,
-                     **join_opts) -> DataFrame:
-    """Topic records of raw events -> topic records (``value``) of enriched events."""
-    events = decode(raw, RAW_EVENT)
+                     colors: DataFrame | None, bounds: Sequence[float] = GEAR_BOUNDS, *,
+                     dedup_within: str | None = None, ordered: bool = False, **join_opts) -> DataFrame:
+    """Topic records of raw events -> topic records (``value``; ``ordered``: and ``key``) of enriched events."""
+    events = decode_once(raw, RAW_EVENT, dedup_within)
     enriched = to_enriched_record(enrich(events, cars, models, colors, bounds=bounds, **join_opts))
-    return encode(enriched, ENRICHED_FIELDS)
+    return encode_enriched(enriched, ordered)
 
 
-def detection_stage(enriched_records: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
+def detection_stage(enriched_records: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, *,
+                    dedup_within: str | None = None, ordered: bool = False) -> DataFrame:
     """Topic records of enriched events -> topic records of alerts."""
-    alerts = detect(decode(enriched_records, ENRICHED_EVENT), rules)
-    return encode(alerts, ENRICHED_FIELDS)
+    alerts = detect(decode_once(enriched_records, ENRICHED_EVENT, dedup_within), rules)
+    return encode_enriched(alerts, ordered)
 
 
 def counting_stage(alert_records: DataFrame, *, window: str = WINDOW, watermark: str | None = None,

@@ -110,14 +110,18 @@ def with_base(sql: str, extra: str = "") -> str:
 
 
 # ---------------------------------------------------------------- per query
-def _json_encode() -> str:
-    """Spark's JSON text: fields in record order, NULL fields left out."""
-    texts = {"event_id", "event_time", "brand_name", "model_name", "color_name"}
+def _json_text(columns: str, texts: set[str]) -> str:
+    """Spark's JSON text of ``columns``: fields in order, NULL fields left out."""
     parts = []
-    for f in ENRICHED_COLS.split(", "):
+    for f in columns.split(", "):
         val = f"to_json({f})" if f in texts else f"CAST({f} AS VARCHAR)"
         parts.append(f"CASE WHEN {f} IS NOT NULL THEN '\"{f}\":' || {val} END")
-    return with_base(f"SELECT '{{' || concat_ws(',', {', '.join(parts)}) || '}}' AS value FROM enr")
+    return f"'{{' || concat_ws(',', {', '.join(parts)}) || '}}'"
+
+
+def _json_encode() -> str:
+    texts = {"event_id", "event_time", "brand_name", "model_name", "color_name"}
+    return with_base(f"SELECT {_json_text(ENRICHED_COLS, texts)} AS value FROM enr")
 
 
 def _json_damage() -> str:
@@ -134,6 +138,26 @@ SELECT CASE WHEN k >= 5 THEN event_id END AS event_id,
 FROM cls"""
 
 
+def _json_quarantine() -> str:
+    ctes, last = hash_ctes("ev", "CAST(event_id AS BIGINT)", {"h": 31})
+    whole = _json_text("event_id, event_time, car_id, speed, rpm, gear", {"event_id", "event_time"})
+    return f"""WITH {EV},
+{ctes},
+cls AS (SELECT *, h % 8 AS k FROM {last})
+SELECT CASE WHEN k >= 5 THEN event_id END AS event_id,
+       CASE WHEN k = 7 THEN event_time END AS event_time,
+       CASE WHEN k = 7 THEN car_id END AS car_id,
+       CASE WHEN k = 5 THEN 150.0 WHEN k = 7 THEN speed END::DOUBLE AS speed,
+       CASE WHEN k >= 6 THEN rpm END AS rpm,
+       CASE WHEN k = 7 THEN gear END AS gear,
+       k <> 7 AS damaged,
+       CASE k WHEN 0 THEN '{{bad' || {whole} WHEN 1 THEN 'null' WHEN 2 THEN '[' || {whole} || ']' WHEN 3 THEN ''
+              WHEN 5 THEN '{{"event_id":"' || event_id || '","car_id":99999999999,"speed":150,"rpm":3200.0,"gear":"4"}}'
+              WHEN 6 THEN '{{"event_id":"' || event_id || '","speed":"fast","rpm":' || coalesce(CAST(rpm AS VARCHAR), 'null')
+                          || ',"extra":1}}' END AS text
+FROM cls"""
+
+
 def _null_logic() -> str:
     ctes, last = hash_ctes("ev0", "CAST(event_id AS BIGINT)", {"h": 41})
     return f"""WITH {CARS}, {MODELS}, {COLORS},
@@ -223,6 +247,7 @@ SELECT ev.event_id, ev.car_id, f.driver_id FROM ev LEFT JOIN fan f ON ev.car_id
         "json_roundtrip": enriched,
         "json_encode": _json_encode(),
         "json_damage": _json_damage(),
+        "json_quarantine": _json_quarantine(),
         "rule_speed": with_base(f"SELECT {ENRICHED_COLS} FROM enr WHERE speed > {SPEED_LIMIT}"),
         "rule_rpm": with_base(f"SELECT {ENRICHED_COLS} FROM enr WHERE rpm > {RPM_LIMIT}"),
         "rule_gear": with_base(f"SELECT {ENRICHED_COLS} FROM enr WHERE gear <> expected_gear"),
@@ -259,6 +284,12 @@ counted AS (SELECT * FROM marked WHERE NOT coalesce(is_late, false)), behind AS
         "stream_refreshed_dims": with_base(f"""SELECT {ENRICHED_COLS.replace('driver_id', "CAST(driver_id + CASE WHEN ts >= "
             "(SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events) THEN 500000000 ELSE 0 END AS INTEGER) AS driver_id")}
 FROM enr"""),
+        "topic_chain_dedup": windows,
+        "topic_chain_ordered": with_base('SELECT car_id, count(*) AS n_records, CAST(0 AS BIGINT) AS n_breaks, '
+                                         'min(ts) AS "first", max(ts) AS "last" FROM alerts GROUP BY car_id'),
+        "stream_state_audit": with_base(
+            """SELECT window_start, window_end, false AS behind, m AS mode FROM w, (VALUES ('update'), ('append')) modes(m)
+WHERE window_end > (SELECT max(ts) FROM alerts) - INTERVAL 48 HOUR""", f"w AS ({windows_select('alerts')})"),
         "topic_from_latest": with_base(f"""SELECT {ENRICHED_COLS} FROM alerts
 WHERE ts >= (SELECT date_trunc('hour', min(ts) + (max(ts) - min(ts)) / 2) FROM events)"""),
     }

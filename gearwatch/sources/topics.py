@@ -9,6 +9,10 @@ others use a broker.)  A reader takes all producers' batches, also of those that
 jobs and any number of streams (under different producer names) can feed one topic.  A record has the columns of
 a Kafka record that the jobs use (``key``, ``value``, ``timestamp``).
 
+Records can be kept in order by key: a writer with ``order_by`` deals them by key and sorts them, so the order of a
+key's records is that of their positions (batch, file, row; ``record_positions``).  A key with too many records for one
+file goes on in the next.
+
 Reading a topic as a stream from the first file is the ``earliest`` offset; each new file is new data.  With ``latest`` a
 reader begins behind what is published when it first starts: that position is kept beside its checkpoint, and a
 restart goes on from there.
@@ -19,9 +23,9 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -179,6 +183,15 @@ def claim_producer(spark: SparkSession, folder: str, checkpoint: str) -> None:
                          "or choose another producer name to send all records again")
 
 
+def in_key_order(records: DataFrame, order_by: Sequence[str], *, whole_keys: bool = False) -> DataFrame:
+    """Records dealt by ``key`` and, within it, sorted by ``order_by``; NULL keys are a key like any other.
+
+    They are dealt by ranges of both, so a key that holds a large part of all records is split over tasks, in order.
+    ``whole_keys`` deals by key alone, for a broker, which keeps a key in one partition in any case."""
+    dealt = records.repartition("key") if whole_keys else records.repartitionByRange("key", *order_by)
+    return dealt.sortWithinPartitions("key", *order_by)
+
+
 def topic_stream_writer(
     df: DataFrame,
     topic: str,
@@ -187,10 +200,21 @@ def topic_stream_writer(
     producer: str = "stream",
     root: str | None = None,
     bootstrap_servers: str | None = None,
+    order_by: Sequence[str] = (),
 ) -> DataStreamWriter:
     """Append-mode, checkpointed stream writer into a topic (call ``.start()``).
 
-    ``producer`` names this stream among the writers of a file-backed topic."""
+    ``producer`` names this stream among the writers of a file-backed topic.  With ``order_by`` (columns beside the
+    record) each micro-batch is sent in ``in_key_order``."""
+    if order_by and "key" not in df.columns:
+        raise ValueError("records without a key have no order by key")
+    if bootstrap_servers and order_by:
+        options = kafka_sink_options(bootstrap_servers, topic)
+
+        def send(batch: DataFrame, batch_id: int) -> None:
+            (in_key_order(batch, order_by, whole_keys=True).select("key", "value").write.format("kafka")
+             .options(**options).save())
+        return df.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint).outputMode("append")
     if bootstrap_servers:
         cols = [c for c in ("key", "value") if c in df.columns]
         return (df.select(*cols).writeStream.format("kafka")
@@ -203,7 +227,8 @@ def topic_stream_writer(
     folder = f"{topic_path(root, topic)}/{producer}"
     claim_producer(df.sparkSession, folder, checkpoint)
 
-    return (df.writeStream.foreachBatch(topic_batch_writer(topic, producer, root))
+    ordered = (lambda batch, batch_id: in_key_order(batch, order_by)) if order_by else None
+    return (df.writeStream.foreachBatch(topic_batch_writer(topic, producer, root, ordered))
             .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
@@ -215,3 +240,34 @@ def topic_batch_writer(topic: str, producer: str, root: str,
         if not path_exists(batch.sparkSession, f"{topic_path(root, topic)}/{name}"):
             _publish(_as_record(transform(batch, batch_id) if transform else batch), root, topic, name)
     return write
+
+
+def record_positions(spark: SparkSession, topic: str, root: str) -> DataFrame:
+    """The records of a file-backed topic with where each lies: ``producer, batch, file, row``.
+
+    The batches of one stream and the files of a batch are numbered, so their names are in order."""
+    path = F.col("_metadata.file_path")
+    where = [F.regexp_extract(path, r"([^/]+)/([^/]+)/([^/]+)$", i).alias(name) for i, name in enumerate(("producer", "batch", "file"), 1)]
+    records = read_topic(spark, topic, root=root, streaming=False)
+    return records.select(*records.columns, *where, F.col("_metadata.row_index").alias("row"))
+
+
+def order_breaks(records: DataFrame, keys: Sequence[str], time_col: str) -> DataFrame:
+    """Per key of records with their positions: ``n_records``, ``n_breaks`` (records that lie behind one of a later time)
+    and the times of the ``first`` and ``last`` record by position.
+
+    Neighbours are compared within a file, files by their ends, so no task holds a key's records.  Records
+    of several producers have no order among them; rows without a time are left out."""
+    keys = list(keys)
+    timed = records.where(F.col(time_col).isNotNull())
+    in_file = Window.partitionBy("batch", "file", *keys).orderBy("row")
+    ends = (timed.withColumn("__before", F.lag(time_col).over(in_file))
+            .groupBy("batch", "file", *keys)
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__before") > F.col(time_col)).alias("breaks"),
+                 F.min_by(time_col, "row").alias("first"), F.max_by(time_col, "row").alias("last")))
+    over_files = Window.partitionBy(*keys).orderBy("batch", "file")  # one row a file
+    joined = ends.withColumn("breaks", F.col("breaks") + F.coalesce(
+        (F.lag("last").over(over_files) > F.col("first")).cast("bigint"), F.lit(0)))
+    place = F.struct("batch", "file")
+    return joined.groupBy(*keys).agg(F.sum("n").alias("n_records"), F.sum("breaks").alias("n_breaks"),
+                                     F.min_by("first", place).alias("first"), F.max_by("last", place).alias("last"))

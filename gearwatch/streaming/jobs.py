@@ -16,13 +16,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+from pyspark.storagelevel import StorageLevel
 
-from gearwatch.functions.codec import decode, encode
+from gearwatch.functions.codec import decode, decode_checked, encode
 from gearwatch.functions.eventtime import parse_event_time
 from gearwatch.operators.rules import DEFAULT_RULES, Rule
 from gearwatch.operators.windows import COUNTED_COLORS, WATERMARK, WINDOW
 from gearwatch.plans.chain import (
+    SENT_ORDER,
     counting_stage,
+    decode_once,
     detection_stage,
     enrichment_stage,
     fused_from_records,
@@ -68,16 +72,19 @@ def start_enrichment(spark: SparkSession, cars: DataFrame | None = None,
                      topics_root: str | None = None,
                      bootstrap_servers: str | None = None, source: str = RAW_TOPIC,
                      sink: str = ENRICHED_TOPIC, trigger: str | None = None, producer: str = "enrich",
-                     broadcast_max_bytes: int | None = None, **source_options) -> StreamingQuery:
+                     broadcast_max_bytes: int | None = None, dedup_within: str | None = None,
+                     ordered: bool = False, **source_options) -> StreamingQuery:
     """Raw topic -> enriched topic.  A fleet too large to broadcast should be
     passed as ``profiles`` from ``save_profiles`` (bucketed by car id).
+    ``dedup_within``: an event id that is published again within that span is left out.  ``ordered``: records are
+    keyed by car and each micro-batch is sent in order of event time by car.
     ``source_options``: ``SOURCE_OPTIONS``, the last three."""
     raw = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, checkpoint=checkpoint,
                      **source_options)
-    out = enrichment_stage(raw, cars, models, colors, profiles=profiles,
+    out = enrichment_stage(raw, cars, models, colors, profiles=profiles, dedup_within=dedup_within, ordered=ordered,
                            broadcast_max_bytes=broadcast_max_bytes)
     writer = topic_stream_writer(out, sink, checkpoint, producer=producer, root=topics_root,
-                                 bootstrap_servers=bootstrap_servers)
+                                 bootstrap_servers=bootstrap_servers, order_by=SENT_ORDER if ordered else ())
     return with_trigger(writer, trigger).start()
 
 
@@ -110,15 +117,40 @@ def start_refreshed_enrichment(spark: SparkSession, dims_root: str, *, checkpoin
 def start_detection(spark: SparkSession, *, checkpoint: str, topics_root: str | None = None,
                     bootstrap_servers: str | None = None, source: str = ENRICHED_TOPIC,
                     sink: str = ALERT_TOPIC, rules: Sequence[Rule] = DEFAULT_RULES,
-                    trigger: str | None = None, producer: str = "detect",
-                    **source_options) -> StreamingQuery:
+                    trigger: str | None = None, producer: str = "detect", dedup_within: str | None = None,
+                    ordered: bool = False, **source_options) -> StreamingQuery:
+    """Enriched topic -> alert topic; ``dedup_within`` and ``ordered`` as in ``start_enrichment``."""
     records = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, checkpoint=checkpoint,
                          **source_options)
-    writer = topic_stream_writer(detection_stage(records, rules), sink, checkpoint, producer=producer,
-                                 root=topics_root, bootstrap_servers=bootstrap_servers)
+    alerts = detection_stage(records, rules, dedup_within=dedup_within, ordered=ordered)
+    writer = topic_stream_writer(alerts, sink, checkpoint, producer=producer, root=topics_root,
+                                 bootstrap_servers=bootstrap_servers, order_by=SENT_ORDER if ordered else ())
     return with_trigger(writer, trigger).start()
 
 
+def start_quarantine(spark: SparkSession, *, checkpoint: str, topics_root: str, schema: StructType = RAW_EVENT,
+                     source: str = RAW_TOPIC, sink: str = f"{RAW_TOPIC}-checked", bad_sink: str = f"{RAW_TOPIC}-damaged",
+                     trigger: str | None = None, producer: str = "quarantine", **source_options) -> StreamingQuery:
+    """A topic -> its whole records in one topic, its damaged messages as they came in another (``decode_checked``).
+
+    Both are written from one persisted parse of the micro-batch; a batch that runs again leaves what it has published."""
+    for topic in (sink, bad_sink):
+        claim_producer(spark, f"{topic_path(topics_root, topic)}/{producer}", checkpoint)
+    good_out, bad_out = (topic_batch_writer(topic, producer, topics_root) for topic in (sink, bad_sink))
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        parsed = decode_checked(batch, schema, keep=("key", "value")).select("key", "value", "damaged").persist(
+            StorageLevel.MEMORY_AND_DISK)
+        try:
+            bad_out(parsed.where("damaged"), batch_id)
+            good_out(parsed.where("not damaged"), batch_id)
+        finally:
+            parsed.unpersist()
+
+    raw = open_topic(spark, source, topics_root, checkpoint=checkpoint, **source_options)
+    return with_trigger(raw.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint), trigger).start()
+
+
 def counter_frame(spark: SparkSession, *, topics_root: str | None = None,
                   bootstrap_servers: str | None = None, source: str = ALERT_TOPIC,
                   window: str = WINDOW, watermark: str | None = WATERMARK,
@@ -146,10 +178,10 @@ def start_counter(spark: SparkSession, *, checkpoint: str, topics_root: str | No
 
 
 def timed_alerts(spark: SparkSession, *, topics_root: str | None = None, bootstrap_servers: str | None = None,
-                 source: str = ALERT_TOPIC, **source_options) -> DataFrame:
+                 source: str = ALERT_TOPIC, dedup_within: str | None = None, **source_options) -> DataFrame:
     """Alert topic -> alerts with ``event_time_ts``, as a stream."""
     records = open_topic(spark, source, topics_root, bootstrap_servers=bootstrap_servers, **source_options)
-    return decode(records, ENRICHED_EVENT).withColumn("event_time_ts", parse_event_time(F.col("event_time")))
+    return decode_once(records, ENRICHED_EVENT, dedup_within).withColumn("event_time_ts", parse_event_time(F.col("event_time")))
 
 
 def start_partial_counter(spark: SparkSession, *, out_dir: str, checkpoint: str, trigger: str | None = COUNTER_TRIGGER,
