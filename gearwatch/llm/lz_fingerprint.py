@@ -10,7 +10,9 @@ Every document is also compared with its edited text (its last third replaced by
 document in descending order of ids) and with that next document.  The rows are dealt to
 contiguous ranges of ids, about equally many in each, and the first row of a range is sent to the
 range before it as well; so one shuffle of compressed texts brings neighbours together, and a worker
-holds two documents beside its batch.  The parse of the kept two thirds serves both texts.
+holds two documents beside its batch.  The parse of the kept two thirds serves both texts: the dictionary entries of one
+tail are taken back before the other is read.  Symbols and hashes are made block by block, so what a long text
+takes beside itself is one dictionary, which has fewer entries than the text has symbols (an eighth or so in prose).
 
 Defined results: a null text counts as empty (fingerprint "", alike only to another empty one, by 1.0);
 rows without an id come after all others; rows that share an id follow one another in an order that
@@ -21,6 +23,7 @@ other columns are neither read nor returned.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,9 +40,10 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 _STEP = 1 << 21  # more than any code point: a node's number leaves room for the symbol behind it
+_BLOCK = 1 << 18  # symbols that are unpacked or hashed at once
 
 
-def lz_parse(symbols: list[int], phrases: dict[int, int], node: int, at: int, ends: list[int]) -> int:
+def lz_parse(symbols: list[int], phrases: dict[int, int], node: int, at: int, ends: array) -> int:
     """Read ``symbols`` (the text from place ``at`` on), adding phrases to the trie and their ends to ``ends``.
 
     ``phrases`` maps (node, symbol) to the node below; ``node`` is where the unfinished phrase stands.
@@ -109,15 +113,31 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _signature(points: np.ndarray, ends: list[int]) -> np.ndarray:
-    ends = np.array(ends, np.int64)
-    starts = np.concatenate([[0], ends])[: len(ends)].astype(np.int64)
-    return signature(_HASHER(points, starts, ends))
+def _parse(points: np.ndarray, phrases: dict[int, int], node: int, at: int, ends: array) -> int:
+    """``lz_parse`` of ``points`` from place ``at`` on, a block at a time."""
+    for begin in range(at, len(points), _BLOCK):
+        node = lz_parse(points[begin : begin + _BLOCK].tolist(), phrases, node, begin, ends)
+    return node
+
+
+def _signature(points: np.ndarray, ends: array, start: int = 0) -> np.ndarray:
+    """The smallest hashes of the phrases that end at ``ends``, the first of which begins at ``start``."""
+    if not ends:
+        return np.empty(0, np.uint32)
+    ends = np.frombuffer(ends, np.int64)
+    least, done = np.empty(0, np.uint32), 0
+    while done < len(ends):  # whole phrases, as many as a block holds, but one at least
+        upto = max(int(np.searchsorted(ends, start + _BLOCK, side="right")), done + 1)
+        within = ends[done:upto] - start
+        hashes = _HASHER(points[start : start + within[-1]], np.concatenate([[0], within[:-1]]), within)
+        least = signature(np.concatenate([least, hashes]))
+        start, done = int(ends[upto - 1]), upto
+    return least
 
 
 def text_signature(text: str) -> np.ndarray:
-    points, ends = _points(text), []
-    lz_parse(points.tolist(), {}, 0, 0, ends)
+    points, ends = _points(text), array("q")
+    _parse(points, {}, 0, 0, ends)
     return _signature(points, ends)
 
 
@@ -132,12 +152,17 @@ def signatures_with_edit(text: str, following: str) -> tuple[np.ndarray, str, np
     edited, cut = edited_text(text, following), len(text) - len(text) // 3
     own, other = _points(text), _points(edited)
     phrases: dict[int, int] = {}
-    front: list[int] = []
-    node = lz_parse(own[:cut].tolist(), phrases, 0, 0, front)
-    phrases_edited, ends, ends_edited = phrases.copy(), front.copy(), front
-    lz_parse(own[cut:].tolist(), phrases, node, cut, ends)
-    lz_parse(other[cut:].tolist(), phrases_edited, node, cut, ends_edited)
-    return _signature(own, ends), edited, _signature(other, ends_edited)
+    ends = array("q")
+    node = _parse(own[:cut], phrases, 0, 0, ends)
+    shared, known, start = _signature(own, ends), len(phrases), ends[-1] if ends else 0
+    found = []
+    for points in (own, other):
+        ends = array("q")
+        _parse(points, phrases, node, cut, ends)
+        found.append(signature(np.concatenate([shared, _signature(points, ends, start)])))
+        for _ in range(len(phrases) - known if points is own else 0):  # the newest entries go first
+            phrases.popitem()
+    return found[0], edited, found[1]
 
 
 def lz_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

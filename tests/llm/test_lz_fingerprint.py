@@ -6,7 +6,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gearwatch.llm import queries
+from gearwatch.llm import lz_fingerprint, queries
 from gearwatch.llm.lz_fingerprint import likeness, lz_fingerprints, signatures_with_edit, text_signature
 from tests.llm.helpers import ODD_TEXTS, SF, empty_documents, odd_documents, random_texts, texts_by_id
 
@@ -78,3 +78,28 @@ def test_odd_rows(spark):
     assert sole.near_next == 1.0 and sole.fingerprint
     empty = lz_fingerprints(docs.where("doc_id < 2")).collect()
     assert all(r.fingerprint == "" and r.near_edited == r.near_next == 1.0 for r in empty)
+
+
+def test_blocks_change_nothing(monkeypatch):
+    texts = [*random_texts(12, seed=8), "word " * 9_000, "a" * 20_000, "日本語テキスト" * 900]
+    whole = [signatures_with_edit(a, b) for a, b in zip(texts, texts[1:])]
+    for block in (1, 7, 1000):
+        monkeypatch.setattr(lz_fingerprint, "_BLOCK", block)
+        for (a, edited, b), text, following in zip(whole, texts, texts[1:]):
+            own, again, other = signatures_with_edit(text, following)
+            assert again == edited and np.array_equal(own, a) and np.array_equal(other, b)
+
+
+def test_a_very_long_text_takes_little_beside_itself():
+    """The hashes are made in blocks, and only the dictionary grows with the text, in proportion to it."""
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(5000)]
+    text = " ".join(words[i] for i in rng.integers(0, 5000, 700_000))
+    peaks = []
+    for t in (text[: len(text) // 4], text):
+        tracemalloc.start()
+        signatures_with_edit(t, t[::-1])
+        peaks.append(tracemalloc.get_traced_memory()[1] / len(t))
+        tracemalloc.stop()
+    assert peaks[1] < 60 and peaks[1] < 1.3 * peaks[0], peaks  # bytes a character
