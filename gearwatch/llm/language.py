@@ -10,8 +10,9 @@ symbols: these three bounds are for the training sample only.
 
 The stretches are found by a suffix automaton of the sample, laid out as one table
 (state, letter) -> state.  Texts are read in stretches of ``STRETCH`` symbols, all those of a batch in step, one table
-look-up a symbol and language; a new stretch begins a new phrase.  Whole texts are read.  What a
-worker holds is the tables (bounded by ``SAMPLE_CHARS`` letters a language) and a batch.
+look-up a symbol and language, as if each began a phrase; then the phrase that is open at the end of a
+stretch is carried into the next, which is read again up to the place where both readings stand in one state (they stay
+together from there).  So the count is that of the text read in one go.  Whole texts are read.  What a worker holds is the tables (bounded by ``SAMPLE_CHARS`` letters a language) and a batch.
 
 Letters are lower-cased; anything else is a blank, and runs of blanks count once.  The ``ALPHABET`` most frequent letters of
 the samples are a symbol each; every other letter of a sample is spelled by four digits of its code point, so scripts
@@ -100,6 +101,11 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
     return table
 
 
+def _in_parts(symbols: np.ndarray, size: int = 64) -> Iterator[int]:
+    for at in range(0, len(symbols), size):
+        yield from symbols[at : at + size].tolist()
+
+
 class CrossParser:
     """The languages' automata in one table, and the alphabet they share."""
 
@@ -169,8 +175,34 @@ class CrossParser:
         counts = np.zeros((len(self.starts), len(texts)), np.int64)
         for k in range(len(self.starts)):
             counts[k] = np.bincount(owner, begun[k], len(texts))
+        for k in range(len(self.starts)):
+            self._carry(symbols, order, owner, begin, length, state[k], counts[k], int(self.starts[k]))
         return counts
 
+    def _carry(self, symbols: np.ndarray, order: np.ndarray, owner: np.ndarray, begin: np.ndarray, length: np.ndarray,
+               ended: np.ndarray, counts: np.ndarray, start: int) -> None:
+        """Set right the ``counts`` of texts of several stretches: a stretch goes on where the one before ``ended``."""
+        places = np.empty(len(order), np.int64)
+        places[order] = np.arange(len(order))  # the stretches in the order of the texts
+        table, width = self.table.data, self.width
+        later = np.flatnonzero(owner[places][1:] == owner[places][:-1]) + 1
+        carried, before = start, -1
+        for n in later.tolist():
+            place = places[n]
+            if n != before + 1:
+                carried = int(ended[places[n - 1]])
+            fresh, more = start, 0
+            for symbol in _in_parts(symbols[begin[place] : begin[place] + length[place]]):
+                if fresh == carried:
+                    break
+                a, b = table[fresh * width + symbol], table[carried * width + symbol]
+                more += (b & 1) - (a & 1)
+                fresh, carried = a >> 1, b >> 1
+            if fresh == carried:
+                carried = int(ended[place])
+            counts[owner[place]] += more
+            before = n
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         shaped = [normalised(t) for t in texts]
         lettered = np.array([len(s) > 1 for s in shaped], bool)

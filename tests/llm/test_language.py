@@ -26,14 +26,12 @@ def shape(text):
 
 def brute_phrases(text, sample):
     n = 0
-    for at in range(0, len(text), language.STRETCH):
-        piece = text[at:at + language.STRETCH]
-        while piece:
-            size = 1
-            while size < len(piece) and piece[:size + 1] in sample and piece[0] in sample:
-                size += 1
-            piece = piece[size:]
-            n += 1
+    while text:
+        size = 1
+        while size < len(text) and text[:size + 1] in sample and text[0] in sample:
+            size += 1
+        text = text[size:]
+        n += 1
     return n
 
 
@@ -41,7 +39,7 @@ TEXT = st.text(st.sampled_from("abcÀé İß1,.\n"), max_size=60)
 
 
 @settings(max_examples=200, deadline=None)
-@given(texts=st.lists(TEXT, min_size=1, max_size=5), a=TEXT, b=TEXT, stretch=st.sampled_from([3, 4096]))
+@given(texts=st.lists(TEXT, min_size=1, max_size=5), a=TEXT, b=TEXT, stretch=st.sampled_from([1, 2, 3, 7, 4096]))
 def test_phrases_by_substring_search(texts, a, b, stretch):
     kept, language.STRETCH = language.STRETCH, stretch
     try:
@@ -55,6 +53,22 @@ def test_phrases_by_substring_search(texts, a, b, stretch):
         language.STRETCH = kept
 
 
+def test_phrases_go_on_over_stretches():
+    """Long texts of every kind count as many phrases as when they are read in one go."""
+    import random
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 6))) for _ in range(60)]
+    parser = CrossParser({"a": [" ".join(rng.choices(words, k=3000))], "b": ["aaaaa bcbcbcb " + "abcd" * 40], "c": ["z"]})
+    texts = [" ".join(rng.choices(words, k=4000)), "a" * 30_000, "bc" * 9_000 + "a", "abcd" * 6_000, "q" * 9_000, "a", "ab " * 2731]
+    shaped = [normalised(t) for t in texts]
+    found = parser.phrases(shaped)
+    kept, language.STRETCH = language.STRETCH, 1 << 20
+    try:
+        assert (found == parser.phrases(shaped)).all()
+    finally:
+        language.STRETCH = kept
+
+
 @settings(max_examples=100, deadline=None)
 @given(text=st.text("abc", max_size=30), probe=st.text("abc", max_size=8))
 def test_automaton_knows_just_the_substrings(text, probe):
