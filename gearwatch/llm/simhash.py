@@ -7,11 +7,13 @@ of them, so every linked pair shares a key (two blocks and their bits).  Under a
 form a binary trie.  Pairs of trie nodes are walked down together; the bits in which their
 paths differ add up, and a pair over budget is dropped with all below it, as is a pair whose leaves are
 in one component already.  So a key gives a spanning forest, never all pairs.  A key with more
-than ``HOT_KEY`` fingerprints is dealt again, by blocks of the bits that it leaves open.
+than ``HOT_KEY`` fingerprints is dealt again, by blocks of the bits that it leaves open, and so are its sub-keys
+while they hold more than a worker joins at a time.
 
-The forests are merged into components by star contractions (``components``).  What a worker holds is
-the fingerprints of one key at a time, and rows of equal fingerprints meet only as counts and minima;
-the final join spreads each fingerprint over ``SALT`` sub-keys.
+The forests are merged into components by star contractions (``components``).  A node is ordered by its
+smallest id, so a component's root has its name with it and members never meet to find it.  What a worker
+holds is the fingerprints of one key at a time, and rows of equal fingerprints meet only as counts and
+minima; the final join spreads each fingerprint over ``SALT`` sub-keys.
 
 Defined results: a null text, an empty one and one of white space only have fingerprint zero and link like any
 other; repeated rows each get a row; a row without an id links, but never names a component
@@ -79,8 +81,8 @@ def _blocks(width: int, count: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def _deal(rows: DataFrame, bits: str, width: int, budget: int, above: str | None = None) -> DataFrame:
-    """Each row under the keys of its blocks: ``key``, ``rest`` (the other bits, side by side), ``fp``."""
+def _deal(rows: DataFrame, bits: str, width: int, budget: int, name: str, above: str | None = None) -> DataFrame:
+    """Each row under the keys of its blocks: ``key``, ``rest`` (the other bits, side by side) and its ``name``."""
     blocks = _blocks(width, budget + 2)
     dealt = []
     for number, pair in enumerate(combinations(range(len(blocks)), 2)):
@@ -93,7 +95,7 @@ def _deal(rows: DataFrame, bits: str, width: int, budget: int, above: str | None
         inside = joined(pair)
         key = F.xxhash64(F.lit(number), inside, F.col(above)) if above else inside.bitwiseOR(F.lit(number << 48))
         dealt.append(F.struct(key.alias("key"), joined([i for i in range(len(blocks)) if i not in pair]).alias("rest")))
-    return rows.withColumn("d", F.explode(F.array(*dealt))).select("d.key", "d.rest", "fp")
+    return rows.withColumn("d", F.explode(F.array(*dealt))).select("d.key", "d.rest", name)
 
 
 class _Forest:
@@ -189,53 +191,62 @@ def trie_join(keys: np.ndarray, rest: np.ndarray, width: int, budget: int) -> li
 
 def _forests(dealt: DataFrame, width: int, budget: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[pa.RecordBatch] = []
 
-        def edges(rows: np.ndarray) -> pa.RecordBatch:
-            found = trie_join(rows[0], rows[1], width, budget)
+        def edges(rows: pa.RecordBatch) -> pa.RecordBatch:
+            found = trie_join(rows.column(0).to_numpy(), rows.column(1).to_numpy(), width, budget)
             found = np.array(found, np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(rows[2][found[:, 0]]), pa.array(rows[2][found[:, 1]])], ["a", "b"])
+            return pa.RecordBatch.from_arrays([rows.column(2).take(pa.array(found[:, i])) for i in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            held.append(np.stack([batch.column(i).to_numpy() for i in range(3)]))
-            if sum(x.shape[1] for x in held) >= _GROUP_ROWS:
-                rows = np.concatenate(held, axis=1)
-                cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last key may go on
+            held.append(batch)
+            if sum(x.num_rows for x in held) >= _GROUP_ROWS:
+                rows = pa.concat_batches(held)
+                keys = rows.column(0).to_numpy()
+                cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
                 if cut:
-                    yield edges(rows[:, :cut])
-                held = [rows[:, cut:]]
+                    yield edges(rows.slice(0, cut))
+                held = [rows.slice(cut)]
         if held:
-            yield edges(np.concatenate(held, axis=1))
+            yield edges(pa.concat_batches(held))
 
-    return map_batches(dealt.repartition("key").sortWithinPartitions("key", "rest"), run, "a bigint, b bigint")
+    node = dealt.schema[2].dataType.simpleString()
+    return map_batches(dealt.repartition("key").sortWithinPartitions("key", "rest"), run, f"a {node}, b {node}")
 
 
-def links(nodes: DataFrame, budget: int = BUDGET, hot_key: int = HOT_KEY) -> DataFrame:
-    """Edges (``a``, ``b``) that connect just the fingerprints ``nodes.fp`` (distinct) within ``budget`` bits."""
-    blocks = budget + 2
-    dealt = _deal(nodes, "fp", 64, budget)
+def _joined(dealt: DataFrame, width: int, budget: int, hot_key: int, name: str) -> DataFrame:
+    """Edges of the rows under their keys, which leave at most ``width`` bits open."""
     sizes = dealt.groupBy("key").count().where(F.col("count") > hot_key).select("key", F.lit(True).alias("hot"))
-    sizes = checkpointed(sizes)
-    if sizes.isEmpty():
-        return _forests(dealt, 64 - 64 // blocks * 2, budget)
+    if width < budget + 2 or (sizes := checkpointed(sizes)).isEmpty():
+        return _forests(dealt, width, budget)
     marked = dealt.join(sizes, "key", "left")
-    open_bits = 64 - 64 // blocks * 2  # of the key with the narrowest blocks
     again = _deal(marked.where("hot").withColumnRenamed("key", "over").withColumnRenamed("rest", "bits"),
-                  "bits", open_bits, budget, above="over")
-    again_bits = open_bits - open_bits // blocks * 2
-    return _forests(marked.where("hot is null").select("key", "rest", "fp"), open_bits, budget).unionByName(
-        _forests(again, again_bits, budget))
+                  "bits", width, budget, name, above="over")
+    return _forests(marked.where("hot is null").select("key", "rest", name), width, budget).unionByName(
+        _joined(again, _left_open(width, budget), budget, max(hot_key, _GROUP_ROWS), name))
+
+
+def _left_open(width: int, budget: int) -> int:
+    """Bits that the narrowest two blocks of ``width`` bits leave."""
+    return width - width // (budget + 2) * 2
+
+
+def links(nodes: DataFrame, budget: int = BUDGET, hot_key: int = HOT_KEY, name: str = "fp") -> DataFrame:
+    """Edges (``a``, ``b``) that connect just the fingerprints ``nodes.fp`` (distinct) within ``budget`` bits.
+
+    Their ends are values of the column ``name``.
+    """
+    return _joined(_deal(nodes, "fp", 64, budget, name), _left_open(64, budget), budget, hot_key, name)
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        budget: int = BUDGET, hot_key: int = HOT_KEY) -> DataFrame:
     """id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id that links reach."""
     rows = checkpointed(fingerprints(docs, id_col, text_col, shingle))
-    nodes = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    groups = components(links(nodes.select("fp"), budget, hot_key)).withColumnRenamed("node", "fp")
-    named = nodes.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("fp", "component_id")
+    named_by = F.struct(F.col("least").isNull().alias("nameless"), "least", "fp").alias("node")  # nameless ones come last
+    nodes = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("least")).select("fp", named_by))
+    groups = components(links(nodes, budget, hot_key, "node")).select("node.fp", "component")
+    named = nodes.join(groups, "fp", "left").select("fp", F.coalesce("component", "node")["least"].alias("component_id"))
     salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     out = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int")).join(salted, ["fp", "salt"])
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from gearwatch.llm import components as components_module
 from gearwatch.llm import queries, simhash
 from gearwatch.llm.components import components
 from gearwatch.llm.simhash import fingerprint, links, simhash_components, trie_join
@@ -86,6 +87,12 @@ def test_near_copies_and_odd_rows(spark, hot_key):
     check(simhash_components(docs, hot_key=hot_key), docs)
 
 
+def test_hot_keys_are_dealt_until_they_are_small(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "_GROUP_ROWS", 25)
+    docs = odd_documents(spark, near_copies(60, 3))
+    check(simhash_components(docs, hot_key=10), docs)
+
+
 def test_empty(spark):
     assert simhash_components(empty_documents(spark)).count() == 0
 
@@ -129,3 +136,22 @@ def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, 400), (400, 450), (7, 7)]
     rows = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {r.node: r.component for r in rows} == {**dict.fromkeys(range(201), 0), 400: 400, 450: 400, 500: 400}
+
+
+def test_components_around_hubs(spark, monkeypatch):
+    """Hubs beyond the bound, a component without a hub, and nodes that are structs."""
+    monkeypatch.setattr(components_module, "HUB_LINKS", 20)
+    hub = [(7, i) for i in range(1000, 1400)] + [(9, i) for i in range(2000, 2300)] + [(1399, 2000)] + [(1, 3)]
+    rows = components(spark.createDataFrame(hub, "a bigint, b bigint")).collect()
+    want = {x: 7 for edge in hub for x in edge} | {1: 1, 3: 1}
+    assert {r.node: r.component for r in rows} == want and len(rows) == len(want)
+    pairs = spark.createDataFrame(hub, "x bigint, y bigint").selectExpr("struct(null as k, x as v) a", "struct(null as k, y as v) b")
+    assert {r.node.v: r.component.v for r in components(pairs).collect()} == want
+
+
+def test_a_component_of_a_million_nodes(spark):
+    """One hub with 10^6 links, given in both directions and twice over."""
+    links_of_hub = spark.range(1, 1_000_001).selectExpr("id a", "0L b")
+    edges = links_of_hub.union(links_of_hub.selectExpr("b a", "a b"))
+    row = components(edges).selectExpr("count(*) n", "count(distinct node) d", "max(component) c").first()
+    assert (row.n, row.d, row.c) == (1_000_001, 1_000_001, 0)
