@@ -6,14 +6,17 @@ segmentations into pieces, and its probability is the sum over them, by the forw
 space.  Pieces do not span words, so a text's probability is the product over its words and the end.
 A character that is no piece is spelled by its UTF-8 byte pieces.
 
-The pieces' weights start from the vocabulary's own scores (its ranks, as a Zipf law) and are fitted to
-the training documents by ``ROUNDS`` rounds of expectation maximisation: each distinct training word,
-weighted by its count, gives its pieces' expected counts (forward and backward over the same
-lattice).  The base score is an add-one unigram model over whole words.
+The pieces' weights are the vocabulary's own scores (its ranks, as a Zipf law), brought up to date by the
+training documents in ``ROUNDS`` rounds of expectation maximisation: each distinct training word, weighted by
+its count, gives its pieces' expected counts (forward and backward over the same lattice).  In every round
+the vocabulary's scores are the prior of these counts: they stand for ``PRIOR`` further pieces for each
+piece expected, and for one if there is nothing to learn from, at any size of the corpus.  The base score is an
+add-one unigram model over whole words.
 
 How it runs: words are counted by one shuffle into a table that grows with the corpus.  The most
-frequent words, at most ``HOT_WORDS`` of at most ``HOT_BYTES`` bytes, are broadcast with their scores; the
-other words of a document, few, are joined to the table by word, and added up by document.  Rows of one
+frequent words of all documents, held-out ones too, at most ``HOT_WORDS``, are broadcast with their scores (words of
+more than ``HOT_BYTES`` bytes by their SHA-256, so the table is bounded); the other words of a document, few and
+none of them frequent, are joined to the table by word, and added up by document.  Rows of one
 document only meet as partial sums.  Lattices are evaluated once for each distinct word, many in step.
 
 Defined results: a null text counts as empty (one token, the end); every input row gives one row; a
@@ -23,6 +26,7 @@ table gives an empty result; other columns are neither read nor returned.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -39,7 +43,8 @@ HOT_WORDS = 300_000
 HOT_BYTES = 64
 ROUNDS = 2
 MARK = "▁"
-_PSEUDO = 0.1  # added to each piece's expected count
+PRIOR = 0.1  # weight of the vocabulary's scores, in expected pieces
+_PSEUDO = 0.1  # added to the count of ends
 _BATCH_CHARS = 1 << 18
 _LONG = 512  # longer words are taken one by one
 _FLUSH = 200_000  # distinct words that a worker counts before it passes them on
@@ -237,36 +242,41 @@ def _lattices(pieces: Pieces, words: list[bytes]) -> Iterator[tuple[slice, Latti
 
 
 def word_table(docs: DataFrame, training: Column, text_col: str) -> DataFrame:
-    """``word`` (bytes) of all documents and ``c``, its count in the training ones."""
+    """``word`` (bytes) of all documents, ``c``, its count in the training ones, and ``n``, that in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        trained: Counter[bytes] = Counter()
+        others: Counter[bytes] = Counter()
         for flags, texts in text_chunks(batches, 1 << 20):
-            trained: list[bytes] = []
-            for flag, text in zip(flags.to_pylist(), texts):
-                if flag:
-                    trained += words_of(text)
-                else:
-                    for word in words_of(text):
-                        counts.setdefault(word, 0)
-            counts.update(trained)
-            if len(counts) >= _FLUSH:
-                yield _counted(counts)
-                counts = Counter()
-        if counts:
-            yield _counted(counts)
+            for counts, wanted in ((trained, True), (others, False)):
+                found: list[bytes] = []
+                for flag, text in zip(flags.to_pylist(), texts):
+                    if flag == wanted:
+                        found += words_of(text)
+                counts.update(found)
+            if len(trained) + len(others) >= _FLUSH:
+                yield _counted(trained, others)
+                trained, others = Counter(), Counter()
+        if trained or others:
+            yield _counted(trained, others)
 
     flagged = docs.select(F.coalesce(training, F.lit(False)), F.col(text_col))
-    return map_batches(flagged, run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    counted = map_batches(flagged, run, "word binary, c bigint, n bigint")
+    return counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())],
-                                      ["word", "c"])
+def _counted(trained: Counter, others: Counter) -> pa.RecordBatch:
+    words = [*trained, *(w for w in others if w not in trained)]
+    c = list(map(trained.__getitem__, words))  # a counter has 0 for what it has not
+    n = [x + y for x, y in zip(c, map(others.__getitem__, words))]
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c, pa.int64()), pa.array(n, pa.int64())],
+                                      ["word", "c", "n"])
 
 
-def fit_pieces(words: DataFrame, documents: int, model_path: str, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """(natural log weight of each piece, that of the end) fitted to ``words`` with their counts ``c``."""
+def fit_pieces(words: DataFrame, documents: int, model_path: str, rounds: int = ROUNDS,
+               prior: float = PRIOR) -> tuple[np.ndarray, float]:
+    """(natural log weight of each piece, that of the end) of the vocabulary's scores, as a prior of the strength
+    ``prior``, and ``words`` with their counts ``c``."""
     spark, pieces = words.sparkSession, vocabulary(model_path)
     logp, end = pieces.initial, math.log(0.01)
     for _ in range(rounds):
@@ -283,9 +293,10 @@ def fit_pieces(words: DataFrame, documents: int, model_path: str, rounds: int =
                 yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["piece", "n"])
 
         expected = map_batches(words.where("c > 0"), expect, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
-        n = np.full(len(pieces.pieces), _PSEUDO)
+        n = np.zeros(len(pieces.pieces))
         for row in expected.collect():  # at most the vocabulary
             n[row.piece] += row.n
+        n += (prior * n.sum() + 1) * np.exp(pieces.initial)
         total = n.sum() + documents + _PSEUDO
         logp, end = np.log(n / total), math.log((documents + _PSEUDO) / total)
         shared.unpersist()
@@ -312,10 +323,9 @@ def _frequency_class(c: Column) -> Column:
     return F.floor(F.log(c.cast("double")) / math.log(1.05))
 
 
-def _hot_class(words: DataFrame, most: int, most_bytes: int) -> int:
+def _hot_class(words: DataFrame, most: int) -> int:
     """The least frequency class from which on there are at most ``most`` words."""
-    short = words.where((F.col("c") > 0) & (F.length("word") <= most_bytes))
-    classes = short.groupBy(_frequency_class(F.col("c")).alias("k")).count().orderBy(F.desc("k")).collect()
+    classes = words.groupBy(_frequency_class(F.col("n")).alias("k")).count().orderBy(F.desc("k")).collect()
     total, last = 0, (classes[0].k if classes else 0) + 1
     for row in classes:
         total += row["count"]
@@ -342,15 +352,18 @@ def lattice_scores(docs: DataFrame, training: Column, held_out: Column, model_pa
     logp, end = fit_pieces(words, documents, model_path)
     floor = math.log10(total + distinct + 1)
 
-    hot_class = _hot_class(words, hot_words, HOT_BYTES)
-    is_hot = (F.col("c") > 0) & (F.length("word") <= HOT_BYTES) & (_frequency_class(F.col("c")) >= hot_class)
-    hot = _scored(words.where(is_hot), logp, model_path).toArrow()  # at most ``hot_words`` short words
+    is_hot = _frequency_class(F.col("n")) >= _hot_class(words, hot_words)
+    short = F.when(F.length("word") <= HOT_BYTES, F.col("word")).otherwise(
+        F.concat(F.lit(b" "), F.unhex(F.sha2("word", 256))))  # no word has a blank
+    hot = _scored(words.where(is_hot), logp, model_path).select(short.alias("word"), "c", "lattice")
+    hot = hot.toArrow()  # at most ``hot_words`` of at most ``HOT_BYTES`` bytes
     counts = hot["c"].to_numpy()
-    table = spark.sparkContext.broadcast((hot["word"].to_pylist(), np.log10(counts + 1.0) - floor, hot["lattice"].to_numpy()))
+    table = spark.sparkContext.broadcast((hot["word"].to_pylist(), counts > 0, np.log10(counts + 1.0) - floor,
+                                          hot["lattice"].to_numpy()))
     ending = (int(documents > 0), math.log10(documents + 1) - floor, end / math.log(10))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, base, lattice = table.value
+        names, trained, base, lattice = table.value
         number = dict(zip(names, range(len(names)))).get
         for ids, texts in text_chunks(batches, 1 << 20):
             rows = []
@@ -358,9 +371,15 @@ def lattice_scores(docs: DataFrame, training: Column, held_out: Column, model_pa
                 found = words_of(text)
                 tie = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
                 places = list(map(number, found))
-                rare = Counter(w for w, p in zip(found, places) if p is None) if None in places else {}
-                places = np.array([p for p in places if p is not None] if rare else places, np.int64)
-                rows.append((b" %d %d" % (i or 0, tie), i, tie, 1, 1, len(found) + 1, len(places) + ending[0],
+                rare: dict[bytes, int] = {}
+                if None in places:
+                    rare = Counter(w for w, p in zip(found, places) if p is None)
+                    places = [p for p in places if p is not None]
+                    for word in [w for w in rare if len(w) > HOT_BYTES]:
+                        if (place := number(b" " + hashlib.sha256(word).digest())) is not None:
+                            places += [place] * rare.pop(word)
+                places = np.array(places, np.int64)
+                rows.append((b" %d %d" % (i or 0, tie), i, tie, 1, 1, len(found) + 1, int(trained[places].sum()) + ending[0],
                              float(base[places].sum()) + ending[1], float(lattice[places].sum()) + ending[2]))
                 rows += [(word, i, tie, times, None, None, None, None, None) for word, times in rare.items()]
             columns = zip(zip(*rows), (pa.binary(), *[pa.int64()] * 6, pa.float64(), pa.float64()))

@@ -127,6 +127,46 @@ def test_rare_and_hot_words_agree(spark, hot):
 _SEEN = []
 
 
+def test_long_and_held_out_words_in_every_row(spark):
+    """Frequent words are looked up whatever their length and wherever they occur; only the others are joined."""
+    long, unseen = "é" * 100, "held" * 40
+    texts = [f"{long} a{i % 7} {long}" + (f" {unseen} {unseen}" if zlib.crc32(str(i).encode()) % 7 == 2 else "") for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    crc = F.crc32(F.col("doc_id").cast("string")) % 7
+    scores = []
+    for hot in (0, 3, 300_000):
+        found = check(lattice_scores(docs, crc != 2, crc == 2, MODEL, hot_words=hot), docs)
+        scores.append({i: r.score for i, r in found.items()})
+    assert scores[0] == pytest.approx(scores[1], rel=1e-9) and scores[0] == pytest.approx(scores[2], rel=1e-9)
+    counted = {bytes(r.word).decode(): (r.c, r.n) for r in word_table(docs, crc != 2, "text").collect()}
+    assert counted[unseen] == (0, sum(t.count(unseen) for t in texts)) and counted[long][1] == 400
+
+
+def test_vocabulary_and_training_both_move_the_weights(spark):
+    pieces = vocabulary(MODEL)
+    the, other = pieces.pieces.index("▁the"), pieces.pieces.index("▁world")
+
+    def fitted(c, **options):
+        words = spark.createDataFrame([(b"the", c, c), (b"world", 10, 10)], "word binary, c bigint, n bigint")
+        logp, end = fit_pieces(words, 5, MODEL, **options)
+        assert np.exp(logp).sum() + math.exp(end) == pytest.approx(1) and np.isfinite(logp).all()
+        return logp
+
+    assert fitted(1000)[the] > fitted(10)[the]  # more of it in the training documents
+    weak, strong = fitted(1000, prior=0.01), fitted(1000, prior=10.0)
+    unseen = np.ones(len(weak), bool)
+    unseen[[the, other]] = False
+    assert weak[the] > strong[the] and strong[unseen].mean() > weak[unseen].mean()
+    # the prior keeps its share at any size, and what is not trained on keeps the vocabulary's order
+    large = fitted(10_000_000, prior=0.1)
+    rest = np.setdiff1d(np.flatnonzero(unseen), [n for _, ns in pieces.lattice(["▁the", "▁world"]).edges for n in ns])
+    assert (np.exp(large[rest]).sum() / np.exp(pieces.initial[rest]).sum()) == pytest.approx(0.1 / 1.1, rel=0.01)
+    assert np.allclose(np.diff(large[rest]), np.diff(pieces.initial[rest]))
+    # nothing to learn from: the vocabulary's own scores
+    nothing = fit_pieces(spark.createDataFrame([], "word binary, c bigint, n bigint"), 0, MODEL)[0]
+    assert np.allclose(nothing - pieces.initial, (nothing - pieces.initial)[0])
+
+
 def test_empty_tables(spark):
     docs = empty_documents(spark)
     assert lattice_scores(docs, F.lit(True), F.lit(False), MODEL).count() == 0
