@@ -30,6 +30,7 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -245,32 +246,31 @@ def word_table(docs: DataFrame, training: Column, text_col: str) -> DataFrame:
     """``word`` (bytes) of all documents, ``c``, its count in the training ones, and ``n``, that in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trained: Counter[bytes] = Counter()
-        others: Counter[bytes] = Counter()
+        counts: Counter[bytes] = Counter()
+        untrained: Counter[bytes] = Counter()
         for flags, texts in text_chunks(batches, 1 << 20):
-            for counts, wanted in ((trained, True), (others, False)):
-                found: list[bytes] = []
-                for flag, text in zip(flags.to_pylist(), texts):
-                    if flag == wanted:
-                        found += words_of(text)
-                counts.update(found)
-            if len(trained) + len(others) >= _FLUSH:
-                yield _counted(trained, others)
-                trained, others = Counter(), Counter()
-        if trained or others:
-            yield _counted(trained, others)
+            found: list[bytes] = []
+            for flag, text in zip(flags.to_pylist(), texts):
+                words = words_of(text)
+                found += words
+                if not flag:
+                    untrained.update(words)
+            counts.update(found)
+            if len(counts) >= _FLUSH:
+                yield _counted(counts, untrained)
+                counts, untrained = Counter(), Counter()
+        if counts:
+            yield _counted(counts, untrained)
 
     flagged = docs.select(F.coalesce(training, F.lit(False)), F.col(text_col))
     counted = map_batches(flagged, run, "word binary, c bigint, n bigint")
     return counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
-def _counted(trained: Counter, others: Counter) -> pa.RecordBatch:
-    words = [*trained, *(w for w in others if w not in trained)]
-    c = list(map(trained.__getitem__, words))  # a counter has 0 for what it has not
-    n = [x + y for x, y in zip(c, map(others.__getitem__, words))]
-    return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c, pa.int64()), pa.array(n, pa.int64())],
-                                      ["word", "c", "n"])
+def _counted(counts: Counter, untrained: Counter) -> pa.RecordBatch:
+    n = np.fromiter(counts.values(), np.int64, len(counts))
+    c = n - np.fromiter(map(untrained.get, counts, repeat(0)), np.int64, len(counts))
+    return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(c), pa.array(n)], ["word", "c", "n"])
 
 
 def fit_pieces(words: DataFrame, documents: int, model_path: str, rounds: int = ROUNDS,
