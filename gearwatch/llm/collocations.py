@@ -91,21 +91,21 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def stretches(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> Iterator[Words]:
-    """Words of texts (``data`` from each of ``offsets`` to the next, with a code each), step by step.
+def stretches(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray, step: int | None = None) -> Iterator[Words]:
+    """Words of texts (``data`` from each of ``offsets`` to the next, with a code each), in steps of ``step`` bytes.
 
     A text longer than a step is cut behind the last break of the step; without one, at a blank, and the next
     stretch begins ``ORDER - 1`` words earlier: those begin no window in the one before.
     """
-    row, rows = 0, len(codes)
+    row, rows, step = 0, len(codes), step or _STEP
     while row < rows:
-        last = max(int(np.searchsorted(offsets, offsets[row] + _STEP, "right")) - 1, row + 1)
-        if last > row + 1 or offsets[last] - offsets[row] <= _STEP:
+        last = max(int(np.searchsorted(offsets, offsets[row] + step, "right")) - 1, row + 1)
+        if last > row + 1 or offsets[last] - offsets[row] <= step:
             yield Words(data[offsets[row] : offsets[last]], offsets[row + 1 : last + 1] - offsets[row], codes[row:last])
         else:
             at, end = int(offsets[row]), int(offsets[last])
             while at < end:
-                cut, heads = _cut(data, at, end)
+                cut, heads = _cut(data, at, end, step)
                 yield (found := Words(data[at:cut], np.array([cut - at]), codes[row:last], heads))
                 at = cut if found.heads == len(found.ids) else at + int(found.starts[found.heads])
         row = last
@@ -119,19 +119,19 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[
             yield found, coded.dictionary.to_pylist()
 
 
-def _cut(data: np.ndarray, at: int, end: int) -> tuple[int, int | None]:
+def _cut(data: np.ndarray, at: int, end: int, step: int) -> tuple[int, int | None]:
     """(where a stretch from ``at`` ends, how many of its last words begin no window)."""
-    if end - at <= _STEP:
+    if end - at <= step:
         return end, None
-    kind = _KIND[data[at : at + _STEP]]
+    kind = _KIND[data[at : at + step]]
     breaks = np.flatnonzero(kind == _BREAK)
     if len(breaks):
         return at + int(breaks[-1]) + 1, None
     blanks = np.flatnonzero(kind)
     if len(blanks) and np.count_nonzero(np.diff(blanks) > 1) > 2 * ORDER:
         return at + int(blanks[-1]), ORDER - 1
-    for far in range(at + _STEP, end, _STEP):  # hardly any blanks: one piece more at a time
-        kind = np.concatenate([kind, _KIND[data[far : far + _STEP]]])
+    for far in range(at + step, end, step):  # hardly any blanks: one piece more at a time
+        kind = np.concatenate([kind, _KIND[data[far : far + step]]])
         breaks, blanks = np.flatnonzero(kind == _BREAK), np.flatnonzero(kind)
         if len(breaks):
             return at + int(breaks[-1]) + 1, None

@@ -35,6 +35,7 @@ WIDTH = 8  # numbers a vector
 SAMPLE = (9000, 3000)  # rows to learn from, of label 0 and of label 1
 STEPS, EPOCHS = 2000, (8, 30)  # as many passes over the sample as make these steps, within these bounds
 RATE, SCALE, BATCH = 0.5, 10.0, 64
+_STEP = 1 << 20  # bytes of text whose n-grams are taken together: some 100 bytes each in a worker
 DAMPING = 0.01  # slope squares that every vector starts with: n-grams of a few texts only learn slowly
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -66,12 +67,18 @@ def _word_bags(found: Words, grams: tuple[int, int], bits: int) -> tuple[np.ndar
     return buckets, owner, 1 / np.bincount(owner, minlength=len(found.vocabulary))[owner]
 
 
+def _worth(found: Words, evidence: np.ndarray, grams: tuple[int, int], bits: int) -> np.ndarray:
+    """Each word of a stretch's vocabulary: the mean evidence of its n-grams."""
+    buckets, owner, share = _word_bags(found, grams, bits)
+    return np.bincount(owner, evidence[buckets] * share, len(found.vocabulary))
+
+
 def _averaged_bags(rows: DataFrame, grams: tuple[int, int], bits: int) -> DataFrame:
     """``label``, ``drawn`` and the averaged bag (``buckets``, ``shares``) of (label, drawn, text) rows."""
 
     def bag(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         words, total, parts = 0, np.zeros(0), []
-        for found in stretches(data, np.array([0, len(data)]), np.zeros(1, np.int64)):
+        for found in stretches(data, np.array([0, len(data)]), np.zeros(1, np.int64), _STEP):
             counts = np.bincount(found.ids[: found.heads], minlength=len(found.vocabulary))
             buckets, owner, share = _word_bags(found, grams, bits)
             parts.append((buckets, share * counts[owner]))
@@ -104,25 +111,25 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: i
           rate: float = RATE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(vectors, softmax weights, softmax bias) fitted to averaged bags, the same for the same bags in the same order.
 
-    Empties the list ``bags``, so that it is not held twice."""
+    Beside the bags it holds one batch: what a batch needs is made again each time."""
     rng = np.random.default_rng(12)
     order = rng.permutation(len(bags))
     vectors = np.zeros((1 << bits, width), np.float32)  # an n-gram never seen says nothing
     weights, bias = (rng.normal(size=(width, 2)) * 0.3).astype(np.float32), np.zeros(2, np.float32)
     seen, seen_weights, seen_bias = np.full(1 << bits, DAMPING, np.float32), np.full((width, 2), 1e-8), np.full(2, 1e-8)
-    batches = []
-    for at in range(0, len(order), BATCH):
-        part = [bags[i] for i in order[at : at + BATCH]]
-        used, place = np.unique(np.concatenate([b for b, _ in part]), return_inverse=True)
-        rows = np.repeat(np.arange(len(part), dtype=np.int16), [len(b) for b, _ in part])
-        batches.append((used, place.astype(np.int32), rows, labels[order[at : at + BATCH]], [s for _, s in part]))
-        for i in order[at : at + BATCH]:
-            bags[i] = None  # its buckets are in the batch now
+    places = np.zeros(1 << bits, np.int32)
+    batches = [order[at : at + BATCH] for at in range(0, len(order), BATCH)]
     for _ in range(min(max(STEPS // max(len(batches), 1), EPOCHS[0]), EPOCHS[1])):
         for k in rng.permutation(len(batches)):
-            used, place, rows, truth, shares = batches[k]
+            part, truth = [bags[i] for i in batches[k]], labels[batches[k]]
+            buckets = np.concatenate([b for b, _ in part])
+            places[buckets] = -1
+            used = np.flatnonzero(places)
+            places[used] = np.arange(len(used))
+            place, rows = places[buckets], np.repeat(np.arange(len(part)), [len(b) for b, _ in part])
+            places[used] = 0
             bag = np.zeros((len(truth), len(used)), np.float32)
-            bag[rows, place] = np.concatenate(shares) * SCALE
+            bag[rows, place] = np.concatenate([s for _, s in part]) * SCALE
             rows_of = vectors[used]
             means = bag @ rows_of
             scores = means @ weights + bias
@@ -165,8 +172,8 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, training: Column, id_col:
         truth, held = [], []
         for batch in batches:
             truth += batch.column(0).to_pylist()
-            held += [(np.frombuffer(b.as_buffer(), np.int32).copy(), np.frombuffer(s.as_buffer(), np.float32).copy())
-                     for b, s in zip(batch.column(2), batch.column(3))]
+            held += [(np.frombuffer(b.as_buffer(), np.int32), np.frombuffer(s.as_buffer(), np.float32))
+                     for b, s in zip(batch.column(2), batch.column(3))]  # where they came: no copies
         if held:
             vectors, weights, bias = train(held, np.array(truth), bits)
             yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.float32).tobytes()]) for x in (vectors, weights, bias)],
@@ -191,11 +198,10 @@ def toxicity_scores(docs: DataFrame, model: dict, id_col: str = "doc_id", text_c
         for batch in batches:
             rows = batch.num_rows
             total, words = np.zeros(rows), np.zeros(rows, np.int64)
-            for found in stretches(*byte_column(batch.column(1)), np.arange(rows)):
+            for found in stretches(*byte_column(batch.column(1)), np.arange(rows), _STEP):
                 if not len(found.ids):
                     continue
-                buckets, owner, share = _word_bags(found, grams, bits)
-                worth = np.bincount(owner, evidence[buckets] * share, len(found.vocabulary))
+                worth = _worth(found, evidence, grams, bits)
                 code = found.code[: found.heads]
                 total += np.bincount(code, worth[found.ids[: found.heads]], rows)
                 words += np.bincount(code, minlength=rows)

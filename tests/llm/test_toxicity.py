@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -83,6 +84,34 @@ def test_long_texts_step_by_step(spark, monkeypatch):
     assert np.allclose(*scored)
 
 
+def peak_mb(task):
+    tracemalloc.start()
+    try:
+        task()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_scoring_holds_a_step_of_a_batch(spark, monkeypatch):
+    """A batch of 12 MB, hardly a word twice."""
+    runs = []
+    monkeypatch.setattr(toxicity, "map_batches", lambda source, run, schema: runs.append(run) or source)
+    toxicity_scores(spark.createDataFrame([], DOCS), {"evidence": np.ones(1 << 18, np.float32), "bias": 0.0})
+    texts = [" ".join(f"{i * 200 + k:08d}" for k in range(200)) for i in range(6500)]
+    batch = toxicity.pa.RecordBatch.from_arrays([toxicity.pa.array(range(6500)), toxicity.pa.array(texts)], ["id", "text"])
+    found = []
+    assert peak_mb(lambda: found.extend(runs[0](iter([batch])))) < 250
+    assert [b.num_rows for b in found] == [6500]
+
+
+def test_training_holds_the_bags_once():
+    rng = np.random.default_rng(4)
+    bags = [(np.sort(rng.permutation(4096)[:3000]).astype(np.int32), np.full(3000, 1 / 3000, np.float32)) for _ in range(960)]
+    size = sum(b.nbytes + s.nbytes for b, s in bags) / 1e6
+    assert peak_mb(lambda: train(bags, np.arange(960) % 2, bits=12)) < size / 2
+
+
 def test_unseen_misspellings_and_inflections(spark):
     rows = prose(600)
     docs = spark.createDataFrame([r[:2] for r in rows], DOCS)
