@@ -43,6 +43,9 @@ PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.retries": "3", "kafka.linger.ms"
 
 BATCH_PRODUCER = "batch"
 
+# A file is read by at most as many tasks as it has row groups: few writing tasks do not mean few reading ones.
+ROW_GROUP_BYTES = 8 << 20
+
 
 def kafka_source_options(bootstrap_servers: str, topic: str,
                          starting_offsets: str = "earliest") -> dict[str, str]:
@@ -108,6 +111,13 @@ def read_topic(
     return records.where(_behind(batch, start_position(spark, path, checkpoint))).select(*records.columns)
 
 
+def _from_end(path: Column, first: int, n: int = 1) -> Column:
+    """``n`` parts of a file's path, from the ``first`` from its end on.
+
+    Found from the end, for every record: a pattern that ends there would be tried from each character of the path."""
+    return F.substring_index(F.substring_index(path, "/", -first), "/", n)
+
+
 def start_position(spark: SparkSession, path: str, checkpoint: str | None) -> dict[str, list[str]]:
     """Per producer, what was published when a reader first started: a stream's last batch, all of the batch writes.
 
@@ -138,7 +148,7 @@ def _publish(records: DataFrame, root: str, topic: str, batch: str) -> None:
     """Write ``records`` as the topic's folder ``batch`` (producer/name): all of it appears at once."""
     spark, path = records.sparkSession, topic_path(root, topic)
     staged = f"{path}/_staging/{batch}"  # readers pass over names that begin with _; a batch that failed is overwritten
-    records.write.mode("overwrite").parquet(staged)
+    records.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(staged)
     rename_folder(spark, staged, f"{path}/{batch}")
 
 
@@ -247,7 +257,7 @@ def record_positions(spark: SparkSession, topic: str, root: str) -> DataFrame:
 
     The batches of one stream and the files of a batch are numbered, so their names are in order."""
     path = F.col("_metadata.file_path")
-    where = [F.regexp_extract(path, r"([^/]+)/([^/]+)/([^/]+)$", i).alias(name) for i, name in enumerate(("producer", "batch", "file"), 1)]
+    where = [_from_end(path, 3 - i).alias(name) for i, name in enumerate(("producer", "batch", "file"))]
     records = read_topic(spark, topic, root=root, streaming=False)
     return records.select(*records.columns, *where, F.col("_metadata.row_index").alias("row"))
 

@@ -2,12 +2,13 @@
 
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from gearwatch.schemas import TOPIC_RECORD
 from gearwatch.sources import topics
-from gearwatch.sources.topics import read_topic, start_position, topic_path, topic_stream_writer, write_topic
+from gearwatch.sources.topics import read_topic, record_positions, start_position, topic_path, topic_stream_writer, write_topic
 from gearwatch.streaming.runner import await_or_stop, with_trigger
 
 
@@ -132,3 +133,18 @@ def test_streams_cannot_take_names_that_are_passed_over(spark, scratch):
     for name in ("batch", "_x", ".x", ""):
         with pytest.raises(ValueError):
             topic_stream_writer(inbox(spark, scratch, 0, 1), "t", os.path.join(scratch, "ck"), producer=name, root=scratch)
+
+
+def test_records_that_one_task_wrote_are_read_by_several(spark, scratch):
+    """A file of 300,000 records has row groups enough for the readers, and positions say where each record lies."""
+    value = F.concat(F.sha2(F.col("id").cast("string"), 512), F.col("id").cast("string"))
+    write_topic(spark.range(0, 300_000, 1, 1).select(value.alias("value")), "t", root=scratch)
+    (batch,) = os.listdir(os.path.join(scratch, "t", "batch"))
+    (file,) = (x for x in os.listdir(os.path.join(scratch, "t", "batch", batch)) if x.endswith(".parquet"))
+    assert pq.ParquetFile(os.path.join(scratch, "t", "batch", batch, file)).num_row_groups >= 3
+    found = record_positions(spark, "t", scratch)
+    assert "regexp" not in found._jdf.queryExecution().toString()  # tried from every character of each record's path
+    parts = found.withColumn("task", F.spark_partition_id()).groupBy("producer", "batch", "file").agg(
+        F.countDistinct("task").alias("tasks"), F.count_if(F.expr("substr(CAST(value AS STRING), 129) = row")).alias("n")).collect()
+    assert [(r.producer, r.batch, r.file, r.n) for r in parts] == [("batch", batch, file, 300_000)]
+    assert parts[0].tasks >= 3
