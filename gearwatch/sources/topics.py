@@ -107,7 +107,7 @@ def read_topic(
     records = reader.parquet(path)
     if starting_offsets == "earliest":
         return records
-    batch = F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+)/[^/]+$", 1)
+    batch = _from_end(F.col("_metadata.file_path"), 3, 2)
     return records.where(_behind(batch, start_position(spark, path, checkpoint))).select(*records.columns)
 
 

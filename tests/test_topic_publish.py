@@ -148,3 +148,10 @@ def test_records_that_one_task_wrote_are_read_by_several(spark, scratch):
         F.countDistinct("task").alias("tasks"), F.count_if(F.expr("substr(CAST(value AS STRING), 129) = row")).alias("n")).collect()
     assert [(r.producer, r.batch, r.file, r.n) for r in parts] == [("batch", batch, file, 300_000)]
     assert parts[0].tasks >= 3
+
+
+def test_latest_looks_at_a_path_from_its_end(spark, scratch):
+    write_topic(spark.range(2).select(F.col("id").cast("string").alias("value")), "t", root=scratch)
+    records = read_topic(spark, "t", root=scratch, starting_offsets="latest")
+    plan = records._jdf.queryExecution().logical().toString()
+    assert "file_path" in plan and "regexp" not in plan  # a pattern would be tried from every character, for every record
