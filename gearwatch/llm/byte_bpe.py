@@ -102,4 +102,4 @@ def _encoded(docs, rank_path, pattern, id_col, text_col, columns, row) -> DataFr
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return map_batches(source, run, f"id {kind}, {columns}").withColumnRenamed("id", id_col)
+    return map_batches(source, run, f"id {kind}, {columns}", keeps=True).withColumnRenamed("id", id_col)

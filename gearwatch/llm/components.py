@@ -3,7 +3,9 @@
 Every round links the larger neighbours of a node to its smallest one (large star), then the
 smaller ones (small star), until nothing changes; the edges are then stars around each component's
 smallest node.  Rounds grow with the logarithm of the longest chain, each is written to the shared
-checkpoint folder, and only edges move, two columns wide.
+checkpoint folder, and only edges move, two columns wide.  A round is written in parts of at least
+``PART_EDGES`` edges, as far as that keeps all cores busy: it never has more edges than the one before, and a part
+for each shuffle partition would be mostly empty files.
 
 A component's smallest node becomes the hub of all others.  A node with more than ``HUB_LINKS`` links and
 more than one in ``HUBS`` of all is such a hub; there are at most ``HUBS`` at any size, so their list is
@@ -20,6 +22,7 @@ from gearwatch.llm.common import checkpointed
 HUB_LINKS = 500
 HUBS = 4096
 SALTS = 256
+PART_EDGES = 100_000
 
 
 def _star(edges: DataFrame, large: bool, hub: int) -> DataFrame:
@@ -54,6 +57,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = state
         hub = max(HUB_LINKS, 2 * state[0] // HUBS)  # every link is seen from both ends
-        edges = checkpointed(_star(_star(edges, True, hub), False, hub))
+        parts = max(edges.sparkSession.sparkContext.defaultParallelism, -(-state[0] // PART_EDGES))
+        edges = checkpointed(_star(_star(edges, True, hub), False, hub).coalesce(parts))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

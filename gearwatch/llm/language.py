@@ -67,8 +67,9 @@ def normalised(text: str) -> np.ndarray:
     return points[~(blank & np.concatenate([[False], blank[:-1]]))]
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """(state, symbol) -> state for all substrings of ``symbols``; -1 where there is none; 0 is the start."""
+def suffix_arrows(symbols: list[int]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """The automaton of all substrings of ``symbols``: how many states it has (0 is the start), and its arrows as three arrays
+    (state, symbol, state that follows); there are at most three arrows for each symbol."""
     following: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols:
@@ -94,10 +95,17 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     at = link[at]
                 link[other] = link[state] = copy
         last = state
-    table = np.full((len(following), alphabet), -1, np.int32)
-    for state, arrows in enumerate(following):
-        for c, to in arrows.items():
-            table[state, c] = to
+    origin = np.repeat(np.arange(len(following), dtype=np.int32), [len(arrows) for arrows in following])
+    symbol = np.fromiter((c for arrows in following for c in arrows), np.int32, len(origin))
+    target = np.fromiter((to for arrows in following for to in arrows.values()), np.int32, len(origin))
+    return len(following), origin, symbol, target
+
+
+def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
+    """(state, symbol) -> state for all substrings of ``symbols``; -1 where there is none; 0 is the start."""
+    states, origin, symbol, target = suffix_arrows(symbols)
+    table = np.full((states, alphabet), -1, np.int32)
+    table[origin, symbol] = target
     return table
 
 
@@ -120,24 +128,26 @@ class CrossParser:
         self.spelled = np.zeros(0x110000, bool)
         self.spelled[spelled] = True
         self.digit = len(plain) + 1  # the symbol of the digit 0
-        width, tables, self.starts, at = self.digit + (1 << DIGITS if len(spelled) else 0), [], [], 0
+        width, automata, self.starts, at = self.digit + (1 << DIGITS if len(spelled) else 0), [], [], 0
         self.costs = np.zeros(len(self.languages))
         for language in self.languages:
             symbols = self.symbols(texts[language], np.array([len(texts[language])]))[0][:sample_chars]
             self.costs[len(self.starts)] = np.log2(max(len(symbols), 2))
-            after = suffix_automaton(symbols.tolist(), width)
+            automata.append(suffix_arrows(symbols.tolist()))
+            self.starts.append(at)
+            at += automata[-1][0]
+        self.table = np.full(at * width, -1, np.int32)  # made once and filled in place: a worker never holds it twice
+        for start, (states, origin, symbol, target) in zip(self.starts, automata):
+            after = self.table[start * width : (start + states) * width].reshape(states, width)
+            after[origin, symbol] = target
             after[:, 0] = -1
             # where a phrase ends, the symbol begins the next one; the lowest bit says that one begins
             begins = after < 0
             begins[0] = True
-            after = np.where(after < 0, np.maximum(after[0], 0), after)
-            after += at
+            np.copyto(after, np.maximum(after[0], 0), where=after < 0)
+            after += start
             after *= 2
             after += begins
-            tables.append(after.ravel())
-            self.starts.append(at)
-            at += len(after)
-        self.table = np.concatenate(tables)
         self.width = width
         self.starts = np.array(self.starts, np.int32)
 
@@ -283,7 +293,7 @@ def identify_languages(docs: DataFrame, samples: dict[str, list[str]], id_col: s
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return map_batches(source, run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return map_batches(source, run, f"id {kind}, lang_pred string, score double", keeps=True).withColumnRenamed("id", id_col)
 
 
 def with_known_language(docs: DataFrame, samples: dict[str, list[str]], text_col: str = "text",
@@ -306,4 +316,4 @@ def with_known_language(docs: DataFrame, samples: dict[str, list[str]], text_col
                                  for lang, score in zip(*predict(texts))], pa.bool_())
                 yield batch.slice(rows[0].as_py(), len(rows)).filter(told)
 
-    return map_batches(docs, run, docs.schema)
+    return map_batches(docs, run, docs.schema, keeps=True)

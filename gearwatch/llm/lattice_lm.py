@@ -263,7 +263,7 @@ def word_table(docs: DataFrame, training: Column, text_col: str) -> DataFrame:
             yield _counted(counts, untrained)
 
     flagged = docs.select(F.coalesce(training, F.lit(False)), F.col(text_col))
-    counted = map_batches(flagged, run, "word binary, c bigint, n bigint")
+    counted = map_batches(flagged, run, "word binary, c bigint, n bigint", keeps=True)
     return counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
@@ -292,7 +292,7 @@ def fit_pieces(words: DataFrame, documents: int, model_path: str, rounds: int =
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["piece", "n"])
 
-        expected = map_batches(words.where("c > 0"), expect, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+        expected = map_batches(words.where("c > 0"), expect, "piece int, n double", keeps=True).groupBy("piece").agg(F.sum("n").alias("n"))
         n = np.zeros(len(pieces.pieces))
         for row in expected.collect():  # at most the vocabulary
             n[row.piece] += row.n
@@ -315,7 +315,7 @@ def _scored(words: DataFrame, logp: np.ndarray, model_path: str) -> DataFrame:
                 scores[part] = lattice.log_probabilities(shared.value) / math.log(10)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores)], ["word", "c", "lattice"])
 
-    return map_batches(words.select("word", "c"), run, "word binary, c bigint, lattice double")
+    return map_batches(words.select("word", "c"), run, "word binary, c bigint, lattice double", keeps=True)
 
 
 def _frequency_class(c: Column) -> Column:
@@ -387,7 +387,7 @@ def lattice_scores(docs: DataFrame, training: Column, held_out: Column, model_pa
                                              [part.split()[0] for part in _PARTS.split(", ")])
 
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col))
-    parts = map_batches(texts, split, _PARTS)  # a row of each document under a key that is no word, and its rare words
+    parts = map_batches(texts, split, _PARTS, keeps=True)  # a row of each document under a key that is no word, and its rare words
     rest = _scored(words.where(~is_hot), logp, model_path).select(
         "word", (F.col("c") > 0).cast("bigint").alias("w_known"), (F.log10(F.col("c") + 1.0) - floor).alias("w_base"),
         F.col("lattice").alias("w_lattice"))

@@ -236,4 +236,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capaci
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     schema = f"id {kind}, " + ", ".join(f"{name} bigint" for name in names[1:7]) + ", ids array<bigint>" * with_ids
-    return map_batches(source, run, schema).withColumnRenamed("id", id_col)
+    return map_batches(source, run, schema, keeps=True).withColumnRenamed("id", id_col)

@@ -46,6 +46,7 @@ GRAM = 32
 HOT_ANCHOR = 1000
 PERIOD = 64
 _BLOCK = 8 << 20  # bytes of text whose runs are collected together
+_FETCH = 20_000  # fetched runs or windows that are handed on together
 _STEP = 1 << 18  # windows whose anchors are found together
 _LAST = (1 << 63) - 1  # stands for a missing id: after all others
 
@@ -310,30 +311,36 @@ def radix_repeats(data: np.ndarray, at: np.ndarray, group: np.ndarray, width: in
 
 def _second_pass(docs: DataFrame, left: DataFrame, width: int, hot_anchor: int) -> DataFrame:
     """(``doc``, ``tie``, ``start``, ``length``) of the repeated stretches inside the runs ``left`` over."""
-    hot = checkpointed(left.groupBy("anchor").count().where(F.col("count") > hot_anchor).select("anchor", F.lit(True).alias("hot")))
+    hot = left.groupBy("anchor").count().where(F.col("count") > hot_anchor).select("anchor", F.lit(True).alias("hot"))
     left = left.withColumn("hot", F.lit(False)) if hot.isEmpty() else \
-        left.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+        left.join(checkpointed(hot), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     wanted = left.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "run", "hot")).alias("runs"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, digest = zstandard.ZstdDecompressor(), xxhash.xxh3_64_intdigest
+        def contents(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(v, pa.binary() if i == 4 else pa.int64()) for i, v in enumerate(zip(*rows))],
+                ["key", "doc", "tie", "start", "content"])
+
+        rows: list[tuple] = []  # handed on by the ``_FETCH``, however many a batch of documents makes
         for batch in batches:
-            rows = []
-            for doc, tie, packed, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                data = unpack.decompress(packed)
-                for run in runs:
-                    first, count = run["run"] >> 16, run["run"] >> 8 & 0xFF
-                    if run["hot"]:
+            for doc, tie, packed, runs in zip(*(batch.column(i) for i in range(4))):
+                doc, tie, data = doc.as_py(), tie.as_py(), unpack.decompress(packed.as_py())
+                anchors, places, hots = (runs.values.field(name).to_pylist() for name in ("anchor", "run", "hot"))
+                for anchor, place, hot_run in zip(anchors, places, hots):
+                    first, count = place >> 16, place >> 8 & 0xFF
+                    if hot_run:
                         for w in range(first, first + count):
                             window = data[w : w + width]
                             rows.append(((digest(window) ^ 1 << 63) - (1 << 63), doc, tie, w, window))
                     else:
-                        rows.append((run["anchor"], doc, tie, first, data[first : first + count + width - 1]))
-            for at in range(0, len(rows), 20_000):
-                part = zip(*rows[at : at + 20_000])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, pa.binary() if i == 4 else pa.int64()) for i, v in enumerate(part)],
-                    ["key", "doc", "tie", "start", "content"])
+                        rows.append((anchor, doc, tie, first, data[first : first + count + width - 1]))
+                    if len(rows) >= _FETCH:
+                        yield contents(rows)
+                        rows = []
+        if rows:
+            yield contents(rows)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_key, known = None, b""  # the different windows so far of the key that may go on, end to end

@@ -217,9 +217,9 @@ def _forests(dealt: DataFrame, width: int, budget: int) -> DataFrame:
 def _joined(dealt: DataFrame, width: int, budget: int, hot_key: int, name: str) -> DataFrame:
     """Edges of the rows under their keys, which leave at most ``width`` bits open."""
     sizes = dealt.groupBy("key").count().where(F.col("count") > hot_key).select("key", F.lit(True).alias("hot"))
-    if width < budget + 2 or (sizes := checkpointed(sizes)).isEmpty():
+    if width < budget + 2 or sizes.isEmpty():  # mostly: then there is nothing to write
         return _forests(dealt, width, budget)
-    marked = dealt.join(sizes, "key", "left")
+    marked = dealt.join(checkpointed(sizes), "key", "left")
     again = _deal(marked.where("hot").withColumnRenamed("key", "over").withColumnRenamed("rest", "bits"),
                   "bits", width, budget, name, above="over")
     return _forests(marked.where("hot is null").select("key", "rest", name), width, budget).unionByName(

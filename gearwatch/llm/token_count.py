@@ -79,5 +79,5 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    counted = map_batches(source, run, f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    counted = map_batches(source, run, f"id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean", keeps=True)
     return counted.withColumnRenamed("id", id_col)

@@ -169,3 +169,40 @@ def test_spelled_letters_count_as_their_digits():
     symbols, sizes = parser.symbols(np.concatenate([points, points[:2]]), np.array([len(points), 2]))
     spelled = [int(parser.spelled[p]) for p in points]
     assert sizes.tolist() == [len(points) + 3 * sum(spelled), 2 + 3 * sum(spelled[:2])] and len(symbols) == sizes.sum()
+
+
+def test_tables_are_held_once_while_they_are_built():
+    """The tables of all languages are laid out in place (two more copies before)."""
+    import random
+    import tracemalloc
+
+    rng = random.Random(11)
+    samples = {}
+    for k in range(6):
+        letters = [chr(c) for c in range(0x3B1, 0x3B1 + 24)] + [chr(c) for c in range(0x430, 0x430 + 30)]
+        samples[str(k)] = ["".join(rng.choices(letters, k=5000))]
+    tracemalloc.start()
+    try:
+        parser = CrossParser(samples)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    held = parser.table.nbytes + parser.symbol.nbytes + parser.spelled.nbytes
+    assert peak < held + 0.8 * parser.table.nbytes
+
+
+def test_tables_go_when_a_step_needs_none(spark):
+    from gearwatch.llm.common import map_batches
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(8)
+    assert with_known_language(docs, {"en": ["one two three"], "de": ["eins zwei drei"]}).count()
+
+    def held(batches):
+        import pyarrow as pa
+
+        from gearwatch.llm import common
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._HELD)] * len(batch), pa.int64())], ["n"])
+
+    assert map_batches(spark.range(0, 4000, 1, 32), held, "n bigint").where("n > 0").isEmpty()

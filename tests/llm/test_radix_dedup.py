@@ -180,3 +180,46 @@ def test_periodic_windows_occur_before():
                 begin = 0 if own == 0 else int(ends[own - 1])
                 assert s + 20 <= ends[own]
                 assert any(s - p >= begin and (data[s - p:s - p + 20] == data[s:s + 20]).all() for p in range(1, 7))
+
+
+def test_fetched_windows_are_handed_on_as_they_come(spark, monkeypatch):
+    """A batch of documents full of hot runs: a worker held all their windows at once before."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+
+    fetches, plain = [], radix_dedup.map_batches
+
+    def noted(df, run, schema, *more, **named):
+        if schema.startswith("key "):
+            fetches.append(run)
+        return plain(df, run, schema, *more, **named)
+
+    monkeypatch.setattr(radix_dedup, "map_batches", noted)
+    docs = spark.createDataFrame([(1, 0, "x")], "doc bigint, tie bigint, text string")
+    left = spark.createDataFrame([(1, 1, 0, 0)], "anchor bigint, doc bigint, tie bigint, run bigint")
+    radix_dedup._second_pass(docs, left, 100, 1000)
+
+    rng = random.Random(3)
+    texts = [bytes(rng.choices(b"abcdefgh", k=900)) for _ in range(300)]
+    runs = [[{"anchor": d * 100 + i, "run": i * 70 << 16 | 60 << 8, "hot": i % 10 != 9} for i in range(11)] for d in range(300)]
+    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("run", pa.int64()), ("hot", pa.bool_())]))
+    squeeze = zstandard.ZstdCompressor().compress
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(300)), pa.array([0] * 300), pa.array([squeeze(t) for t in texts]), pa.array(runs, kind)],
+        ["doc", "tie", "packed", "runs"])
+    seen = 0
+    tracemalloc.start()
+    try:
+        for out in fetches[0](iter([batch.slice(0, 100), batch.slice(100)])):
+            key, doc, start, content = (out.column(i).to_pylist() for i in (0, 1, 3, 4))
+            for k, d, at, data in zip(key, doc, start, content):
+                assert texts[d][at : at + len(data)] == data
+                assert len(data) == 100 or (len(data) == 159 and k == d * 100 + 9)
+            seen += len(key)
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert seen == 300 * (10 * 60 + 1)
+    assert peak < 30

@@ -155,3 +155,40 @@ def test_a_component_of_a_million_nodes(spark):
     edges = links_of_hub.union(links_of_hub.selectExpr("b a", "a b"))
     row = components(edges).selectExpr("count(*) n", "count(distinct node) d", "max(component) c").first()
     assert (row.n, row.d, row.c) == (1_000_001, 1_000_001, 0)
+
+
+def test_rounds_are_written_in_few_parts(spark, monkeypatch):
+    """A few edges are not written as a file for each of many shuffle partitions, round after round."""
+    parts, whole = [], components_module.checkpointed
+
+    def counted(df):
+        out = whole(df)
+        parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(components_module, "checkpointed", counted)
+    settings = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = [(i, i + 1) for i in range(40)]
+        rows = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+        few, parts[:] = max(parts[1:]), []
+        monkeypatch.setattr(components_module, "PART_EDGES", 2)  # many edges are dealt to as many parts as they need
+        more = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r.node, r.component) for r in rows} == {(r.node, r.component) for r in more} == {(i, 0) for i in range(41)}
+    assert few <= spark.sparkContext.defaultParallelism < 61
+    assert max(parts[1:]) >= 20
+
+
+def test_no_files_for_hot_keys_that_are_none(spark, monkeypatch):
+    def never(df):
+        raise AssertionError("an empty list of hot keys was written")
+
+    monkeypatch.setattr(simhash, "checkpointed", never)
+    nodes = spark.createDataFrame([(0b0,), (0b111,), (1 << 62,)], "fp bigint")
+    assert {tuple(sorted((r.a, r.b))) for r in links(nodes).collect()} >= {(0, 0b111)}
