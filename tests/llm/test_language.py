@@ -206,3 +206,26 @@ def test_tables_go_when_a_step_needs_none(spark):
             yield pa.RecordBatch.from_arrays([pa.array([len(common._HELD)] * len(batch), pa.int64())], ["n"])
 
     assert map_batches(spark.range(0, 4000, 1, 32), held, "n bigint").where("n > 0").isEmpty()
+
+
+def test_workers_give_back_what_is_free(spark):
+    from types import SimpleNamespace
+
+    from gearwatch.llm.common import map_batches
+
+    def resident():
+        with open("/proc/self/statm") as numbers:
+            return int(numbers.read().split()[1]) * 4096 / 1e6
+
+    kept = []
+
+    def run(batches):
+        parts = [bytearray(30_000) for _ in range(4000)]  # 120 MB, freed in pieces between what stays
+        kept.extend(parts[::20])
+        del parts
+        yield from batches
+
+    alone = map_batches(SimpleNamespace(sparkSession=spark, mapInArrow=lambda run, schema: run), run, "n bigint")
+    before = resident()
+    assert list(alone(iter([1]))) == [1]
+    assert resident() - before < 40
