@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import checkpointed
+from gearwatch.llm.common import checkpointed, part_count
 
 HUB_LINKS = 500
 HUBS = 4096
@@ -57,7 +57,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = state
         hub = max(HUB_LINKS, 2 * state[0] // HUBS)  # every link is seen from both ends
-        parts = max(edges.sparkSession.sparkContext.defaultParallelism, -(-state[0] // PART_EDGES))
+        parts = part_count(edges.sparkSession, state[0], PART_EDGES)
         edges = checkpointed(_star(_star(edges, True, hub), False, hub).coalesce(parts))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

@@ -311,9 +311,10 @@ def radix_repeats(data: np.ndarray, at: np.ndarray, group: np.ndarray, width: in
 
 def _second_pass(docs: DataFrame, left: DataFrame, width: int, hot_anchor: int) -> DataFrame:
     """(``doc``, ``tie``, ``start``, ``length``) of the repeated stretches inside the runs ``left`` over."""
+    spark = docs.sparkSession
     hot = left.groupBy("anchor").count().where(F.col("count") > hot_anchor).select("anchor", F.lit(True).alias("hot"))
     left = left.withColumn("hot", F.lit(False)) if hot.isEmpty() else \
-        left.join(checkpointed(hot), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+        left.join(checkpointed(hot.repartition(spark.sparkContext.defaultParallelism)), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     wanted = left.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "run", "hot")).alias("runs"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,13 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.common import checkpointed, map_batches, text_chunks
+from gearwatch.llm.common import checkpointed, map_batches, part_count, text_chunks
 from gearwatch.llm.components import components
 
 SHINGLE = 4
 BUDGET = 4
 HOT_KEY = 100_000  # fingerprints under one key from which it is dealt again
 SALT = 8
+PART_NODES = 100_000
 _SEED = 42
 _GROUP_ROWS = 1 << 16  # small keys are joined together, about so many rows at a time
 _LEAF_PAIRS = 64  # a pair of nodes with at most so many pairs of leaves is compared directly
@@ -244,7 +245,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id that links reach."""
     rows = checkpointed(fingerprints(docs, id_col, text_col, shingle))
     named_by = F.struct(F.col("least").isNull().alias("nameless"), "least", "fp").alias("node")  # nameless ones come last
-    nodes = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("least")).select("fp", named_by))
+    nodes = rows.groupBy("fp").agg(F.min("id").alias("least")).select("fp", named_by)
+    nodes = checkpointed(nodes.coalesce(part_count(docs.sparkSession, rows.count(), PART_NODES)))
     groups = components(links(nodes, budget, hot_key, "node")).select("node.fp", "component")
     named = nodes.join(groups, "fp", "left").select("fp", F.coalesce("component", "node")["least"].alias("component_id"))
     salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
