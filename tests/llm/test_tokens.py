@@ -7,13 +7,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gearwatch.llm import queries
 from gearwatch.llm.byte_bpe import ByteBpe, encode_digests, encode_documents
-from gearwatch.llm.packing import WordEncoder, fill_windows, multiway_difference, pack_documents
+from gearwatch.llm.packing import WordEncoder, byte_chunks, fill_windows, multiway_difference, pack_documents
 from gearwatch.llm.token_count import WordCounter, token_counts
 from tests.llm.helpers import SF, empty_documents, odd_documents, random_texts, texts_by_id
 
@@ -77,6 +78,43 @@ def test_words_whose_lower_case_is_longer(word_tokenizer):
     assert [ids.tolist() for ids in _tools()[1].encode(texts)] == expected
 
 
+def test_a_word_is_learnt_once_whatever_its_case_and_punctuation(word_tokenizer):
+    encoder, text = WordEncoder(WORDS), "Case CASE case, Case. (case) case1 CASE: École ÉCOLE, école"
+    assert encoder.encode([text])[0].tolist() == word_tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder.kept) <= len({"case", "école", ",", ".", "(", ")", "1", ":"})
+
+
+_ENCODERS = {}
+
+
+@settings(max_examples=200, deadline=None)
+@given(texts=st.lists(TEXT, max_size=6), kept=st.sampled_from([0, 5, 1000]))
+def test_texts_side_by_side_do_not_mix(texts, kept, word_tokenizer):
+    if kept not in _ENCODERS:
+        _ENCODERS[kept] = WordEncoder(WORDS, kept)
+    expected = [word_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in _ENCODERS[kept].encode([*texts, ""])] == [*expected, []]
+
+
+def test_letters_of_two_bytes(word_tokenizer):
+    texts = [f"{c} a{c}b,{c}. {c}{c}'s A{c}\u0301 1{c}2<{c}\t{c}!{c.swapcase()}" for c in map(chr, range(2048))]
+    expected = [word_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in _tools()[1].encode(texts)] == expected
+
+
+def test_long_texts_are_cut_at_blanks(word_tokenizer, monkeypatch):
+    monkeypatch.setattr("gearwatch.llm.packing.SPAN", 50)
+    texts = [*random_texts(50, size=60), "x" * 200, "x" * 200 + " ", " " + "é'" * 100, " " * 120, "a " * 100]
+    expected = [word_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [_tools()[1].encode([t])[0].tolist() for t in texts] == expected
+    batch = pa.record_batch([pa.array(range(len(texts) + 1)), pa.array([*texts, None])], names=["id", "text"])
+    chunks = list(byte_chunks(iter([batch.slice(3)]), 50))
+    assert [i for keys, _, _ in chunks for i in keys.to_pylist()] == list(range(3, len(texts) + 1))
+    assert all(len(data) <= 50 or len(offsets) == 2 for _, data, offsets in chunks)
+    found = [ids.tolist() for _, data, offsets in chunks for ids in _tools()[1].encode_bytes(data, offsets)]
+    assert found == [*expected[3:], []]
+
+
 def test_shortcut_holds_only_words_of_one_token(pieces):
     counter = WordCounter(MODEL, kept=0)
     assert len(counter) > 10_000
